@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from functools import wraps
 
+from sequora.llm.bpe import op4_bpe
 from sequora.llm.common import visible_to_workers
+from sequora.llm.line_dedup import OP7_SQL, op7_line_dedup
 from sequora.llm.packing import op6_packing
 from sequora.llm.token_files import op2_token_files
+from sequora.llm.toxicity import op8_toxicity
 
 
 def _query(f):
@@ -18,6 +21,6 @@ def _query(f):
     return run
 
 
-QUERIES = {f.__name__: _query(f) for f in (op2_token_files, op6_packing)}
+QUERIES = {f.__name__: _query(f) for f in (op2_token_files, op4_bpe, op6_packing, op7_line_dedup, op8_toxicity)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL}
