@@ -1,8 +1,41 @@
-"""The corpus pipeline, stage by stage."""
+"""The corpus pipeline: toxic documents go, repeated passages go, near-duplicates go, the rest is packed.
+
+Each stage gets what its predecessor kept, written as Parquet and read again. All but the last
+return the columns of documents. SQL cannot express the fitted classifier or the tokenizer, so
+tests/llm holds the stages against brute-force versions instead.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from sequora.llm.common import stage, table, visible_to_workers
+from sequora.llm.jaccard_join import near_dedup_stage
+from sequora.llm.line_dedup import line_dedup_stage
+from sequora.llm.packing import packing_stage
+from sequora.llm.toxicity import toxicity_stage
+
+
+def _visible(f):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        visible_to_workers(spark)
+        return f(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES = [
+    ("toxicity", _visible(toxicity_stage)),
+    ("line_dedup", _visible(line_dedup_stage)),
+    ("near_dedup", _visible(near_dedup_stage)),
+    ("packing", _visible(packing_stage)),
+]
 
-STAGES = []
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, f in STAGES[:-1]:
+        docs = stage(f(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

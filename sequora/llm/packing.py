@@ -82,3 +82,8 @@ def default_tokenizer() -> str:
 
 def digest(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document that is left, as op6_packing returns them."""
+    return digest(pack(docs, default_tokenizer()))

@@ -6,6 +6,7 @@ from functools import wraps
 
 from sequora.llm.bpe import op4_bpe
 from sequora.llm.common import visible_to_workers
+from sequora.llm.jaccard_join import op3_jaccard_join
 from sequora.llm.line_dedup import OP7_SQL, op7_line_dedup
 from sequora.llm.packing import op6_packing
 from sequora.llm.token_files import op2_token_files
@@ -21,6 +22,6 @@ def _query(f):
     return run
 
 
-QUERIES = {f.__name__: _query(f) for f in (op2_token_files, op4_bpe, op6_packing, op7_line_dedup, op8_toxicity)}
+QUERIES = {f.__name__: _query(f) for f in (op2_token_files, op3_jaccard_join, op4_bpe, op6_packing, op7_line_dedup, op8_toxicity)}
 
 ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL}
