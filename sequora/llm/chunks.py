@@ -11,41 +11,64 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import chain
 
 _INSIDE_RUN = re.compile(r"\s \s|\s \Z")
 _SAFE_CUT = re.compile(r"(?<=\S)(?= )|(?<=.)(?= \S)", re.DOTALL)
+_FIRST = "﷐"  # marks a chunk that begins a text; a code point that is no character
 
 
-def chunks(text: str) -> list[str]:
-    """Pieces of the text, each but the first beginning with a space; joined they give the text."""
+def pieces(text: str) -> list[str]:
+    """The chunks of a text, each without its leading space, and those without one marked."""
+    if _FIRST in text:
+        return [_FIRST + text]
     if _INSIDE_RUN.search(text):
-        return _SAFE_CUT.split(text)
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + x for x in rest]
+        return [x[1:] if x[:1] == " " else _FIRST + x for x in _SAFE_CUT.split(text)]
+    found = text.split(" ")
+    found[0] = _FIRST + found[0]
+    return found
+
+
+def chunk(piece: str) -> str:
+    return piece[1:] if piece[:1] == _FIRST else " " + piece
+
+
+_SIGNS = ".,;:!?#$%&*()|\"-_/+=<>[]{}"
+
+
+def core(piece: str) -> str:
+    """The piece without signs at its end, if a Latin letter stands before them: there a match ends in any case."""
+    rest = piece.rstrip(_SIGNS)
+    return rest if rest and rest[-1] < "\u0250" and rest[-1].isalpha() else piece
 
 
 class ChunkIds:
     """Ids of texts as little-endian bytes; each distinct chunk is encoded once as long as it is kept.
 
-    encode_many gets a list of distinct chunks and returns the bytes of each. The cache is of
-    bounded size: the first `keep` chunks stay, and further ones are forgotten with each batch.
+    encode_many gets a list of distinct chunks and returns the bytes of each. The first `keep`
+    chunks that come stay known; further ones are forgotten after each call.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], keep: int = 300_000):
-        self.encode_many, self.keep, self.known = encode_many, keep, {}
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], keep: int = 800_000):
+        self.encode_many, self.keep, self.known, self.signs = encode_many, keep, {}, {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [chunks(x) for x in texts]
-        known = self.known
-        new = list({c for x in split for c in x if c not in known})
-        got = dict(zip(new, self.encode_many(new), strict=True)) if new else {}
-        if len(known) + len(got) <= self.keep:
-            known.update(got)
-            find = known.__getitem__
-        elif not got:
-            find = known.__getitem__
-        else:
-            for k in new[: max(0, self.keep - len(known))]:
-                known[k] = got[k]
-            find = lambda c: known[c] if c in known else got[c]
-        return [b"".join(map(find, x)) for x in split]
+        split, known = [pieces(x) for x in texts], self.known
+        new = list(set(chain.from_iterable(split)).difference(known))
+        cores = [core(p) for p in new]
+        fresh = list(set(cores).difference(known))
+        tails = list({p[len(c) :] for p, c in zip(new, cores, strict=True)}.difference(self.signs))
+        known.update(zip(fresh, self.encode_many([chunk(p) for p in fresh]), strict=True))
+        if len(self.signs) + len(tails) > self.keep // 8:
+            self.signs, tails = {}, list({p[len(c) :] for p, c in zip(new, cores, strict=True)})
+        self.signs.update(zip(tails, self.encode_many(tails), strict=True))
+        signs = self.signs
+        known.update([(p, known[c] + signs[p[len(c) :]]) for p, c in zip(new, cores, strict=True) if p is not c])
+        find = known.__getitem__
+        out = [b"".join(map(find, x)) for x in split]
+        surplus = len(known) - self.keep
+        if surplus > 0:
+            added = dict.fromkeys(fresh) | dict.fromkeys(new)
+            for p in list(added)[-surplus:]:
+                del known[p]
+        return out

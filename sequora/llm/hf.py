@@ -39,12 +39,34 @@ def _cuts_at_spaces(path: str) -> bool:
 def encoder(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
     """A function from texts to the bytes of their ids, kept as long as the Python worker lives."""
     t = _tokenizer(path)
-
-    def many(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=dtype).tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
-
-    # tokenizers' default batch call allocates all encodings at once: keep the lists short
-    def in_blocks(texts: list[str], block: int = 20_000) -> list[bytes]:
-        return [b for at in range(0, len(texts), block) for b in many(texts[at : at + block])]
-
-    return ChunkIds(in_blocks) if _cuts_at_spaces(path) else lambda texts: in_blocks(texts, 256)
+    width = np.dtype(dtype).itemsize
+
+    def each(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=dtype).tobytes() for at in range(0, len(texts), 256) for e in t.encode_batch_fast(texts[at : at + 256], add_special_tokens=False)]
+
+    if not _cuts_at_spaces(path):
+        return each
+    line_feed = t.encode("\n", add_special_tokens=False).ids
+
+    def many(chunks: list[str]) -> list[bytes]:
+        """Chunks without white space at the end or a line feed are encoded as lines of one text: a line feed between them is a match of its own."""
+        out: list[bytes] = [b""] * len(chunks)
+        lines = [k for k, c in enumerate(chunks) if c and not c[-1].isspace() and "\n" not in c]
+        alone = set(range(len(chunks))).difference(lines)
+        for at in range(0, len(lines), 512):
+            block = lines[at : at + 512]
+            ids = np.array(t.encode_batch_fast(["\n".join([chunks[k] for k in block])], add_special_tokens=False)[0].ids, dtype)
+            stop = np.flatnonzero(ids == line_feed[0])
+            if len(line_feed) != 1 or len(stop) != len(block) - 1:
+                alone.update(block)
+                continue
+            flat, begin = ids.tobytes(), 0
+            for k, end in zip(block, (np.r_[stop, len(ids)] * width).tolist(), strict=True):
+                out[k] = flat[begin:end]
+                begin = end + width
+        rest = [k for k in sorted(alone) if chunks[k]]
+        for k, b in zip(rest, each([chunks[k] for k in rest]), strict=True):
+            out[k] = b
+        return out
+
+    return ChunkIds(many)
