@@ -11,6 +11,7 @@ from sequora.llm.line_dedup import OP7_SQL, op7_line_dedup
 from sequora.llm.packing import op6_packing
 from sequora.llm.token_files import op2_token_files
 from sequora.llm.toxicity import op8_toxicity
+from sequora.llm.vectors import op1_near_duplicates, op9_top_k
 
 
 def _query(f):
@@ -22,6 +23,6 @@ def _query(f):
     return run
 
 
-QUERIES = {f.__name__: _query(f) for f in (op2_token_files, op3_jaccard_join, op4_bpe, op6_packing, op7_line_dedup, op8_toxicity)}
+QUERIES = {f.__name__: _query(f) for f in (op1_near_duplicates, op2_token_files, op3_jaccard_join, op4_bpe, op6_packing, op7_line_dedup, op8_toxicity, op9_top_k)}
 
 ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL}
