@@ -35,11 +35,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     windows = stage(each.select("id", "doc", F.explode(F.transform(F.sequence(F.lit(0), count - 1), window)).alias("w")).select("id", "doc", "w.*"), "line-windows")
     place = F.struct("id", "doc", "n")
     repeated = stage(windows.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min(place).alias("first")).where("times > 1").drop("times"), "line-windows-repeated")
-    later = windows.join(repeated, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    later = windows.join(repeated.hint("merge"), ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
     covered = later.select("id", "doc", F.explode("at").alias("line")).groupBy("id", "doc").agg(F.collect_set("line").alias("covered"))
     covered = stage(covered.select(F.col("id").alias("covered id"), F.col("doc").alias("covered doc"), F.array_sort("covered").alias("removed_lines")), "lines-covered")
 
-    joined = docs.join(covered, docs[id_col].eqNullSafe(F.col("covered id")) & (F.md5(text_of(text_col)) == F.col("covered doc")), "left")
+    joined = docs.join(covered.hint("merge"), docs[id_col].eqNullSafe(F.col("covered id")) & (F.md5(text_of(text_col)) == F.col("covered doc")), "left")
     n = F.size(F.split(text_of(text_col), "\n"))
     kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col("removed_lines"))
     text = F.when(F.col("removed_lines").isNull(), docs[text_col]).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
