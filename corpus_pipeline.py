@@ -9,26 +9,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sequora.llm.common import stage, table, visible_to_workers
+from sequora.llm.common import stage, table, prepare
 from sequora.llm.jaccard_join import near_dedup_stage
 from sequora.llm.line_dedup import line_dedup_stage
 from sequora.llm.packing import packing_stage
 from sequora.llm.toxicity import toxicity_stage
 
 
-def _visible(f):
+def _prepared(f):
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        visible_to_workers(spark)
+        prepare(spark)
         return f(spark, docs, sf_dir)
 
     return run_stage
 
 
 STAGES = [
-    ("toxicity", _visible(toxicity_stage)),
-    ("line_dedup", _visible(line_dedup_stage)),
-    ("near_dedup", _visible(near_dedup_stage)),
-    ("packing", _visible(packing_stage)),
+    ("toxicity", _prepared(toxicity_stage)),
+    ("line_dedup", _prepared(line_dedup_stage)),
+    ("near_dedup", _prepared(near_dedup_stage)),
+    ("packing", _prepared(packing_stage)),
 ]
 
 ORACLE_SQL = None

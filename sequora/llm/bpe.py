@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sequora.llm.chunks import ChunkIds
-from sequora.llm.common import slices, table, text_of
+from sequora.llm.common import gathered, slices, table, text_of
 from sequora.llm.packing import pa_type
 
 NONE = np.int32(2**31 - 1)  # the rank of a pair that doesn't merge
@@ -177,19 +177,6 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
     return rows.mapInArrow(task, f"id {rows.schema['id'].dataType.simpleString()}, n_tokens long, ids binary").withColumnRenamed("id", id_col)
 
 
-def gathered(batches, least: int):
-    """Record batches joined until they hold `least` bytes."""
-    held, size = [], 0
-    for b in batches:
-        held.append(b)
-        size += b.nbytes
-        if size >= least:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, size = [], 0
-    if sum(b.num_rows for b in held):
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
     """Adds `decoded`, the bytes that the ids of column `ids` stand for (null ids: no bytes)."""
     others = [c for c in encoded.columns if c != "ids"]

@@ -55,13 +55,26 @@ def slices(batches: Iterator[pa.RecordBatch], text: int = 1, max_bytes: int = 4
             yield batch.slice(at, step)
 
 
+def gathered(batches, least: int):
+    """Record batches joined until they hold `least` bytes."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= least:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if sum(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def limit_threads() -> None:
     """Tasks share cores with other tasks: native libraries must not start a pool in each."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
 
 
-def visible_to_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it.
+def prepare(spark: SparkSession) -> None:
+    """Bound the rows of an Arrow batch (rows hold whole texts) and let Python workers import this package.
 
     On a cluster the package is installed or given with --py-files; there this adds a path that
     does no harm.
@@ -70,3 +83,4 @@ def visible_to_workers(spark: SparkSession) -> None:
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from functools import wraps
 
 from sequora.llm.bpe import op4_bpe
-from sequora.llm.common import visible_to_workers
+from sequora.llm.common import prepare
+from sequora.llm.html_text import op10_html_text
 from sequora.llm.jaccard_join import op3_jaccard_join
+from sequora.llm.language_model import op5_language_model
 from sequora.llm.line_dedup import OP7_SQL, op7_line_dedup
 from sequora.llm.packing import op6_packing
 from sequora.llm.token_files import op2_token_files
@@ -17,12 +19,12 @@ from sequora.llm.vectors import op1_near_duplicates, op9_top_k
 def _query(f):
     @wraps(f)
     def run(spark, sf_dir):
-        visible_to_workers(spark)
+        prepare(spark)
         return f(spark, sf_dir)
 
     return run
 
 
-QUERIES = {f.__name__: _query(f) for f in (op1_near_duplicates, op2_token_files, op3_jaccard_join, op4_bpe, op6_packing, op7_line_dedup, op8_toxicity, op9_top_k)}
+QUERIES = {f.__name__: _query(f) for f in (op1_near_duplicates, op2_token_files, op3_jaccard_join, op4_bpe, op5_language_model, op6_packing, op7_line_dedup, op8_toxicity, op9_top_k, op10_html_text)}
 
 ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL}
