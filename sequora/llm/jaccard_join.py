@@ -225,7 +225,7 @@ def _candidates(described: DataFrame, depth: int, limit: int, near: int) -> Data
         found = stage(_scan(rows, limit, d == depth - 1, near), "paths")
         e = found.where("b IS NOT NULL")
         edges = e if edges is None else edges.union(e)
-        hot = found.where("b IS NULL").select(F.shiftrightunsigned(F.col("a").bitwiseOR(F.lit(1)), 32).cast("int").alias("parent")).distinct()
+        hot = found.where("b IS NULL").select(F.shiftright("a", 32).cast("int").alias("parent")).distinct()
     return edges
 
 
