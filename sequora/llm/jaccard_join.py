@@ -159,12 +159,22 @@ class BucketScan:
         return edges, hot
 
     def _by_leaders(self, node, bits):
-        edges, leaders = [], np.zeros(len(node), np.int64)
+        """Edges that join what was apart before: one fewer than sets at most."""
+        edges, leaders, parent = [], np.zeros(len(node), np.int64), list(range(len(node)))
+
+        def root(k):
+            while parent[k] != k:
+                parent[k] = k = parent[parent[k]]
+            return k
+
         n = 0
         for k in range(len(node)):
             far = np.bitwise_count(bits[leaders[:n]] ^ bits[k]).sum(1)
-            close = np.flatnonzero(far <= self.near + self.slack)
-            edges += [(int(node[leaders[c]]), int(node[k])) for c in close.tolist()]
+            for c in leaders[:n][far <= self.near + self.slack].tolist():
+                a, b = root(c), root(k)
+                if a != b:
+                    parent[b] = a
+                    edges.append((int(node[c]), int(node[k])))
             if not (far <= self.slack // 2).any():
                 leaders[n] = k
                 n += 1
@@ -304,7 +314,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rep"), text_of(text_col).alias("text"))
     kind = texts.schema["rep"].dataType.simpleString()
     # each member's text once by its id, then to the tasks of its component
-    rows = dealt.join(texts, "rep").select("component", "i", "j", "own", "rep", "key", "copies", "text")
+    rows = dealt.hint("merge").join(texts, "rep").select("component", "i", "j", "own", "rep", "key", "copies", "text")
 
     def verify(batches):
         held, of = [], None
