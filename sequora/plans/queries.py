@@ -78,7 +78,6 @@ add("gat_optional_notices", lambda p: gates.optional_notices(p.src), NOTICE)
 add("gat_optional_notices_mutated", lambda p: gates.optional_notices(p.src), NOTICE, mutate_sources, SOURCES_SQL)
 
 # scalar functions
-ODD = "concat(' ', id, '|a\tb\\\\c ')"
 add("fn_clean_text", lambda p: p.src["party"].select("id", fn.clean_text(F.concat(F.lit(" "), F.col("party_type"), F.lit("|x\ty\\z\r\n"))).alias("v")), f"SELECT id, {clean(chr(39) + ' ' + chr(39) + '||party_type||' + chr(39) + '|x' + chr(39) + '||chr(9)||' + chr(39) + 'y' + chr(39) + '||chr(92)||' + chr(39) + 'z' + chr(39) + '||chr(13)||chr(10)')} v FROM party")
 add("fn_boolean_text", lambda p: p.merchants.select("merchant_id", fn.boolean_text("is_online").alias("v")), f"SELECT merchant_id, {boolean('is_online')} v FROM merchants")
 add("fn_to_ms", lambda p: p.sequence.select("transaction_id", fn.to_ms(F.col("unix_time") - 800_000_000).alias("v")), f"SELECT transaction_id, {ms('(unix_time-800000000)')} v FROM sequence")
@@ -246,3 +245,125 @@ add("val_ownerless_accounts_mutated", lambda p: gates.orphans(p.datasets["02_acc
 add("val_stamps", graph.stamp_report, "SELECT " + REPORTS["first_seen"][1]["vertices_with_zero_first_seen"] + f"::BIGINT AS zero_first_seen, {where(EVERY, 'valid_from_seq<=0')} AS zero_valid_from, {where(EVERY, 'valid_to_seq<>0 AND valid_to_seq<=valid_from_seq')} AS empty_intervals, {where(EVERY, 'valid_to_seq<>0')} AS closed_tenures")
 add("val_labels", lambda p: graph.label_violations(p.datasets["22_transactions"]), "SELECT count(*) FILTER (label_known AND label_available_seq=0) AS known_without_availability, count(*) FILTER (NOT label_known AND label_available_seq<>0) AS unknown_with_availability, count(*) FILTER (fraud_label=1 AND label_available_unix_time<=unix_time) AS fraud_available_too_early, count(*) FILTER (fraud_label NOT IN (0,1)) AS label_out_of_domain, count(*) FILTER (label_known) AS known_labels, count(*) FILTER (NOT label_known) AS unknown_labels, count(*) FILTER (fraud_label=1) AS fraud_labels FROM label_seq")
 add("val_measures", lambda p: graph.measures(p.datasets["22_transactions"], p.datasets["04_merchants"], p.datasets["05_merchant_locations"]), "SELECT round(sum(amount),2) AS amount_sum, count(*) FILTER (NOT amount_present) AS absent_amounts, count(*) FILTER (card_present) AS card_present, count(*) FILTER (channel='ecommerce') AS ecommerce, count(*) FILTER (channel='unknown') AS unknown_channel, count(*) FILTER (has_event_location) AS with_event_location, (SELECT count(*) FROM merchants WHERE is_online) AS online_merchants, (SELECT count(*) FROM locations WHERE has_coordinates) AS located_outlets, (SELECT count(*) FROM locations WHERE NOT has_coordinates) AS masked_outlets FROM manifest")
+
+# the temporal contract
+from sequora.operators import temporal as mul  # noqa: E402
+from sequora.plans import temporal_sql as tsql  # noqa: E402
+from sequora.sources.contracts import BY_NAME as TABLES  # noqa: E402
+from sequora.sources.contracts import DATASETS as TEMPORAL  # noqa: E402
+from sequora.sources.contracts import check_ordered  # noqa: E402
+
+T_CLEAN, T_BROKEN = tsql.tables(False), tsql.tables(True)
+CHECKS, INVARIANTS = tsql.checks(), tsql.invariants()
+
+
+def temporal_raw(spark: SparkSession, sf_dir: str, broken: bool) -> dict[str, DataFrame]:
+    raw = projection.temporal(spark, sf_dir, broken)
+    for d in TEMPORAL:
+        check_ordered(d, raw[d.name])
+    return raw
+
+
+def add_temporal(name: str, frame: Callable[[dict[str, DataFrame]], DataFrame], sql: str | None, broken: bool) -> None:
+    QUERIES[name] = lambda spark, sf_dir: frame(temporal_raw(spark, sf_dir, broken))
+    if sql:
+        ORACLE_SQL[name] = compose(sql, T_BROKEN if broken else T_CLEAN)
+
+
+def _of(*names: str) -> str:
+    return tsql.rows({k: CHECKS[k] for k in CHECKS if k.split(":")[0] in names and ("role" not in k and "binding" not in k)})
+
+
+ENTITIES, EVENTS = [d.name for d in TEMPORAL if d.kind == "entity"], [d.name for d in TEMPORAL if d.kind == "event"]
+TENURES, PARTS_OF = [d.name for d in TEMPORAL if d.kind == "association"], [d.name for d in TEMPORAL if d.kind == "participation"]
+
+
+def _shape(names: list[str]) -> Callable:
+    def frame(raw):
+        t = mul.typed_tables(raw)
+        return gates.union([mul.edge_checks(TABLES[n], t[n], t) if TABLES[n].source else mul.entity_checks(TABLES[n], t[n]) for n in names])
+
+    return frame
+
+
+def _shape_sql(names: list[str]) -> str:
+    return tsql.rows({k: q for k, q in CHECKS.items() if k.split(":")[0] in names and not any(w in k for w in ("source values", "unsigned range", "role present"))})
+
+
+ACROSS = tsql.rows({k: q for k, q in CHECKS.items() if k.split(":")[0] not in TABLES or "role present" in k})
+for broken in (False, True):
+    end = "_mutated" if broken else ""
+    add_temporal(f"mul_source_values{end}", lambda raw: gates.union([mul.raw_checks(d, raw[d.name]) for d in TEMPORAL]), tsql.rows({k: q for k, q in CHECKS.items() if "source values" in k or "unsigned range" in k}), broken)
+    add_temporal(f"mul_entities{end}", _shape(ENTITIES), _shape_sql(ENTITIES), broken)
+    add_temporal(f"mul_events{end}", _shape(EVENTS), _shape_sql(EVENTS), broken)
+    add_temporal(f"mul_associations{end}", _shape(TENURES), _shape_sql(TENURES), broken)
+    add_temporal(f"mul_participations{end}", _shape(PARTS_OF), _shape_sql(PARTS_OF), broken)
+    add_temporal(f"mul_across_tables{end}", lambda raw: mul.across_tables(mul.typed_tables(raw)), ACROSS, broken)
+    add_temporal(f"mul_distributions{end}", lambda raw: mul.distributions(mul.typed_tables(raw)["Account"]), "SELECT 'is_mule' AS attribute, is_mule::INT AS value, count(*) AS accounts FROM Account GROUP BY 2 UNION ALL SELECT 'mule_ring_id', mule_ring_id::INT, count(*) FROM Account GROUP BY 2", broken)
+    add_temporal(f"val_temporal_invariants{end}", lambda raw: graph.temporal_invariants(mul.typed_tables(raw)), tsql.rows(INVARIANTS), broken)
+add_temporal("src_typed_view", lambda raw: mul.typed_tables(raw)["Transfer"].select("transfer_id", F.col("event_seq").cast("long").alias("event_seq"), "amount", "amount_present", "label_known", "fraud_label"), "SELECT transfer_id, event_seq::BIGINT AS event_seq, amount, amount_present, label_known, fraud_label FROM Transfer", False)
+add_temporal("rel_tenures_at_seed", lambda raw: mul.typed_tables(raw)["Token_Bound_To_Account"].where(fn.visible("valid_from_seq", "valid_to_seq", 700)).select("from_id", "to_id", F.col("valid_from_seq").cast("long").alias("valid_from_seq")), "SELECT from_id, to_id, valid_from_seq::BIGINT AS valid_from_seq FROM Token_Bound_To_Account WHERE valid_from_seq<=700 AND (valid_to_seq=0 OR 700<valid_to_seq)", True)
+
+
+# files: written under the shared folder, read back
+def _folder(spark: SparkSession) -> str:
+    import tempfile
+    import uuid
+
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-export-")
+    return f"{base.rstrip('/')}/export-{uuid.uuid4().hex}"
+
+
+EXPORTED = ("01_parties", "13_account_has_card", "22_transactions")
+
+
+def _export(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, CardFraud]:
+    from sequora.operators import export
+
+    p, folder = prepared(spark, sf_dir), _folder(spark)
+    out = export.export({d: p.datasets[d] for d in EXPORTED}, folder, gates.union([gates.as_gates(gates.geography_report(p), "merchants_with_partial_geography")]), gates.require)
+    return folder, out, p
+
+
+QUERIES["out_export_manifest"] = lambda spark, sf_dir: _export(spark, sf_dir)[1].groupBy("dataset").agg(F.sum("rows").alias("rows"))
+ORACLE_SQL["out_export_manifest"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS rows FROM d{d}" for d in EXPORTED), PARTS)
+
+
+def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sequora.operators import export
+
+    return export.verify(spark, _export(spark, sf_dir)[0], list(EXPORTED))
+
+
+QUERIES["out_export_verified"] = _verified
+ORACLE_SQL["out_export_verified"] = "SELECT '' AS dataset, '' AS file, '' AS fault WHERE false"
+
+
+def _psv(p: CardFraud) -> DataFrame:
+    from sequora.operators.export import psv_rows
+
+    return psv_rows(p.datasets["13_account_has_card"])
+
+
+add("out_psv_rows", _psv, "SELECT account_id||'|'||card_id||'|'||valid_from_seq||'|'||valid_to_seq||'|1|synthetic' AS value FROM d13_account_has_card")
+
+
+def _against_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, stated, p = _export(spark, sf_dir)
+    found = gates.union([gates.rows_of(df, "rows").select(F.lit(n).alias("object"), "rows") for n, df in ({d: p.datasets[d] for d in EXPORTED[:2]} | p.fan_out).items()])
+    return graph.expected_and_found(stated, found)
+
+
+QUERIES["val_against_manifest"] = _against_manifest
+ORACLE_SQL["val_against_manifest"] = compose(
+    " UNION ALL ".join(f"SELECT '{o}' AS object, {n_of('d' + d)} AS expected, {n_of('d' + d) if o != 'At_Location' else where('d22_transactions', 'location_id<>' + chr(39) * 2)} AS found, true AS fits" for d in EXPORTED for o in graph.OBJECTS.get(d, (d,))), PARTS
+)
+add("val_empty_mandatory", lambda p: graph.empty_mandatory(gates.load_counts(p.datasets), ("23_transaction_used_device", "24_transaction_from_ip")), "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*) AS rows FROM d{d}" for d in DATASETS[:22]) + ") WHERE rows=0")
+
+
+def _same(spark: SparkSession, sf_dir: str) -> DataFrame:
+    one, two = (mul.distributions(mul.typed_tables(temporal_raw(spark, sf_dir, b))["Account"]) for b in (False, True))
+    return graph.same_distribution(one, two)
+
+
+QUERIES["val_same_distribution"] = _same
