@@ -29,7 +29,7 @@ ORACLE_SQL: dict[str, str] = {}
 def prepared(spark: SparkSession, sf_dir: str, change=None) -> CardFraud:
     src = projection.sources(spark, sf_dir)
     check_tables(src)
-    return CardFraud(change(src) if change else src, POLICY)
+    return CardFraud(change(src) if change else src, POLICY, keep=True)
 
 
 def add(name: str, frame: Callable[[CardFraud], DataFrame], sql: str | None = None, change=None, parts: dict[str, str] | None = None) -> None:
