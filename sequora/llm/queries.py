@@ -13,7 +13,7 @@ from sequora.llm.line_dedup import OP7_SQL, op7_line_dedup
 from sequora.llm.packing import op6_packing
 from sequora.llm.token_files import op2_token_files
 from sequora.llm.toxicity import op8_toxicity
-from sequora.llm.vectors import op1_near_duplicates, op9_top_k
+from sequora.llm.vectors import OP1_SQL, OP9_SQL, op1_near_duplicates, op9_top_k
 
 
 def _query(f):
@@ -27,4 +27,4 @@ def _query(f):
 
 QUERIES = {f.__name__: _query(f) for f in (op1_near_duplicates, op2_token_files, op3_jaccard_join, op4_bpe, op5_language_model, op6_packing, op7_line_dedup, op8_toxicity, op9_top_k, op10_html_text)}
 
-ORACLE_SQL: dict[str, str] = {"op7_line_dedup": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_near_duplicates": OP1_SQL, "op7_line_dedup": OP7_SQL, "op9_top_k": OP9_SQL}

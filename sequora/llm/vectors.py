@@ -352,3 +352,20 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
     return found.select("query_id", "rank", "vec_id", "score")
+
+
+USABLE_SQL = "vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0"
+DOT_SQL = "list_sum(list_transform(range(1, len(a.e) + 1), lambda i: a.e[i] * b.e[i]))"
+OP1_SQL = f"""
+WITH RECURSIVE v AS (SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE {USABLE_SQL})),
+link AS MATERIALIZED (SELECT a.vec_id AS one, b.vec_id AS two FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND a.n > 0 AND b.n > 0 WHERE {DOT_SQL} / (a.n * b.n) >= 0.95),
+reach(one, two) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.one, l.two FROM reach r JOIN link l ON r.two = l.one)
+SELECT vec_id, n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM (
+  SELECT t.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, coalesce(r.least, t.vec_id) AS component_id FROM embeddings t
+  LEFT JOIN (SELECT one, count(*) AS n FROM link GROUP BY 1) c ON c.one = t.vec_id LEFT JOIN (SELECT one, min(two) AS least FROM reach GROUP BY 1) r ON r.one = t.vec_id)
+"""
+OP9_SQL = f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings WHERE {USABLE_SQL}),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, {DOT_SQL}::BIGINT AS score FROM v a JOIN v b ON a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id AND len(a.e) = len(b.e))
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
