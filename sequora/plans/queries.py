@@ -270,10 +270,6 @@ def add_temporal(name: str, frame: Callable[[dict[str, DataFrame]], DataFrame],
         ORACLE_SQL[name] = compose(sql, T_BROKEN if broken else T_CLEAN)
 
 
-def _of(*names: str) -> str:
-    return tsql.rows({k: CHECKS[k] for k in CHECKS if k.split(":")[0] in names and ("role" not in k and "binding" not in k)})
-
-
 ENTITIES, EVENTS = [d.name for d in TEMPORAL if d.kind == "entity"], [d.name for d in TEMPORAL if d.kind == "event"]
 TENURES, PARTS_OF = [d.name for d in TEMPORAL if d.kind == "association"], [d.name for d in TEMPORAL if d.kind == "participation"]
 
