@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -31,14 +32,18 @@ class Merges:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.tokens = {r: t for t, r in self.ranks.items()}
         if any(bytes([b]) not in self.ranks for b in range(256)):
             raise ValueError("a byte has no rank")
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        pairs = [(self.ranks[a] << 32 | self.ranks[b], r) for t, r in self.ranks.items() for k in range(1, len(t)) if (a := t[:k]) in self.ranks and (b := t[k:]) in self.ranks]
-        pairs.sort()
-        self.keys = np.array([k for k, _ in pairs] or [-1], np.int64)
-        self.values = np.array([r for _, r in pairs] or [NONE], np.int32)
+        keys, values = array("q"), array("i")
+        for t, r in self.ranks.items():
+            for k in range(1, len(t)):
+                if (a := self.ranks.get(t[:k])) is not None and (b := self.ranks.get(t[k:])) is not None:
+                    keys.append(a << 32 | b)
+                    values.append(r)
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys = np.array(keys, np.int64)[order] if keys else np.array([-1])
+        self.values = np.array(values, np.int32)[order] if keys else np.array([NONE])
 
     def pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) << 32 | b
@@ -152,10 +157,10 @@ def _coder(path: str, pattern: str) -> tuple[Merges, ChunkIds]:
         ids = dict(zip(words, merges.replay([w.encode("utf8") for w in words]), strict=True))
         return [b"".join([ids[w] for w in p]) for p in pieces]
 
-    return merges, ChunkIds(many)
+    return merges, ChunkIds(many, keep=250_000)
 
 
-def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 24 << 20) -> DataFrame:
+def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:
     """Ids of each text: id_col, n_tokens, ids (binary, little-endian unsigned 32 bit).
 
     `ranks` is a file of base64 tokens and ranks, `pattern` cuts texts into words, as the tiktoken
