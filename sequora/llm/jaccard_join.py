@@ -182,13 +182,17 @@ class BucketScan:
 
 
 def _describe(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: float, runs: int, depth: int) -> DataFrame:
-    """For each row: id, key (of the set; null if it is empty), node, size, sketch, and paths by level."""
+    """For each row: id, key (of the set; null if it is empty), node, size, sketch, and paths by level.
+
+    Copies have the same paths; a task gives them with the first copy that it meets.
+    """
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     pair = pa.struct([("parent", pa.int32()), ("path", pa.int64())])
     levels = "".join(f", l{d} array<struct<parent: int, path: long>>" for d in range(depth))
 
     def task(batches):
+        met: set[bytes] = set()
         for b in slices(batches):
             keys, nodes, sizes, bits, paths = [], [], [], [], [[] for _ in range(depth)]
             for s in shingle_sets(b.column(1).to_pylist(), width):
@@ -196,8 +200,10 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, width: int, threshold
                 keys.append(digest.hex() if len(s) else None)
                 nodes.append(int.from_bytes(digest[:8], "little", signed=True))
                 sizes.append(len(s))
-                bits.append(sketch(s))
-                for d, level in enumerate(chosen_paths(s, threshold, runs, depth) if len(s) else [[]] * depth):
+                first = len(s) > 0 and digest not in met
+                met.add(digest)
+                bits.append(sketch(s) if first else b"")
+                for d, level in enumerate(chosen_paths(s, threshold, runs, depth) if first else [[]] * depth):
                     paths[d].append([{"parent": p, "path": q} for p, q in level])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(keys, pa.string()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), *[pa.array(x, pa.list_(pair)) for x in paths]],
