@@ -121,6 +121,29 @@ def test_noise_contrast_learns_the_order(spark):
     assert model.log10(context, word).mean() > before + 0.3 and rng is not None
 
 
+def test_language_model_predicts_words_that_are_not_frequent(spark):
+    rng = random.Random(12)
+    rows = []
+    for k in range(2000):
+        at = rng.randrange(200)
+        rows.append((k, " ".join(f"w{(at + j) % 200}" for j in range(100))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = language_model.score(docs, F.col("doc_id") % 7 == 2, words=3, dims=16).where("held_out").agg((F.sum("score") / F.sum("n_tokens")).alias("model"), (F.sum("base_score") / F.sum("n_tokens")).alias("base")).first()
+    assert got["model"] > got["base"] + 0.1
+
+
+def test_language_model_words_of_a_class_add_up(spark):
+    rng = np.random.default_rng(3)
+    within = language_model.Within(np.array([9, 4, 1, 1]), 4)
+    hat = rng.standard_normal((500, 4)).astype(np.float32)
+    within.train(hat, rng.integers(0, 4, 500))
+    assert within.q.any()
+    assert math.isclose((10 ** within.log10(np.repeat(hat[:1], 4, 0), np.arange(4))).sum(), 1, rel_tol=1e-5)
+    counts = language_model.Counts(0, 0, 0, {b"a": 3}, np.zeros(0), np.array([1, 0]), 3)
+    places = [tuple(map(int, x)) for bucket in (0, 1) for x in zip(*counts.split(bucket, np.arange(int(counts.own[bucket]), 20)))]
+    assert len(set(places)) == 39 and {c for c, _ in places} == set(range(4, 10))
+
+
 def test_language_model_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert language_model.score(docs, F.lit(False)).count() == 0
