@@ -149,6 +149,16 @@ def _seeds(p: CardFraud) -> DataFrame:
 
 add("rel_visible_tenures", lambda p: relations.visible_tenures(p.account_has_card, _seeds(p), "account_id"), f"SELECT q.account_id, seed_seq, card_id, valid_from_seq, valid_to_seq FROM {SEEDS} q JOIN account_has_card t ON t.account_id=q.account_id AND valid_from_seq<=seed_seq AND (valid_to_seq=0 OR seed_seq<valid_to_seq)")
 add("rel_visible_events", lambda p: relations.visible_events(p.manifest.select("account_id", "transaction_id", "event_seq"), _seeds(p), "account_id").groupBy("account_id", "seed_seq").agg(F.count("*").alias("events"), F.max("event_seq").alias("latest")), f"SELECT q.account_id, seed_seq, count(*) AS events, max(event_seq) AS latest FROM {SEEDS} q JOIN manifest m ON m.account_id=q.account_id AND event_seq<seed_seq GROUP BY 1,2")
+# the same at every payment
+EVERY_SEED = "(SELECT account_id, event_seq+5 AS seed_seq FROM manifest)"
+
+
+def _every_seed(p: CardFraud) -> DataFrame:
+    return p.manifest.select("account_id", (F.col("event_seq") + 5).alias("seed_seq"))
+
+
+add("rel_visible_tenures_every_seed", lambda p: relations.visible_tenures(p.account_has_card, _every_seed(p), "account_id"), f"SELECT q.account_id, seed_seq, card_id, valid_from_seq, valid_to_seq FROM {EVERY_SEED} q JOIN account_has_card t ON t.account_id=q.account_id AND valid_from_seq<=seed_seq AND (valid_to_seq=0 OR seed_seq<valid_to_seq)")
+add("rel_visible_events_every_seed", lambda p: relations.visible_events(p.manifest.select("account_id", "transaction_id", "event_seq"), _every_seed(p), "account_id").groupBy("account_id", "seed_seq").agg(F.count("*").alias("events"), F.max("event_seq").alias("latest")), f"SELECT q.account_id, seed_seq, count(*) AS events, max(event_seq) AS latest FROM {EVERY_SEED} q JOIN manifest m ON m.account_id=q.account_id AND event_seq<seed_seq GROUP BY 1,2")
 add("rel_visible_entities", lambda p: relations.visible_entities(p.accounts.select("account_id", "first_seen_event_seq"), p.manifest.select("account_id", F.col("event_seq").alias("seed_seq")), "account_id"), "SELECT m.account_id, event_seq AS seed_seq, first_seen_event_seq FROM manifest m JOIN accounts a ON a.account_id=m.account_id AND first_seen_event_seq<=event_seq")
 add("rel_instrument_in_force", lambda p: p.in_force, "SELECT * FROM in_force")
 add("rel_reverse", lambda p: relations.reverse(p.datasets["12_party_owns_account"], "party_id", "account_id"), "SELECT account_id AS party_id, party_id AS account_id, valid_from_seq, valid_to_seq, confidence, source_system FROM d12_party_owns_account")

@@ -67,3 +67,12 @@ def test_plans_have_no_python_and_no_global_sort(spark):
     for name in ("seq_event_sequence", "txn_manifest"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "ArrowEval" not in plan
+
+
+@pytest.mark.parametrize("name", ("rel_visible_tenures_every_seed", "rel_visible_events_every_seed"))
+def test_every_payment_is_a_seed(spark, duck, name):
+    from sequora.plans.queries import QUERIES
+
+    test_query_equals_its_sql(spark, duck, name)
+    rest = {r[0] % 10 for r in QUERIES[name](spark, SF).select("seed_seq").distinct().collect()}
+    assert rest == set(range(10))
