@@ -327,21 +327,24 @@ def _export(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, CardFraud
     from sequora.operators import export
 
     p, folder = prepared(spark, sf_dir), _folder(spark)
-    out = export.export({d: p.datasets[d] for d in EXPORTED}, folder, gates.union([gates.as_gates(gates.geography_report(p), "merchants_with_partial_geography")]), gates.require)
+    counts = {r["dataset"]: r["rows"] for r in gates.load_counts(p.datasets).collect()}
+    out = export.export(p.datasets, folder, gates.gates(p), gates.require, counts)
     return folder, out, p
 
 
-QUERIES["out_export_manifest"] = lambda spark, sf_dir: _export(spark, sf_dir)[1].groupBy("dataset").agg(F.sum("rows").alias("rows"))
+QUERIES["out_export_manifest"] = lambda spark, sf_dir: _export(spark, sf_dir)[1].where(F.col("dataset").isin(*EXPORTED)).groupBy("dataset").agg(F.sum("rows").alias("rows"))
 ORACLE_SQL["out_export_manifest"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS rows FROM d{d}" for d in EXPORTED), PARTS)
 
 
 def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sequora.operators import export
 
-    return export.verify(spark, _export(spark, sf_dir)[0], list(EXPORTED))
+    return export.verify(spark, _export(spark, sf_dir)[0], DATASETS)
 
 
 QUERIES["out_export_verified"] = _verified
+QUERIES["out_export_manifest_whole"] = lambda spark, sf_dir: _export(spark, sf_dir)[1].groupBy("dataset").agg(F.sum("rows").alias("rows"))
+ORACLE_SQL["out_export_manifest_whole"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS rows FROM d{d}" for d in DATASETS), PARTS)
 ORACLE_SQL["out_export_verified"] = "SELECT '' AS dataset, '' AS file, '' AS fault WHERE false"
 
 
@@ -354,16 +357,20 @@ def _psv(p: CardFraud) -> DataFrame:
 add("out_psv_rows", _psv, "SELECT account_id||'|'||card_id||'|'||valid_from_seq||'|'||valid_to_seq||'|1|synthetic' AS value FROM d13_account_has_card")
 
 
-def _against_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _against_manifest(spark: SparkSession, sf_dir: str, names=EXPORTED) -> DataFrame:
     _, stated, p = _export(spark, sf_dir)
-    found = gates.union([gates.rows_of(df, "rows").select(F.lit(n).alias("object"), "rows") for n, df in ({d: p.datasets[d] for d in EXPORTED[:2]} | p.fan_out).items()])
-    return graph.expected_and_found(stated, found)
+    found = gates.union([gates.rows_of(df, "rows").select(F.lit(n).alias("object"), "rows") for n, df in ({d: p.datasets[d] for d in names if d not in graph.OBJECTS} | p.fan_out).items()])
+    return graph.expected_and_found(stated.where(F.col("dataset").isin(*names)), found)
 
 
 QUERIES["val_against_manifest"] = _against_manifest
 ORACLE_SQL["val_against_manifest"] = compose(
     " UNION ALL ".join(f"SELECT '{o}' AS object, {n_of('d' + d)} AS expected, {n_of('d' + d) if o != 'At_Location' else where('d22_transactions', 'location_id<>' + chr(39) * 2)} AS found, true AS fits" for d in EXPORTED for o in graph.OBJECTS.get(d, (d,))), PARTS
 )
+QUERIES["val_against_manifest_whole"] = lambda spark, sf_dir: _against_manifest(spark, sf_dir, DATASETS)
+ORACLE_SQL["val_against_manifest_whole"] = compose(
+    " UNION ALL ".join(f"SELECT '{o}' AS object, {n_of('d' + d)} AS expected, {n_of('d' + d) if o != 'At_Location' else where('d22_transactions', 'location_id<>' + chr(39) * 2)} AS found, true AS fits" for d in DATASETS for o in graph.OBJECTS.get(d, (d,))), PARTS
+)
 add("val_empty_mandatory", lambda p: graph.empty_mandatory(gates.load_counts(p.datasets), ("23_transaction_used_device", "24_transaction_from_ip")), "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*) AS rows FROM d{d}" for d in DATASETS[:22]) + ") WHERE rows=0")
 
 

@@ -76,3 +76,7 @@ def test_every_payment_is_a_seed(spark, duck, name):
     test_query_equals_its_sql(spark, duck, name)
     rest = {r[0] % 10 for r in QUERIES[name](spark, SF).select("seed_seq").distinct().collect()}
     assert rest == set(range(10))
+
+
+def test_export_is_whole(spark, duck):
+    test_query_equals_its_sql(spark, duck, "out_export_manifest_whole")
