@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sequora.llm.common import partitions, slices, stage, table, text_of
+from sequora.llm.common import gathered, new_path, partitions, slices, stage, table, text_of
 from sequora.llm.components import connected_components
 
 SKETCH_BITS = 128
@@ -48,38 +49,40 @@ def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
     return out
 
 
-def runs_needed(recall: float, depth: int) -> int:
-    """Runs after which a pair at the threshold has met in a bucket of that depth with this probability."""
-    p = 1.0
-    for _ in range(depth):
-        p = 1 - math.exp(-p)
+def survival(spread: float) -> float:
+    """Chance that a branching process with Poisson(spread) children never dies out."""
+    s = 1.0
+    for _ in range(200):
+        s = 1 - math.exp(-spread * s)
+    return s
+
+
+def runs_needed(recall: float, spread: float) -> int:
+    """Runs after which a pair at the threshold has met in a small bucket with this probability, however deep that lies.
+
+    A run's first level gives such a pair one shared path on average, every further level `spread`.
+    """
+    p = 1 - math.exp(-survival(spread))
     return math.ceil(math.log(1 - recall) / math.log(1 - p))
 
 
-def chosen_paths(s: np.ndarray, threshold: float, runs: int, depth: int) -> list[list[tuple[int, int]]]:
-    """For each level, pairs of parent (its upper 32 bits) and path, both as signed numbers.
+def chosen_paths(s: np.ndarray, nodes: np.ndarray, share: float) -> np.ndarray:
+    """The paths on which a set goes on below any of `nodes`.
 
-    In each node a shingle is taken if its hash there lies below 1/(threshold * size): of two sets
-    that reach the threshold, one shared shingle or more is expected to be taken by both.
+    A shingle is taken if its hash in the node lies below 1/(share * size): of two sets that have
+    this share of their shingles in common, one common shingle is expected to be taken.
     """
-    limit = np.uint64(min(2**64 - 1, int(2**64 / (threshold * max(1, len(s))))))
-    nodes, out = seeds(runs, 1), []
+    limit = np.uint64(min(2**64 - 1, int(2**64 / (share * max(1, len(s))))))
+    found, mixed = [nodes[:0]], mix(s)
     step = max(1, (1 << 22) // max(1, len(s)))
-    for _ in range(depth):
-        level, found = [], []
-        for at in range(0, len(nodes), step):
-            part = nodes[at : at + step]
-            hashed = mix(s)[None, :] * part[:, None]  # multiply-shift: the upper bits decide
-            k, j = np.nonzero(hashed < limit)
-            paths = mix(part[k] ^ s[j] * MIX)
-            level += zip((part[k] >> np.uint64(32)).astype(np.uint32).view(np.int32).tolist(), paths.view(np.int64).tolist(), strict=True)
-            found.append(paths)
-        out.append(level)
-        nodes = (np.concatenate(found) if found else nodes[:0]) | np.uint64(1)
-    return out
+    for at in range(0, len(nodes), step):
+        part = nodes[at : at + step]
+        k, j = np.nonzero(mixed[None, :] * (part | np.uint64(1))[:, None] < limit)  # multiply-shift: the upper bits decide
+        found.append(mix(part[k] ^ s[j] * MIX))
+    return np.concatenate(found)
 
 
-def sketch(s: np.ndarray) -> bytes:
+def sketch(s: np.ndarray) -> np.ndarray:
     """One bit of the least hash under each of SKETCH_BITS functions; two bits agree as often as (1 + Jaccard) / 2."""
     bits = np.zeros(SKETCH_BITS, np.uint8)
     functions, step = seeds(SKETCH_BITS, 2), max(1, (1 << 20) // max(1, len(s)))
@@ -87,161 +90,309 @@ def sketch(s: np.ndarray) -> bytes:
         m = mix(s ^ MIX)
         for at in range(0, SKETCH_BITS, step):
             bits[at : at + step] = mix((m[None, :] * functions[at : at + step, None]).min(1)).astype(np.uint64) & np.uint64(1)
-    return np.packbits(bits).tobytes()
+    return np.packbits(bits).view(np.int64)
 
 
-class BucketScan:
-    """Goes through rows sorted by path, a batch at a time, and links similar sets of each bucket.
+def far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Hamming distances of sketches, whose words lie in the last axis."""
+    return np.bitwise_count((x ^ y).view(np.uint64)).sum(-1, dtype=np.int32)  # of a signed word the sign would not count
 
-    A bucket of up to `limit` sets is compared in full. A larger one is reported for splitting, or
-    on the last level compared by leaders: a set joins every leader whose sketch is within
-    `near + slack` of it, and becomes one if none is within `slack / 2`. The Hamming distance obeys
-    the triangle inequality, so sets within `near` of each other are connected in any case.
-    """
 
-    def __init__(self, limit: int, last: bool, near: int, slack: int = 12):
-        self.limit, self.last, self.near, self.slack = limit, last, near, slack
-        self.held: list[tuple] = []
-        self.hot_path = None
-
-    def batch(self, path, node, bits):
-        """Edges (a, b) and hot paths that are certain after this batch; the last bucket is kept back."""
-        if self.held:
-            p0, n0, b0 = self.held.pop()
-            path, node, bits = np.concatenate([p0, path]), np.concatenate([n0, node]), np.concatenate([b0, bits])
-        keep = np.flatnonzero(path != path[-1])
-        cut = keep[-1] + 1 if len(keep) else 0
-        tail = (path[cut:], node[cut:], bits[cut:])
-        edges, hot = self._closed(path[:cut], node[:cut], bits[:cut])
-        if not self.last and len(tail[0]) > 2 * self.limit:  # enough to know: its rows needn't be kept
-            tail = tuple(x[: 2 * self.limit] for x in tail)
-        self.held.append(tail)
-        return edges, hot
+def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n points the least point that the edges (a, b) connect it with."""
+    label = np.arange(n)
+    while len(a):
+        low, before = np.minimum(label[a], label[b]), label.copy()
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        label = label[label]
+        if (label == before).all():
+            break
+    return label
 
-    def end(self):
-        return self._closed(*self.held.pop()) if self.held else ([], [])
 
-    def _closed(self, path, node, bits):
+COLD, HOT, LEADERS = 0, 1, 2  # rows of buckets
+EDGE, ON = 0, 1  # what buckets give: an edge (a, b) of nodes, or a path a below which node b goes on
+BUCKET_ROW = "kind int, path long, salt int, node long, b0 long, b1 long, packed binary"
+PACKED = np.dtype([("node", "<i8"), ("bits", "<i8", (2,))])
+GATHER = 1 << 20
+
+
+@dataclass(frozen=True)
+class Rules:
+    """limit: sets of a cold part; near: distance of candidates; absorb: distance at which a leader stands for a set."""
+
+    limit: int
+    leaders: int
+    near: int
+    absorb: int
+    last: bool
+
+    @property
+    def reach(self) -> int:
+        return self.near if self.last else self.near + self.absorb
+
+
+class Sift:
+    """Tells hot parts of buckets from cold ones, in rows sorted by path, salt and node, a batch at a time.
+
+    A part is what a bucket (path) has of one salt. It is hot if it has more than `limit` sets; some
+    of its sets, none within `absorb` of another, are then packed as leaders. On the last level every
+    part is hot and all of its sets are leaders. A hot part's rows are passed on as they come.
+    """
+
+    def __init__(self, rules: Rules):
+        self.rules, self.held, self.open = rules, None, None  # open: path, salt and last node of a hot part
+
+    def batch(self, path, salt, node, bits):
+        if self.held is not None:
+            path, salt, node, bits = (np.concatenate(x) for x in zip(self.held, (path, salt, node, bits), strict=True))
+        before = self.open or (None, None, None)
+        same = np.r_[before == (path[0], salt[0], node[0]), (path[1:] == path[:-1]) & (salt[1:] == salt[:-1]) & (node[1:] == node[:-1])]
+        path, salt, node, bits = path[~same], salt[~same], node[~same], bits[~same]  # copies have the same node
         if not len(path):
-            return [], []
-        first = np.flatnonzero(np.r_[True, path[1:] != path[:-1]])
+            self.held = None
+            return None
+        first = np.flatnonzero(np.r_[True, (path[1:] != path[:-1]) | (salt[1:] != salt[:-1])])
         size = np.diff(np.r_[first, len(path)])
-        big = size > self.limit
-        hot = path[first[big]].tolist()
-        edges = []
-        if self.last:
-            for f, n in zip(first[big].tolist(), size[big].tolist(), strict=True):
-                edges += self._by_leaders(node[f : f + n], bits[f : f + n])
-            hot = []
-        small = np.repeat(~big, size)
-        path, node, bits = path[small], node[small], bits[small]
-        label, left, right = np.arange(len(path)), [], []
-        for d in range(1, self.limit):
-            same = np.flatnonzero(path[d:] == path[:-d])
-            if not len(same):
-                break
-            far = np.bitwise_count(bits[same] ^ bits[same + d]).sum(1)
-            same = same[far <= self.near]
-            left.append(same)
-            right.append(same + d)
-        if left:
-            a, b = np.concatenate(left), np.concatenate(right)
-            while len(a):
-                low = np.minimum(label[a], label[b])
-                before = label.copy()
-                np.minimum.at(label, a, low)
-                np.minimum.at(label, b, low)
-                label = label[label]
-                if (before == label).all():
-                    break
-            moved = np.flatnonzero(label != np.arange(len(label)))
-            edges += zip(node[moved].tolist(), node[label[moved]].tolist(), strict=True)
-        return edges, hot
-
-    def _by_leaders(self, node, bits):
-        """Edges that join what was apart before: one fewer than sets at most."""
-        edges, leaders, parent = [], np.zeros(len(node), np.int64), list(range(len(node)))
-
-        def root(k):
-            while parent[k] != k:
-                parent[k] = k = parent[parent[k]]
-            return k
-
-        n = 0
-        for k in range(len(node)):
-            far = np.bitwise_count(bits[leaders[:n]] ^ bits[k]).sum(1)
-            for c in leaders[:n][far <= self.near + self.slack].tolist():
-                a, b = root(c), root(k)
-                if a != b:
-                    parent[b] = a
-                    edges.append((int(node[c]), int(node[k])))
-            if not (far <= self.slack // 2).any():
-                leaders[n] = k
-                n += 1
-        return edges
-
-
-def _describe(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: float, runs: int, depth: int) -> DataFrame:
-    """For each row: id, key (of the set; null if it is empty), node, size, sketch, and paths by level.
-
-    Copies have the same paths; a task gives them with the first copy that it meets.
+        hot = size > (-1 if self.rules.last else self.rules.limit)
+        goes_on = before[:2] == (path[0], salt[0])
+        hot[0] |= goes_on
+        new = np.flatnonzero(hot)
+        if goes_on and not self.rules.last:
+            new = new[new > 0]
+        packed = [(path[f], salt[f], self._pack(node[f : f + n], bits[f : f + n])) for f, n in zip(first[new].tolist(), size[new].tolist(), strict=True)]
+        cut = len(path)
+        self.open = (path[-1], salt[-1], node[-1]) if hot[-1] else None
+        self.held = None
+        if not hot[-1]:
+            cut = first[-1]
+            self.held = (path[cut:], salt[cut:], node[cut:], bits[cut:])
+        kind = np.where(np.repeat(hot, size), HOT, COLD)[:cut]
+        return self._rows(kind, path[:cut], salt[:cut], node[:cut], bits[:cut], packed)
+
+    def end(self):
+        return self._rows(np.full(len(self.held[0]), COLD), *self.held, []) if self.held is not None else None
+
+    def _pack(self, node, bits) -> bytes:
+        if not self.rules.last:
+            chosen = []
+            for k in range(min(len(node), 256)):
+                if len(chosen) < self.rules.leaders and (far(bits[chosen], bits[k]) > self.rules.absorb).all():
+                    chosen.append(k)
+            node, bits = node[chosen], bits[chosen]
+        out = np.empty(len(node), PACKED)
+        out["node"], out["bits"] = node, bits
+        return out.tobytes()
+
+    @staticmethod
+    def _rows(kind, path, salt, node, bits, packed) -> pa.RecordBatch:
+        m = len(packed)
+        ints = lambda x, more, t: pa.array(np.r_[x, np.array(more, x.dtype)], t)
+        zero = [0] * m
+        return pa.RecordBatch.from_arrays(
+            [ints(kind, [LEADERS] * m, pa.int32()), ints(path, [p[0] for p in packed], pa.int64()), ints(salt, [p[1] for p in packed], pa.int32()), ints(node, zero, pa.int64()), ints(bits[:, 0], zero, pa.int64()), ints(bits[:, 1], zero, pa.int64()), pa.concat_arrays([pa.nulls(len(kind), pa.binary()), pa.array([p[2] for p in packed], pa.binary())])],
+            names=["kind", "path", "salt", "node", "b0", "b1", "packed"],
+        )
+
+
+def columns_of(b: pa.RecordBatch, *names: str) -> list[np.ndarray]:
+    return [b.column(b.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names]
+
+
+def bits_of(b: pa.RecordBatch) -> np.ndarray:
+    return np.stack(columns_of(b, "b0", "b1"), 1)
+
+
+def found_rows(kind: int, a, b) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([kind] * len(a), pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["kind", "a", "b"])
+
+
+def compare_cold(b: pa.RecordBatch, rules: Rules):
+    """Compare the sets of each bucket in full; in buckets with hot parts also with the leaders, and send them on."""
+    kind, path, node = columns_of(b, "kind", "path", "node")
+    bits = bits_of(b)
+    leading = np.flatnonzero(kind == LEADERS)
+    packed = b.column(b.schema.get_field_index("packed"))
+    for p in np.unique(path[leading]).tolist():
+        leaders = [np.frombuffer(packed[k].as_py(), PACKED) for k in leading[path[leading] == p].tolist()]
+        own = np.flatnonzero((path == p) & (kind == COLD))
+        if len(own):
+            yield from compare_with_leaders(p, node[own], bits[own], Leaders(leaders), rules)
+    cold = kind == COLD
+    path, node, bits = path[cold], node[cold], bits[cold]
+    left, right, d = [], [], 1
+    while len(same := np.flatnonzero(path[d:] == path[:-d])):
+        same = same[far(bits[same], bits[same + d]) <= rules.near]
+        left.append(same)
+        right.append(same + d)
+        d += 1
+    if left:
+        label = least_labels(len(path), np.concatenate(left), np.concatenate(right))
+        moved = np.flatnonzero(label != np.arange(len(label)))
+        yield found_rows(EDGE, node[moved], node[label[moved]])
+
+
+class Leaders:
+    """The leaders of a bucket, and which of them have been connected."""
+
+    def __init__(self, parts: list[np.ndarray]):
+        every = np.concatenate(parts)
+        self.node, self.bits, self.label = every["node"], every["bits"], np.arange(len(every))
+
+
+def compare_with_leaders(path: int, node, bits, leaders: Leaders, rules: Rules):
+    """Edges to the leaders within reach; sets that no leader stands for go on.
+
+    If x is within `absorb` of a leader and y within `near` of x, the leader is within `reach` of y: so
+    x needs no further comparison.
+    """
+    step = max(1, (1 << 20) // len(leaders.node))
+    for at in range(0, len(node), step):
+        n, b = node[at : at + step], bits[at : at + step]
+        distance = far(b[:, None, :], leaders.bits[None, :, :])
+        close = (distance <= rules.reach) & (n[:, None] != leaders.node[None, :])
+        row, column = np.nonzero(close)
+        if len(row):
+            some = np.r_[True, row[1:] != row[:-1]]
+            yield found_rows(EDGE, n[row[some]], leaders.node[column[some]])
+            met = np.unique(column[some][np.cumsum(some) - 1] * len(leaders.node) + column)
+            a, c = np.r_[met // len(leaders.node), np.arange(len(leaders.label))], np.r_[met % len(leaders.node), leaders.label]
+            label = least_labels(len(leaders.label), a, c)
+            moved = np.flatnonzero(label != leaders.label)
+            leaders.label = label
+            yield found_rows(EDGE, leaders.node[moved], leaders.node[label[moved]])
+        if not rules.last:
+            stay = np.flatnonzero(distance.min(1) > rules.absorb)
+            yield found_rows(ON, np.full(len(stay), path), n[stay])
+
+
+def compare_hot(batches, rules: Rules):
+    """Rows sorted by path, salt and falling kind: compare each hot part's sets with all leaders of the bucket."""
+    of, parts, leaders = None, [], None
+    for b in gathered(batches, GATHER):
+        kind, path, salt, node = columns_of(b, "kind", "path", "salt", "node")
+        bits, packed = bits_of(b), b.column(b.schema.get_field_index("packed"))
+        first = np.flatnonzero(np.r_[True, (path[1:] != path[:-1]) | (salt[1:] != salt[:-1])])
+        for f, e in zip(first.tolist(), np.r_[first[1:], len(path)].tolist(), strict=True):
+            if of != (path[f], salt[f]):
+                of, parts, leaders = (path[f], salt[f]), [], None
+            h = f + int((kind[f:e] == LEADERS).sum())
+            parts += [np.frombuffer(packed[k].as_py(), PACKED) for k in range(f, h)]
+            if h < e:
+                leaders = leaders or Leaders(parts)
+                yield from compare_with_leaders(int(path[f]), node[h:e], bits[h:e], leaders, rules)
+
+
+def whole_buckets(batches):
+    """Record batches of about GATHER bytes at least that don't cut a bucket; rows are sorted by path."""
+    held = None
+    for b in gathered(batches, GATHER):
+        if held is not None:
+            b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+        path = b.column(b.schema.get_field_index("path")).to_numpy()
+        cut = len(path) - int((path == path[-1]).sum())
+        held = b.slice(cut)
+        if cut:
+            yield b.slice(0, cut)
+    if held is not None:
+        yield held
+
+
+def _describe(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: float, runs: int) -> DataFrame:
+    """For each row with an id: id, mark (md5 of the text), key and node (of the set; key null if it is empty), and the set, its sketch and first paths.
+
+    Copies have the same set; a task gives it with the first copy that it meets.
     """
-    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    text = text_of(text_col)
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.md5(text).alias("mark"), text.alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    pair = pa.struct([("parent", pa.int32()), ("path", pa.int64())])
-    levels = "".join(f", l{d} array<struct<parent: int, path: long>>" for d in range(depth))
 
     def task(batches):
         met: set[bytes] = set()
-        for b in slices(batches):
-            keys, nodes, sizes, bits, paths = [], [], [], [], [[] for _ in range(depth)]
-            for s in shingle_sets(b.column(1).to_pylist(), width):
-                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
+        roots = seeds(runs, 1)
+        for b in slices(batches, 2):
+            keys, nodes, sets, bits, paths = [], [], [], [], []
+            for s in shingle_sets(b.column(2).to_pylist(), width):
+                data = s.tobytes()
+                digest = hashlib.blake2b(data, digest_size=16).digest()
                 keys.append(digest.hex() if len(s) else None)
                 nodes.append(int.from_bytes(digest[:8], "little", signed=True))
-                sizes.append(len(s))
                 first = len(s) > 0 and digest not in met
                 met.add(digest)
-                bits.append(sketch(s) if first else b"")
-                for d, level in enumerate(chosen_paths(s, threshold, runs, depth) if first else [[]] * depth):
-                    paths[d].append([{"parent": p, "path": q} for p, q in level])
+                sets.append(data if first else None)
+                bits.append(sketch(s) if first else (0, 0))
+                paths.append(chosen_paths(s, roots, threshold).view(np.int64) if first else np.zeros(0, np.int64))
+            bits = np.array(bits, np.int64).reshape(-1, 2)
+            offsets = pa.array(np.cumsum([0, *map(len, paths)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(keys, pa.string()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(bits, pa.binary()), *[pa.array(x, pa.list_(pair)) for x in paths]],
-                names=["id", "key", "node", "size", "bits", *[f"l{d}" for d in range(depth)]],
+                [b.column(0), b.column(1), pa.array(keys, pa.string()), pa.array(nodes, pa.int64()), pa.array(sets, pa.binary()), pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(paths)))],
+                names=["id", "mark", "key", "node", "set", "b0", "b1", "paths"],
             )
 
-    return rows.mapInArrow(task, f"id {kind}, key string, node long, size int, bits binary{levels}")
-
-
-def _scan(rows: DataFrame, limit: int, last: bool, near: int) -> DataFrame:
-    """Edges and hot paths (hot: a is the path, b null) of rows (path, node, bits)."""
+    return rows.mapInArrow(task, f"id {kind}, mark string, key string, node long, set binary, b0 long, b1 long, paths array<long>")
 
-    def task(batches):
-        scan = BucketScan(limit, last, near)
-        out = lambda edges, hot: pa.RecordBatch.from_arrays([pa.array([a for a, _ in edges] + hot, pa.int64()), pa.array([b for _, b in edges] + [None] * len(hot), pa.int64())], names=["a", "b"])
-        for b in batches:
-            if b.num_rows:
-                bits = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(b.num_rows, -1)
-                yield out(*scan.batch(b.column(0).to_numpy(), b.column(1).to_numpy(), bits))
-        yield out(*scan.end())
 
-    n = partitions(rows.sparkSession)
-    return rows.repartition(n, "path").sortWithinPartitions("path", "node").mapInArrow(task, "a long, b long")
+def _buckets(rows: DataFrame, rules: Rules, salts: int) -> DataFrame:
+    """What the buckets of rows (path, node, b0, b1) give, staged: kind, a, b.
 
-
-def _candidates(described: DataFrame, depth: int, limit: int, near: int) -> DataFrame:
+    Buckets are dealt to tasks by path and salt first. What is left in parts of up to `limit` sets meets
+    by path; hot parts stay apart, and the leaders of the whole bucket come to each of them.
+    """
+    spark, n = rows.sparkSession, partitions(rows.sparkSession)
+
+    def sift(batches):
+        own = Sift(rules)
+        for b in gathered(batches, GATHER):
+            out = own.batch(*columns_of(b, "path", "salt", "node"), bits_of(b))
+            if out is not None:
+                yield out
+        if (out := own.end()) is not None:
+            yield out
+
+    def cold(batches):
+        for b in whole_buckets(batches):
+            yield from compare_cold(b, rules)
+
+    def hot(batches):
+        yield from compare_hot(batches, rules)
+
+    dealt = rows.select("path", F.pmod("node", F.lit(salts)).cast("int").alias("salt"), "node", "b0", "b1").repartition(n, "path", "salt").sortWithinPartitions("path", "salt", "node")
+    sifted, path = dealt.mapInArrow(sift, BUCKET_ROW), new_path(spark, "buckets")
+    sifted.write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    sifted = spark.read.schema(sifted.schema).parquet(path)
+    leaders = sifted.where(f"kind = {LEADERS}")
+    everywhere = leaders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    results = "kind int, a long, b long"
+    of_hot = sifted.where(f"kind = {HOT}").unionByName(everywhere).repartition(n, "path", "salt").sortWithinPartitions("path", "salt", F.desc("kind")).mapInArrow(hot, results)
+    if rules.last:
+        return stage(of_hot, "candidates")
+    of_cold = sifted.where(f"kind = {COLD}").unionByName(leaders).repartition(n, "path").sortWithinPartitions("path").mapInArrow(cold, results)
+    return stage(of_cold.union(of_hot), "candidates")
+
+
+def _candidates(described: DataFrame, threshold: float, near: int, depth: int, salts: int, limit: int, leaders: int, absorb: int, spread: float) -> DataFrame:
     """Edges between nodes whose sets may reach the threshold, from all runs' buckets."""
-    edges = hot = None
-    for d in range(depth):
-        rows = described.where("key IS NOT NULL").select(F.explode(f"l{d}").alias("p"), "node", "bits").select("p.parent", "p.path", "node", "bits")
-        if d:
-            rows = rows.join(hot, "parent", "left_semi")
-        # copies have the same node and the same paths: one row is left of them
-        rows = rows.groupBy("path", "node").agg(F.first("bits").alias("bits"))
-        found = stage(_scan(rows, limit, d == depth - 1, near), "paths")
-        e = found.where("b IS NOT NULL")
+    sets = described.where("set IS NOT NULL").select("node", "b0", "b1", "set")
+    rows = described.where("set IS NOT NULL").select(F.explode("paths").alias("path"), "node", "b0", "b1")
+    edges = None
+    for level in range(depth):
+        found = _buckets(rows, Rules(limit, leaders, near, absorb, level == depth - 1), salts)
+        e = found.where(f"kind = {EDGE}").select("a", "b")
         edges = e if edges is None else edges.union(e)
-        hot = found.where("b IS NULL").select(F.shiftright("a", 32).cast("int").alias("parent")).distinct()
+        on = found.where(f"kind = {ON}")
+        if on.isEmpty():
+            break
+        # one row for each set, with the paths of its runs that are still open
+        on = on.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("nodes"))
+
+        def further(batches):
+            for b in batches:
+                out = [chosen_paths(np.frombuffer(s, np.uint64), np.array(x, np.int64).view(np.uint64), threshold / spread).view(np.int64) for s, x in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+                each = np.repeat(np.arange(len(out)), [len(x) for x in out])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*out, np.zeros(0, np.int64)])), *[c.take(pa.array(each)) for c in b.columns[:3]]], names=["path", "node", "b0", "b1"])
+
+        rows = sets.join(on, "node").dropDuplicates(["node"]).select("node", "b0", "b1", "set", "nodes").mapInArrow(further, "path long, node long, b0 long, b1 long")
     return edges
 
 
@@ -274,78 +425,57 @@ def links_of(sets: list[np.ndarray], ids: list, weights: np.ndarray, threshold:
         linked[:split, :split] = False
         linked[split:, split:] = False
     a, b = np.nonzero(np.triu(linked))
-    label = np.arange(n)
-    while len(a):
-        before, low = label.copy(), np.minimum(label[a], label[b])
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        label = label[label]
-        if (label == before).all():
-            break
+    label = least_labels(n, a, b)
     moved = np.flatnonzero(label != np.arange(n))
     return (linked @ weights).astype(np.int64), [(ids[k], ids[label[k]]) for k in moved.tolist()]
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, target_recall: float = 0.9999, depth: int = 3, bucket: int = 64, block: int = 400) -> DataFrame:
-    """id_col, class_id (least id of the documents reachable by links) and n_links of every row.
-
-    Two documents are linked if the Jaccard similarity of their sets of `width`-word shingles is at
-    least `threshold`; n_links counts the other rows linked to a row, copies among them. Candidates
-    come from chosen paths: in each of the runs that target_recall asks for (a pair exactly at the
-    threshold, buckets split `depth` times), sets go to the buckets of the shingles sampled from
-    them; buckets above `bucket` sets are split again by a further shingle; small ones are compared
-    by sketches whose cut lies 4.5 standard deviations below the threshold. Connected candidates then
-    meet in one task (or, if more than `block`, in tasks for each pair of blocks) and are compared
-    exactly on their whole sets, so no link is reported below the threshold.
-
-    Sets that are equal are one until the end, so copies cost nothing. Texts without words (null,
-    empty) link with nothing and are classes of their own; texts of fewer than `width` words are one
-    shingle. Null ids take no part: class null, no links. Rows that share an id share its class.
-    Extra columns are ignored.
-    """
+def _classes(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: float, target_recall: float, depth: int, block: int, salts: int, limit: int, leaders: int, spread: float) -> tuple[DataFrame, DataFrame]:
+    """described (id, mark, key) of each row with an id, and for each key its least (id, mark), copies, links, and the least (id, key) of its class if it has links."""
     spark = docs.sparkSession
-    runs = runs_needed(target_recall, depth)
+    runs = runs_needed(target_recall, spread)
     agree = (1 + threshold) / 2
-    near = math.floor(SKETCH_BITS * (1 - agree) + 4.5 * math.sqrt(SKETCH_BITS * agree * (1 - agree)))
-    described = stage(_describe(docs, id_col, text_col, width, threshold, runs, depth), "shingles")
-    sets = stage(described.where("key IS NOT NULL").groupBy("key", "node").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "sets")
-    near_nodes = stage(connected_components(_candidates(described, depth, bucket, near)), "candidates")
+    deviation = math.sqrt(SKETCH_BITS * agree * (1 - agree))
+    near, absorb = math.floor(SKETCH_BITS * (1 - agree) + 4.5 * deviation), round(SKETCH_BITS * (1 - agree))
+    described = stage(_describe(docs, id_col, text_col, width, threshold, runs), "shingles")
+    sets = stage(described.where("key IS NOT NULL").groupBy("key", "node").agg(F.min(F.struct("id", "mark")).alias("least"), F.count("*").alias("copies")), "sets")
+    near_nodes = stage(connected_components(_candidates(described, threshold, near, depth, salts, limit, leaders, absorb, spread)), "candidates")
 
-    members = sets.join(near_nodes, "node").select("rep", "key", "copies", "component")
+    members = sets.join(near_nodes, "node").select("node", F.col("least.id").alias("rep"), "key", "copies", "component")
     sizes = members.groupBy("component").agg(F.count("*").alias("m")).where("m > 1")
-    members = members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
+    members = stage(members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("m") / block).cast("int")), "candidates-members")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j")))
-    dealt = stage(members.withColumn("own", own).select("rep", "key", "copies", "component", "own", F.explode(others).alias("p")).select("rep", "key", "copies", "component", "own", "p.i", "p.j"), "candidates-dealt")
-    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rep"), text_of(text_col).alias("text"))
-    kind = texts.schema["rep"].dataType.simpleString()
-    # each member's text once by its id, then to the tasks of its component
-    rows = dealt.hint("merge").join(texts, "rep").select("component", "i", "j", "own", "rep", "key", "copies", "text")
+    # each member's set once, then to the tasks of its component
+    content = described.where("set IS NOT NULL").select("node", "set").join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    rows = members.join(content, "node").withColumn("own", own).select("component", "own", "rep", "key", "copies", "set", F.explode(others).alias("p")).select("component", "p.i", "p.j", "own", "rep", "key", "copies", "set")
+    kind = members.schema["rep"].dataType.simpleString()
 
     def verify(batches):
         held, of = [], None
 
         def close():
             first = {}
-            for i, j, own, rep, key, copies, text in held:
-                first.setdefault((own != i, rep, key), (copies, text))
+            for i, j, own, rep, key, copies, data in held:
+                first.setdefault((own != i, rep, key), (copies, data))
             names = sorted(first)
-            found = shingle_sets([first[k][1] for k in names], width)
-            right = [k for k, s in enumerate(found) if hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() == names[k][2]]
+            chosen = [np.frombuffer(first[k][1], np.uint64) for k in names]
+            right = [k for k, s in enumerate(chosen) if hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() == names[k][2]]
             if len(right) < 2:
                 return [], []
-            chosen, reps = [found[k] for k in right], [names[k][1] for k in right]
-            split = sum(not names[k][0] for k in right) if held[0][0] != held[0][1] else None
-            links, edges = links_of(chosen, reps, np.array([first[names[k]][0] for k in right], np.int64), threshold, split)
-            return [(names[k][1], names[k][2], int(n)) for k, n in zip(right, links, strict=True) if n], edges
+            names, chosen = [names[k] for k in right], [chosen[k] for k in right]
+            split = sum(not n[0] for n in names) if held[0][0] != held[0][1] else None
+            links, edges = links_of(chosen, [n[1:] for n in names], np.array([first[n][0] for n in names], np.int64), threshold, split)
+            return [(*n[1:], int(x)) for n, x in zip(names, links, strict=True) if x], edges
 
         def out(found):
             links, edges = found
             return pa.RecordBatch.from_pydict({
-                "rep": pa.array([x[0] for x in links] + [a for a, _ in edges], id_type),
-                "key": pa.array([x[1] for x in links] + [None] * len(edges), pa.string()),
+                "rep": pa.array([x[0] for x in links] + [a[0] for a, _ in edges], id_type),
+                "key": pa.array([x[1] for x in links] + [a[1] for a, _ in edges], pa.string()),
                 "links": pa.array([x[2] for x in links] + [None] * len(edges), pa.int64()),
-                "other": pa.array([None] * len(links) + [b for _, b in edges], id_type),
+                "other_rep": pa.array([None] * len(links) + [b[0] for _, b in edges], id_type),
+                "other_key": pa.array([None] * len(links) + [b[1] for _, b in edges], pa.string()),
             })
 
         for b in batches:
@@ -361,11 +491,37 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield out(close())
 
     n = partitions(spark)
-    found = stage(rows.repartition(n, "component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(verify, f"rep {kind}, key string, links long, other {kind}"), "links")
-    links = found.where("key IS NOT NULL").groupBy("key").agg(F.sum("links").alias("links"))
-    classes = connected_components(found.where("other IS NOT NULL").select(F.col("rep").alias("a"), F.col("other").alias("b"))).select(F.col("node").alias("rep"), F.col("component").alias("least"))
-    by_key = sets.join(links, "key", "left").join(classes, "rep", "left").select("key", F.coalesce("least", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    found = stage(rows.repartition(n, "component", "i", "j").sortWithinPartitions("component", "i", "j").mapInArrow(verify, f"rep {kind}, key string, links long, other_rep {kind}, other_key string"), "links")
+    links = found.where("links IS NOT NULL").groupBy("key").agg(F.sum("links").alias("links"))
+    edges = found.where("links IS NULL").select(F.struct(F.col("rep").alias("id"), "key").alias("a"), F.struct(F.col("other_rep").alias("id"), F.col("other_key").alias("key")).alias("b"))
+    classes = connected_components(edges).select(F.col("node.key").alias("key"), F.col("component").alias("class"))
+    return described.select("id", "mark", "key"), sets.join(links, "key", "left").join(classes, "key", "left").select("key", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), "class")
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, target_recall: float = 0.9999, depth: int = 6, block: int = 1000, salts: int = 16, limit: int = 16, leaders: int = 4, spread: float = 1.4) -> DataFrame:
+    """id_col, class_id (least id of the documents reachable by links) and n_links of every row.
+
+    Two documents are linked if the Jaccard similarity of their sets of `width`-word shingles is at
+    least `threshold`; n_links counts the other rows linked to a row, copies among them. Candidates
+    come from chosen paths: in each of the runs that target_recall asks for (of a pair exactly at the
+    threshold, whatever the depth), sets go to the buckets of the shingles sampled from them. A bucket
+    is dealt to tasks in `salts` parts. If no part has more than `limit` sets, all of them are compared
+    by sketches whose cut lies 4.5 standard deviations below the threshold. Otherwise every set is
+    compared with up to `leaders` sets of each part; sets like a leader (at the threshold, as
+    sketches tell) are done with, as all that is near them has an edge to that leader, and the rest
+    is split by further shingles. Buckets of the last level are compared in full, part by part.
+    Connected candidates then meet in one task (or, if more than `block`, in tasks for each pair of
+    blocks) and are compared exactly on their whole sets, so no link is reported below the threshold.
+
+    Sets that are equal are one until the end, so copies cost nothing. Texts without words (null,
+    empty) link with nothing and are classes of their own; texts of fewer than `width` words are one
+    shingle. Null ids take no part: class null, no links. Rows that share an id but not their set
+    have classes and links of their own. Extra columns are ignored.
+    """
+    described, by_key = _classes(docs, id_col, text_col, width, threshold, target_recall, depth, block, salts, limit, leaders, spread)
+    by_key = by_key.select("key", F.coalesce("class.id", "least.id").alias("class_id"), (F.col("copies") - 1 + F.col("links")).alias("n_links"))
     known = described.select("id", "key").join(by_key, "key", "left").select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    kind = described.schema["id"].dataType
     without = docs.where(F.col(id_col).isNull()).select(F.col(id_col), F.lit(None).cast(kind).alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return known.unionByName(without)
 
@@ -374,8 +530,21 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8, target_recall: float = 0.9999, depth: int = 6, block: int = 1000, salts: int = 16, limit: int = 16, leaders: int = 4, spread: float = 1.4) -> DataFrame:
+    """docs with one row of each class of near-duplicates: that with the least id (then set, then md5 of the text).
+
+    Classes are those of jaccard_join. A row goes only if its own text is in a class of which another
+    text or row stays, so rows that share an id but are unlike stay. Of rows with equal id and text one
+    stays. Texts without words and rows without an id all stay. Columns are those of docs, whatever
+    their names.
+    """
+    described, by_key = _classes(docs, id_col, text_col, width, threshold, target_recall, depth, block, salts, limit, leaders, spread)
+    first = by_key.where(F.col("class").isNull() | (F.col("class.key") == F.col("key"))).select(F.col("least.id").alias("kept id"), F.col("least.mark").alias("kept mark"), F.lit(True).alias("one is kept"))
+    wordless = described.where("key IS NULL").select(F.col("id").alias("kept id"), F.col("mark").alias("kept mark"), F.lit(False).alias("one is kept")).distinct()
+    joined = docs.withColumn("mark of text", F.md5(text_of(text_col))).join(first.union(wordless), (F.col(id_col) == F.col("kept id")) & (F.col("mark of text") == F.col("kept mark")), "left")
+    kept = joined.where(F.col(id_col).isNull() | F.col("kept id").isNotNull()).withColumn("row of its own", F.when(~F.col("one is kept") | F.col("one is kept").isNull(), F.monotonically_increasing_id()))
+    return kept.dropDuplicates([id_col, "mark of text", "row of its own"]).select(*docs.columns)
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates: that with the least id. Documents without an id stay."""
-    kept = jaccard_join(docs).where("doc_id = class_id").select(F.col("doc_id").alias("kept id")).distinct()
-    one = docs.join(kept, F.col("doc_id") == F.col("kept id"), "left_semi").dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id IS NULL"))
+    return near_dedup(docs)

@@ -1,12 +1,14 @@
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
 from sequora.llm import vectors
 from sequora.llm.components import connected_components
-from sequora.llm.jaccard_join import BucketScan, jaccard_join, near_dedup_stage, runs_needed, sketch
+from sequora.llm.jaccard_join import EDGE, ON, Rules, Sift, compare_hot, jaccard_join, near_dedup_stage, runs_needed, sketch, whole_buckets
 
 
 def components(ids, pairs):
@@ -53,7 +55,7 @@ def rows():
 
 def test_jaccard_join_equals_brute_force(spark, rows):
     docs = spark.createDataFrame([(k, t, 1, 2) for k, t in enumerate(rows)] + [(None, rows[6], 1, 2)], "doc_id long, text string, key int, node int")
-    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join(docs, block=50, bucket=16).collect()}
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join(docs, block=50, limit=3, salts=4).collect()}
     sets = [shingles(t) for t in rows]
     pairs = [(a, b) for b in range(len(rows)) for a in range(b) if sets[a] and len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b])) >= 0.8]
     links = np.bincount(np.array(pairs).ravel(), minlength=len(rows))
@@ -74,16 +76,91 @@ def test_empty_tables(spark):
     assert vectors.top_k(empty, F.col("vec_id") % 2 == 0).count() == 0
 
 
-def test_large_buckets_emit_a_forest():
-    bits = np.frombuffer(b"".join(sketch(np.arange(k % 3, 500, dtype=np.uint64)) for k in range(600)), np.uint8).reshape(600, -1)
-    scan = BucketScan(16, True, 30)
-    edges, _ = scan.batch(np.zeros(600, np.int64), np.arange(600), bits)
-    edges = edges + scan.end()[0]
-    assert len(edges) == 599 and len(set(components(range(600), edges).values())) == 1
+def bucket_rows(bits, rules, salts, step=1 << 30):
+    """What one bucket's parts give, fed `step` rows at a time."""
+    found = []
+    sifted = []
+    node = np.arange(len(bits))
+    salt = (node % salts).astype(np.int32)
+    order = np.lexsort((node, salt))
+    own = Sift(rules)
+    for at in range(0, len(order), step):
+        k = order[at : at + step]
+        sifted.append(own.batch(np.zeros(len(k), np.int64), salt[k], node[k], bits[k]))
+    sifted.append(own.end())
+    sifted = pa.Table.from_batches([x for x in sifted if x is not None])
+    leaders = sifted.filter(pc.equal(sifted["kind"], 2))
+    for p in range(salts):
+        part = pa.concat_tables([leaders, sifted.filter(pc.and_(pc.equal(sifted["salt"], p), pc.equal(sifted["kind"], 1)))])
+        part = part.set_column(2, "salt", pa.array([p] * len(part), pa.int32()))
+        found += [x for b in compare_hot(part.combine_chunks().to_batches(), rules) for x in b.to_pylist()]
+    edges = [(r["a"], r["b"]) for r in found if r["kind"] == EDGE]
+    return edges, {r["b"] for r in found if r["kind"] == ON}, sifted
+
+
+def test_leaders_stand_for_near_copies_and_lose_no_pair():
+    rng = np.random.default_rng(3)
+    group = [np.concatenate([np.arange(300), rng.integers(1000, 10**9, k)]).astype(np.uint64) for k in rng.integers(0, 40, 500)]
+    apart = [rng.integers(0, 10**12, 300).astype(np.uint64) for _ in range(200)]
+    bits = np.array([sketch(np.unique(s)) for s in group + apart])
+    for step in (7, 10**6):
+        edges, on, _ = bucket_rows(bits, Rules(16, 4, 28, 12, False), 8, step)
+        up = components(range(700), edges)
+        assert len({up[k] for k in range(500) if k not in on}) == 1 and len(edges) < 1500
+        assert len(on & set(range(500))) < 100 and len(on & set(range(500, 700))) > 150
+        distance = np.bitwise_count((bits[:, None] ^ bits[None]).view(np.uint64)).sum(-1)
+        for a, b in zip(*np.nonzero(distance <= 28)):
+            assert up[a] == up[b] or {int(a), int(b)} <= on
+    edges, on, _ = bucket_rows(bits, Rules(16, 4, 28, 12, True), 8, 50)
+    up = components(range(700), edges)
+    assert not on and all(up[a] == up[b] for a, b in zip(*np.nonzero(distance <= 28)))
+
+
+def test_buckets_are_not_cut():
+    path = np.repeat(np.arange(50), np.arange(50))
+    rows = pa.record_batch({"path": path, "x": np.arange(len(path))})
+    seen = list(whole_buckets([rows.slice(k, 100) for k in range(0, len(path), 100)]))
+    assert sum(b.num_rows for b in seen) == len(path)
+    ends = [(b["path"][0].as_py(), b["path"][-1].as_py()) for b in seen]
+    assert all(e < f for (_, e), (f, _) in zip(ends, ends[1:]))
 
 
 def test_runs_follow_the_recall():
-    assert runs_needed(0.9, 1) < runs_needed(0.99, 1) < runs_needed(0.99, 3)
+    assert runs_needed(0.9, 1.4) < runs_needed(0.9999, 1.4) < runs_needed(0.9999, 1.2)
+
+
+def test_a_group_of_2000_near_copies(spark):
+    rng = random.Random(11)
+    words = [f"v{k}" for k in range(500)]
+    base = [rng.choice(words) for _ in range(120)]
+    texts = []
+    for _ in range(2000):
+        c = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            c[rng.randrange(120)] = rng.choice(words)
+        texts.append(" ".join(c))
+    passage = [rng.choice(words) for _ in range(40)]
+    texts += [" ".join([rng.choice(words) for _ in range(rng.choice([20, 60, 200]))] + passage) for _ in range(500)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    number: dict = {}
+    sets = [sorted({number.setdefault(x, len(number)) for x in shingles(t)}) for t in texts]
+    m = np.zeros((len(texts), len(number)), np.float32)
+    for k, s in enumerate(sets):
+        m[k, s] = 1
+    common = m @ m.T
+    size = m.sum(1)
+    linked = common.astype(float) / (size[:, None] + size[None] - common) >= 0.8
+    np.fill_diagonal(linked, False)
+    up = components(range(len(texts)), np.argwhere(np.triu(linked)).tolist())
+    assert got == {k: (up[k], int(linked[k].sum())) for k in range(len(texts))}
+
+
+def test_unlike_texts_of_one_id_both_stay(spark):
+    near = [f"a{k}" for k in range(60)]
+    rows = [(7, " ".join(near)), (7, "quite other words stand here alone"), (3, " ".join([*near[:59], "x"])), (7, " ".join(near)), (9, "quite other words stand here alone"), (8, None), (8, None)]
+    docs = spark.createDataFrame([(i, t, "m") for i, t in rows], "doc_id long, text string, key string")
+    got = sorted(near_dedup_stage(spark, docs, "").select("doc_id", "text").collect(), key=str)
+    assert sorted((r["doc_id"], (r["text"] or "")[:5]) for r in got) == [(3, "a0 a1"), (7, "quite"), (8, ""), (8, "")]
 
 
 def test_components(spark):
