@@ -17,6 +17,7 @@ from sequora.llm.components import connected_components
 
 SKETCH_BITS = 128
 MIX = np.uint64(0x9E3779B97F4A7C15)
+SAMPLE = 64  # shingles of a set that its paths below the first are taken from, on average
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -66,13 +67,19 @@ def runs_needed(recall: float, spread: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - p))
 
 
-def chosen_paths(s: np.ndarray, nodes: np.ndarray, share: float) -> np.ndarray:
+def sampled(s: np.ndarray) -> np.ndarray:
+    """The shingles whose hash lies below SAMPLE/size (all of a small set): sets of like size and content have like samples."""
+    return s[mix(s + MIX) < np.uint64(min(2**64 - 1, int(2**64 * SAMPLE / max(1, len(s)))))]
+
+
+def chosen_paths(s: np.ndarray, nodes: np.ndarray, share: float, size: int) -> np.ndarray:
     """The paths on which a set goes on below any of `nodes`.
 
-    A shingle is taken if its hash in the node lies below 1/(share * size): of two sets that have
-    this share of their shingles in common, one common shingle is expected to be taken.
+    A shingle is taken if its hash in the node lies below 1/(share * size), where size is that of the
+    set, or SAMPLE for the sample of a larger set: of two sets that have this share of their
+    shingles in common, one common shingle is expected to be taken.
     """
-    limit = np.uint64(min(2**64 - 1, int(2**64 / (share * max(1, len(s))))))
+    limit = np.uint64(min(2**64 - 1, int(2**64 / (share * max(1, size)))))
     found, mixed = [nodes[:0]], mix(s)
     step = max(1, (1 << 22) // max(1, len(s)))
     for at in range(0, len(nodes), step):
@@ -300,9 +307,9 @@ def whole_buckets(batches):
 
 
 def _describe(docs: DataFrame, id_col: str, text_col: str, width: int, threshold: float, runs: int) -> DataFrame:
-    """For each row with an id: id, mark (md5 of the text), key and node (of the set; key null if it is empty), and the set, its sketch and first paths.
+    """For each row with an id: id, mark (md5 of the text), key and node (of the set; key null if it is empty), and the set's size, sample, sketch and first paths.
 
-    Copies have the same set; a task gives it with the first copy that it meets.
+    Copies have the same set; a task gives these with the first copy that it meets, and size 0 with others.
     """
     text = text_of(text_col)
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.md5(text).alias("mark"), text.alias("text"))
@@ -312,25 +319,25 @@ def _describe(docs: DataFrame, id_col: str, text_col: str, width: int, threshold
         met: set[bytes] = set()
         roots = seeds(runs, 1)
         for b in slices(batches, 2):
-            keys, nodes, sets, bits, paths = [], [], [], [], []
+            keys, nodes, sizes, samples, bits, paths = [], [], [], [], [], []
             for s in shingle_sets(b.column(2).to_pylist(), width):
-                data = s.tobytes()
-                digest = hashlib.blake2b(data, digest_size=16).digest()
+                digest = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                 keys.append(digest.hex() if len(s) else None)
                 nodes.append(int.from_bytes(digest[:8], "little", signed=True))
                 first = len(s) > 0 and digest not in met
                 met.add(digest)
-                sets.append(data if first else None)
+                sizes.append(len(s) if first else 0)
+                samples.append(sampled(s).tobytes() if first else None)
                 bits.append(sketch(s) if first else (0, 0))
-                paths.append(chosen_paths(s, roots, threshold).view(np.int64) if first else np.zeros(0, np.int64))
+                paths.append(chosen_paths(s, roots, threshold, len(s)).view(np.int64) if first else np.zeros(0, np.int64))
             bits = np.array(bits, np.int64).reshape(-1, 2)
             offsets = pa.array(np.cumsum([0, *map(len, paths)]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(keys, pa.string()), pa.array(nodes, pa.int64()), pa.array(sets, pa.binary()), pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(paths)))],
-                names=["id", "mark", "key", "node", "set", "b0", "b1", "paths"],
+                [b.column(0), b.column(1), pa.array(keys, pa.string()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(samples, pa.binary()), pa.array(bits[:, 0]), pa.array(bits[:, 1]), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(paths)))],
+                names=["id", "mark", "key", "node", "size", "sample", "b0", "b1", "paths"],
             )
 
-    return rows.mapInArrow(task, f"id {kind}, mark string, key string, node long, set binary, b0 long, b1 long, paths array<long>")
+    return rows.mapInArrow(task, f"id {kind}, mark string, key string, node long, size int, sample binary, b0 long, b1 long, paths array<long>")
 
 
 def _buckets(rows: DataFrame, rules: Rules, salts: int) -> DataFrame:
@@ -373,8 +380,8 @@ def _buckets(rows: DataFrame, rules: Rules, salts: int) -> DataFrame:
 
 def _candidates(described: DataFrame, threshold: float, near: int, depth: int, salts: int, limit: int, leaders: int, absorb: int, spread: float) -> DataFrame:
     """Edges between nodes whose sets may reach the threshold, from all runs' buckets."""
-    sets = described.where("set IS NOT NULL").select("node", "b0", "b1", "set")
-    rows = described.where("set IS NOT NULL").select(F.explode("paths").alias("path"), "node", "b0", "b1")
+    sets = described.where("size > 0").select("node", "b0", "b1", F.least("size", F.lit(SAMPLE)).alias("size"), "sample")
+    rows = described.where("size > 0").select(F.explode("paths").alias("path"), "node", "b0", "b1")
     edges = None
     for level in range(depth):
         found = _buckets(rows, Rules(limit, leaders, near, absorb, level == depth - 1), salts)
@@ -388,11 +395,11 @@ def _candidates(described: DataFrame, threshold: float, near: int, depth: int, s
 
         def further(batches):
             for b in batches:
-                out = [chosen_paths(np.frombuffer(s, np.uint64), np.array(x, np.int64).view(np.uint64), threshold / spread).view(np.int64) for s, x in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+                out = [chosen_paths(np.frombuffer(s, np.uint64), np.array(x, np.int64).view(np.uint64), threshold / spread, n).view(np.int64) for n, s, x in zip(*(c.to_pylist() for c in b.columns[3:]), strict=True)]
                 each = np.repeat(np.arange(len(out)), [len(x) for x in out])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*out, np.zeros(0, np.int64)])), *[c.take(pa.array(each)) for c in b.columns[:3]]], names=["path", "node", "b0", "b1"])
 
-        rows = sets.join(on, "node").dropDuplicates(["node"]).select("node", "b0", "b1", "set", "nodes").mapInArrow(further, "path long, node long, b0 long, b1 long")
+        rows = sets.join(on, "node").dropDuplicates(["node"]).select("node", "b0", "b1", "size", "sample", "nodes").mapInArrow(further, "path long, node long, b0 long, b1 long")
     return edges
 
 
@@ -441,14 +448,15 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, width: int, threshold:
     sets = stage(described.where("key IS NOT NULL").groupBy("key", "node").agg(F.min(F.struct("id", "mark")).alias("least"), F.count("*").alias("copies")), "sets")
     near_nodes = stage(connected_components(_candidates(described, threshold, near, depth, salts, limit, leaders, absorb, spread)), "candidates")
 
-    members = sets.join(near_nodes, "node").select("node", F.col("least.id").alias("rep"), "key", "copies", "component")
+    members = sets.join(near_nodes, "node").select(F.col("least.id").alias("rep"), F.col("least.mark").alias("mark"), "key", "copies", "component")
     sizes = members.groupBy("component").agg(F.count("*").alias("m")).where("m > 1")
     members = stage(members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("m") / block).cast("int")), "candidates-members")
     own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(j, F.col("own")).alias("i"), F.greatest(j, F.col("own")).alias("j")))
-    # each member's set once, then to the tasks of its component
-    content = described.where("set IS NOT NULL").select("node", "set").join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    rows = members.join(content, "node").withColumn("own", own).select("component", "own", "rep", "key", "copies", "set", F.explode(others).alias("p")).select("component", "p.i", "p.j", "own", "rep", "key", "copies", "set")
+    # each member's text once by its id and mark, then to the tasks of its component
+    text = text_of(text_col)
+    texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("rep"), F.md5(text).alias("mark"), text.alias("text"))
+    rows = members.withColumn("own", own).hint("merge").join(texts, ["rep", "mark"]).select("component", "own", "rep", "key", "copies", "text", F.explode(others).alias("p")).select("component", "p.i", "p.j", "own", "rep", "key", "copies", "text")
     kind = members.schema["rep"].dataType.simpleString()
 
     def verify(batches):
@@ -456,14 +464,12 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, width: int, threshold:
 
         def close():
             first = {}
-            for i, j, own, rep, key, copies, data in held:
-                first.setdefault((own != i, rep, key), (copies, data))
-            names = sorted(first)
-            chosen = [np.frombuffer(first[k][1], np.uint64) for k in names]
-            right = [k for k, s in enumerate(chosen) if hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() == names[k][2]]
-            if len(right) < 2:
+            for i, j, own, rep, key, copies, text in held:
+                first.setdefault((own != i, rep, key), (copies, text))  # rows that share id and text come more than once
+            if len(first) < 2:
                 return [], []
-            names, chosen = [names[k] for k in right], [chosen[k] for k in right]
+            names = sorted(first)
+            chosen = shingle_sets([first[k][1] for k in names], width)
             split = sum(not n[0] for n in names) if held[0][0] != held[0][1] else None
             links, edges = links_of(chosen, [n[1:] for n in names], np.array([first[n][0] for n in names], np.int64), threshold, split)
             return [(*n[1:], int(x)) for n, x in zip(names, links, strict=True) if x], edges
