@@ -119,7 +119,7 @@ def least_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 COLD, HOT, LEADERS = 0, 1, 2  # rows of buckets
-EDGE, ON = 0, 1  # what buckets give: an edge (a, b) of nodes, or a path a below which node b goes on
+EDGE, ON = 0, 1  # what buckets give: an edge (a, b) of nodes, or a path a below which node b goes on (c: what it is connected with)
 BUCKET_ROW = "kind int, path long, salt int, node long, b0 long, b1 long, packed binary"
 PACKED = np.dtype([("node", "<i8"), ("bits", "<i8", (2,))])
 GATHER = 1 << 20
@@ -211,8 +211,9 @@ def bits_of(b: pa.RecordBatch) -> np.ndarray:
     return np.stack(columns_of(b, "b0", "b1"), 1)
 
 
-def found_rows(kind: int, a, b) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([kind] * len(a), pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["kind", "a", "b"])
+def found_rows(kind: int, a, b, c=None) -> pa.RecordBatch:
+    c = pa.nulls(len(a), pa.int64()) if c is None else pa.array(c, pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array([kind] * len(a), pa.int32()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), c], names=["kind", "a", "b", "c"])
 
 
 def compare_cold(b: pa.RecordBatch, rules: Rules):
@@ -225,7 +226,7 @@ def compare_cold(b: pa.RecordBatch, rules: Rules):
         leaders = [np.frombuffer(packed[k].as_py(), PACKED) for k in leading[path[leading] == p].tolist()]
         own = np.flatnonzero((path == p) & (kind == COLD))
         if len(own):
-            yield from compare_with_leaders(p, node[own], bits[own], Leaders(leaders), rules)
+            yield from compare_with_leaders(p, node[own], bits[own], Leaders(leaders, rules), rules)
     cold = kind == COLD
     path, node, bits = path[cold], node[cold], bits[cold]
     left, right, d = [], [], 1
@@ -241,24 +242,36 @@ def compare_cold(b: pa.RecordBatch, rules: Rules):
 
 
 class Leaders:
-    """The leaders of a bucket, and which of them have been connected."""
+    """The leaders of a bucket in one order for all of its parts, and which of them are connected.
 
-    def __init__(self, parts: list[np.ndarray]):
-        every = np.concatenate(parts)
+    Leaders within reach of each other are connected from the start; one part of the bucket says so.
+    """
+
+    def __init__(self, parts: list[np.ndarray], rules: Rules):
+        every = np.sort(np.concatenate(parts), order="node")
         self.node, self.bits, self.label = every["node"], every["bits"], np.arange(len(every))
+        if not rules.last:
+            self.label = least_labels(len(every), *np.nonzero(far(self.bits[:, None, :], self.bits[None, :, :]) <= rules.reach))
+        self.group = self.node[self.label]  # the same in every part
+
+    def connected(self) -> pa.RecordBatch:
+        moved = np.flatnonzero(self.label != np.arange(len(self.label)))
+        return found_rows(EDGE, self.node[moved], self.node[self.label[moved]])
 
 
 def compare_with_leaders(path: int, node, bits, leaders: Leaders, rules: Rules):
     """Edges to the leaders within reach; sets that no leader stands for go on.
 
     If x is within `absorb` of a leader and y within `near` of x, the leader is within `reach` of y: so
-    x needs no further comparison.
+    x needs no further comparison. Sets that go on are given with the least leader that they are
+    connected with, or else themselves.
     """
     step = max(1, (1 << 20) // len(leaders.node))
     for at in range(0, len(node), step):
         n, b = node[at : at + step], bits[at : at + step]
         distance = far(b[:, None, :], leaders.bits[None, :, :])
-        close = (distance <= rules.reach) & (n[:, None] != leaders.node[None, :])
+        apart = n[:, None] > leaders.node[None, :] if rules.last else n[:, None] != leaders.node[None, :]
+        close = (distance <= rules.reach) & apart
         row, column = np.nonzero(close)
         if len(row):
             some = np.r_[True, row[1:] != row[:-1]]
@@ -271,10 +284,11 @@ def compare_with_leaders(path: int, node, bits, leaders: Leaders, rules: Rules):
             yield found_rows(EDGE, leaders.node[moved], leaders.node[label[moved]])
         if not rules.last:
             stay = np.flatnonzero(distance.min(1) > rules.absorb)
-            yield found_rows(ON, np.full(len(stay), path), n[stay])
+            c = np.where(close[stay].any(1), leaders.group[close[stay].argmax(1)], n[stay])
+            yield found_rows(ON, np.full(len(stay), path), n[stay], c)
 
 
-def compare_hot(batches, rules: Rules):
+def compare_hot(batches, rules: Rules, salts: int):
     """Rows sorted by path, salt and falling kind: compare each hot part's sets with all leaders of the bucket."""
     of, parts, leaders = None, [], None
     for b in gathered(batches, GATHER):
@@ -287,7 +301,10 @@ def compare_hot(batches, rules: Rules):
             h = f + int((kind[f:e] == LEADERS).sum())
             parts += [np.frombuffer(packed[k].as_py(), PACKED) for k in range(f, h)]
             if h < e:
-                leaders = leaders or Leaders(parts)
+                if leaders is None:
+                    leaders = Leaders(parts, rules)
+                    if salt[f] == path[f] % salts:
+                        yield leaders.connected()
                 yield from compare_with_leaders(int(path[f]), node[h:e], bits[h:e], leaders, rules)
 
 
@@ -362,7 +379,7 @@ def _buckets(rows: DataFrame, rules: Rules, salts: int) -> DataFrame:
             yield from compare_cold(b, rules)
 
     def hot(batches):
-        yield from compare_hot(batches, rules)
+        yield from compare_hot(batches, rules, salts)
 
     dealt = rows.select("path", F.pmod("node", F.lit(salts)).cast("int").alias("salt"), "node", "b0", "b1").repartition(n, "path", "salt").sortWithinPartitions("path", "salt", "node")
     sifted, path = dealt.mapInArrow(sift, BUCKET_ROW), new_path(spark, "buckets")
@@ -370,7 +387,7 @@ def _buckets(rows: DataFrame, rules: Rules, salts: int) -> DataFrame:
     sifted = spark.read.schema(sifted.schema).parquet(path)
     leaders = sifted.where(f"kind = {LEADERS}")
     everywhere = leaders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    results = "kind int, a long, b long"
+    results = "kind int, a long, b long, c long"
     of_hot = sifted.where(f"kind = {HOT}").unionByName(everywhere).repartition(n, "path", "salt").sortWithinPartitions("path", "salt", F.desc("kind")).mapInArrow(hot, results)
     if rules.last:
         return stage(of_hot, "candidates")
@@ -387,11 +404,14 @@ def _candidates(described: DataFrame, threshold: float, near: int, depth: int, s
         found = _buckets(rows, Rules(limit, leaders, near, absorb, level == depth - 1), salts)
         e = found.where(f"kind = {EDGE}").select("a", "b")
         edges = e if edges is None else edges.union(e)
-        on = found.where(f"kind = {ON}")
-        if on.isEmpty():
+        on = found.where(f"kind = {ON}").select(F.col("a").alias("path"), F.col("b").alias("node"), F.col("c").alias("group"), F.pmod("b", F.lit(salts)).alias("salt"))
+        # where all that goes on is connected, no pair is left to be found
+        live = stage(on.groupBy("path").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("path"), "paths-open")
+        if live.isEmpty():
             break
+        open_parts = live.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
         # one row for each set, with the paths of its runs that are still open
-        on = on.groupBy(F.col("b").alias("node")).agg(F.collect_set("a").alias("nodes"))
+        on = on.join(open_parts, ["path", "salt"], "left_semi").groupBy("node").agg(F.collect_set("path").alias("nodes"))
 
         def further(batches):
             for b in batches:
@@ -399,7 +419,8 @@ def _candidates(described: DataFrame, threshold: float, near: int, depth: int, s
                 each = np.repeat(np.arange(len(out)), [len(x) for x in out])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*out, np.zeros(0, np.int64)])), *[c.take(pa.array(each)) for c in b.columns[:3]]], names=["path", "node", "b0", "b1"])
 
-        rows = sets.join(on, "node").dropDuplicates(["node"]).select("node", "b0", "b1", "size", "sample", "nodes").mapInArrow(further, "path long, node long, b0 long, b1 long")
+        own = stage(sets.join(on, "node").dropDuplicates(["node"]).select("node", "b0", "b1", "size", "sample", "nodes"), "sets-further")
+        rows, sets = own.mapInArrow(further, "path long, node long, b0 long, b1 long"), own.drop("nodes")
     return edges
 
 
@@ -525,8 +546,15 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     have classes and links of their own. Extra columns are ignored.
     """
     described, by_key = _classes(docs, id_col, text_col, width, threshold, target_recall, depth, block, salts, limit, leaders, spread)
-    by_key = by_key.select("key", F.coalesce("class.id", "least.id").alias("class_id"), (F.col("copies") - 1 + F.col("links")).alias("n_links"))
-    known = described.select("id", "key").join(by_key, "key", "left").select(F.col("id").alias(id_col), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    by_key = stage(by_key.select("key", "least.id", "copies", F.coalesce("class.id", "least.id").alias("class_id"), (F.col("copies") - 1 + F.col("links")).cast("long").alias("n_links")), "sets-joined")
+    total = by_key.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    # sets with a thousandth of all rows are a thousand at most; those without copies need no join
+    frequent = F.broadcast(by_key.where(F.col("copies") * 1000 > total).where("copies > 1"))
+    others = by_key.where((F.col("copies") * 1000 <= total) & (F.col("copies") > 1))
+    rows, out = described.select("id", "key"), [F.col("id").alias(id_col), "class_id", "n_links"]
+    single = by_key.where("copies = 1").select(*out)
+    known = single.unionByName(rows.join(frequent.drop("id"), "key").select(*out)).unionByName(rows.join(others.drop("id"), "key").select(*out))
+    known = known.unionByName(rows.where("key IS NULL").select(F.col("id").alias(id_col), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
     kind = described.schema["id"].dataType
     without = docs.where(F.col(id_col).isNull()).select(F.col(id_col), F.lit(None).cast(kind).alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return known.unionByName(without)

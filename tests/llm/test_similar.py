@@ -93,7 +93,7 @@ def bucket_rows(bits, rules, salts, step=1 << 30):
     for p in range(salts):
         part = pa.concat_tables([leaders, sifted.filter(pc.and_(pc.equal(sifted["salt"], p), pc.equal(sifted["kind"], 1)))])
         part = part.set_column(2, "salt", pa.array([p] * len(part), pa.int32()))
-        found += [x for b in compare_hot(part.combine_chunks().to_batches(), rules) for x in b.to_pylist()]
+        found += [x for b in compare_hot(part.combine_chunks().to_batches(), rules, salts) for x in b.to_pylist()]
     edges = [(r["a"], r["b"]) for r in found if r["kind"] == EDGE]
     return edges, {r["b"] for r in found if r["kind"] == ON}, sifted
 
