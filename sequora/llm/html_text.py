@@ -42,51 +42,88 @@ ENDS = {
     "tfoot": (frozenset("thead tbody tfoot tr td th caption colgroup".split()), frozenset(["table"])),
     "body": (frozenset(["head"]), frozenset()),
 }
+P_STOPS = frozenset("table td th caption button html".split())
+#: Where an end tag stops looking for its start.
+END_STOPS = (frozenset(["html"]), frozenset("html table".split()), frozenset("html table td th caption".split()))
+ENDED_BY_TABLE_PARTS = CELLS | ROW_GROUPS | {"tr", "caption"}
+AROUND_ROWS = ROW_GROUPS | {"table"}
+#: Each rule of ENDS, and that of p, has a bit that says whether one of its elements is open within its stops.
+RULES = [*dict.fromkeys(ENDS.values()), (frozenset(["p"]), P_STOPS)]
+P_RULE = len(RULES) - 1
 IN_HEAD = frozenset("base link meta title style script template noscript".split())
 
 MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"[ \t\n\f\r]+")
-HIDDEN_STYLE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.IGNORECASE)
+NO_BOX = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\b", re.IGNORECASE)
+WHOLE_NUMBER = re.compile(r"\s*([+-]?[0-9]{1,9})(?![0-9])")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent")
+    __slots__ = ("tag", "attrs", "children", "parent", "depth", "open", "stops")
 
     def __init__(self, tag: str, attrs: str = "", parent: Node | None = None):
         self.tag, self.attrs, self.parent, self.children = tag, attrs, parent, []
+        self.depth = parent.depth + 1 if parent else 0
+        self.open, self.stops = parent.open if parent else 0, parent.stops if parent else (0, 0, 0)
+        if tag in MARKS:
+            keep, add, stops = MARKS[tag]
+            self.open = self.open & keep | add
+            if any(stops):
+                self.stops = tuple(self.depth if x else old for x, old in zip(stops, self.stops, strict=True))
 
     def attributes(self) -> dict[str, str]:
         return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in reversed(list(ATTRIBUTE.finditer(self.attrs)))} if self.attrs.strip() else {}
 
 
+def _marks(tag: str) -> tuple[int, int, tuple[bool, ...]]:
+    """For a tag that opens: the rules whose bits stay, those whose bits are set, and the end stops that it is."""
+    keep = sum(1 << k for k, (_, stop) in enumerate(RULES) if tag not in stop)
+    return keep, sum(1 << k for k, (tags, _) in enumerate(RULES) if tag in tags), tuple(tag in stop for stop in END_STOPS)
+
+
+MARKS = {tag: _marks(tag) for tag in {t for tags, stop in RULES for t in tags | stop} | END_STOPS[2]}
+
+
 class TreeBuilder:
-    """Builds a tree from start tags, end tags and text in the order of the page."""
+    """Builds a tree from start tags, end tags and text in the order of the page.
+
+    Each node knows which rules have an element open around it and where an end tag stops looking, and
+    the open elements are listed by tag, so no step walks past elements that it doesn't close.
+    """
 
     def __init__(self):
         self.root = Node("html")
         self.head, self.body = None, None
         self.here = self.root
+        self.listed: dict[str, list[Node]] = {}
 
     def _open(self, tag: str, attrs: str = "") -> Node:
         node = Node(tag, attrs, self.here)
         self.here.children.append(node)
         self.here = node
+        self.listed.setdefault(tag, []).append(node)
         return node
 
-    def _end_nearest(self, tags: frozenset, stop: frozenset) -> None:
-        """Close the outermost open element of these tags that lies inside the nearest stop."""
-        node, found = self.here, None
-        while node is not None and node.tag not in stop:
+    def _back_to(self, node: Node) -> None:
+        while self.here is not node:
+            self.listed[self.here.tag].pop()
+            self.here = self.here.parent
+
+    def _end_nearest(self, rule: int) -> None:
+        """Close the outermost open element of the rule's tags that lies inside the nearest stop."""
+        node, found, tags, bit = self.here, None, RULES[rule][0], 1 << rule
+        while node is not None and node.open & bit:
             if node.tag in tags:
                 found = node
             node = node.parent
         if found is not None:
-            self.here = found.parent
+            self._back_to(found.parent)
 
     def _into_body(self) -> None:
         if self.body is None:
-            self.here = self.root
+            self._back_to(self.root)
             self.body = self._open("body")
 
     def start(self, tag: str, attrs: str) -> None:
@@ -95,7 +132,7 @@ class TreeBuilder:
             return
         if tag == "head":
             if self.head is None and self.body is None:
-                self.here = self.root
+                self._back_to(self.root)
                 self.head = self._open("head", attrs)
             return
         if tag == "body":
@@ -110,12 +147,12 @@ class TreeBuilder:
             else:
                 self._into_body()
         if tag in ENDS_P:
-            self._end_nearest(frozenset(["p"]), frozenset("table td th caption button html".split()))
+            self._end_nearest(P_RULE)
         if tag in HEADINGS and self.here.tag in HEADINGS:
-            self.here = self.here.parent
+            self._back_to(self.here.parent)
         if tag in ENDS:
-            self._end_nearest(*ENDS[tag])
-        if tag in CELLS and self.here.tag in ROW_GROUPS | {"table"}:
+            self._end_nearest(RULES.index(ENDS[tag]))
+        if tag in CELLS and self.here.tag in AROUND_ROWS:
             self._open("tr")
         if tag in VOID:
             self.here.children.append(Node(tag, attrs, self.here))
@@ -128,12 +165,10 @@ class TreeBuilder:
         if tag == "br":  # read as a start tag
             self.start("br", "")
             return
-        stop = frozenset(["html"]) if tag == "table" else frozenset("html table".split()) if tag in CELLS | ROW_GROUPS | {"tr", "caption"} else frozenset("html table td th caption".split())
-        node = self.here
-        while node is not None and node.tag != tag and node.tag not in stop:
-            node = node.parent
-        if node is not None and node.tag == tag and node.parent is not None:
-            self.here = node.parent
+        stop = self.here.stops[0 if tag == "table" else 1 if tag in ENDED_BY_TABLE_PARTS else 2]
+        found = self.listed.get(tag)
+        if found and found[-1].depth >= stop:
+            self._back_to(found[-1].parent)
         elif tag == "p":  # an end without a start is an empty paragraph
             self.start("p", "")
             self.end("p")
@@ -172,15 +207,18 @@ def parse(page: str) -> Node:
     return build.root
 
 
-def visible(node: Node) -> bool:
+def shown(node: Node, seen: bool) -> tuple[bool, bool]:
+    """Whether an element has a box, and whether its text is seen; visibility is inherited, and may be taken back."""
     if node.tag in UNSEEN:
-        return False
+        return False, False
     if not node.attrs:
-        return node.tag != "dialog"
+        return node.tag != "dialog", seen
     a = node.attributes()
-    if "hidden" in a or HIDDEN_STYLE.search(a.get("style", "")):
-        return False
-    return not (node.tag == "dialog" and "open" not in a)
+    style = a.get("style", "")
+    if "hidden" in a or NO_BOX.search(style) or (node.tag == "dialog" and "open" not in a):
+        return False, False
+    said = VISIBILITY.findall(style)
+    return True, said[-1].lower() == "visible" if said else seen
 
 
 class Flow:
@@ -275,33 +313,37 @@ def grid(rows: list[list[tuple[int, int, list[str]]]]) -> list[str]:
     return out
 
 
-def number(text: str, low: int, high: int) -> int:
-    return min(high, max(low, int(text))) if text.strip().isdigit() else low
+def number(text: str, low: int, high: int, default: int = 1) -> int:
+    """A whole number as HTML reads it, held within bounds; the default if there is none of up to nine digits."""
+    found = WHOLE_NUMBER.match(text)
+    return min(high, max(low, int(found[1]))) if found else default
 
 
 def render(root: Node) -> list[str]:
     """Lines of the visible text. The walk keeps its own stack, so nesting may be of any depth."""
     flows, tables, lists = [Flow()], [], []
     pre = 0
-    stack: list[tuple[Node | str, bool]] = [(root, False)]
+    stack: list[tuple[Node | str, bool, bool]] = [(root, False, True)]
     while stack:
-        node, leaving = stack.pop()
+        node, leaving, seen = stack.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            if not (tables and tables[-1][1] is flow and node.strip() == ""):
+            if seen and not (tables and tables[-1][1] is flow and node.strip() == ""):
                 flow.write(node.replace("\xa0", " ") if pre else node, pre > 0)
             continue
         tag = node.tag
         if not leaving:
-            if not visible(node):
+            box, seen = shown(node, seen)
+            if not box:
                 continue
             if tag == "br":
-                flow.end_line(force=True)
+                if seen:
+                    flow.end_line(force=True)
                 continue
             if tag in VOID and tag != "hr":
                 continue
-            stack.append((node, True))
-            stack += [(c, False) for c in reversed(node.children)]
+            stack.append((node, True, seen))
+            stack += [(c, False, seen) for c in reversed(node.children)]
             if tag in BLOCK:
                 flow.end_line()
                 flow.gap |= tag in SPACED and not (tag in LISTS and lists and lists[-1][0] is flow)
@@ -309,14 +351,14 @@ def render(root: Node) -> list[str]:
                 pre += 1
             elif tag in LISTS:
                 start = node.attributes().get("start", "") if tag == "ol" else ""
-                lists.append([flow, tag, number(start, 1, 10**9)])
+                lists.append([flow, tag, number(start, -(10**9), 10**9)])
             elif tag == "li":
                 mark = "- "
                 if lists and lists[-1][0] is flow and lists[-1][1] == "ol":
                     mark = f"{lists[-1][2]}. "
                     lists[-1][2] += 1
                 flow.marks.append(" " * len(mark))
-                flow.bullet = mark
+                flow.bullet = mark if seen else ""
             elif tag in ("dd", "blockquote"):
                 flow.marks.append("  ")
             elif tag == "table":
@@ -363,11 +405,13 @@ def page_text(page: str) -> str:
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """id_col and `text`, the visible text of every page.
 
-    Hidden elements (by tag, the hidden attribute, or display/visibility in a style attribute) are
-    left out with all that they hold. Lines are joined by line feeds, blocks with margins parted by a
+    Elements without a box (by tag, the hidden attribute, or display in a style attribute) are left
+    out with all that they hold; of elements with visibility:hidden the text is left out, but not that of
+    elements in them that are visible again. Style sheets are not read. Time grows with the length
+    of a page, however long it is or deeply nested. Lines are joined by line feeds, blocks with margins parted by a
     blank line. Broken markup never fails: unclosed elements end with their parents, text outside
     of tags is text. Null pages give null, empty ones an empty text; null and repeated ids are kept.
-    Extra columns are ignored.
+    Extra columns are ignored, whatever their names. No rows: no rows.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(html_col).cast("string").alias("html"))
     kind = rows.schema["id"].dataType.simpleString()
