@@ -20,10 +20,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whole. Windows are compared by 128 bits of hash.
 
     Returns all columns of docs with text_col replaced, and `n_lines`, `removed_lines` (ascending
-    line numbers from 0), which must not be names of docs' columns. Null texts stay null. Texts of
-    fewer than three lines are never changed. Rows that share id and text are one document: what
+    line numbers from 0); columns of these names, or "covered id" and "covered doc", are refused. Null
+    texts stay null. Texts of fewer than three filled lines are never changed, and a repeated
+    passage of one or two lines between unlike lines stays. Rows that share id and text are one document: what
     goes from one goes from the other. Null ids come first. No rows: no rows.
     """
+    if clash := {"n_lines", "removed_lines", "covered id", "covered doc"}.intersection(docs.columns):
+        raise ValueError(f"columns in the way: {sorted(clash)}")
     lines = F.split(text_of(text_col), "\n")
     # windows and their counts are small beside the texts: staged once, read for the counts and for the places
     filled = F.filter(F.transform(lines, lambda x, i: F.struct(i.alias("at"), x.alias("line"))), lambda x: x["line"].rlike(r"[^ \t\r]"))
@@ -42,7 +45,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     joined = docs.join(covered.hint("merge"), docs[id_col].eqNullSafe(F.col("covered id")) & (F.md5(text_of(text_col)) == F.col("covered doc")), "left")
     n = F.size(F.split(text_of(text_col), "\n"))
     kept = F.array_except(F.sequence(F.lit(0), n - 1), F.col("removed_lines"))
-    text = F.when(F.col("removed_lines").isNull(), docs[text_col]).otherwise(F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n"))
+    # an array of one, so that lines and places are made once and not for every line
+    both = F.array(F.struct(lines.alias("lines"), kept.alias("kept")))
+    left = F.transform(both, lambda x: F.array_join(F.transform(x["kept"], lambda i: F.get(x["lines"], i)), "\n"))
+    text = F.when(F.col("removed_lines").isNull(), docs[text_col]).otherwise(F.get(left, 0))
     return joined.select(
         *[text.alias(c) if c == text_col else docs[c] for c in docs.columns],
         F.when(docs[text_col].isNull(), 0).otherwise(n).cast("long").alias("n_lines"),
