@@ -107,8 +107,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block: int = 81
     Equal vectors are one point with a weight. Points, scaled to length 1, lie in blocks around
     pivots; each block has a cover tree. Blocks whose root balls come near enough meet in a task of
     their own, where both trees are walked together: a pair of nodes is dropped if its balls are too
-    far apart, counted whole if they lie near enough, and points left over are compared by the cosine
-    of the vectors as given, in double precision. Links are counted, not listed; each task passes on
+    far apart, counted whole if they lie near enough, and points left over are compared by their cosine
+    in double precision. Links are counted, not listed; each task passes on
     a forest that connects what it linked, and components come from these.
 
     Null vectors, empty, all-zero ones and those with null or non-finite components link with
@@ -123,7 +123,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block: int = 81
     scale = F.array_max(F.transform("v", lambda x: F.abs(x)))
     scaled = F.transform("v", lambda x: x / scale)
     unit = points.select("rep", "weight", scaled.alias("s")).select("rep", "weight", F.col("s"), F.sqrt(F.aggregate("s", F.lit(0.0), lambda t, x: t + x * x)).alias("norm"))
-    unit = unit.select("rep", "weight", F.transform("s", lambda x: x / F.col("norm")).alias("x"))
+    unit = stage(unit.select("rep", "weight", F.transform("s", lambda x: x / F.col("norm")).alias("x")), "vectors-unit")
     grown = stage(trees(unit, block), "trees")
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
     roots = grown.where("parent < 0").select("block", "radius", "point")
@@ -157,7 +157,7 @@ def cosine_links(a, b, a_weight, b_weight, threshold: float, reach: float, same:
     n, m = len(a.x), 0 if same else len(b.x)
     a_sum, b_sum = np.r_[0, np.cumsum(a_weight)], np.r_[0, np.cumsum(b_weight)]
     change = np.zeros(n + m + 1, np.int64)
-    stars: list[np.ndarray] = []
+    label = np.arange(n + m)  # the least point that each is connected with
 
     def least(i, j, by_a):
         r = a.radius[i] + b.radius[j].max() if by_a else b.radius[j] + a.radius[i].max()
@@ -191,7 +191,7 @@ def cosine_links(a, b, a_weight, b_weight, threshold: float, reach: float, same:
                 np.add.at(change, n + b.begin[q], w)
                 np.add.at(change, n + b.end[q], -w)
             shift = 0 if same else n
-            stars.append(np.c_[a.begin[p], a.end[p], b.begin[q] + shift, b.end[q] + shift])
+            _connect(label, a.begin[p], a.end[p], b.begin[q] + shift, b.end[q] + shift)
         return ~whole & ~points & (apart <= reach + both + SLACK)
 
     covertree.dual(a, b, decide, least)
@@ -199,7 +199,8 @@ def cosine_links(a, b, a_weight, b_weight, threshold: float, reach: float, same:
         links = np.r_[np.cumsum(change[:n]), np.cumsum(np.r_[change[n] - _overrun(change, n), change[n + 1 : n + m]])]
     else:
         links = np.cumsum(change[:n])
-    return links, _forest(stars, n + m)
+    moved = np.flatnonzero(label != np.arange(n + m))
+    return links, list(zip(moved.tolist(), label[moved].tolist(), strict=True))
 
 
 def _overrun(change: np.ndarray, n: int) -> int:
@@ -207,25 +208,32 @@ def _overrun(change: np.ndarray, n: int) -> int:
     return -int(change[:n].sum())
 
 
-def _forest(stars: list[np.ndarray], n: int) -> list[tuple[int, int]]:
-    """Edges from points to the least point that they are connected with, of pairs of ranges that are fully linked."""
-    label = np.arange(n)
-    if not stars:
-        return []
-    s = np.concatenate(stars)
-    left = [np.repeat(s[:, 2], s[:, 1] - s[:, 0]), np.repeat(s[:, 0], s[:, 3] - s[:, 2])]
-    spread = lambda lo, hi: np.arange((hi - lo).sum()) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
-    u = np.concatenate(left)
-    v = np.concatenate([spread(s[:, 0], s[:, 1]), spread(s[:, 2], s[:, 3])])
-    while True:
-        before, low = label.copy(), np.minimum(label[u], label[v])
-        np.minimum.at(label, u, low)
-        np.minimum.at(label, v, low)
-        label = label[label]
-        if (label == before).all():
-            break
-    moved = np.flatnonzero(label != np.arange(n))
-    return list(zip(moved.tolist(), label[moved].tolist(), strict=True))
+def _spread(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after another."""
+    n = high - low
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+
+
+def _connect(label: np.ndarray, a0, a1, b0, b1, most: int = 1 << 19) -> None:
+    """Lower labels by pairs of ranges whose points are all linked; nothing of the pairs is kept."""
+    ends = np.cumsum(a1 - a0 + b1 - b0)
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most)))
+        part = slice(at, to)
+        u = np.concatenate([_spread(a0[part], a1[part]), _spread(b0[part], b1[part])])
+        v = np.concatenate([np.repeat(b0[part], (a1 - a0)[part]), np.repeat(a0[part], (b1 - b0)[part])])
+        u, v = label[u], label[v]
+        u, v = u[u != v], v[u != v]
+        while len(u):
+            low = np.minimum(label[u], label[v])
+            before = label.copy()
+            np.minimum.at(label, u, low)
+            np.minimum.at(label, v, low)
+            label[:] = label[label]
+            if (label == before).all():
+                break
+        at = to
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 256, block: int = 8192, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -269,6 +277,17 @@ def _floor(x: Column, scale: int) -> Column:
     return F.when(F.abs(y) < 2.0**52, F.floor(y).cast("double")).otherwise(y)
 
 
+def _levels(tree) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """From the deepest level up: inner nodes, their children one node after another, and where each node's begin."""
+    out, nodes = [], np.array([tree.root])
+    while len(nodes := nodes[tree.n_kids[nodes] > 0]):
+        first, n = tree.first[nodes], tree.n_kids[nodes]
+        kids = tree.kids[_spread(first, first + n)]
+        out.append((nodes, kids, np.cumsum(n) - n))
+        nodes = kids
+    return out[::-1]
+
+
 def best_scores(q, d, q_ids: list, d_ids: list, k: int) -> list[tuple]:
     """(query id, id, score) of each query's k best in this block, or more where scores tie at the end."""
     largest = max(np.abs(q.x).max(), np.abs(d.x).max(), 1.0)
@@ -281,6 +300,7 @@ def best_scores(q, d, q_ids: list, d_ids: list, k: int) -> list[tuple]:
     place = np.full((nq, k), -1)
     floor = np.full(len(q.parent), -np.inf)  # the worst k-th score below a query node
     q_norm, d_norm = np.sqrt(q.norm), np.sqrt(d.norm)
+    levels = _levels(q)
 
     def offer(i, j, s):
         """Put candidates j with scores s to queries i; then raise the floors."""
@@ -298,8 +318,8 @@ def best_scores(q, d, q_ids: list, d_ids: list, k: int) -> list[tuple]:
         score[rows], place[rows] = -np.inf, -1
         score[rows[i2[top]], nth[top]], place[rows[i2[top]], nth[top]] = s2[top], j2[top]
         floor[:nq] = score[:, k - 1]
-        for node in range(len(q.parent) - 1, nq - 1, -1):
-            floor[node] = floor[q.kids[q.first[node] : q.first[node] + q.n_kids[node]]].min()
+        for nodes, kids, starts in levels:
+            floor[nodes] = np.minimum.reduceat(floor[kids], starts)
 
     def bound(i, j, dots):
         rq, rd = q.radius[i], d.radius[j]
