@@ -94,13 +94,14 @@ def _count(batches):
             yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in part], pa.string()), pa.array([y] * len(part), pa.int32()), pa.array([n for _, n in part], pa.int64())], names=["feature", "y", "n"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features: int = 4096, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> OrdinalModel:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, least_gain: float = 10.83, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> OrdinalModel:
     """Fit severity grades on at most max_rows labelled documents, taken by a hash of their ids.
 
     The labels say toxic or not. Grades: 0 for a clean text; for a toxic one 1 or 2, as its share of
-    words with a feature of the toxic side is below the toxic texts' median or not. Features are those
-    with the highest log-likelihood gain for the toxic class, which at least five texts of it have,
-    three times as often as clean ones. Texts are rejected from the severity that gives the best F1
+    words with a feature of the toxic side is below the toxic texts' median or not; so the middle
+    threshold orders texts by how much of them is toxic, not by a reader's grade. Features are all those
+    whose log-likelihood ratio between toxic and clean texts is least_gain or more (10.83: one in a
+    thousand by chance), whichever side they speak for. Texts are rejected from the severity that gives the best F1
     on the sample, of those at which at most one clean text in a thousand is rejected.
 
     Null labels and ids are left out; of labels that disagree the highest counts; documents that
@@ -117,9 +118,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
         return OrdinalModel({}, [40.0, 41.0], 1.0)
     counts = sample.select(F.least("y", F.lit(1)).alias("y"), "text").mapInArrow(_count, "feature string, y int, n long")
     side = counts.groupBy("feature").agg(F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("a"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("b"))
-    odds = ((F.col("a") + 0.5) / (n1 + 1)) / ((F.col("b") + 0.5) / (n0 + 1))
-    best = side.where((F.col("a") >= 5) & (odds > 3)).select("feature", (F.col("a") * F.log(odds)).alias("gain")).orderBy(F.desc("gain"), "feature").limit(max_features).collect()
-    chosen = {r["feature"]: k for k, r in enumerate(best)}
+    part = lambda seen, share: F.when(seen > 0, seen * F.log(seen / ((F.col("a") + F.col("b")) * share))).otherwise(0.0)
+    rest = lambda n, seen, share: F.when(seen < n, (n - seen) * F.log((n - seen) / ((n0 + n1 - F.col("a") - F.col("b")) * share))).otherwise(0.0)
+    s1, s0 = n1 / (n0 + n1), n0 / (n0 + n1)
+    gain = 2 * (part(F.col("a"), s1) + part(F.col("b"), s0) + rest(n1, F.col("a"), s1) + rest(n0, F.col("b"), s0))
+    # features of max_rows texts at most
+    best = side.where(gain >= least_gain).select("feature", (F.col("a") * n0 > F.col("b") * n1).alias("toxic")).orderBy("feature").collect()
+    chosen, speaks = {r["feature"]: k for k, r in enumerate(best)}, {r["feature"] for r in best if r["toxic"]}
     if not chosen:
         return OrdinalModel({}, [40.0, 41.0], 1.0)
 
@@ -128,9 +133,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
             found, share = [], []
             for text in b.column(2).to_pylist():
                 words = WORD.findall(text.lower())
-                hit = [w for w in words if any(f in chosen for f in word_features(w))]
-                found.append(sorted({chosen[f] for w in set(hit) for f in word_features(w) if f in chosen}))
-                share.append(len(hit) / max(1, len(words)))
+                hit = sum(any(f in speaks for f in word_features(w)) for w in words)
+                found.append(sorted({chosen[f] for w in set(words) for f in word_features(w) if f in chosen}))
+                share.append(hit / max(1, len(words)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.list_(pa.int32())), pa.array(share, pa.float64())], names=["id", "y", "columns", "share"])
 
     kind = sample.schema["id"].dataType.simpleString()
@@ -153,9 +158,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, max_features
 def score(docs: DataFrame, model: OrdinalModel, keep: list[str], text_col: str = "text", out: str = "severity") -> DataFrame:
     """Columns `keep` of every document and its expected severity (0 to the highest grade) in `out`.
 
-    Whole texts are read. Null and empty texts have no features. `out` must not be among `keep`;
+    Whole texts are read. Null and empty texts have no features. `out` among `keep` is refused;
     other columns may have any names. No row is dropped.
     """
+    if out in keep:
+        raise ValueError(f"{out} is among the columns to keep")
     rows = docs.select(*keep, text_of(text_col).alias(text_col + " for severity"))
     last, schema = len(keep), docs.select(*keep, F.lit(0.0).alias(out)).schema
     weights = model.weights
