@@ -157,7 +157,7 @@ def _coder(path: str, pattern: str) -> tuple[Merges, ChunkIds]:
         ids = dict(zip(words, merges.replay([w.encode("utf8") for w in words]), strict=True))
         return [b"".join([ids[w] for w in p]) for p in pieces]
 
-    return merges, ChunkIds(many, keep=250_000)
+    return merges, ChunkIds(many, keep=160_000)
 
 
 def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = 8 << 20) -> DataFrame:

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset."""
+    """The folder all executors share: spark.checkpoint.dir; a temporary one where it is unset and Spark runs on this machine alone."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-stages-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -17,9 +17,7 @@ def _tokenizer(path: str):
     limit_threads()
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # the strings of special tokens are ordinary text
-    return t
+    return Tokenizer.from_file(path)
 
 
 def vocabulary_size(path: str) -> int:
@@ -69,4 +67,14 @@ def encoder(path: str, dtype: str) -> Callable[[list[str]], list[bytes]]:
             out[k] = b
         return out
 
-    return ChunkIds(many)
+    added, plain = [x.content for x in t.get_added_tokens_decoder().values()], ChunkIds(many)
+
+    def some(texts: list[str]) -> list[bytes]:
+        """Texts that hold an added token are encoded as they stand, as it may lie across chunks."""
+        odd = {k for k, x in enumerate(texts) if any(a in x for a in added)}
+        if not odd:
+            return plain(texts)
+        out = iter(plain([x for k, x in enumerate(texts) if k not in odd]))
+        return [each([x])[0] if k in odd else next(out) for k, x in enumerate(texts)]
+
+    return some

@@ -212,3 +212,22 @@ def test_top_k_of_vectors_beyond_doubles(spark):
     df = spark.createDataFrame([(0, [1e18, 1.0]), (1, [1.0, 3.0]), (2, [2.0, 0.0])], "vec_id long, embedding array<double>")
     got = [(r["vec_id"], r["score"]) for r in vectors.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
     assert got == [(2, 2**63 - 1), (1, 2**63 - 1)] or got == [(1, 2**63 - 1), (2, 2**63 - 1)]
+
+
+def test_a_dense_group_needs_little_memory():
+    import tracemalloc
+
+    from sequora.llm import covertree
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=16) + rng.normal(size=(3000, 16)) * 0.16
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    order, tree = covertree.build(x)
+    tracemalloc.start()
+    links, edges = vectors.cosine_links(tree, tree, np.ones(3000, np.int64), np.ones(3000, np.int64), 0.95, float(np.sqrt(0.1)), True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    close = tree.x @ tree.x.T >= 0.95
+    assert (links == close.sum(1) - 1).all() and peak < 400e6
+    assert len({v for v in components(range(3000), edges).values()}) == len({v for v in components(range(3000), np.argwhere(np.triu(close, 1)).tolist()).values()})
+    assert len(order) == 3000

@@ -30,7 +30,6 @@ def docs(spark, texts):
 @pytest.fixture(scope="module")
 def ids(texts):
     t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
