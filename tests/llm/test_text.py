@@ -144,7 +144,7 @@ def test_language_model_counts(spark):
 def test_class_model_adds_up_and_learns():
     word = np.tile([3, 4, 5], 4000)
     counts = language_model.Counts(0, 0, 0, {b"a": 3}, np.array([2, 4000, 0, 4000, 4000, 4000]), np.array([1, 0]), 1)
-    model = language_model._of_classes(counts, 6, 8)
+    model = language_model._of_classes(counts, (6, 6), 8)
     context = [np.roll(word, 1), np.roll(word, 2)]
     before = model.log10(context, word).mean()
     model.train(context, word)
@@ -178,7 +178,8 @@ def test_words_of_a_class_add_up():
     counts = language_model.Counts(0, 0, 0, {b"a": 3}, np.zeros(0), np.array([1, 0]), 3)
     places = [(b, *map(int, x)) for b in (0, 1) for x in zip(*counts.split(b, np.arange(int(counts.own[b]), 20)))]
     assert len(set(places)) == 39 and {c for _, c, _ in places} == set(range(4, 10))
-    assert language_model.unpacked(language_model.packed([np.arange(3, dtype="<i4"), np.arange(3, dtype="<u2")]), ("<i4", "<u2"))[1].tolist() == [0, 1, 2]
+    columns = [np.array([3, 3, 254, 255, 600, 10**9]), np.array([0, 255, 256, 65535, 65536, 2**24 - 1]), np.arange(6)]
+    assert [c.tolist() for c in language_model.unpacked(language_model.packed(columns), 3)] == [c.tolist() for c in columns]
 
 
 def test_language_model_empty(spark):
