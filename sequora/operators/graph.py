@@ -106,23 +106,23 @@ def temporal_invariants(t: dict[str, DataFrame]) -> DataFrame:
     out = []
     for d in DATASETS:
         df = t[d.name]
-        if d.kind == "entity":
+        if d.role == "entity":
             out.append(as_gates(df.agg(count_if(known((F.col("first_seen_seq") <= 0) | (F.col("first_seen_ts_ms") <= 0) | ~fn.opaque_id(F.col(d.key))), f"{d.name}: vertex"))))
-        elif d.kind == "event":
-            extra = bad_label() if d.name == "Transfer" else known(F.lower("payment_rail") == "zelle")
+        elif d.role == "event":
+            extra = bad_label() if d.name == "Zelle_Transfer" else known(F.lower("payment_rail") == "zelle")
             out.append(as_gates(df.agg(count_if(event_value() | extra, f"{d.name}: vertex"))))
         else:
-            source, target = BY_NAME[d.source], BY_NAME[d.target]
-            tenure = d.kind == "association"
-            a = t[d.source].select(F.col(source.key).alias("_a"), *[F.col(c).alias(n) for c, n in ((("first_seen_seq", "_as"), ("first_seen_ts_ms", "_am")) if tenure else (("event_seq", "_as"), ("event_ts_ms", "_am")))])
-            z = t[d.target].select(F.col(target.key).alias("_z"), F.col("first_seen_seq").alias("_zs"), F.col("first_seen_ts_ms").alias("_zm"))
+            source, target = BY_NAME[d.ends.source], BY_NAME[d.ends.target]
+            tenure = d.role == "association"
+            a = t[d.ends.source].select(F.col(source.key).alias("_a"), *[F.col(c).alias(n) for c, n in ((("first_seen_seq", "_as"), ("first_seen_ts_ms", "_am")) if tenure else (("event_seq", "_as"), ("event_ts_ms", "_am")))])
+            z = t[d.ends.target].select(F.col(target.key).alias("_z"), F.col("first_seen_seq").alias("_zs"), F.col("first_seen_ts_ms").alias("_zm"))
             joined = df.join(a, F.col("from_id") == F.col("_a")).join(z, F.col("to_id") == F.col("_z"))
             if tenure:
                 bad = bad_interval() | known((F.col("_as") > F.col("valid_from_seq")) | (F.col("_zs") > F.col("valid_from_seq")))
             else:
                 bad = known((F.col("event_seq") != F.col("_as")) | (F.col("event_ts_ms") != F.col("_am")) | (F.col("_zs") > F.col("event_seq")) | (F.col("_zm") > F.col("event_ts_ms")))
             out.append(as_gates(joined.agg(count_if(bad, f"{d.name}: edge"))))
-            out.append(as_gates(orphans(reverse(df), "from_id", t[d.target], target.key, f"{d.reverse}: target")))
+            out.append(as_gates(orphans(reverse(df), "from_id", t[d.ends.target], target.key, f"{d.ends.reverse}: target")))
     return union(out)
 
 

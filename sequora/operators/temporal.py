@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sequora import functions as fn
 from sequora.operators.gates import as_gates, beside, count_if, repeated, rows_of, union
-from sequora.sources.contracts import BY_NAME, DATASETS, Dataset
+from sequora.sources.contracts import BY_NAME, DATASETS, TAKES_PART, Table
 from sequora.sources.readers import bad_value, out_of_range, typed
 
 
@@ -20,14 +20,14 @@ def known(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def raw_checks(d: Dataset, raw: DataFrame) -> DataFrame:
+def raw_checks(d: Table, raw: DataFrame) -> DataFrame:
     return as_gates(raw.agg(count_if(bad_value(d), f"{d.name}: source values"), count_if(out_of_range(d), f"{d.name}: unsigned range")))
 
 
-def entity_checks(d: Dataset, t: DataFrame) -> DataFrame:
+def entity_checks(d: Table, t: DataFrame) -> DataFrame:
     k = F.col(d.key)
     identity = (F.count("*") - F.countDistinct(k) + F.count_if(known(k == ""))).alias(f"{d.name}: identity")
-    if d.kind == "event":
+    if d.role == "event":
         return as_gates(t.agg(identity, count_if(event_value(), f"{d.name}: event values")))
     first = known((F.col("first_seen_seq") <= 0) | (F.col("first_seen_ts_ms") <= 0))
     return as_gates(t.agg(identity, count_if(first, f"{d.name}: first observation"), count_if(known(~fn.opaque_id(k)), f"{d.name}: opaque ids")))
@@ -41,12 +41,12 @@ def event_value() -> Column:
     return known(clock) | known((amount < 0) | F.isnan(amount) | (F.abs(amount) == float("inf"))) | known(~present & (amount != 0))
 
 
-def edge_checks(d: Dataset, t: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    source, target = BY_NAME[d.source], BY_NAME[d.target]
-    tenure = d.kind == "association"
+def edge_checks(d: Table, t: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    source, target = BY_NAME[d.ends.source], BY_NAME[d.ends.target]
+    tenure = d.role == "association"
     start, clock = ("valid_from_seq", "first_seen_seq") if tenure else ("event_seq", "event_seq")
-    a = tables[d.source].select(F.col(source.key).alias("_a"), F.col(clock).alias("_a_clock"), *([] if tenure else [F.col("event_ts_ms").alias("_a_ms")]))
-    z = tables[d.target].select(F.col(target.key).alias("_z"), F.col("first_seen_seq").alias("_z_clock"))
+    a = tables[d.ends.source].select(F.col(source.key).alias("_a"), F.col(clock).alias("_a_clock"), *([] if tenure else [F.col("event_ts_ms").alias("_a_ms")]))
+    z = tables[d.ends.target].select(F.col(target.key).alias("_z"), F.col("first_seen_seq").alias("_z_clock"))
     ends = t.join(a, F.col("from_id") == F.col("_a"), "left").join(z, F.col("to_id") == F.col("_z"), "left")
     bad = F.col("_a").isNull() | F.col("_z").isNull() | known(F.col("_a_clock") > F.col(start)) | known(F.col("_z_clock") > F.col(start))
     measures = [count_if(bad, f"{d.name}: endpoints")]
@@ -88,12 +88,12 @@ def running_back(rows: DataFrame, bucket: int = 1_000_000) -> DataFrame:
 def witnesses(tables: dict[str, DataFrame]) -> DataFrame:
     """Every (sequence, time) pair that the tables state: events, first observations, label clocks."""
     stamp = lambda df, s, m: df.select(F.col(s).alias("event_seq"), F.col(m).alias("event_ts_ms"))
-    out = [events(tables)] + [stamp(tables[d.name], "first_seen_seq", "first_seen_ts_ms") for d in DATASETS if d.kind == "entity"]
-    return union([*out, stamp(tables["Transfer"].where("label_known"), "label_available_seq", "label_available_ts_ms")])
+    out = [events(tables)] + [stamp(tables[d.name], "first_seen_seq", "first_seen_ts_ms") for d in DATASETS if d.role == "entity"]
+    return union([*out, stamp(tables["Zelle_Transfer"].where("label_known"), "label_available_seq", "label_available_ts_ms")])
 
 
 def events(tables: dict[str, DataFrame]) -> DataFrame:
-    return union([tables[n].select("event_seq", "event_ts_ms") for n in ("Payment", "Transfer")])
+    return union([tables[n].select("event_seq", "event_ts_ms") for n in ("Payment_Transaction", "Zelle_Transfer")])
 
 
 def bad_label() -> Column:
@@ -116,16 +116,16 @@ def unbound(tokens: DataFrame, accounts: DataFrame, bindings: DataFrame) -> Data
     return used.join(held, (F.col("_token") == F.col("_t")) & (F.col("_account") == F.col("_a")) & fn.visible("valid_from_seq", "valid_to_seq", "_seq"), "left_anti")
 
 
-def without_role(e: Dataset, tables: dict[str, DataFrame], role: str) -> DataFrame:
+def without_role(e: Table, tables: dict[str, DataFrame], role: str) -> DataFrame:
     out = tables[e.name]
     for kind in ("Account", "Token"):
-        out = out.join(tables[f"{e.name}_{role}_{kind}"].select(F.col("from_id").alias("_f")), F.col(e.key) == F.col("_f"), "left_anti")
+        out = out.join(tables[f"{TAKES_PART[e.name]}_{role}_{kind}"].select(F.col("from_id").alias("_f")), F.col(e.key) == F.col("_f"), "left_anti")
     return out
 
 
 def across_tables(t: dict[str, DataFrame]) -> DataFrame:
     """Checks that take more than one table, or are of one table only."""
-    p, z, both = t["Payment"], t["Transfer"], events(t)
+    p, z, both = t["Payment_Transaction"], t["Zelle_Transfer"], events(t)
     clock = witnesses(t)
     n = lambda df, name: as_gates(rows_of(df, name))
     frames = [
@@ -137,7 +137,7 @@ def across_tables(t: dict[str, DataFrame]) -> DataFrame:
         as_gates(z.agg(count_if(bad_label(), "label availability"))),
         n(clock.groupBy("event_seq").agg(F.min("event_ts_ms").alias("a"), F.max("event_ts_ms").alias("b")).where("a <> b"), "common clock witnesses"),
         n(running_back(clock.distinct()), "chronological clock witnesses"),
-        *[n(without_role(BY_NAME[e], t, r), f"{e}: {r} role present") for e in ("Transfer", "Payment") for r in ("From", "To")],
+        *[n(without_role(BY_NAME[e], t, r), f"{e}: {r} role present") for e in ("Zelle_Transfer", "Payment_Transaction") for r in ("From", "To")],
         n(clashing_bindings(t["Token_Bound_To_Account"]), "exclusive token account tenures"),
         *[n(unbound(t[f"Transfer_{r}_Token"], t[f"Transfer_{r}_Account"], t["Token_Bound_To_Account"]), f"Transfer {r}: visible binding") for r in ("From", "To")],
         as_gates(t["Account"].agg(count_if(known(~F.col("is_mule").isin(-1, 0, 1)), "account mule flag"), count_if(known(F.col("mule_ring_id") < -1), "account mule ring"))),
@@ -159,5 +159,5 @@ def audit(raw: dict[str, DataFrame]) -> DataFrame:
     """Every check of the contract over the raw text tables."""
     t = typed_tables(raw)
     own = [raw_checks(d, raw[d.name]) for d in DATASETS]
-    shape = [edge_checks(d, t[d.name], t) if d.source else entity_checks(d, t[d.name]) for d in DATASETS]
+    shape = [edge_checks(d, t[d.name], t) if d.ends else entity_checks(d, t[d.name]) for d in DATASETS]
     return union([*own, *shape, across_tables(t)])

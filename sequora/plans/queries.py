@@ -280,14 +280,14 @@ def add_temporal(name: str, frame: Callable[[dict[str, DataFrame]], DataFrame],
         ORACLE_SQL[name] = compose(sql, T_BROKEN if broken else T_CLEAN)
 
 
-ENTITIES, EVENTS = [d.name for d in TEMPORAL if d.kind == "entity"], [d.name for d in TEMPORAL if d.kind == "event"]
-TENURES, PARTS_OF = [d.name for d in TEMPORAL if d.kind == "association"], [d.name for d in TEMPORAL if d.kind == "participation"]
+ENTITIES, EVENTS = [d.name for d in TEMPORAL if d.role == "entity"], [d.name for d in TEMPORAL if d.role == "event"]
+TENURES, PARTS_OF = [d.name for d in TEMPORAL if d.role == "association"], [d.name for d in TEMPORAL if d.role == "participation"]
 
 
 def _shape(names: list[str]) -> Callable:
     def frame(raw):
         t = mul.typed_tables(raw)
-        return gates.union([mul.edge_checks(TABLES[n], t[n], t) if TABLES[n].source else mul.entity_checks(TABLES[n], t[n]) for n in names])
+        return gates.union([mul.edge_checks(TABLES[n], t[n], t) if TABLES[n].ends else mul.entity_checks(TABLES[n], t[n]) for n in names])
 
     return frame
 
@@ -307,7 +307,7 @@ for broken in (False, True):
     add_temporal(f"mul_across_tables{end}", lambda raw: mul.across_tables(mul.typed_tables(raw)), ACROSS, broken)
     add_temporal(f"mul_distributions{end}", lambda raw: mul.distributions(mul.typed_tables(raw)["Account"]), "SELECT 'is_mule' AS attribute, is_mule::INT AS value, count(*) AS accounts FROM Account GROUP BY 2 UNION ALL SELECT 'mule_ring_id', mule_ring_id::INT, count(*) FROM Account GROUP BY 2", broken)
     add_temporal(f"val_temporal_invariants{end}", lambda raw: graph.temporal_invariants(mul.typed_tables(raw)), tsql.rows(INVARIANTS), broken)
-add_temporal("src_typed_view", lambda raw: mul.typed_tables(raw)["Transfer"].select("transfer_id", F.col("event_seq").cast("long").alias("event_seq"), "amount", "amount_present", "label_known", "fraud_label"), "SELECT transfer_id, event_seq::BIGINT AS event_seq, amount, amount_present, label_known, fraud_label FROM Transfer", False)
+add_temporal("src_typed_view", lambda raw: mul.typed_tables(raw)["Zelle_Transfer"].select("transfer_id", F.col("event_seq").cast("long").alias("event_seq"), "amount", "amount_present", "label_known", "fraud_label"), "SELECT transfer_id, event_seq::BIGINT AS event_seq, amount, amount_present, label_known, fraud_label FROM Zelle_Transfer", False)
 add_temporal("rel_tenures_at_seed", lambda raw: mul.typed_tables(raw)["Token_Bound_To_Account"].where(fn.visible("valid_from_seq", "valid_to_seq", 700)).select("from_id", "to_id", F.col("valid_from_seq").cast("long").alias("valid_from_seq")), "SELECT from_id, to_id, valid_from_seq::BIGINT AS valid_from_seq FROM Token_Bound_To_Account WHERE valid_from_seq<=700 AND (valid_to_seq=0 OR 700<valid_to_seq)", True)
 
 
@@ -316,7 +316,11 @@ def _folder(spark: SparkSession) -> str:
     import tempfile
     import uuid
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-export-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-export-")
     return f"{base.rstrip('/')}/export-{uuid.uuid4().hex}"
 
 

@@ -180,8 +180,8 @@ def temporal(spark: SparkSession, sf_dir: str, mutated: bool = False) -> dict[st
         "Device": device.select("id", lit("unknown").alias("device_type"), *stamps(device)),
         "IP": ip.select("id", *stamps(ip)),
         "Address": address.select(F.col("id").alias("address_id"), *stamps(address), lit("unknown").alias("country_code")),
-        "Payment": payment.select(F.concat(lit("T"), text("event_id")).alias("transaction_id"), text(F.coalesce(F.abs("value"), lit(0.0))).alias("amount"), lit("USD").alias("currency"), lit("ach").alias("payment_rail"), lit("digital").alias("channel"), when.alias("event_time"), num("ms").alias("event_ts_ms"), num("seq").alias("event_seq"), F.when(F.col("value").isNull(), "false").otherwise("true").alias("amount_present")),
-        "Transfer": transfer.select(F.concat(lit("Z"), text("event_id")).alias("transfer_id"), when.alias("event_time"), num("ms").alias("event_ts_ms"), num("seq").alias("event_seq"), text(F.coalesce(F.abs("value"), lit(0.0))).alias("amount"), F.when(F.col("value").isNull(), "false").otherwise("true").alias("amount_present"), lit("USD").alias("currency"), lit("digital").alias("channel"), F.when(fraud, "1").otherwise("-1").alias("fraud_label"), F.when(fraud, "true").otherwise("false").alias("label_known"), F.when(fraud, num(F.col("seq") + 1)).otherwise("0").alias("label_available_seq"), F.when(fraud, num("ms")).otherwise("0").alias("label_available_ts_ms")),
+        "Payment_Transaction": payment.select(F.concat(lit("T"), text("event_id")).alias("transaction_id"), text(F.coalesce(F.abs("value"), lit(0.0))).alias("amount"), lit("USD").alias("currency"), lit("ach").alias("payment_rail"), lit("digital").alias("channel"), when.alias("event_time"), num("ms").alias("event_ts_ms"), num("seq").alias("event_seq"), F.when(F.col("value").isNull(), "false").otherwise("true").alias("amount_present")),
+        "Zelle_Transfer": transfer.select(F.concat(lit("Z"), text("event_id")).alias("transfer_id"), when.alias("event_time"), num("ms").alias("event_ts_ms"), num("seq").alias("event_seq"), text(F.coalesce(F.abs("value"), lit(0.0))).alias("amount"), F.when(F.col("value").isNull(), "false").otherwise("true").alias("amount_present"), lit("USD").alias("currency"), lit("digital").alias("channel"), F.when(fraud, "1").otherwise("-1").alias("fraud_label"), F.when(fraud, "true").otherwise("false").alias("label_known"), F.when(fraud, num(F.col("seq") + 1)).otherwise("0").alias("label_available_seq"), F.when(fraud, num("ms")).otherwise("0").alias("label_available_ts_ms")),
     }
     pairs = {"Party_Owns_Account": ("party", "sender"), "Party_Uses_Token": ("party", "s_token"), "Party_Uses_Device": ("party", "device"), "Account_Uses_Device": ("sender", "device"), "Party_Uses_IP": ("party", "ip"), "Party_Has_Address": ("party", "address")}
     tenure = lambda rows: rows.select("from_id", "to_id", num("s").alias("valid_from_seq"), lit("0").alias("valid_to_seq"), lit("1").alias("confidence"), lit("synthetic_registry").alias("source_system"))
@@ -190,7 +190,7 @@ def temporal(spark: SparkSession, sf_dir: str, mutated: bool = False) -> dict[st
     bound = base.select(F.col("s_token").alias("from_id"), F.col("sender").alias("to_id"), "seq").union(base.select("r_token", "receiver", "seq"))
     out["Token_Bound_To_Account"] = tenure(bound.groupBy("from_id", "to_id").agg(F.min("seq").alias("s")))
     roles = {"From_Account": "sender", "To_Account": "receiver", "From_Token": "s_token", "To_Token": "r_token", "Used_Device": "device", "Used_IP": "ip"}
-    for e, rows, prefix in (("Transfer", transfer, "Z"), ("Payment", payment, "T")):
+    for e, rows, prefix in (("Transfer", transfer, "Z"), ("Transaction", payment, "T")):
         for role, c in roles.items():
             out[f"{e}_{role}"] = rows.select(F.concat(lit(prefix), text("event_id")).alias("from_id"), F.col(c).alias("to_id"), num("ms").alias("event_ts_ms"), num("seq").alias("event_seq"))
     if mutated:
@@ -214,17 +214,17 @@ def mutate(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     change("Device", "first_seen_seq", picked("id", 6), "999999999")
     change("IP", "first_seen_seq", picked("id", 7), "0")
     change("Address", "first_seen_seq", picked("address_id", 8), "99999999999999999999")
-    change("Payment", "payment_rail", picked("transaction_id", 9), "Zelle")
-    change("Payment", "amount", picked("transaction_id", 10), "-1")
-    change("Payment", "event_ts_ms", picked("transaction_id", 11), "5000")
-    change("Transfer", "label_available_seq", (F.col("label_known") == "true") & picked("transfer_id", 12), "1")
-    change("Transfer", "transfer_id", picked("transfer_id", 13), "T0")
+    change("Payment_Transaction", "payment_rail", picked("transaction_id", 9), "Zelle")
+    change("Payment_Transaction", "amount", picked("transaction_id", 10), "-1")
+    change("Payment_Transaction", "event_ts_ms", picked("transaction_id", 11), "5000")
+    change("Zelle_Transfer", "label_available_seq", (F.col("label_known") == "true") & picked("transfer_id", 12), "1")
+    change("Zelle_Transfer", "transfer_id", picked("transfer_id", 13), "T0")
     change("Transfer_Used_Device", "event_seq", picked("from_id", 14), "12")
     change("Token_Bound_To_Account", "valid_to_seq", picked("from_id", 15), "900")
     change("Party_Uses_IP", "confidence", picked("to_id", 16), "1.5")
     t["Party_Owns_Account"] = t["Party_Owns_Account"].union(t["Party_Owns_Account"].where(picked("from_id", 17)).withColumn("valid_from_seq", F.lit("77777")))
     t["Token_Bound_To_Account"] = t["Token_Bound_To_Account"].union(t["Token_Bound_To_Account"].where(picked("from_id", 18)).withColumn("to_id", F.concat(F.lit("a_"), F.md5("to_id"))))
-    t["Payment_From_Account"] = t["Payment_From_Account"].where(~picked("from_id", 22))
-    t["Payment_From_Token"] = t["Payment_From_Token"].where(~picked("from_id", 22))
-    t["Payment_Used_IP"] = t["Payment_Used_IP"].union(t["Payment_Used_IP"].where(picked("from_id", 21)))
+    t["Transaction_From_Account"] = t["Transaction_From_Account"].where(~picked("from_id", 22))
+    t["Transaction_From_Token"] = t["Transaction_From_Token"].where(~picked("from_id", 22))
+    t["Transaction_Used_IP"] = t["Transaction_Used_IP"].union(t["Transaction_Used_IP"].where(picked("from_id", 21)))
     return t

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sequora.functions import any_of
-from sequora.sources.contracts import SOURCE_COLUMNS, SPARK_TYPES, Dataset
+from sequora.sources.contracts import SOURCE_COLUMNS, Table, declared
 
 UINT_MAX = 2**64 - 1
 
@@ -23,31 +23,32 @@ def load(spark: SparkSession, folder: str, format: str = "parquet", tables: dict
     return {t: spark.read.format(format).options(**options).schema(text_schema(c)).load(f"{folder.rstrip('/')}/{t}") for t, c in tables.items()}
 
 
-def typed(d: Dataset, raw: DataFrame) -> DataFrame:
+def typed(d: Table, raw: DataFrame) -> DataFrame:
     """Declared types in one projection; nullable strings read null as empty; what can't be cast is null."""
-    return raw.select(*[(F.coalesce(F.col(n), F.lit("")) if n in d.nullable else F.col(n)).try_cast(SPARK_TYPES[k]).alias(n) for n, k in d.fields])
+    value = lambda f: F.coalesce(F.col(f.name), F.lit("")) if "empty_for_null" in f.metadata else F.col(f.name)
+    return raw.select(*[value(f).try_cast(f.dataType).alias(f.name) for f in d.schema])
 
 
-def bad_value(d: Dataset) -> Column:
+def bad_value(d: Table) -> Column:
     """Whether a raw row has a value that the contract or a delimited file can't carry.
 
     A comparison with null is false here, as a null is counted by its own test, or allowed.
     """
     tests = []
-    for n, kind in d.fields:
-        c = F.col(n)
-        if n not in d.nullable:
+    for field in d.schema:
+        c = F.col(field.name)
+        if "empty_for_null" not in field.metadata:
             tests.append(c.isNull())
-        bad = {"UINT": ~c.rlike(r"\A[0-9]+\z"), "INT": ~c.rlike(r"\A-?[0-9]+\z"), "BOOL": ~F.lower(c).isin("true", "false"), "STRING": c.rlike(r'[|\\\r\n\t"]')}.get(kind)
+        bad = {"UINT": ~c.rlike(r"\A[0-9]+\z"), "INT": ~c.rlike(r"\A-?[0-9]+\z"), "BOOL": ~F.lower(c).isin("true", "false"), "STRING": c.rlike(r'[|\\\r\n\t"]')}.get(declared(field))
         if bad is not None:
             tests.append(F.coalesce(bad, F.lit(False)))
     return any_of(tests)
 
 
-def out_of_range(d: Dataset) -> Column:
+def out_of_range(d: Table) -> Column:
     """Whether an unsigned value of a raw row lies beyond 64 bits."""
     number = lambda c: F.col(c).try_cast("decimal(38,0)")
-    return any_of([F.coalesce((number(c) < 0) | (number(c) > F.lit(str(UINT_MAX)).cast("decimal(38,0)")), F.lit(False)) for c in d.of("UINT")])
+    return any_of([F.coalesce((number(c) < 0) | (number(c) > F.lit(str(UINT_MAX)).cast("decimal(38,0)")), F.lit(False)) for c in (f.name for f in d.schema if declared(f) == "UINT")])
 
 
 def inventory(tables: dict[str, DataFrame], expected: list[str]) -> DataFrame:

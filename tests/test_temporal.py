@@ -16,16 +16,16 @@ ROWS = {
     "Device": [(D, "unknown", "1", "1000")],
     "IP": [(I, "1", "1000")],
     "Address": [(H, "1", "1000", "unknown")],
-    "Payment": [("T1", "10", "USD", "ach", "digital", "1970-01-01 00:00:05", "5000", "5", "true")],
-    "Transfer": [("T2", "1970-01-01 00:00:10", "10000", "10", "10", "true", "USD", "digital", "0", "true", "11", "10000")],
+    "Payment_Transaction": [("T1", "10", "USD", "ach", "digital", "1970-01-01 00:00:05", "5000", "5", "true")],
+    "Zelle_Transfer": [("T2", "1970-01-01 00:00:10", "10000", "10", "10", "true", "USD", "digital", "0", "true", "11", "10000")],
 }
-ENDS = {"Party": P, "Account": A, "Token": T, "Device": D, "IP": I, "Address": H, "Payment": "T1", "Transfer": "T2"}
-CLOCK = {"Payment": ("5000", "5"), "Transfer": ("10000", "10")}
+ENDS = {"Party": P, "Account": A, "Token": T, "Device": D, "IP": I, "Address": H, "Payment_Transaction": "T1", "Zelle_Transfer": "T2"}
+CLOCK = {"Payment_Transaction": ("5000", "5"), "Zelle_Transfer": ("10000", "10")}
 for _d in DATASETS:
-    if _d.kind == "association":
-        ROWS[_d.name] = [(ENDS[_d.source], ENDS[_d.target], "2", "0", "1", "synthetic_registry")]
-    elif _d.kind == "participation":
-        ROWS[_d.name] = [(ENDS[_d.source], ENDS[_d.target], *CLOCK[_d.source])]
+    if _d.role == "association":
+        ROWS[_d.name] = [(ENDS[_d.ends.source], ENDS[_d.ends.target], "2", "0", "1", "synthetic_registry")]
+    elif _d.role == "participation":
+        ROWS[_d.name] = [(ENDS[_d.ends.source], ENDS[_d.ends.target], *CLOCK[_d.ends.source])]
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +37,7 @@ def failing(tables, *names):
     """Names of failed checks of the given tables, and across tables where none are given."""
     t = temporal.typed_tables(tables)
     frames = [temporal.raw_checks(d, tables[d.name]) for d in DATASETS if d.name in names]
-    frames += [temporal.edge_checks(d, t[d.name], t) if d.source else temporal.entity_checks(d, t[d.name]) for d in DATASETS if d.name in names]
+    frames += [temporal.edge_checks(d, t[d.name], t) if d.ends else temporal.entity_checks(d, t[d.name]) for d in DATASETS if d.name in names]
     frames = frames or [temporal.across_tables(t)]
     out = frames[0]
     for f in frames[1:]:
@@ -50,7 +50,7 @@ def changed(raw, table, **cells):
 
 
 def test_the_fixture_passes(raw):
-    assert failing(raw, "Party", "Account", "Payment", "Transfer", "Party_Owns_Account", "Transfer_Used_Device") == set()
+    assert failing(raw, "Party", "Account", "Payment_Transaction", "Zelle_Transfer", "Party_Owns_Account", "Transfer_Used_Device") == set()
     assert failing(raw) == set()
 
 
@@ -68,8 +68,8 @@ def test_the_fixture_passes(raw):
         ("Party", {"id": "person@example.com"}, "Party: opaque ids"),
         ("IP", {"first_seen_seq": "18446744073709551616"}, "IP: unsigned range"),
         ("Transfer_Used_Device", {"event_seq": "12"}, "Transfer_Used_Device: repeated clocks"),
-        ("Payment", {"amount_present": "false"}, "Payment: event values"),
-        ("Payment", {"amount": "NaN"}, "Payment: event values"),
+        ("Payment_Transaction", {"amount_present": "false"}, "Payment_Transaction: event values"),
+        ("Payment_Transaction", {"amount": "NaN"}, "Payment_Transaction: event values"),
         ("Party_Uses_IP", {"confidence": "1.5"}, "Party_Uses_IP: intervals"),
     ],
 )
@@ -99,10 +99,10 @@ def test_overlapping_tenures(raw, spark):
     [
         ("Account", {"is_mule": "2"}, "account mule flag"),
         ("Account", {"mule_ring_id": "-2"}, "account mule ring"),
-        ("Transfer", {"transfer_id": "T1"}, "exclusive payment identities"),
+        ("Zelle_Transfer", {"transfer_id": "T1"}, "exclusive payment identities"),
         ("Token_Bound_To_Account", {"valid_to_seq": "10"}, "Transfer From: visible binding"),
-        ("Transfer", {"label_known": "false"}, "label availability"),
-        ("Payment", {"payment_rail": "Zelle"}, "transfer rail among payments"),
+        ("Zelle_Transfer", {"label_known": "false"}, "label availability"),
+        ("Payment_Transaction", {"payment_rail": "Zelle"}, "transfer rail among payments"),
     ],
 )
 def test_across_tables(raw, table, cells, check):
@@ -110,7 +110,7 @@ def test_across_tables(raw, table, cells, check):
 
 
 def test_unknown_label_with_sentinels_passes(raw):
-    t = changed(raw, "Transfer", label_known="false", fraud_label="-1", label_available_seq="0", label_available_ts_ms="0")
+    t = changed(raw, "Zelle_Transfer", label_known="false", fraud_label="-1", label_available_seq="0", label_available_ts_ms="0")
     assert failing(t) == set()
 
 
