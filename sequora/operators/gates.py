@@ -202,6 +202,23 @@ def load_counts(datasets: dict[str, DataFrame]) -> DataFrame:
     return union([rows_of(df, "rows").select(F.lit(n).alias("dataset"), "rows") for n, df in datasets.items()])
 
 
+def agreement(audited: DataFrame, exported: DataFrame) -> DataFrame:
+    """Audited datasets beside exported ones (dataset, rows): a row for each that either side has, null where one lacks it."""
+    both = audited.select("dataset", F.col("rows").alias("audited")).join(exported.select("dataset", F.col("rows").alias("exported")), "dataset", "full")
+    return both.select("dataset", "audited", "exported", F.col("audited").eqNullSafe(F.col("exported")).alias("fits"))
+
+
+def verification_report(p: CardFraud, policies: dict[str, int]) -> DataFrame:
+    """Everything that decides on an export, as rows (section, item, value): policies, audits, fan-out, counts, failures, passed."""
+    # each part is a few rows, one for a gate, an identifier or a dataset, and is computed once
+    audits = [(r["check_name"], r["failure_count"]) for r in gates(p).collect()]
+    fan_out = [(r["pii_kind"], r["max_parties_per_value"]) for r in fan_out_report(p).collect()]
+    counts = [(r["dataset"], r["rows"]) for r in load_counts(p.datasets).collect()]
+    failures = sum(n > 0 for _, n in audits)
+    parts = {"policy": sorted(policies.items()), "audit": audits, "fan-out": fan_out, "count": counts, "result": [("failures", failures), ("passed", int(not failures))]}
+    return p.datasets["01_parties"].sparkSession.createDataFrame([(k, i, v) for k, rows in parts.items() for i, v in rows], "section string, item string, value long")
+
+
 def relation_endpoints(p: CardFraud) -> DataFrame:
     """Relations whose ends are no vertex, or whose start lies before an end was first seen: one row for each relation."""
     d = list(p.datasets.items())

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sequora import functions as fn
+from sequora.operators.export import FILE_LIMIT, FORMAT_VERSION, TARGET_BYTES
 from sequora.operators import entities, gates, graph, relations
 from sequora.operators import sequence as s
 from sequora.operators import transactions as tx
@@ -225,6 +226,14 @@ add("aud_forbidden_columns", lambda p: gates.forbidden_columns(p.datasets | {"25
 FANOUT = " UNION ALL ".join(f"SELECT '{k}' AS pii_kind, count(*) AS parties FROM party_has_{k} GROUP BY {c}" for k, c in (("email", "email_id"), ("phone", "phone_id"), ("address", "address_id"), ("identity_document", "document_id"), ("device", "device_id"), ("ip", "ip_id")))
 add("aud_identity_fan_out", gates.fan_out_report, f"SELECT pii_kind, count(*) AS distinct_values, sum(parties)::BIGINT AS relations, max(parties) AS max_parties_per_value, round(avg(parties),4) AS mean_parties_per_value, count(*) FILTER (parties>1) AS shared_values FROM ({FANOUT}) GROUP BY 1")
 add("aud_load_counts", lambda p: gates.load_counts(p.datasets), " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*) AS rows FROM d{d}" for d in DATASETS))
+POLICIES = {"format_version": FORMAT_VERSION, "target_bytes": TARGET_BYTES, "file_limit": FILE_LIMIT}
+REPORT = (
+    " UNION ALL ".join(f"SELECT 'policy' AS section, '{k}' AS item, {v}::BIGINT AS value" for k, v in POLICIES.items())
+    + f" UNION ALL SELECT 'audit', check_name, failure_count::BIGINT FROM ({GATES}) UNION ALL SELECT 'fan-out', pii_kind, max(parties)::BIGINT FROM ({FANOUT}) GROUP BY 2"
+    + "".join(f" UNION ALL SELECT 'count', '{d}', count(*)::BIGINT FROM d{d}" for d in DATASETS)
+    + f" UNION ALL SELECT 'result', 'failures', count(*) FILTER (failure_count>0)::BIGINT FROM ({GATES}) UNION ALL SELECT 'result', 'passed', (count(*) FILTER (failure_count>0)=0)::BIGINT FROM ({GATES})"
+)
+add("aud_report", lambda p: gates.verification_report(p, POLICIES), REPORT)
 HOMES = {"party_id": "d01_parties", "account_id": "d02_accounts", "card_id": "d03_cards", "merchant_id": "d04_merchants", "location_id": "d05_merchant_locations", "device_id": "d06_devices", "ip_id": "d07_ip_addresses", "email_id": "d08_emails", "phone_id": "d09_phones", "address_id": "d10_addresses", "document_id": "d11_identity_documents"}
 EDGE_ENDS = {"12_party_owns_account": ("party_id", "account_id"), "13_account_has_card": ("account_id", "card_id"), "14_party_has_email": ("party_id", "email_id"), "15_party_has_phone": ("party_id", "phone_id"), "16_party_has_address": ("party_id", "address_id"), "17_party_has_identity_document": ("party_id", "document_id"), "18_party_has_device": ("party_id", "device_id"), "19_party_has_ip": ("party_id", "ip_id"), "20_party_operates_merchant": ("party_id", "merchant_id"), "21_merchant_has_location": ("merchant_id", "location_id")}
 ENDPOINTS = " UNION ALL ".join(f"SELECT '{d}' AS check_name, count(*) FILTER (a.{x} IS NULL OR z.{y} IS NULL OR a.first_seen_seq>e.valid_from_seq OR z.first_seen_seq>e.valid_from_seq)::BIGINT AS failure_count FROM d{d} e LEFT JOIN {HOMES[x]} a ON a.{x}=e.{x} LEFT JOIN {HOMES[y]} z ON z.{y}=e.{y}" for d, (x, y) in EDGE_ENDS.items())
@@ -239,16 +248,32 @@ add("val_vertex_counts", lambda p: graph.vertex_counts({v: p.datasets[d] for d,
 
 def _edges(p: CardFraud) -> dict:
     home = {c: p.datasets[t[1:]] for c, t in HOMES.items()} | {"transaction_id": p.datasets["22_transactions"]}
-    ends = EDGE_ENDS | {"23_transaction_used_device": ("transaction_id", "device_id"), "24_transaction_from_ip": ("transaction_id", "ip_id")}
-    return {d: (p.datasets[d], e, tuple((home[c], c) for c in e)) for d, e in ends.items()}
+    frames = {d: (p.datasets[d], e) for d, e in EDGES.items()} | {n: (p.fan_out[n], ("transaction_id", c)) for n, c in OF_PAYMENTS.items()}
+    return {d: (df, e, tuple((home[c], c) for c in e)) for d, (df, e) in frames.items()}
 
 
-EDGES = EDGE_ENDS | {"23_transaction_used_device": ("transaction_id", "device_id"), "24_transaction_from_ip": ("transaction_id", "ip_id")}
+OF_PAYMENTS = {"By_Account": "account_id", "By_Card": "card_id", "To_Merchant": "merchant_id", "At_Location": "location_id"}
+HELD_BY = {"23_transaction_used_device": "device_id", "24_transaction_from_ip": "ip_id"}
+EDGES = EDGE_ENDS | {d: ("transaction_id", c) for d, c in HELD_BY.items()}
 HOMES_X = HOMES | {"transaction_id": "d22_transactions"}
-add("val_edge_counts", lambda p: graph.edge_counts(_edges(p)), " UNION ALL ".join(f"SELECT '{d}' AS edge_type, count(*) AS forward, count(*) AS backward FROM d{d} e WHERE e.{x} IN (SELECT {x} FROM {HOMES_X[x]}) AND e.{y} IN (SELECT {y} FROM {HOMES_X[y]})" for d, (x, y) in EDGES.items()))
+#: Each edge type of a payment in SQL.
+PAYMENT_EDGES = {n: f"(SELECT transaction_id, {c}, event_ts_ms, event_seq FROM d22_transactions WHERE '{n}'<>'At_Location' OR location_id<>'')" for n, c in OF_PAYMENTS.items()} | {d: f"d{d}" for d in HELD_BY}
+ALL_EDGES = {d: (f"d{d}", ends) for d, ends in EDGES.items()} | {n: (PAYMENT_EDGES[n], ("transaction_id", c)) for n, c in OF_PAYMENTS.items()}
+
+
+def _payment_edges(p: CardFraud) -> dict[str, DataFrame]:
+    return {n: p.fan_out[n] for n in OF_PAYMENTS} | {d: p.datasets[d] for d in HELD_BY}
+
+
+def _by_edge(frame: Callable) -> Callable:
+    """One row for each edge type of a payment."""
+    return lambda p: gates.union([frame(e, p.datasets["22_transactions"]).select(F.lit(n).alias("edge_type"), "*") for n, e in _payment_edges(p).items()])
+
+
+add("val_edge_counts", lambda p: graph.edge_counts(_edges(p)), " UNION ALL ".join(f"SELECT '{d}' AS edge_type, count(*) AS forward, count(*) AS backward FROM {t} e WHERE e.{x} IN (SELECT {x} FROM {HOMES_X[x]}) AND e.{y} IN (SELECT {y} FROM {HOMES_X[y]})" for d, (t, (x, y)) in ALL_EDGES.items()))
 add("val_density", lambda p: graph.density(p.datasets["22_transactions"]), "SELECT count(*) AS events, min(event_seq) AS lowest, max(event_seq) AS highest, (sum(event_seq)*2-count(*)*(count(*)+1))::BIGINT AS sum_difference, count(*) FILTER (event_seq=0) AS zero_rows FROM d22_transactions")
-add("val_edge_stamps", lambda p: graph.stamp_mismatches(p.datasets["23_transaction_used_device"], p.datasets["22_transactions"], "mismatches"), "SELECT count(*) FILTER (e.event_seq<>t.event_seq OR e.event_ts_ms<>t.event_ts_ms) AS mismatches FROM d23_transaction_used_device e JOIN d22_transactions t ON t.transaction_id=e.transaction_id")
-add("val_frontier", lambda p: graph.frontier(p.datasets["23_transaction_used_device"], p.datasets["22_transactions"]), "SELECT (SELECT count(*) FROM d22_transactions)-count(DISTINCT transaction_id) AS missing, count(*)-count(DISTINCT transaction_id) AS extra FROM d23_transaction_used_device")
+add("val_edge_stamps", _by_edge(lambda e, t: graph.stamp_mismatches(e, t, "mismatches")), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, count(*) FILTER (e.event_seq<>t.event_seq OR e.event_ts_ms<>t.event_ts_ms) AS mismatches FROM {q} e JOIN d22_transactions t USING (transaction_id)" for n, q in PAYMENT_EDGES.items()))
+add("val_frontier", _by_edge(graph.frontier), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, (SELECT count(*) FROM d22_transactions)-count(DISTINCT transaction_id) AS missing, count(*)-count(DISTINCT transaction_id) AS extra FROM {q}" for n, q in PAYMENT_EDGES.items()))
 add("val_degree_above", lambda p: graph.degree_above(p.datasets["23_transaction_used_device"], "device_id", 60, "busy_devices"), "SELECT count(*) AS busy_devices FROM (SELECT device_id FROM d23_transaction_used_device GROUP BY 1 HAVING count(*)>60)")
 add("val_ownerless_accounts", lambda p: gates.orphans(p.datasets["02_accounts"], "account_id", p.datasets["12_party_owns_account"], "account_id", "ownerless"), "SELECT " + lacks("d02_accounts", "account_id", "d12_party_owns_account", "account_id") + " AS ownerless")
 add("val_ownerless_accounts_mutated", lambda p: gates.orphans(p.datasets["02_accounts"], "account_id", p.datasets["12_party_owns_account"], "account_id", "ownerless"), "SELECT " + lacks("d02_accounts", "account_id", "d12_party_owns_account", "account_id") + " AS ownerless", mutate_entities, ENTITIES_SQL)
@@ -347,6 +372,15 @@ def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["out_export_verified"] = _verified
+
+
+def _agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, stated, p = _export(spark, sf_dir)
+    return gates.agreement(gates.load_counts(p.datasets), stated.groupBy("dataset").agg(F.sum("rows").alias("rows")))
+
+
+QUERIES["aud_exported_set"] = _agreement
+ORACLE_SQL["aud_exported_set"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS audited, count(*)::BIGINT AS exported, true AS fits FROM d{d}" for d in DATASETS), PARTS)
 QUERIES["out_export_manifest_whole"] = lambda spark, sf_dir: _export(spark, sf_dir)[1].groupBy("dataset").agg(F.sum("rows").alias("rows"))
 ORACLE_SQL["out_export_manifest_whole"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS rows FROM d{d}" for d in DATASETS), PARTS)
 ORACLE_SQL["out_export_verified"] = "SELECT '' AS dataset, '' AS file, '' AS fault WHERE false"
