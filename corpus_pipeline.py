@@ -2,7 +2,7 @@
 
 Each stage gets what its predecessor kept, written as Parquet and read again. All but the last
 return the columns of documents. SQL cannot express the fitted classifier or the tokenizer, so
-tests/llm holds the stages against brute-force versions instead.
+tests/llm holds the operators behind the stages against brute-force versions instead.
 """
 
 from __future__ import annotations
