@@ -168,7 +168,7 @@ def cosine_links(a, b, a_weight, b_weight, threshold: float, reach: float, same:
         both = a.radius[i] + b.radius[j]
         points = (a.n_kids[i] == 0) & (b.n_kids[j] == 0)
         whole = ~points & (apart + both <= reach - SLACK)
-        k = np.flatnonzero(points)
+        k = np.flatnonzero(points & (dots >= threshold - SLACK))
         if len(k):
             x, y = a.x[i[k]], b.x[j[k]]
             cosine = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
