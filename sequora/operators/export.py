@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from sequora.functions import boolean_text
 
@@ -37,14 +38,27 @@ def psv_rows(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws("|", *[psv_text(f.name, f.dataType) for f in df.schema]).alias("value"))
 
 
-def write_psv(df: DataFrame, path: str, target_bytes: int = TARGET_BYTES) -> None:
-    """Files of about target_bytes, no header, rows never split; an existing path is an error.
+class ExportError(RuntimeError):
+    pass
+
+
+def write_psv(df: DataFrame, path: str, target_bytes: int = TARGET_BYTES, may_be_empty: bool = True) -> None:
+    """Files of at most target_bytes, no header, rows never split; an existing path is an error.
 
-    The mean line width is measured and sets the rows of a file.
+    The longest line sets the rows of a file, so no file passes the bound and none is shuffled for it;
+    files fall short of it by as much as the mean line is shorter than the longest. A line over the
+    bound, or no line where some are due, is an error before anything is written. `df` is computed once.
     """
-    lines = psv_rows(df)
-    width = lines.agg(F.avg(F.octet_length("value") + 1)).first()[0] or 1.0
-    lines.write.mode("errorifexists").option("maxRecordsPerFile", max(1, int(target_bytes / width))).text(path)
+    lines = psv_rows(df).persist(StorageLevel.DISK_ONLY)
+    try:
+        width = lines.agg(F.max(F.octet_length("value") + 1)).first()[0]
+        if width is None and not may_be_empty:
+            raise ExportError(f"{path} is empty")
+        if width and width > target_bytes:
+            raise ExportError(f"{path} has a line of {width} bytes")
+        lines.write.mode("errorifexists").option("maxRecordsPerFile", target_bytes // (width or 1)).text(path)
+    finally:
+        lines.unpersist()
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
@@ -62,10 +76,6 @@ def manifest_of(spark: SparkSession, folder: str, datasets: list[str]) -> DataFr
     return out
 
 
-class ExportError(RuntimeError):
-    pass
-
-
 def export(datasets: dict[str, DataFrame], folder: str, checked: DataFrame, require: Callable[[DataFrame], None], counts: dict[str, int] | None = None, may_be_empty: tuple[str, ...] = MAY_BE_EMPTY) -> DataFrame:
     """Write all datasets in their order, then the manifest beside them; return the manifest's rows.
 
@@ -75,16 +85,14 @@ def export(datasets: dict[str, DataFrame], folder: str, checked: DataFrame, requ
     require(checked)
     spark = checked.sparkSession
     for name, df in datasets.items():
-        if name not in may_be_empty and df.isEmpty():
-            raise ExportError(f"{name} is empty")
-        write_psv(df, f"{folder}/{name}")
+        write_psv(df, f"{folder}/{name}", may_be_empty=name in may_be_empty)
     found = manifest_of(spark, folder, list(datasets))
     totals = found.groupBy("dataset").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest")).collect()
     for r in totals:
         if r["largest"] >= FILE_LIMIT:
             raise ExportError(f"{r['dataset']} has a file of {r['largest']} bytes")
-        if counts and counts[r["dataset"]] != r["rows"]:
-            raise ExportError(f"{r['dataset']}: {r['rows']} rows written, {counts[r['dataset']]} audited")
+        if counts and counts.get(r["dataset"]) != r["rows"]:
+            raise ExportError(f"{r['dataset']}: {r['rows']} rows written, {counts.get(r['dataset'], 'none')} audited")
     found.coalesce(1).write.mode("errorifexists").json(f"{folder}/manifest")
     head = {"format_version": FORMAT_VERSION, "datasets": {r["dataset"]: {"rows": r["rows"], "bytes": r["bytes"]} for r in totals}}
     spark.createDataFrame([(json.dumps(head, sort_keys=True),)], "value string").coalesce(1).write.mode("errorifexists").text(f"{folder}/manifest_head")

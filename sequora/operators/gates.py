@@ -182,9 +182,12 @@ def token_report(p: CardFraud) -> DataFrame:
 
 
 def forbidden_columns(datasets: dict[str, DataFrame]) -> DataFrame:
-    spark = next(iter(datasets.values())).sparkSession
-    found = sorted(f"{t}.{c}" for t, df in datasets.items() for c in df.columns if c in FORBIDDEN)
-    return spark.range(1).select(F.lit(len(found)).cast("long").alias("forbidden_columns"), F.lit(", ".join(found)).alias("detail"))
+    """How many columns of the datasets have a forbidden name, which, and how many values stand in them."""
+    rows = next(iter(datasets.values()))
+    found = sorted((t, c) for t, df in datasets.items() for c in df.columns if c in FORBIDDEN)
+    held = [datasets[t].agg(F.count(F.col(c)).alias("n")) for t, c in found] or [rows.limit(0).agg(F.count("*").alias("n"))]
+    names = F.lit(", ".join(f"{t}.{c}" for t, c in found))
+    return union(held).agg(F.lit(len(found)).cast("long").alias("forbidden_columns"), F.sum("n").alias("forbidden_values"), names.alias("detail"))
 
 
 def fan_out_report(p: CardFraud) -> DataFrame:

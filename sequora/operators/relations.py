@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sequora.functions import visible
@@ -18,6 +18,24 @@ def visible_events(events: DataFrame, seeds: DataFrame, key: str, seed: str = "s
     return seeds.join(events, (seeds[key] == events[key]) & (events["event_seq"] < seeds[seed])).drop(events[key])
 
 
+def events_before(events: DataFrame, seeds: DataFrame, key: str, seed: str = "seed_seq", bucket: int = 1_000_000) -> DataFrame:
+    """(key, seed, events, latest): how many events lie strictly before each distinct seed of the same key, and the last of them.
+
+    No pair of event and seed is formed: a running count within buckets of the clock starts from the
+    sums of the buckets before, so a hub key is spread over its buckets. Seeds without an event, and
+    null keys, have no row.
+    """
+    asked = seeds.select(key, F.col(seed).alias("t"), F.lit(0).alias("n")).distinct()
+    rows = events.select(key, F.col("event_seq").alias("t"), F.lit(1).alias("n")).unionByName(asked).withColumn("b", F.floor(F.col("t") / bucket))
+    at = F.when(F.col("n") == 1, F.col("t"))
+    prior = Window.partitionBy(key).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.groupBy(key, "b").agg(F.sum("n").alias("s"), F.max(at).alias("m")).select(key, "b", F.sum("s").over(prior).alias("carried"), F.max("m").over(prior).alias("carried_at"))
+    within = Window.partitionBy(key, "b").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
+    run = rows.select(key, "b", "t", "n", F.sum("n").over(within).alias("run"), F.max(at).over(within).alias("run_at")).where("n = 0")
+    counted = F.coalesce("run", F.lit(0)) + F.coalesce("carried", F.lit(0))
+    return run.join(carried, [key, "b"]).select(key, F.col("t").alias(seed), counted.alias("events"), F.coalesce("run_at", "carried_at").alias("latest")).where("events > 0")
+
+
 def visible_entities(entities: DataFrame, seeds: DataFrame, key: str, seed: str = "seed_seq") -> DataFrame:
     """Entities first seen at or before each seed that asks for them."""
     return seeds.join(entities, (seeds[key] == entities[key]) & (entities["first_seen_event_seq"] <= seeds[seed])).drop(entities[key])

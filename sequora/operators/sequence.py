@@ -13,16 +13,21 @@ DAY = 86_400
 def dense_rank_by(df: DataFrame, time: str, id: str, out: str = "event_seq", bucket: int = DAY) -> DataFrame:
     """Adds the rank 1..N over (time, id).
 
-    Rows are ranked within buckets of time, and each bucket is shifted by the rows before it. The one
-    window over all buckets has a row for each bucket, not for each event. `bucket` is in units of
-    `time`; choose it so that the busiest bucket fits a task. Ids are ordered by their bytes.
+    Rows are ranked by id within one moment only; a moment is shifted by the rows of its bucket before
+    it, and a bucket by those of all buckets before. So a window holds the rows of one moment, or a row
+    for each moment of a bucket, or a row for each bucket, however busy a bucket is. `bucket` is in
+    units of `time`. Null times come first; ids are ordered by their bytes.
     """
-    b = F.floor(F.col(time) / bucket)
-    keyed = df.withColumn("_bucket", b)
-    before = F.coalesce(F.sum("n").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shift = keyed.groupBy(F.col("_bucket").alias("b")).agg(F.count("*").alias("n")).select("b", before.alias("_before"))
-    within = F.row_number().over(Window.partitionBy("_bucket").orderBy(time, id))
-    return keyed.withColumn("_within", within).join(shift, F.col("_bucket").eqNullSafe(F.col("b"))).withColumn(out, (F.col("_within") + F.col("_before")).cast("long")).drop("_bucket", "_within", "_before", "b")
+    moment = ["_timed", "_at"]
+    keyed = df.withColumns({"_timed": F.col(time).isNotNull(), "_at": F.coalesce(F.col(time), F.lit(0))})
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*moment).agg(F.count("*").alias("_n")).withColumn("_bucket", F.floor(F.col("_at") / bucket))
+    buckets = counts.groupBy("_timed", "_bucket").agg(F.sum("_n").alias("_n")).select("_timed", "_bucket", F.coalesce(F.sum("_n").over(before.orderBy("_timed", "_bucket")), F.lit(0)).alias("_buckets_before"))
+    moments = counts.select(*moment, "_bucket", F.coalesce(F.sum("_n").over(before.partitionBy("_timed", "_bucket").orderBy("_at")), F.lit(0)).alias("_moments_before"))
+    shift = moments.join(buckets, ["_timed", "_bucket"]).select(*moment, (F.col("_moments_before") + F.col("_buckets_before")).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*moment).orderBy(id))
+    ranked = keyed.withColumn("_within", within).join(shift, moment)
+    return ranked.select(*df.columns, (F.col("_within") + F.col("_before")).cast("long").alias(out))
 
 
 def event_sequence(transactions: DataFrame, bucket: int = DAY) -> DataFrame:

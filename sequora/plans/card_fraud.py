@@ -12,18 +12,23 @@ from sequora.operators import entities as e
 from sequora.operators import sequence as s
 from sequora.operators import transactions as t
 from sequora.operators.relations import instrument_in_force
+from sequora.sources.staging import staged
 
 SOURCE_SYSTEM = "synthetic"
 
 
 class CardFraud:
-    """Every frame of the preparation, made when first asked for. `keep` persists those that many others read."""
+    """Every frame of the preparation, made when first asked for. `keep` stages those that many others read."""
 
     def __init__(self, tables: dict[str, DataFrame], tokens: fn.TokenPolicy, labels: fn.LabelPolicy = fn.LabelPolicy(), keep: bool = False):
         self.src, self.tokens, self.labels, self.keep = tables, tokens, labels, keep
 
     def _kept(self, df: DataFrame) -> DataFrame:
-        return df.persist() if self.keep else df
+        return staged(df) if self.keep else df
+
+    def stage_datasets(self) -> None:
+        """Write the datasets once, for an export and for audits that read all of them several times."""
+        self.datasets = {n: staged(df, n) for n, df in self.datasets.items()}
 
     # the clock
     @cached_property

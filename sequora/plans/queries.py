@@ -15,7 +15,7 @@ from sequora.operators import sequence as s
 from sequora.operators import transactions as tx
 from sequora.plans.card_fraud import CardFraud
 from sequora.plans.card_fraud_sql import boolean, clean, compose, ctes, ms, token
-from sequora.sources import projection, readers
+from sequora.sources import projection, readers, staging
 from sequora.sources.contracts import CORE_TABLES, SOURCE_COLUMNS, check_tables, protected_columns
 from sequora.sources.mutations import ENTITIES_SQL, SOURCES_SQL, mutate_entities, mutate_sources
 
@@ -141,25 +141,18 @@ for kind in ("email", "phone", "address", "identity_document", "device", "ip"):
     add(f"rel_party_has_{kind}", lambda p, kind=kind: p.party_values[kind], f"SELECT * FROM party_has_{kind}")
 add("rel_account_has_card", lambda p: p.account_has_card, "SELECT * FROM account_has_card")
 add("rel_merchant_has_location", lambda p: p.merchant_has_location, "SELECT * FROM merchant_has_location")
-SEEDS = "(SELECT account_id, event_seq+5 AS seed_seq FROM manifest WHERE event_seq%10=0)"
+SEEDS = "(SELECT account_id, event_seq+5 AS seed_seq FROM manifest)"
 
 
 def _seeds(p: CardFraud) -> DataFrame:
-    return p.manifest.where("event_seq % 10 = 0").select("account_id", (F.col("event_seq") + 5).alias("seed_seq"))
-
-
-add("rel_visible_tenures", lambda p: relations.visible_tenures(p.account_has_card, _seeds(p), "account_id"), f"SELECT q.account_id, seed_seq, card_id, valid_from_seq, valid_to_seq FROM {SEEDS} q JOIN account_has_card t ON t.account_id=q.account_id AND valid_from_seq<=seed_seq AND (valid_to_seq=0 OR seed_seq<valid_to_seq)")
-add("rel_visible_events", lambda p: relations.visible_events(p.manifest.select("account_id", "transaction_id", "event_seq"), _seeds(p), "account_id").groupBy("account_id", "seed_seq").agg(F.count("*").alias("events"), F.max("event_seq").alias("latest")), f"SELECT q.account_id, seed_seq, count(*) AS events, max(event_seq) AS latest FROM {SEEDS} q JOIN manifest m ON m.account_id=q.account_id AND event_seq<seed_seq GROUP BY 1,2")
-# the same at every payment
-EVERY_SEED = "(SELECT account_id, event_seq+5 AS seed_seq FROM manifest)"
-
-
-def _every_seed(p: CardFraud) -> DataFrame:
+    """Every payment asks, five places after it."""
     return p.manifest.select("account_id", (F.col("event_seq") + 5).alias("seed_seq"))
 
 
-add("rel_visible_tenures_every_seed", lambda p: relations.visible_tenures(p.account_has_card, _every_seed(p), "account_id"), f"SELECT q.account_id, seed_seq, card_id, valid_from_seq, valid_to_seq FROM {EVERY_SEED} q JOIN account_has_card t ON t.account_id=q.account_id AND valid_from_seq<=seed_seq AND (valid_to_seq=0 OR seed_seq<valid_to_seq)")
-add("rel_visible_events_every_seed", lambda p: relations.visible_events(p.manifest.select("account_id", "transaction_id", "event_seq"), _every_seed(p), "account_id").groupBy("account_id", "seed_seq").agg(F.count("*").alias("events"), F.max("event_seq").alias("latest")), f"SELECT q.account_id, seed_seq, count(*) AS events, max(event_seq) AS latest FROM {EVERY_SEED} q JOIN manifest m ON m.account_id=q.account_id AND event_seq<seed_seq GROUP BY 1,2")
+add("rel_visible_tenures", lambda p: relations.visible_tenures(p.account_has_card, _seeds(p), "account_id"), f"SELECT q.account_id, seed_seq, card_id, valid_from_seq, valid_to_seq FROM {SEEDS} q JOIN account_has_card t ON t.account_id=q.account_id AND valid_from_seq<=seed_seq AND (valid_to_seq=0 OR seed_seq<valid_to_seq)")
+add("rel_visible_events", lambda p: relations.events_before(p.manifest, _seeds(p), "account_id"), f"SELECT q.account_id, seed_seq, count(*) AS events, max(event_seq) AS latest FROM {SEEDS} q JOIN manifest m ON m.account_id=q.account_id AND event_seq<seed_seq GROUP BY 1,2")
+for n in ("rel_visible_tenures", "rel_visible_events"):  # the names under which every payment asked first
+    QUERIES[f"{n}_every_seed"], ORACLE_SQL[f"{n}_every_seed"] = QUERIES[n], ORACLE_SQL[n]
 add("rel_visible_entities", lambda p: relations.visible_entities(p.accounts.select("account_id", "first_seen_event_seq"), p.manifest.select("account_id", F.col("event_seq").alias("seed_seq")), "account_id"), "SELECT m.account_id, event_seq AS seed_seq, first_seen_event_seq FROM manifest m JOIN accounts a ON a.account_id=m.account_id AND first_seen_event_seq<=event_seq")
 add("rel_instrument_in_force", lambda p: p.in_force, "SELECT * FROM in_force")
 add("rel_reverse", lambda p: relations.reverse(p.datasets["12_party_owns_account"], "party_id", "account_id"), "SELECT account_id AS party_id, party_id AS account_id, valid_from_seq, valid_to_seq, confidence, source_system FROM d12_party_owns_account")
@@ -222,7 +215,7 @@ GATE_NAMES = {
 GATES = " UNION ALL ".join(f"SELECT '{g}' AS check_name, {e}::BIGINT AS failure_count" for g, e in GATE_NAMES.items())
 add("aud_gates", gates.gates, GATES)
 add("aud_gates_mutated", gates.gates, GATES, mutate_entities, ENTITIES_SQL)
-add("aud_forbidden_columns", lambda p: gates.forbidden_columns(p.datasets | {"25_raw_emails": p.emails.withColumnRenamed("raw", "email_raw")}), "SELECT 1::BIGINT AS forbidden_columns, '25_raw_emails.email_raw' AS detail")
+add("aud_forbidden_columns", lambda p: gates.forbidden_columns(p.datasets | {"25_raw_emails": p.emails.withColumnRenamed("raw", "email_raw")}), "SELECT 1::BIGINT AS forbidden_columns, (SELECT count(raw) FROM emails) AS forbidden_values, '25_raw_emails.email_raw' AS detail")
 FANOUT = " UNION ALL ".join(f"SELECT '{k}' AS pii_kind, count(*) AS parties FROM party_has_{k} GROUP BY {c}" for k, c in (("email", "email_id"), ("phone", "phone_id"), ("address", "address_id"), ("identity_document", "document_id"), ("device", "device_id"), ("ip", "ip_id")))
 add("aud_identity_fan_out", gates.fan_out_report, f"SELECT pii_kind, count(*) AS distinct_values, sum(parties)::BIGINT AS relations, max(parties) AS max_parties_per_value, round(avg(parties),4) AS mean_parties_per_value, count(*) FILTER (parties>1) AS shared_values FROM ({FANOUT}) GROUP BY 1")
 add("aud_load_counts", lambda p: gates.load_counts(p.datasets), " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*) AS rows FROM d{d}" for d in DATASETS))
@@ -337,32 +330,18 @@ add_temporal("rel_tenures_at_seed", lambda raw: mul.typed_tables(raw)["Token_Bou
 
 
 # files: written under the shared folder, read back
-def _folder(spark: SparkSession) -> str:
-    import tempfile
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="spark-export-")
-    return f"{base.rstrip('/')}/export-{uuid.uuid4().hex}"
-
-
-EXPORTED = ("01_parties", "13_account_has_card", "22_transactions")
-
-
 def _export(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, CardFraud]:
     from sequora.operators import export
 
-    p, folder = prepared(spark, sf_dir), _folder(spark)
+    p, folder = prepared(spark, sf_dir), staging.folder(spark, "export")
+    p.stage_datasets()
     counts = {r["dataset"]: r["rows"] for r in gates.load_counts(p.datasets).collect()}
     out = export.export(p.datasets, folder, gates.gates(p), gates.require, counts)
     return folder, out, p
 
 
-QUERIES["out_export_manifest"] = lambda spark, sf_dir: _export(spark, sf_dir)[1].where(F.col("dataset").isin(*EXPORTED)).groupBy("dataset").agg(F.sum("rows").alias("rows"))
-ORACLE_SQL["out_export_manifest"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS rows FROM d{d}" for d in EXPORTED), PARTS)
+QUERIES["out_export_manifest"] = lambda spark, sf_dir: _export(spark, sf_dir)[1].groupBy("dataset").agg(F.sum("rows").alias("rows"))
+ORACLE_SQL["out_export_manifest"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS rows FROM d{d}" for d in DATASETS), PARTS)
 
 
 def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,6 +353,22 @@ def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["out_export_verified"] = _verified
 
 
+def _verified_mutated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults by dataset after a file of parties came to the relation of cards, and one dataset is expected that nobody wrote."""
+    from sequora.operators import export
+
+    folder, _, p = _export(spark, sf_dir)
+    export.psv_rows(p.datasets["01_parties"]).coalesce(1).write.mode("append").text(f"{folder}/13_account_has_card")
+    return export.verify(spark, folder, [*DATASETS, "25_none"]).groupBy("dataset", "fault").agg(F.count("*").alias("faults"))
+
+
+QUERIES["out_export_verified_mutated"] = _verified_mutated
+ORACLE_SQL["out_export_verified_mutated"] = compose(
+    "SELECT '13_account_has_card' AS dataset, 'not in the manifest' AS fault, (count(*)>0)::BIGINT AS faults FROM d01_parties "
+    "UNION ALL SELECT '25_none', 'missing from the manifest', 1", PARTS
+)
+
+
 def _agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, stated, p = _export(spark, sf_dir)
     return gates.agreement(gates.load_counts(p.datasets), stated.groupBy("dataset").agg(F.sum("rows").alias("rows")))
@@ -381,8 +376,7 @@ def _agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["aud_exported_set"] = _agreement
 ORACLE_SQL["aud_exported_set"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS audited, count(*)::BIGINT AS exported, true AS fits FROM d{d}" for d in DATASETS), PARTS)
-QUERIES["out_export_manifest_whole"] = lambda spark, sf_dir: _export(spark, sf_dir)[1].groupBy("dataset").agg(F.sum("rows").alias("rows"))
-ORACLE_SQL["out_export_manifest_whole"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS rows FROM d{d}" for d in DATASETS), PARTS)
+QUERIES["out_export_manifest_whole"], ORACLE_SQL["out_export_manifest_whole"] = QUERIES["out_export_manifest"], ORACLE_SQL["out_export_manifest"]
 ORACLE_SQL["out_export_verified"] = "SELECT '' AS dataset, '' AS file, '' AS fault WHERE false"
 
 
@@ -395,22 +389,20 @@ def _psv(p: CardFraud) -> DataFrame:
 add("out_psv_rows", _psv, "SELECT account_id||'|'||card_id||'|'||valid_from_seq||'|'||valid_to_seq||'|1|synthetic' AS value FROM d13_account_has_card")
 
 
-def _against_manifest(spark: SparkSession, sf_dir: str, names=EXPORTED) -> DataFrame:
+def _against_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, stated, p = _export(spark, sf_dir)
-    found = gates.union([gates.rows_of(df, "rows").select(F.lit(n).alias("object"), "rows") for n, df in ({d: p.datasets[d] for d in names if d not in graph.OBJECTS} | p.fan_out).items()])
-    return graph.expected_and_found(stated.where(F.col("dataset").isin(*names)), found)
+    found = gates.union([gates.rows_of(df, "rows").select(F.lit(n).alias("object"), "rows") for n, df in ({d: f for d, f in p.datasets.items() if d not in graph.OBJECTS} | p.fan_out).items()])
+    return graph.expected_and_found(stated, found)
 
 
-QUERIES["val_against_manifest"] = _against_manifest
-ORACLE_SQL["val_against_manifest"] = compose(
-    " UNION ALL ".join(f"SELECT '{o}' AS object, {n_of('d' + d)} AS expected, {n_of('d' + d) if o != 'At_Location' else where('d22_transactions', 'location_id<>' + chr(39) * 2)} AS found, true AS fits" for d in EXPORTED for o in graph.OBJECTS.get(d, (d,))), PARTS
-)
-QUERIES["val_against_manifest_whole"] = lambda spark, sf_dir: _against_manifest(spark, sf_dir, DATASETS)
-ORACLE_SQL["val_against_manifest_whole"] = compose(
+QUERIES["val_against_manifest"] = QUERIES["val_against_manifest_whole"] = _against_manifest
+ORACLE_SQL["val_against_manifest"] = ORACLE_SQL["val_against_manifest_whole"] = compose(
     " UNION ALL ".join(f"SELECT '{o}' AS object, {n_of('d' + d)} AS expected, {n_of('d' + d) if o != 'At_Location' else where('d22_transactions', 'location_id<>' + chr(39) * 2)} AS found, true AS fits" for d in DATASETS for o in graph.OBJECTS.get(d, (d,))), PARTS
 )
 add("val_empty_mandatory", lambda p: graph.empty_mandatory(gates.load_counts(p.datasets), ("23_transaction_used_device", "24_transaction_from_ip")), "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*) AS rows FROM d{d}" for d in DATASETS[:22]) + ") WHERE rows=0")
 
+add("val_empty_mandatory_mutated", lambda p: graph.empty_mandatory(gates.load_counts(p.datasets | {"05_merchant_locations": p.datasets["05_merchant_locations"].where("first_seen_seq < 1")}), ("23_transaction_used_device", "24_transaction_from_ip")), "SELECT '05_merchant_locations' AS dataset, count(*) AS rows FROM d05_merchant_locations WHERE first_seen_seq<1")
+
 
 def _same(spark: SparkSession, sf_dir: str) -> DataFrame:
     one, two = (mul.distributions(mul.typed_tables(temporal_raw(spark, sf_dir, b))["Account"]) for b in (False, True))

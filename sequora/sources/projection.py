@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sequora.sources.contracts import BY_NAME, SOURCE_COLUMNS
+from sequora.sources.staging import staged
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +40,7 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.expr("(year(o_orderdate) - 1995) div 2").alias("g"),
     )
     card = F.concat(F.when(F.col("o_custkey") % 2 == 0, "C").otherwise("D"), F.lpad(text("o_custkey"), 7, "0"), F.when(F.col("g") == 0, "").otherwise(F.concat(F.lit("-G"), text("g"))))
-    base = base.withColumn("card", card).withColumn("t_text", text("t")).persist()  # seven tables are cut from it
+    base = staged(base.withColumn("card", card).withColumn("t_text", text("t")))  # seven tables are cut from it
     place = suppliers.join(nation, F.col("s_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     physical = place.where("s_suppkey % 5 <> 0")
     zipcode = lambda n: F.lpad(text(n * 137), 5, "0")
@@ -156,11 +157,11 @@ def temporal(spark: SparkSession, sf_dir: str, mutated: bool = False) -> dict[st
     ranked = dense_rank_by(events.select("event_id", "user_id", "event_type", "value", k.alias("k"), t.alias("ms")), "ms", "event_id", "r", bucket=3_600_000).withColumn("seq", F.col("r") * 3)
     u = F.col("user_id")
     other = (u + 1) % 150
-    base = ranked.select(
+    base = staged(ranked.select(
         "event_id", "event_type", "value", "ms", "seq",
         hashed("a", text(u)).alias("sender"), hashed("a", text(other)).alias("receiver"), hashed("d", F.coalesce("k", F.lit("none"))).alias("device"), hashed("i", text(F.col("event_id") % 211)).alias("ip"),
         hashed("p", text(u)).alias("party"), hashed("t", text(u)).alias("s_token"), hashed("t", text(other)).alias("r_token"), hashed("h", text(u % 40)).alias("address"),
-    ).persist()  # fmt: skip  # all 27 tables are cut from it
+    ))  # fmt: skip  # all 27 tables are cut from it
     is_payment = F.col("event_type").isin("purchase", "view")
     payment, transfer = base.where(is_payment), base.where(~is_payment)
     num = lambda c: F.format_string("%d", c)

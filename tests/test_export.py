@@ -49,3 +49,19 @@ def test_files_are_bounded(spark, tmp_path):
     export.write_psv(rows, f"file://{tmp_path}/many", target_bytes=5000)
     sizes = [os.path.getsize(p) for p in glob.glob(f"{tmp_path}/many/part-*")]
     assert len(sizes) > 3 and max(sizes) < 7000
+
+
+def test_uneven_lines_stay_under_the_bound(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("repeat('x', int(id % 50) * int(id % 7)) s").coalesce(1)
+    export.write_psv(rows, f"file://{tmp_path}/uneven", target_bytes=2000)
+    paths = glob.glob(f"{tmp_path}/uneven/part-*")
+    assert max(map(os.path.getsize, paths)) <= 2000
+    assert sum(len(open(p).read().split("\n")) - 1 for p in paths) == 3000
+    with pytest.raises(export.ExportError, match="a line of"):
+        export.write_psv(rows, f"file://{tmp_path}/narrow", target_bytes=100)
+    assert not os.path.exists(f"{tmp_path}/narrow")
+
+
+def test_unaudited_dataset_is_refused(spark, good, tmp_path):
+    with pytest.raises(export.ExportError, match="none audited"):
+        export.export({"one": frame(spark)}, f"file://{tmp_path}/out", good, require, {"two": 3})

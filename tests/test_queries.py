@@ -78,5 +78,6 @@ def test_every_payment_is_a_seed(spark, duck, name):
     assert rest == set(range(10))
 
 
-def test_export_is_whole(spark, duck):
-    test_query_equals_its_sql(spark, duck, "out_export_manifest_whole")
+@pytest.mark.parametrize("name", ("out_export_manifest_whole", "out_export_verified_mutated", "val_against_manifest", "val_empty_mandatory_mutated", "aud_forbidden_columns"))
+def test_export_is_whole(spark, duck, name):
+    test_query_equals_its_sql(spark, duck, name)
