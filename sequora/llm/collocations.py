@@ -120,12 +120,12 @@ def frequent_buckets(docs: DataFrame, least: int, bits: int, tables: np.ndarray)
             for at in range(0, len(keys), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 100_000]), pa.array(n[at : at + 100_000])], names=["bucket", "n"])
 
-        for batch in gathered(slices(batches, max_bytes=2 << 20), 2 << 20):
+        for batch in gathered(slices(batches, max_bytes=1 << 20), 1 << 20):
             one, two = _buckets(Words(batch.column(0), batch.column(1), tables), bits)
             keys, n = np.unique(np.concatenate([one, two[two >= 0]]), return_counts=True)
             held.append((keys, n))
             size += len(keys)
-            if size > 4 << 20:
+            if size > 2 << 20:
                 yield from out()
                 held, size = [], 0
         if size:
@@ -231,7 +231,7 @@ def edges_and_ends(docs: DataFrame, bitmaps: list, bits: int, tables: np.ndarray
 
     def task(batches):
         sketch, s = _sketch(name, shared, bits), Strands()
-        for batch in gathered(slices(batches, max_bytes=2 << 20), 2 << 20):
+        for batch in gathered(slices(batches, max_bytes=1 << 20), 1 << 20):
             w = Words(batch.column(0), batch.column(1), tables)
             found = _buckets(w, bits)
             try:
@@ -240,7 +240,7 @@ def edges_and_ends(docs: DataFrame, bitmaps: list, bits: int, tables: np.ndarray
                 yield from s.rows()
                 s = Strands(by=1 - s.by)
                 s.add(w, *found, sketch)
-            if s.tokens > 4 << 20:
+            if s.tokens > 1 << 20:
                 yield from s.rows()
                 s = Strands()
         yield from s.rows()
