@@ -118,12 +118,12 @@ def frequent_buckets(docs: DataFrame, least: int, bits: int, tables: np.ndarray)
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             keys, n = keys[first], np.add.reduceat(n, first)
             for at in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 100_000]), pa.array(n[at : at + 100_000])], names=["bucket", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 100_000]), pa.array(n[at : at + 100_000].astype(np.int64))], names=["bucket", "n"])
 
         for batch in gathered(slices(batches, max_bytes=1 << 20), 1 << 20):
             one, two = _buckets(Words(batch.column(0), batch.column(1), tables), bits)
             keys, n = np.unique(np.concatenate([one, two[two >= 0]]), return_counts=True)
-            held.append((keys, n))
+            held.append((keys, n.astype(np.int32)))
             size += len(keys)
             if size > 2 << 20:
                 yield from out()
@@ -186,13 +186,14 @@ class Strands:
         """(lang, phrase, words, n): edges of LONGEST words, ends of runs of one to LONGEST - 1, and with 0 words all words of a language."""
         if self.parts:
             keys, ids = np.unique(np.concatenate([h for h, _ in self.parts]), return_inverse=True)
-            on = np.concatenate([g for _, g in self.parts])
+            ids, on = ids.astype(np.int32), np.concatenate([g for _, g in self.parts])
+            self.parts = []
             names = [self.names[k] for k in keys.tolist()]
             langs, words = pa.array([x[1] for x in names], pa.string()), pa.array([x[2] for x in names], pa.binary())
-            reach = np.zeros(len(ids), np.int64)  # words that follow in the run, LONGEST - 1 at most
+            reach = np.zeros(len(ids), np.int8)  # words that follow in the run, LONGEST - 1 at most
             for _ in range(LONGEST - 1):
-                reach = np.where(on, np.minimum(1 + np.append(reach[1:], 0), LONGEST - 1), 0)
-            ahead = np.zeros(len(ids), np.int64)  # words before in the run
+                reach[:-1] = np.where(on[:-1], np.minimum(1 + reach[1:], LONGEST - 1), 0)
+            ahead = np.zeros(len(ids), np.int8)  # words before in the run
             for _ in range(LONGEST - 1):
                 ahead[1:] = np.where(on[:-1], np.minimum(1 + ahead[:-1], LONGEST - 1), 0)
             ends = np.flatnonzero(~on)
@@ -209,10 +210,10 @@ class Clash(RuntimeError):
 
 def _gram_rows(ids: np.ndarray, at: np.ndarray, n: int, langs: pa.Array, words: pa.Array):
     """Distinct phrases of n words that begin at these places, with their counts."""
-    base, known = ids[at], []
+    base = ids[at].astype(np.int64)
     for k in range(1, n):
         # a pair of what is numbered so far and the next word, numbered anew so that numbers stay small
-        known, base = np.unique(base * np.int64(len(words)) + ids[at + k], return_inverse=True)
+        base = np.unique(base * np.int64(len(words)) + ids[at + k], return_inverse=True)[1]
     distinct, first, count = np.unique(base, return_index=True, return_counts=True)
     place = at[first]
     for b in range(0, len(place), 50_000):
@@ -240,7 +241,7 @@ def edges_and_ends(docs: DataFrame, bitmaps: list, bits: int, tables: np.ndarray
                 yield from s.rows()
                 s = Strands(by=1 - s.by)
                 s.add(w, *found, sketch)
-            if s.tokens > 1 << 20:
+            if s.tokens > 3 << 20:
                 yield from s.rows()
                 s = Strands()
         yield from s.rows()
