@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from sequora.llm.common import gathered, limit_threads, slices, stage, table, text_of
 
-BLOCK_BYTES = 8 << 20
-KEEP = 400_000  # distinct chunks that a worker remembers
+BLOCK_BYTES = 4 << 20
+KEEP = 300_000  # distinct chunks that a worker remembers
 _SPACE = "▁"
 _AFTER_BLANK = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")

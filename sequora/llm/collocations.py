@@ -2,12 +2,14 @@
 
 Nodes are phrases of three words, edges phrases of four, weighted by how often they occur. What
 is shorter is not counted by itself: a phrase occurs as often as edges (or phrases one word longer)
-lead on from it, and once more for each run of words that ends with it.
+lead on from it, and once more for each place where none leads on: the end of a piece, or of what
+can be frequent.
 """
 
 from __future__ import annotations
 
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -92,17 +94,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _buckets(w: Words, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the words, and of each word with the next one (where that belongs to its piece, else -1)."""
-    shift = np.uint64(64 - bits)
-    one = (_mix(w.h[0] + np.uint64(1)) >> shift).astype(np.int64)
-    two = np.full(len(one), -1, np.int64)
-    if len(one) > 1:
-        two[:-1] = np.where(w.begins[1:], -1, (_mix(w.h[0][:-1] * _ODD + w.h[0][1:]) >> shift).astype(np.int64))
-    return one, two
+    """Buckets of each word with the next one, and with the next two; -1 where these don't belong to its piece."""
+    shift, h = np.uint64(64 - bits), w.h[0]
+    two, three = np.full(len(h), -1, np.int64), np.full(len(h), -1, np.int64)
+    if len(h) > 1:
+        pair = h[:-1] * _ODD + h[1:]
+        two[:-1] = np.where(w.begins[1:], -1, (_mix(pair) >> shift).astype(np.int64))
+        three[:-2] = np.where(w.begins[1:-1] | w.begins[2:], -1, (_mix(pair[:-1] * _ODD + h[2:]) >> shift).astype(np.int64))
+    return two, three
 
 
 def frequent_buckets(docs: DataFrame, least: int, bits: int, tables: np.ndarray) -> DataFrame:
-    """Of the buckets into which words and pairs of words are hashed, those that hold `least` occurrences or more, as bitmaps of 4 KB (slice, bits).
+    """Of the buckets into which phrases of two and three words are hashed, those that hold `least` occurrences or more, as bitmaps of 4 KB (slice, bits).
 
     What occurs so often is in such a bucket; what else is in one does no harm. There are at most
     2**bits buckets, however large the corpus.
@@ -121,8 +124,8 @@ def frequent_buckets(docs: DataFrame, least: int, bits: int, tables: np.ndarray)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 100_000]), pa.array(n[at : at + 100_000].astype(np.int64))], names=["bucket", "n"])
 
         for batch in gathered(slices(batches, max_bytes=1 << 20), 1 << 20):
-            one, two = _buckets(Words(batch.column(0), batch.column(1), tables), bits)
-            keys, n = np.unique(np.concatenate([one, two[two >= 0]]), return_counts=True)
+            keys = np.concatenate(_buckets(Words(batch.column(0), batch.column(1), tables[:1]), bits))
+            keys, n = np.unique(keys[keys >= 0], return_counts=True)
             held.append((keys, n.astype(np.int32)))
             size += len(keys)
             if size > 2 << 20:
@@ -139,13 +142,18 @@ def frequent_buckets(docs: DataFrame, least: int, bits: int, tables: np.ndarray)
 _sketches: dict[str, np.ndarray] = {}
 
 
+def _packed(bitmaps: list[tuple[int, bytes]]) -> tuple[list[int], bytes]:
+    return [k for k, _ in bitmaps], zlib.compress(b"".join(b for _, b in bitmaps), 1)
+
+
 def _sketch(name: str, shared, bits: int) -> np.ndarray:
-    """The bitmaps of a broadcast as one; kept by the Python worker while it works on this one."""
+    """The packed bitmaps of a broadcast as one; kept by the Python worker while it works on this one."""
     if name not in _sketches:
         _sketches.clear()
-        out = np.zeros((1 << bits) // 8, np.uint8)
-        for k, b in shared.value:
-            out[k * _SLICE // 8 : (k + 1) * _SLICE // 8] = np.frombuffer(b, np.uint8)[: len(out) - k * _SLICE // 8]
+        places, packed = shared.value
+        out = np.zeros(max((1 << bits) // 8, _SLICE // 8), np.uint8)
+        if places:
+            out.reshape(-1, _SLICE // 8)[places] = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(-1, _SLICE // 8)
         _sketches[name] = out
     return _sketches[name]
 
@@ -155,53 +163,52 @@ def _has(sketch: np.ndarray, k: np.ndarray) -> np.ndarray:
 
 
 class Strands:
-    """Runs of frequent words and pairs from many batches, and from them edges and ends with their weights."""
+    """Words of many batches, and from them edges and the phrases at which edges end, with their weights.
+
+    Each place of a word counts once: for the edge of LONGEST words that begins there, or for as many
+    of its words as a frequent phrase can have, if the piece or what is frequent ends before.
+    """
 
     def __init__(self, by: int = 0):
-        self.by, self.parts, self.names, self.tokens, self.total = by, [], {}, 0, {}
+        self.by, self.parts, self.tokens = by, [], 0
+        self.keys, self.checks, self.langs, self.words = np.zeros(0, np.uint64), np.zeros(0, np.uint64), [], []
 
-    def add(self, w: Words, one: np.ndarray, two: np.ndarray, sketch: np.ndarray) -> None:
+    def add(self, w: Words, two: np.ndarray, three: np.ndarray, sketch: np.ndarray) -> None:
         """Take a batch in, or raise Clash and take nothing in that would be counted."""
-        keep = _has(sketch, one)
-        on = _has(sketch, two)  # a frequent pair begins here, so the run goes on
-        kept = np.flatnonzero(keep)
-        goes_on = on[kept] & np.append(np.diff(kept) == 1, False)[: len(kept)]
-        h, check = w.h[self.by][kept], w.h[1 - self.by][kept]
+        h, check = w.h[self.by], w.h[1 - self.by]
         distinct, first = np.unique(h, return_index=True)
         if (check != check[first][np.searchsorted(distinct, h)]).any():
             raise Clash
-        for x, c, k in zip(distinct.tolist(), check[first].tolist(), kept[first].tolist(), strict=True):
-            known = self.names.get(x)
-            if known is None:
-                self.names[x] = (c, w.langs[w.lang[k]], w.word(k))
-            elif known[0] != c:
-                raise Clash
-        if len(kept):
-            self.parts.append((h, goes_on))
-        self.tokens += len(kept)
-        for k, n in enumerate(np.bincount(w.lang, minlength=len(w.langs)).tolist()):
-            self.total[w.langs[k]] = self.total.get(w.langs[k], 0) + n
+        at = np.searchsorted(self.keys, distinct)
+        known = self.keys[np.minimum(at, len(self.keys) - 1)] == distinct if len(self.keys) else np.zeros(len(distinct), bool)
+        if (self.checks[at[known]] != check[first[known]]).any():
+            raise Clash
+        fresh = first[~known]
+        names = self.names_of(w, fresh)
+        self.keys, self.checks = np.concatenate([self.keys, h[fresh]]), np.concatenate([self.checks, check[fresh]])
+        order = np.argsort(self.keys)
+        self.keys, self.checks = self.keys[order], self.checks[order]
+        both = [pa.concat_arrays([*x, y]) for x, y in zip((self.langs, self.words), names, strict=True)]
+        self.langs, self.words = ([x.take(pa.array(order))] for x in both)
+        goes2 = _has(sketch, two)
+        goes3 = goes2 & _has(sketch, three)
+        goes4 = goes3 & np.append(goes3[1:], False)[: len(goes3)]
+        self.parts.append((h, 1 + goes2.astype(np.int8) + goes3 + goes4))
+        self.tokens += len(h)
+
+    @staticmethod
+    def names_of(w: Words, at: np.ndarray) -> tuple[pa.Array, pa.Array]:
+        return pa.array(w.langs, pa.string()).take(pa.array(w.lang[at])), pa.array([w.word(k) for k in at.tolist()], pa.binary())
 
     def rows(self):
-        """(lang, phrase, words, n): edges of LONGEST words, ends of runs of one to LONGEST - 1, and with 0 words all words of a language."""
-        if self.parts:
-            keys, ids = np.unique(np.concatenate([h for h, _ in self.parts]), return_inverse=True)
-            ids, on = ids.astype(np.int32), np.concatenate([g for _, g in self.parts])
-            self.parts = []
-            names = [self.names[k] for k in keys.tolist()]
-            langs, words = pa.array([x[1] for x in names], pa.string()), pa.array([x[2] for x in names], pa.binary())
-            reach = np.zeros(len(ids), np.int8)  # words that follow in the run, LONGEST - 1 at most
-            for _ in range(LONGEST - 1):
-                reach[:-1] = np.where(on[:-1], np.minimum(1 + reach[1:], LONGEST - 1), 0)
-            ahead = np.zeros(len(ids), np.int8)  # words before in the run
-            for _ in range(LONGEST - 1):
-                ahead[1:] = np.where(on[:-1], np.minimum(1 + ahead[:-1], LONGEST - 1), 0)
-            ends = np.flatnonzero(~on)
-            yield from _gram_rows(ids, np.flatnonzero(reach == LONGEST - 1), LONGEST, langs, words)
-            for n in range(1, LONGEST):
-                yield from _gram_rows(ids, ends[ahead[ends] >= n - 1] - (n - 1), n, langs, words)
-        if self.total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(self.total), pa.string()), pa.array([""] * len(self.total)), pa.array([0] * len(self.total), pa.int32()), pa.array(list(self.total.values()), pa.int64())], names=["lang", "phrase", "words", "n"])
+        """(lang, phrase, words, n)."""
+        if not self.tokens:
+            return
+        ids = np.searchsorted(self.keys, np.concatenate([h for h, _ in self.parts])).astype(np.int32)
+        long = np.concatenate([n for _, n in self.parts])
+        self.parts = []
+        for n in range(1, LONGEST + 1):
+            yield from _gram_rows(ids, np.flatnonzero(long == n), n, self.langs[0], self.words[0])
 
 
 class Clash(RuntimeError):
@@ -224,11 +231,12 @@ def _gram_rows(ids: np.ndarray, at: np.ndarray, n: int, langs: pa.Array, words:
 
 
 def edges_and_ends(docs: DataFrame, bitmaps: list, bits: int, tables: np.ndarray) -> DataFrame:
-    """Summed weights (lang, phrase, words, n) of the edges of four words and of the ends of runs.
+    """Summed weights (lang, phrase, words, n) of edges of four words, and of phrases of one to three words at which edges end.
 
-    A run is cut where a word or pair is in no frequent bucket: no phrase that counts goes across.
+    An edge ends where its piece does, and where two or three of its words are in no frequent bucket: no
+    phrase that counts goes on there.
     """
-    shared, name = docs.sparkSession.sparkContext.broadcast(bitmaps), uuid.uuid4().hex
+    shared, name = docs.sparkSession.sparkContext.broadcast(_packed(bitmaps)), uuid.uuid4().hex
 
     def task(batches):
         sketch, s = _sketch(name, shared, bits), Strands()
@@ -241,7 +249,7 @@ def edges_and_ends(docs: DataFrame, bitmaps: list, bits: int, tables: np.ndarray
                 yield from s.rows()
                 s = Strands(by=1 - s.by)
                 s.add(w, *found, sketch)
-            if s.tokens > 3 << 20:
+            if s.tokens > 2 << 20:
                 yield from s.rows()
                 s = Strands()
         yield from s.rows()
@@ -277,10 +285,11 @@ def unary_paths(edges: DataFrame) -> DataFrame:
     return paths.select("lang", F.concat(F.split("head", " "), more).alias("words"), F.col("e.n").alias("weights"))
 
 
-def phrase_counts(grams: DataFrame, paths: DataFrame, least: int) -> DataFrame:
-    """Counts (lang, phrase, words, n) of all phrases of one to LONGEST words that occur `least` times or more.
+def phrase_counts(grams: DataFrame, paths: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """Counts (lang, phrase, words, n) of all phrases of one to LONGEST words that occur `least` times or more, and all words (lang, n).
 
-    grams: edges_and_ends; paths: the unary paths of its edges of `least` or more.
+    grams: edges_and_ends; paths: the unary paths of its edges of `least` or more. The flow out of a
+    node is the weight of what leads on from it; to that come the ends that stop at it.
     """
     edge = paths.select("lang", "words", F.posexplode("weights").alias("at", "n"))
     heavy = edge.select("lang", F.array_join(F.slice("words", F.col("at") + 1, LONGEST), " ").alias("phrase"), "n")
@@ -294,7 +303,7 @@ def phrase_counts(grams: DataFrame, paths: DataFrame, least: int) -> DataFrame:
     out = found[0]
     for x in found[1:]:
         out = out.unionByName(x)
-    return out
+    return out, flow.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def scored(counts: DataFrame) -> DataFrame:
@@ -328,9 +337,9 @@ def mine(docs: DataFrame, least: int = 30, share: int = 80, top: int | None = 20
     language (None: all) by score and a descending, then phrase in order of bytes; n are all words
     of the language.
 
-    Words and pairs are first counted in 2**bits buckets; what is in no bucket of `least` can be in no
-    candidate, so runs of words are cut there. The sketch is one bitmap of 2**bits bits at most,
-    which every worker holds. Beyond some billions of words nearly every bucket is full and runs are
+    Phrases of two and three words are first counted in 2**bits buckets; what is in no bucket of `least`
+    can be in no candidate, so edges end there. The sketch is one bitmap of 2**bits bits at most,
+    which every worker holds. Beyond some billions of words nearly every bucket is full and edges are
     cut no more: results stay the same, and shuffled rows then grow to the distinct phrases of four words
     of the tasks. Null and empty texts have no words. Extra columns are ignored. No words: no rows.
     """
@@ -341,8 +350,8 @@ def mine(docs: DataFrame, least: int = 30, share: int = 80, top: int | None = 20
     bitmaps = [(r["slice"], bytes(r["bits"])) for r in frequent_buckets(rows, least, bits, tables).collect()]
     grams = stage(edges_and_ends(rows, bitmaps, bits, tables), "grams")
     paths = stage(unary_paths(grams.where((F.col("words") == LONGEST) & (F.col("n") >= least)).select("lang", "phrase", "n")), "paths")
-    counts = stage(phrase_counts(grams, paths, least), "phrase-counts")
-    total = grams.where("words = 0").groupBy("lang").agg(F.sum("n").alias("n"))
+    counts, total = phrase_counts(grams, paths, least)
+    counts = stage(counts, "phrase-counts")
     kept = scored(counts).join(inside(counts).hint("merge"), ["lang", "phrase"], "left").where(F.col("around").isNull() | (F.col("around") * 100 < F.col("a") * share))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = kept.withColumn("rank", F.row_number().over(order).cast("long"))

@@ -51,7 +51,7 @@ def texts(n, seed):
     return [*rows, *[(9000 + k, "en", passage) for k in range(9)], *[(9100 + k, "en", "go go go go go go go") for k in range(4)], (9999, None, None), (9998, "en", ""), (9998, "en", " \t.,"), (9997, "en", "big " * 60_000)]
 
 
-@pytest.mark.parametrize("least,bits", [(5, 20), (8, 6), (2, 28)])
+@pytest.mark.parametrize("least,bits", [(5, 20), (8, 15), (2, 28)])
 def test_against_counting(spark, least, bits):
     rows = texts(300, least)
     got = mine(spark.createDataFrame(rows, SCHEMA).repartition(5), least=least, bits=bits)
