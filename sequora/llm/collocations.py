@@ -128,7 +128,7 @@ def frequent_buckets(docs: DataFrame, least: int, bits: int, tables: np.ndarray)
             keys, n = np.unique(keys[keys >= 0], return_counts=True)
             held.append((keys, n.astype(np.int32)))
             size += len(keys)
-            if size > 2 << 20:
+            if size > 1 << 20:
                 yield from out()
                 held, size = [], 0
         if size:
@@ -249,7 +249,7 @@ def edges_and_ends(docs: DataFrame, bitmaps: list, bits: int, tables: np.ndarray
                 yield from s.rows()
                 s = Strands(by=1 - s.by)
                 s.add(w, *found, sketch)
-            if s.tokens > 2 << 20:
+            if s.tokens > 1 << 20:
                 yield from s.rows()
                 s = Strands()
         yield from s.rows()
