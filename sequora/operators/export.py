@@ -1,35 +1,49 @@
-"""Pipe-separated output with a manifest that can be verified, written and read by Spark."""
+"""Pipe-separated output: written in shards of bounded bytes, published as a whole, verified, read back."""
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
-from sequora.functions import boolean_text
+from sequora.functions import any_of, boolean_text
+from sequora.sources import staging
 
-FORMAT_VERSION = 1
+FORMAT_VERSION = 2
 TARGET_BYTES, FILE_LIMIT = 90_000_000, 128_000_000
+CHUNK_BYTES = 8 << 20
 MAY_BE_EMPTY = ("23_transaction_used_device", "24_transaction_from_ip")
+MANIFEST = "dataset string, file string, bytes long, rows long, sha256 string, chunks array<string>"
+MARKER = "published"
+
+
+def plain_number(text: Column) -> Column:
+    """The text of a floating number without an exponent: its digits moved by it, no zeros at the end, no lone point.
+
+    Digits are those Spark writes, the fewest (or nearly) that give the number back. NaN and Infinity stay.
+    """
+    sign = F.when(text.startswith("-"), "-").otherwise("")
+    whole, part = F.regexp_extract(text, r"\A-?(\d+)\.?(\d*)", 1), F.regexp_extract(text, r"\A-?(\d+)\.?(\d*)", 2)
+    power = F.coalesce(F.regexp_extract(text, r"E(-?\d+)\z", 1).try_cast("int"), F.lit(0))
+    digits, point = F.concat(whole, part), F.length(whole) + power
+    padded = F.concat(F.repeat(F.lit("0"), F.greatest(1 - point, F.lit(0))), digits, F.repeat(F.lit("0"), F.greatest(point - F.length(digits), F.lit(0))))
+    at = F.greatest(point, F.lit(1))
+    front, back = F.substring(padded, F.lit(1), at), F.rtrim(F.substring(padded, at + 1, F.length(padded)), F.lit("0"))
+    return F.when(text.rlike(r"\A-?\d"), F.concat(sign, front, F.when(back != "", F.concat(F.lit("."), back)).otherwise(""))).otherwise(text)
 
 
 def psv_text(c: str, kind: T.DataType) -> Column:
-    """A value as it stands in a file: null is empty, whole floating numbers have no fraction, no exponents."""
+    """A value as it stands in a file: null is empty; numbers give the same number back, whole ones without a fraction."""
     x = F.col(c)
     if isinstance(kind, T.BooleanType):
         return boolean_text(x)
     if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
         return F.coalesce(F.date_format(x, "yyyy-MM-dd HH:mm:ss"), F.lit(""))
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        # a float's shortest text carries over to a double; decimal text has no exponent
-        d = x.cast("string").cast("double") if isinstance(kind, T.FloatType) else x
-        digits = d.cast("string").try_cast("decimal(38,12)").cast("string")
-        plain = F.regexp_replace(F.regexp_replace(digits, r"(\.\d*?)0+\z", "$1"), r"\.\z", "")
-        return F.coalesce(F.when(F.abs(d) >= 1e20, d.cast("string")).otherwise(plain), F.lit(""))
+        return F.coalesce(plain_number(x.cast("string")), F.lit(""))
     return F.coalesce(x.cast("string"), F.lit(""))
 
 
@@ -42,30 +56,94 @@ class ExportError(RuntimeError):
     pass
 
 
-def write_psv(df: DataFrame, path: str, target_bytes: int = TARGET_BYTES, may_be_empty: bool = True) -> None:
-    """Files of at most target_bytes, no header, rows never split; an existing path is an error.
+def sharded(lines: DataFrame, target: int, total: int) -> DataFrame:
+    """Lines of a staged table (value, bytes) with the shard each goes to: none passes `target`, and nearly all fill half of it or more.
 
-    The longest line sets the rows of a file, so no file passes the bound and none is shuffled for it;
-    files fall short of it by as much as the mean line is shorter than the longest. A line over the
-    bound, or no line where some are due, is an error before anything is written. `df` is computed once.
+    Rows are dealt into ranges of about four shards by their place in the staged files. Within
+    one, short lines (a sixteenth of the target at most) go by the sum of the bytes before them
+    over equal shares of the range's total, which leave room for one more line. A longer line of
+    over target / 2^(c+1) and up to target / 2^c bytes is one of 2^c in its shard. A range's last
+    shard of each length class may be smaller. No window is wider than a range.
     """
-    lines = psv_rows(df).persist(StorageLevel.DISK_ONLY)
+    ranges = max(1, -(-total // (4 * target)))
+    place = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
+    rows = lines.select("value", "bytes", place[0].alias("file"), place[1].alias("row"))
+    rows = rows.withColumn("range", F.pmod(F.xxhash64("file", F.floor(F.col("row") / 64)), F.lit(ranges)))
+    short = F.col("bytes") * 16 <= target
+    rows = rows.withColumn("class", F.when(short, -1).otherwise(F.floor(F.log2(F.lit(target) / F.col("bytes")))).cast("int"))
+    room = target - target // 16
+    shares = rows.where("class < 0").groupBy("range").agg(F.sum("bytes").alias("all")).select("range", F.ceil(F.col("all") / F.ceil(F.col("all") / room)).alias("share"))
+    rows = rows.join(shares, "range", "left")
+    order = Window.partitionBy("range", "class").orderBy("file", "row")
+    before = F.coalesce(F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    k = F.when(F.col("class") < 0, F.floor(before / F.col("share"))).otherwise(F.floor((F.row_number().over(order) - 1) / F.pow(F.lit(2), F.col("class"))))
+    return rows.select("value", F.concat_ws("-", "range", F.col("class") + 1, k.cast("long")).alias("shard"))
+
+
+def write_psv(df: DataFrame, path: str, target_bytes: int = TARGET_BYTES, may_be_empty: bool = True) -> dict[str, int]:
+    """Shards of at most target_bytes, no header, rows never split; returns the rows, bytes and longest line that were seen in the write.
+
+    `df` is computed once: its lines are staged, observed on the way, and dealt out to shards from
+    there. A line over the bound, or no line where some are due, is an error before any shard is
+    written; so is an existing path.
+    """
+    spark, seen = df.sparkSession, Observation()
+    width = (F.octet_length("value") + 1).cast("long")
+    lines = psv_rows(df).withColumn("bytes", width).observe(seen, F.count("*").alias("rows"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.coalesce(F.max("bytes"), F.lit(0)).alias("longest"))
+    pending = staging.folder(spark, "lines")
     try:
-        width = lines.agg(F.max(F.octet_length("value") + 1)).first()[0]
-        if width is None and not may_be_empty:
+        lines.write.parquet(pending)
+        found = {k: int(v) for k, v in seen.get.items()}
+        if not found["rows"] and not may_be_empty:
             raise ExportError(f"{path} is empty")
-        if width and width > target_bytes:
-            raise ExportError(f"{path} has a line of {width} bytes")
-        lines.write.mode("errorifexists").option("maxRecordsPerFile", target_bytes // (width or 1)).text(path)
+        if found["longest"] > target_bytes:
+            raise ExportError(f"{path} has a line of {found['longest']} bytes")
+        held = spark.read.schema("value string, bytes long").parquet(pending)
+        sharded(held, target_bytes, found["bytes"]).write.mode("errorifexists").partitionBy("shard").text(path)
     finally:
-        lines.unpersist()
+        staging.remove(spark, pending)
+    return found
+
 
+def files(spark: SparkSession, path: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Each file under path with its bytes, lines and SHA-256, and the SHA-256 of each chunk_bytes of it in order.
+
+    Files are listed by Spark and read in the tasks as streams, so a task holds a piece of a file and never the whole.
+    """
 
-def files(spark: SparkSession, path: str) -> DataFrame:
-    """Each file under path with its bytes and SHA-256, and its lines as counted from the same bytes."""
-    read = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    lines = F.length(F.col("content").cast("string")) - F.length(F.replace(F.col("content").cast("string"), F.lit("\n"), F.lit("")))
-    return read.select(F.regexp_extract("path", r"[^/]+\z", 0).alias("file"), F.col("length").alias("bytes"), lines.cast("long").alias("rows"), F.sha2("content", 256).alias("sha256"))
+    def task(batches):
+        import hashlib
+        import re
+
+        import pyarrow as pa
+        import pyarrow.fs as pafs
+
+        for batch in batches:
+            out = []
+            for uri in batch.column(0).to_pylist():
+                fs, where = pafs.FileSystem.from_uri(re.sub(r"\A(file):/(?!//)", r"\1:///", uri).replace("s3a://", "s3://"))
+                whole, chunks, size, lines = hashlib.sha256(), [], 0, 0
+                with fs.open_input_stream(where, compression=None) as f:
+                    one, left = hashlib.sha256(), chunk_bytes
+                    while piece := f.read(min(1 << 20, left)):
+                        whole.update(piece)
+                        one.update(piece)
+                        size, lines, left = size + len(piece), lines + piece.count(b"\n"), left - len(piece)
+                        if not left:
+                            chunks.append(one.hexdigest())
+                            one, left = hashlib.sha256(), chunk_bytes
+                    if left < chunk_bytes:
+                        chunks.append(one.hexdigest())
+                out.append((uri, size, lines, whole.hexdigest(), chunks))
+            types = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())]
+            names = ["path", "bytes", "rows", "sha256", "chunks"]
+            columns = zip(*out, strict=True) if out else [[]] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("path")
+    read = listed.mapInArrow(task, "path string, bytes long, rows long, sha256 string, chunks array<string>")
+    inside = F.regexp_extract("path", r"([^/]+/)?[^/]+\z", 0)
+    return read.select(inside.alias("file"), "bytes", "rows", "sha256", "chunks")
 
 
 def manifest_of(spark: SparkSession, folder: str, datasets: list[str]) -> DataFrame:
@@ -76,42 +154,84 @@ def manifest_of(spark: SparkSession, folder: str, datasets: list[str]) -> DataFr
     return out
 
 
-def export(datasets: dict[str, DataFrame], folder: str, checked: DataFrame, require: Callable[[DataFrame], None], counts: dict[str, int] | None = None, may_be_empty: tuple[str, ...] = MAY_BE_EMPTY) -> DataFrame:
-    """Write all datasets in their order, then the manifest beside them; return the manifest's rows.
+def export(datasets: dict[str, DataFrame], folder: str, checked: DataFrame, require: Callable[[DataFrame], None], counts: dict[str, int] | None = None, may_be_empty: tuple[str, ...] = MAY_BE_EMPTY, target_bytes: int = TARGET_BYTES) -> DataFrame:
+    """Write all datasets in their order, the manifest beside them, and last the marker that publishes them; return the manifest's rows.
 
     Refuses if a gate of `checked` has failed, if a dataset is empty that may not be, or if the rows
-    written differ from the audited `counts`.
+    seen in a write differ from the audited `counts`; each is known before the next dataset is
+    begun. Whatever ends it before the marker leaves a folder that no reader takes.
     """
     require(checked)
     spark = checked.sparkSession
+    head = {}
     for name, df in datasets.items():
-        write_psv(df, f"{folder}/{name}", may_be_empty=name in may_be_empty)
-    found = manifest_of(spark, folder, list(datasets))
-    totals = found.groupBy("dataset").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest")).collect()
-    for r in totals:
-        if r["largest"] >= FILE_LIMIT:
-            raise ExportError(f"{r['dataset']} has a file of {r['largest']} bytes")
-        if counts and counts.get(r["dataset"]) != r["rows"]:
-            raise ExportError(f"{r['dataset']}: {r['rows']} rows written, {counts.get(r['dataset'], 'none')} audited")
-    found.coalesce(1).write.mode("errorifexists").json(f"{folder}/manifest")
-    head = {"format_version": FORMAT_VERSION, "datasets": {r["dataset"]: {"rows": r["rows"], "bytes": r["bytes"]} for r in totals}}
-    spark.createDataFrame([(json.dumps(head, sort_keys=True),)], "value string").coalesce(1).write.mode("errorifexists").text(f"{folder}/manifest_head")
-    return spark.read.schema("dataset string, file string, bytes long, rows long, sha256 string").json(f"{folder}/manifest")
+        found = write_psv(df, f"{folder}/{name}", target_bytes, name in may_be_empty)
+        if counts is not None and counts.get(name) != found["rows"]:
+            raise ExportError(f"{name}: {found['rows']} rows written, {counts.get(name, 'none')} audited")
+        head[name] = {"rows": found["rows"], "bytes": found["bytes"], "schema": df.schema.jsonValue()}
+    manifest_of(spark, folder, list(datasets)).coalesce(1).write.mode("errorifexists").json(f"{folder}/manifest")
+    stated = spark.read.schema(MANIFEST).json(f"{folder}/manifest")
+    totals = {r["dataset"]: r for r in stated.groupBy("dataset").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest")).collect()}
+    for name, said in head.items():
+        r = totals.get(name)
+        if (r["rows"], r["bytes"]) != (said["rows"], said["bytes"]) if r else said["rows"]:
+            raise ExportError(f"{name}: {said['rows']} rows of {said['bytes']} bytes written, {(r['rows'], r['bytes']) if r else 'none'} in the files")
+        if r and r["largest"] >= FILE_LIMIT:
+            raise ExportError(f"{name} has a file of {r['largest']} bytes")
+    text = json.dumps({"format_version": FORMAT_VERSION, "chunk_bytes": CHUNK_BYTES, "datasets": head}, sort_keys=True)
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("errorifexists").text(f"{folder}/{MARKER}")
+    return stated
+
+
+def published(spark: SparkSession, folder: str) -> dict:
+    """What the marker of an export states; an export without one was not finished and is refused."""
+    if not staging.exists(spark, f"{folder}/{MARKER}/_SUCCESS"):
+        raise ExportError(f"{folder} is not published")
+    return json.loads(spark.read.text(f"{folder}/{MARKER}").first()["value"])
 
 
 def verify(spark: SparkSession, folder: str, datasets: list[str]) -> DataFrame:
-    """Faults of an export, as rows (dataset, file, fault): a version, set, size, digest or total that is not as stated."""
-    stated = spark.read.schema("dataset string, file string, bytes long, rows long, sha256 string").json(f"{folder}/manifest")
-    head = json.loads(spark.read.text(f"{folder}/manifest_head").first()["value"])
+    """Faults of an export, as rows (dataset, file, fault): a version, set, size, digest or total that is not as stated.
+
+    A digest that differs names the first chunk that does. An export that is not published is an error.
+    """
+    head = published(spark, folder)
+    stated = spark.read.schema(MANIFEST).json(f"{folder}/manifest")
     faults = []
     if head["format_version"] != FORMAT_VERSION:
         faults.append(("", "", f"format version {head['format_version']}"))
     faults += [(d, "", "missing from the manifest") for d in datasets if d not in head["datasets"]]
     faults += [(d, "", "not expected") for d in head["datasets"] if d not in datasets]
     now = manifest_of(spark, folder, [d for d in datasets if d in head["datasets"]])
-    both = stated.join(now.select("dataset", "file", *[F.col(c).alias(f"now_{c}") for c in ("bytes", "rows", "sha256")]), ["dataset", "file"], "full")
-    differs = F.when(F.col("sha256").isNull(), "not in the manifest").when(F.col("now_sha256").isNull(), "file is missing").when(F.col("bytes") != F.col("now_bytes"), "other size").when(F.col("sha256") != F.col("now_sha256"), "other digest").when(F.col("rows") != F.col("now_rows"), "other rows")
+    both = stated.join(now.select("dataset", "file", *[F.col(c).alias(f"now_{c}") for c in ("bytes", "rows", "sha256", "chunks")]), ["dataset", "file"], "full")
+    chunk = F.array_position(F.zip_with("chunks", "now_chunks", lambda a, b: a.eqNullSafe(b)), F.lit(False)) - 1
+    differs = F.when(F.col("sha256").isNull(), "not in the manifest").when(F.col("now_sha256").isNull(), "file is missing").when(F.col("bytes") != F.col("now_bytes"), "other size").when(F.col("sha256") != F.col("now_sha256"), F.concat(F.lit("other digest in chunk "), chunk)).when(F.col("rows") != F.col("now_rows"), "other rows")
     wrong = both.select("dataset", "file", differs.alias("fault")).where("fault IS NOT NULL")
-    totals = stated.groupBy("dataset").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).collect()
-    faults += [(r["dataset"], "", "other totals") for r in totals if head["datasets"].get(r["dataset"]) != {"rows": r["rows"], "bytes": r["bytes"]}]
+    totals = {r["dataset"]: r for r in stated.groupBy("dataset").agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")).collect()}
+    for d, said in head["datasets"].items():
+        r = totals.get(d)
+        if (r["rows"], r["bytes"]) != (said["rows"], said["bytes"]) if r else said["rows"]:
+            faults.append((d, "", "other totals"))
     return wrong.unionByName(spark.createDataFrame(faults, "dataset string, file string, fault string")) if faults else wrong
+
+
+CORRUPT = "_corrupt"
+
+
+def read_psv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The lines under path by this schema, with `_corrupt`: the line, where it has another number of fields or a value that its type can't hold.
+
+    Empty fields are empty texts or null numbers. Nothing is inferred, and no line is dropped.
+    """
+    lines = spark.read.schema("value string").option("recursiveFileLookup", "true").option("lineSep", "\n").text(path)
+    parts = F.split("value", r"\|", -1)
+    fits = F.size(parts) == len(schema)
+    at = {f.name: F.when(fits, F.get(parts, k)) for k, f in enumerate(schema)}
+    typed = {f.name: at[f.name] if isinstance(f.dataType, T.StringType) else F.nullif(at[f.name], F.lit("")).try_cast(f.dataType) for f in schema}
+    bad = any_of([~fits, *[F.coalesce((at[f.name] != "") & typed[f.name].isNull(), F.lit(False)) for f in schema if not isinstance(f.dataType, T.StringType)]])
+    return lines.select(*[x.alias(n) for n, x in typed.items()], F.when(bad, F.col("value")).alias(CORRUPT))
+
+
+def read_export(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Every dataset of a published export, by the schemas that its marker states."""
+    return {d: read_psv(spark, f"{folder}/{d}", T.StructType.fromJson(said["schema"])) for d, said in published(spark, folder)["datasets"].items()}

@@ -128,17 +128,18 @@ def endpoint_report(p: CardFraud) -> DataFrame:
 
 VERTICES = 11
 RELATIONS = slice(11, 21)
+HOME_KEYS = ("party_id", "account_id", "card_id", "merchant_id", "location_id", "device_id", "ip_id", "email_id", "phone_id", "address_id", "document_id")
 
 
 def first_seen_report(p: CardFraud) -> DataFrame:
-    stamps = union([d.select("first_seen_seq") for d in list(p.datasets.values())[:VERTICES]])
+    stamps = union([p.datasets[n].select("first_seen_seq") for n in list(p.datasets)[:VERTICES]])
     floor = lambda df, n: df.agg(count_if(F.col("first_seen_is_floor"), n))
     return beside(stamps.agg(count_if(F.col("first_seen_seq") <= 0, "vertices_with_zero_first_seen")), floor(p.parties, "parties_at_floor"), floor(p.cards, "cards_at_floor"), floor(p.merchants, "merchants_at_floor"))
 
 
 def interval_report(p: CardFraud) -> DataFrame:
     """With how many pairs of generations stay open since the later one was not seen later."""
-    every = union([d.select("valid_from_seq", "valid_to_seq") for d in list(p.datasets.values())[RELATIONS]])
+    every = union([p.datasets[n].select("valid_from_seq", "valid_to_seq") for n in list(p.datasets)[RELATIONS]])
     start, end = F.col("valid_from_seq"), F.col("valid_to_seq")
     held = p.account_has_card.groupBy("account_id").agg(F.count("*").alias("n"), F.count_if(end == 0).alias("still_open"))
     return beside(
@@ -224,10 +225,11 @@ def verification_report(p: CardFraud, policies: dict[str, int]) -> DataFrame:
 
 def relation_endpoints(p: CardFraud) -> DataFrame:
     """Relations whose ends are no vertex, or whose start lies before an end was first seen: one row for each relation."""
-    d = list(p.datasets.items())
-    homes = {"party_id": d[0][1], "account_id": d[1][1], "card_id": d[2][1], "merchant_id": d[3][1], "location_id": d[4][1], "device_id": d[5][1], "ip_id": d[6][1], "email_id": d[7][1], "phone_id": d[8][1], "address_id": d[9][1], "document_id": d[10][1]}
+    d = list(p.datasets)
+    homes = {HOME_KEYS[k]: p.datasets[n] for k, n in enumerate(d[:VERTICES])}
     out = []
-    for name, edge in d[RELATIONS]:
+    for name in d[RELATIONS]:
+        edge = p.datasets[name]
         a, z = edge.columns[:2]
         left, right = (homes[c].select(F.col(c).alias(f"_{k}"), F.col("first_seen_seq").alias(f"_{k}_seen")) for c, k in ((a, "a"), (z, "z")))
         joined = edge.join(left, F.col(a) == F.col("_a"), "left").join(right, F.col(z) == F.col("_z"), "left")

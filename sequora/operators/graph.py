@@ -57,8 +57,8 @@ def degree_above(edge: DataFrame, target: str, bound: int, name: str) -> DataFra
 
 def stamp_report(p) -> DataFrame:
     """Stamps and intervals of the written tables."""
-    d = list(p.datasets.values())
-    stamps, every = union([x.select("first_seen_seq") for x in d[:11]]), union([x.select("valid_from_seq", "valid_to_seq") for x in d[11:21]])
+    d, names = p.datasets, list(p.datasets)
+    stamps, every = union([d[n].select("first_seen_seq") for n in names[:11]]), union([d[n].select("valid_from_seq", "valid_to_seq") for n in names[11:21]])
     start, end = F.col("valid_from_seq"), F.col("valid_to_seq")
     return beside(stamps.agg(count_if(F.col("first_seen_seq") <= 0, "zero_first_seen")), every.agg(count_if(start <= 0, "zero_valid_from"), count_if((end != 0) & (end <= start), "empty_intervals"), count_if(end != 0, "closed_tenures")))
 
@@ -127,7 +127,13 @@ def temporal_invariants(t: dict[str, DataFrame]) -> DataFrame:
 
 
 def same_distribution(source: DataFrame, written: DataFrame) -> DataFrame:
-    """Values whose counts differ between two distributions (attribute, value, accounts)."""
+    """Two distributions (attribute, value, accounts) beside each other: counts before and after, and whether they are the same."""
     on = ["attribute", "value"]
-    both = source.join(written.withColumnRenamed("accounts", "now"), on, "full")
-    return both.select(*on, F.coalesce("accounts", F.lit(0)).alias("before"), F.coalesce("now", F.lit(0)).alias("after")).where("before <> after")
+    return _beside(source, written, on).select(*on, "before", "after", (F.col("before") == F.col("after")).alias("fits"))
+
+
+def _beside(source: DataFrame, written: DataFrame, on: list[str]) -> DataFrame:
+    """Null values are a value of their own, so the two are summed up and not joined."""
+    zero = F.lit(0).cast("long")
+    all_ = source.select(*on, F.col("accounts").alias("before"), zero.alias("after")).unionByName(written.select(*on, zero.alias("before"), F.col("accounts").alias("after")))
+    return all_.groupBy(*on).agg(F.sum("before").alias("before"), F.sum("after").alias("after"))

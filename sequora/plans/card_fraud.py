@@ -2,23 +2,47 @@
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable, Iterator, Mapping
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sequora import functions as fn
 from sequora.operators import entities as e
 from sequora.operators import sequence as s
 from sequora.operators import transactions as t
+from sequora.operators.export import CORRUPT, read_export
 from sequora.operators.relations import instrument_in_force
 from sequora.sources.staging import staged
 
 SOURCE_SYSTEM = "synthetic"
 
 
+class Datasets(Mapping):
+    """Frames by name in load order, each made when first asked for."""
+
+    def __init__(self, made_by: dict[str, Callable[[], DataFrame]]):
+        self.made_by, self.made = made_by, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.made:
+            self.made[name] = self.made_by[name]()
+        return self.made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.made_by)
+
+    def __len__(self) -> int:
+        return len(self.made_by)
+
+    def __or__(self, more: Mapping[str, DataFrame]) -> Datasets:
+        """These, with others in their place or behind them."""
+        return Datasets({n: lambda n=n: self[n] for n in self} | {n: lambda n=n: more[n] for n in more})
+
+
 class CardFraud:
-    """Every frame of the preparation, made when first asked for. `keep` stages those that many others read."""
+    """Every frame of the preparation, made when first asked for. `keep` stages those that many others read, for audits and exports."""
 
     def __init__(self, tables: dict[str, DataFrame], tokens: fn.TokenPolicy, labels: fn.LabelPolicy = fn.LabelPolicy(), keep: bool = False):
         self.src, self.tokens, self.labels, self.keep = tables, tokens, labels, keep
@@ -28,7 +52,8 @@ class CardFraud:
 
     def stage_datasets(self) -> None:
         """Write the datasets once, for an export and for audits that read all of them several times."""
-        self.datasets = {n: staged(df, n) for n, df in self.datasets.items()}
+        plain = self.datasets
+        self.datasets = Datasets({n: lambda n=n: staged(plain[n], n) for n in plain})
 
     # the clock
     @cached_property
@@ -159,14 +184,14 @@ class CardFraud:
         return self.locations.select("merchant_id", "location_id", F.col("first_seen_event_seq").alias("valid_from_seq"), F.lit(0).cast("long").alias("valid_to_seq"))
 
     @cached_property
-    def party_values(self) -> dict[str, DataFrame]:
-        spec = {"email": ("has_email", "email", self.emails, "email_id"), "phone": ("has_phone", "phone_number", self.phones, "phone_id"), "address": ("has_address", "address", self.addresses, "address_id"), "identity_document": ("has_document", "id", self.documents, "document_id"), "device": ("has_device", "device_id", self.devices, "device_token"), "ip": ("has_ip", "ip_id", self.ips, "ip_token")}
-        out = {}
-        for kind, (edges, c, values, name) in spec.items():
-            out[kind] = e.party_value_relation(self.src[edges], c, values, self.party_seen, name)
-        out["device"] = out["device"].withColumnRenamed("device_token", "device_id")
-        out["ip"] = out["ip"].withColumnRenamed("ip_token", "ip_id")
-        return out
+    def party_values(self) -> Datasets:
+        spec = {"email": ("has_email", "email", "emails", "email_id"), "phone": ("has_phone", "phone_number", "phones", "phone_id"), "address": ("has_address", "address", "addresses", "address_id"), "identity_document": ("has_document", "id", "documents", "document_id"), "device": ("has_device", "device_id", "devices", "device_token"), "ip": ("has_ip", "ip_id", "ips", "ip_token")}
+
+        def relation(edges, c, values, name):
+            found = e.party_value_relation(self.src[edges], c, getattr(self, values), self.party_seen, name)
+            return found.withColumnRenamed(name, name.replace("_token", "_id"))
+
+        return Datasets({kind: lambda x=x: relation(*x) for kind, x in spec.items()})
 
     # payments
     @cached_property
@@ -187,7 +212,7 @@ class CardFraud:
 
     # the datasets, in load order: vertices, relations, payments, their endpoints
     @cached_property
-    def datasets(self) -> dict[str, DataFrame]:
+    def datasets(self) -> Datasets:
         c, b, ms = fn.clean_text, fn.boolean_text, fn.to_ms
         seen = [F.col("first_seen_event_seq").alias("first_seen_seq"), ms("first_seen_unix_time").alias("first_seen_ts_ms")]
 
@@ -198,47 +223,70 @@ class CardFraud:
             return df.select(c(a).alias(a), c(z).alias(z), "valid_from_seq", "valid_to_seq", F.lit(1.0).cast("float").alias("confidence"), F.lit(SOURCE_SYSTEM).alias("source_system"))
 
         clean = lambda *names: [c(n).alias(n) for n in names]
-        m = self.manifest
-        v = self.party_values
-        return {
-            "01_parties": out(self.parties, "party_id", "party_id", ms("customer_since_unix_time").alias("customer_since_ts_ms"), *clean("party_type", "home_country")),
-            "02_accounts": out(self.accounts, "account_id", "account_id", ms("opened_unix_time").alias("opened_ts_ms"), *clean("account_type", "base_currency", "country_code")),
-            "03_cards": out(self.cards, "card_id", "card_id", ms("issued_unix_time").alias("issued_ts_ms"), *clean("card_type", "card_network", "card_product"), b("is_virtual").alias("is_virtual")),
-            "04_merchants": out(self.merchants, "merchant_id", "merchant_id", ms("onboarded_unix_time").alias("onboarded_ts_ms"), *clean("merchant_category_code", "merchant_country", "merchant_type"), b("is_online").alias("is_online")),
-            "05_merchant_locations": out(self.locations, "location_id", "location_id", *clean("country_code", "region_code", "postal_code_prefix"), "latitude", "longitude", b("has_coordinates").alias("has_coordinates")),
-            "06_devices": out(self.devices, "id", "device_id", *clean("device_type", "os_family", "browser_family")),
-            "07_ip_addresses": out(self.ips, "id", "ip_id", *clean("country_code"), "asn", *clean("network_type")),
-            "08_emails": out(self.emails, "id", "email_id", *clean("domain")),
-            "09_phones": out(self.phones, "id", "phone_id", *clean("country_code", "line_type")),
-            "10_addresses": out(self.addresses, "id", "address_id", *clean("country_code", "region_code", "postal_code_prefix")),
-            "11_identity_documents": out(self.documents, "id", "document_id", *clean("document_type", "issuing_country")),
-            "12_party_owns_account": edge(self.party_owns_account, "party_id", "account_id"),
-            "13_account_has_card": edge(self.account_has_card, "account_id", "card_id"),
-            "14_party_has_email": edge(v["email"], "party_id", "email_id"),
-            "15_party_has_phone": edge(v["phone"], "party_id", "phone_id"),
-            "16_party_has_address": edge(v["address"], "party_id", "address_id"),
-            "17_party_has_identity_document": edge(v["identity_document"], "party_id", "document_id"),
-            "18_party_has_device": edge(v["device"], "party_id", "device_id"),
-            "19_party_has_ip": edge(v["ip"], "party_id", "ip_id"),
-            "20_party_operates_merchant": edge(self.party_operates_merchant, "party_id", "merchant_id"),
-            "21_merchant_has_location": edge(self.merchant_has_location, "merchant_id", "location_id"),
-            "22_transactions": m.select(
+        m, v = (lambda: self.manifest), (lambda kind: self.party_values[kind])
+        return Datasets({
+            "01_parties": lambda: out(self.parties, "party_id", "party_id", ms("customer_since_unix_time").alias("customer_since_ts_ms"), *clean("party_type", "home_country")),
+            "02_accounts": lambda: out(self.accounts, "account_id", "account_id", ms("opened_unix_time").alias("opened_ts_ms"), *clean("account_type", "base_currency", "country_code")),
+            "03_cards": lambda: out(self.cards, "card_id", "card_id", ms("issued_unix_time").alias("issued_ts_ms"), *clean("card_type", "card_network", "card_product"), b("is_virtual").alias("is_virtual")),
+            "04_merchants": lambda: out(self.merchants, "merchant_id", "merchant_id", ms("onboarded_unix_time").alias("onboarded_ts_ms"), *clean("merchant_category_code", "merchant_country", "merchant_type"), b("is_online").alias("is_online")),
+            "05_merchant_locations": lambda: out(self.locations, "location_id", "location_id", *clean("country_code", "region_code", "postal_code_prefix"), "latitude", "longitude", b("has_coordinates").alias("has_coordinates")),
+            "06_devices": lambda: out(self.devices, "id", "device_id", *clean("device_type", "os_family", "browser_family")),
+            "07_ip_addresses": lambda: out(self.ips, "id", "ip_id", *clean("country_code"), "asn", *clean("network_type")),
+            "08_emails": lambda: out(self.emails, "id", "email_id", *clean("domain")),
+            "09_phones": lambda: out(self.phones, "id", "phone_id", *clean("country_code", "line_type")),
+            "10_addresses": lambda: out(self.addresses, "id", "address_id", *clean("country_code", "region_code", "postal_code_prefix")),
+            "11_identity_documents": lambda: out(self.documents, "id", "document_id", *clean("document_type", "issuing_country")),
+            "12_party_owns_account": lambda: edge(self.party_owns_account, "party_id", "account_id"),
+            "13_account_has_card": lambda: edge(self.account_has_card, "account_id", "card_id"),
+            "14_party_has_email": lambda: edge(v("email"), "party_id", "email_id"),
+            "15_party_has_phone": lambda: edge(v("phone"), "party_id", "phone_id"),
+            "16_party_has_address": lambda: edge(v("address"), "party_id", "address_id"),
+            "17_party_has_identity_document": lambda: edge(v("identity_document"), "party_id", "document_id"),
+            "18_party_has_device": lambda: edge(v("device"), "party_id", "device_id"),
+            "19_party_has_ip": lambda: edge(v("ip"), "party_id", "ip_id"),
+            "20_party_operates_merchant": lambda: edge(self.party_operates_merchant, "party_id", "merchant_id"),
+            "21_merchant_has_location": lambda: edge(self.merchant_has_location, "merchant_id", "location_id"),
+            "22_transactions": lambda: m().select(
                 *clean("transaction_id"), fn.utc_text("unix_time").alias("event_time"), ms("unix_time").alias("event_ts_ms"), "event_seq", "amount", b("amount_present").alias("amount_present"),
                 *clean("currency", "transaction_type", "channel", "entry_mode"), *[b(x).alias(x) for x in ("card_present", "is_cross_border", "is_recurring")], *clean("merchant_category_code"),
                 b("has_event_location").alias("has_event_location"), "event_latitude", "event_longitude", "device_risk_score", "ip_risk_score", "fraud_label", b("label_known").alias("label_known"), "label_available_seq",
                 ms("label_available_unix_time").alias("label_available_ts_ms"), *clean("label_source", "account_id", "card_id", "merchant_id", "location_id"),
             ),
-            "23_transaction_used_device": self.used_device.select(*clean("transaction_id", "device_id"), ms("unix_time").alias("event_ts_ms"), "event_seq"),
-            "24_transaction_from_ip": self.from_ip.select(*clean("transaction_id", "ip_id"), ms("unix_time").alias("event_ts_ms"), "event_seq"),
-        }
+            "23_transaction_used_device": lambda: self.used_device.select(*clean("transaction_id", "device_id"), ms("unix_time").alias("event_ts_ms"), "event_seq"),
+            "24_transaction_from_ip": lambda: self.from_ip.select(*clean("transaction_id", "ip_id"), ms("unix_time").alias("event_ts_ms"), "event_seq"),
+        })
 
     @cached_property
     def fan_out(self) -> dict[str, DataFrame]:
-        """The payment rows as a vertex and its participation edges; the place edge only where there is one."""
-        rows = self.datasets["22_transactions"]
-        ends = ("account_id", "card_id", "merchant_id", "location_id")
-        out = {"Payment_Transaction": rows.drop(*ends)}
-        for end, name in zip(ends, ("By_Account", "By_Card", "To_Merchant", "At_Location")):
-            edge = rows.select("transaction_id", end, "event_ts_ms", "event_seq")
-            out[name] = edge.where(F.col(end) != "") if end == "location_id" else edge
-        return out
+        return fanned_out(self.datasets["22_transactions"])
+
+
+def fanned_out(rows: DataFrame) -> dict[str, DataFrame]:
+    """Payment rows as a vertex and its participation edges; the place edge only where there is one."""
+    ends = ("account_id", "card_id", "merchant_id", "location_id")
+    out = {"Payment_Transaction": rows.drop(*ends)}
+    for end, name in zip(ends, ("By_Account", "By_Card", "To_Merchant", "At_Location")):
+        edge = rows.select("transaction_id", end, "event_ts_ms", "event_seq")
+        out[name] = edge.where(F.col(end) != "") if end == "location_id" else edge
+    return out
+
+
+class Written:
+    """The datasets of a published export as they stand in its files; lines that can't be read are apart."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self.lines = read_export(spark, folder)
+
+    @cached_property
+    def datasets(self) -> Datasets:
+        return Datasets({n: lambda df=df: df.where(F.col(CORRUPT).isNull()).drop(CORRUPT) for n, df in self.lines.items()})
+
+    @cached_property
+    def fan_out(self) -> dict[str, DataFrame]:
+        return fanned_out(self.datasets["22_transactions"])
+
+    @cached_property
+    def corrupt(self) -> DataFrame:
+        """Lines that no row could be made of (dataset, line)."""
+        return reduce(DataFrame.unionByName, [df.where(F.col(CORRUPT).isNotNull()).select(F.lit(n).alias("dataset"), F.col(CORRUPT).alias("line")) for n, df in self.lines.items()])

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sequora import functions as fn
-from sequora.operators.export import FILE_LIMIT, FORMAT_VERSION, TARGET_BYTES
-from sequora.operators import entities, gates, graph, relations
+from sequora.operators import entities, export, gates, graph, relations
+from sequora.operators.export import FILE_LIMIT, FORMAT_VERSION, MAY_BE_EMPTY, TARGET_BYTES
 from sequora.operators import sequence as s
 from sequora.operators import transactions as tx
-from sequora.plans.card_fraud import CardFraud
+from sequora.plans.card_fraud import CardFraud, Written
 from sequora.plans.card_fraud_sql import boolean, clean, compose, ctes, ms, token
 from sequora.sources import projection, readers, staging
 from sequora.sources.contracts import CORE_TABLES, SOURCE_COLUMNS, check_tables, protected_columns
@@ -27,18 +27,57 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def prepared(spark: SparkSession, sf_dir: str, change=None) -> CardFraud:
+def prepared(spark: SparkSession, sf_dir: str, change=None, keep: bool = False) -> CardFraud:
     src = projection.sources(spark, sf_dir)
     check_tables(src)
-    return CardFraud(change(src) if change else src, POLICY, keep=True)
+    return CardFraud(change(src) if change else src, POLICY, keep=keep)
 
 
 def add(name: str, frame: Callable[[CardFraud], DataFrame], sql: str | None = None, change=None, parts: dict[str, str] | None = None) -> None:
-    QUERIES[name] = lambda spark, sf_dir: frame(prepared(spark, sf_dir, change))
+    """A query over the prepared frames; audits read many of them, so theirs are staged."""
+    QUERIES[name] = lambda spark, sf_dir: frame(prepared(spark, sf_dir, change, keep=name.startswith("aud_")))
     if sql:
         ORACLE_SQL[name] = compose(sql, PARTS | (parts or {}))
 
 
+_exports: dict[tuple, tuple[str, DataFrame, CardFraud]] = {}
+
+
+def exported(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, CardFraud]:
+    """Folder, manifest and frames of the export of these tables; one for all queries of a Spark application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _exports:
+        p, folder = prepared(spark, sf_dir, keep=True), staging.folder(spark, "export")
+        p.stage_datasets()
+        counts = {r["dataset"]: r["rows"] for r in gates.load_counts(p.datasets).collect()}
+        _exports[key] = folder, export.export(p.datasets, folder, gates.gates(p), gates.require, counts), p
+    return _exports[key]
+
+
+def damaged(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, CardFraud]:
+    """An export of its own in which the files of a dataset are lost, and two datasets got a file each that nobody stated: with a line cut short, and with a text where a number is due."""
+    key = (spark.sparkContext.applicationId, sf_dir, "damaged")
+    if key not in _exports:
+        _, _, p = exported(spark, sf_dir)
+        folder = staging.folder(spark, "export")
+        stated = export.export(p.datasets, folder, gates.gates(p), gates.require)
+        for r in export.files(spark, f"{folder}/07_ip_addresses").select("file").collect():
+            staging.remove(spark, f"{folder}/07_ip_addresses/{r['file']}")
+        for name, line in (("08_emails", F.concat(F.min("email_id"), F.lit("|1"))), ("09_phones", F.concat(F.min("phone_id"), F.lit("|one|2||unknown")))):
+            p.datasets[name].agg(line.alias("value")).coalesce(1).write.mode("append").text(f"{folder}/{name}")
+        _exports[key] = folder, stated, p
+    return _exports[key]
+
+
+def add_written(name: str, frame: Callable[[Written], DataFrame], sql: str, mutated: str | None = None) -> None:
+    """A query over an export as it is read back, and with `mutated` the same over a damaged one."""
+    QUERIES[name] = lambda spark, sf_dir: frame(Written(spark, exported(spark, sf_dir)[0]))
+    ORACLE_SQL[name] = compose(sql, PARTS)
+    if mutated:
+        QUERIES[f"{name}_mutated"] = lambda spark, sf_dir: frame(Written(spark, damaged(spark, sf_dir)[0]))
+        ORACLE_SQL[f"{name}_mutated"] = compose(mutated, PARTS)
+
+
 # sources
 add("src_text_tables", lambda p: p.src["transaction"].select("id", "unix_time", "is_fraud", "use_chip", "mer_cat"), "SELECT id, unix_time::VARCHAR unix_time, is_fraud::VARCHAR is_fraud, use_chip, mer_cat FROM transaction")
 add("src_inventory", lambda p: readers.inventory(p.src, [*SOURCE_COLUMNS, "blocklist"]))
@@ -151,8 +190,6 @@ def _seeds(p: CardFraud) -> DataFrame:
 
 add("rel_visible_tenures", lambda p: relations.visible_tenures(p.account_has_card, _seeds(p), "account_id"), f"SELECT q.account_id, seed_seq, card_id, valid_from_seq, valid_to_seq FROM {SEEDS} q JOIN account_has_card t ON t.account_id=q.account_id AND valid_from_seq<=seed_seq AND (valid_to_seq=0 OR seed_seq<valid_to_seq)")
 add("rel_visible_events", lambda p: relations.events_before(p.manifest, _seeds(p), "account_id"), f"SELECT q.account_id, seed_seq, count(*) AS events, max(event_seq) AS latest FROM {SEEDS} q JOIN manifest m ON m.account_id=q.account_id AND event_seq<seed_seq GROUP BY 1,2")
-for n in ("rel_visible_tenures", "rel_visible_events"):  # the names under which every payment asked first
-    QUERIES[f"{n}_every_seed"], ORACLE_SQL[f"{n}_every_seed"] = QUERIES[n], ORACLE_SQL[n]
 add("rel_visible_entities", lambda p: relations.visible_entities(p.accounts.select("account_id", "first_seen_event_seq"), p.manifest.select("account_id", F.col("event_seq").alias("seed_seq")), "account_id"), "SELECT m.account_id, event_seq AS seed_seq, first_seen_event_seq FROM manifest m JOIN accounts a ON a.account_id=m.account_id AND first_seen_event_seq<=event_seq")
 add("rel_instrument_in_force", lambda p: p.in_force, "SELECT * FROM in_force")
 add("rel_reverse", lambda p: relations.reverse(p.datasets["12_party_owns_account"], "party_id", "account_id"), "SELECT account_id AS party_id, party_id AS account_id, valid_from_seq, valid_to_seq, confidence, source_system FROM d12_party_owns_account")
@@ -236,10 +273,18 @@ add("aud_relation_endpoints_mutated", gates.relation_endpoints, ENDPOINTS, mutat
 # the written graph
 VERTEX_NAMES = dict(zip(DATASETS[:11], ("Party", "Account", "Card", "Merchant", "Merchant_Location", "Device", "IP_Address", "Email", "Phone", "Address", "Identity_Document")))
 VERTEX_NAMES["22_transactions"] = "Payment_Transaction"
-add("val_vertex_counts", lambda p: graph.vertex_counts({v: p.datasets[d] for d, v in VERTEX_NAMES.items()}), " UNION ALL ".join(f"SELECT '{v}' AS vertex_type, count(*) AS vertices FROM d{d}" for d, v in VERTEX_NAMES.items()))
+#: What the damage takes from each dataset, in SQL.
+LOST = lambda d: " WHERE false" if d == "07_ip_addresses" else ""
+
+
+def _vertices(lost: Callable[[str], str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{v}' AS vertex_type, count(*) AS vertices FROM d{d}{lost(d)}" for d, v in VERTEX_NAMES.items())
+
+
+add_written("val_vertex_counts", lambda p: graph.vertex_counts({v: p.datasets[d] for d, v in VERTEX_NAMES.items()}), _vertices(lambda d: ""), _vertices(LOST))
 
 
-def _edges(p: CardFraud) -> dict:
+def _edges(p: Written) -> dict:
     home = {c: p.datasets[t[1:]] for c, t in HOMES.items()} | {"transaction_id": p.datasets["22_transactions"]}
     frames = {d: (p.datasets[d], e) for d, e in EDGES.items()} | {n: (p.fan_out[n], ("transaction_id", c)) for n, c in OF_PAYMENTS.items()}
     return {d: (df, e, tuple((home[c], c) for c in e)) for d, (df, e) in frames.items()}
@@ -254,7 +299,7 @@ PAYMENT_EDGES = {n: f"(SELECT transaction_id, {c}, event_ts_ms, event_seq FROM d
 ALL_EDGES = {d: (f"d{d}", ends) for d, ends in EDGES.items()} | {n: (PAYMENT_EDGES[n], ("transaction_id", c)) for n, c in OF_PAYMENTS.items()}
 
 
-def _payment_edges(p: CardFraud) -> dict[str, DataFrame]:
+def _payment_edges(p: Written) -> dict[str, DataFrame]:
     return {n: p.fan_out[n] for n in OF_PAYMENTS} | {d: p.datasets[d] for d in HELD_BY}
 
 
@@ -263,16 +308,20 @@ def _by_edge(frame: Callable) -> Callable:
     return lambda p: gates.union([frame(e, p.datasets["22_transactions"]).select(F.lit(n).alias("edge_type"), "*") for n, e in _payment_edges(p).items()])
 
 
-add("val_edge_counts", lambda p: graph.edge_counts(_edges(p)), " UNION ALL ".join(f"SELECT '{d}' AS edge_type, count(*) AS forward, count(*) AS backward FROM {t} e WHERE e.{x} IN (SELECT {x} FROM {HOMES_X[x]}) AND e.{y} IN (SELECT {y} FROM {HOMES_X[y]})" for d, (t, (x, y)) in ALL_EDGES.items()))
-add("val_density", lambda p: graph.density(p.datasets["22_transactions"]), "SELECT count(*) AS events, min(event_seq) AS lowest, max(event_seq) AS highest, (sum(event_seq)*2-count(*)*(count(*)+1))::BIGINT AS sum_difference, count(*) FILTER (event_seq=0) AS zero_rows FROM d22_transactions")
-add("val_edge_stamps", _by_edge(lambda e, t: graph.stamp_mismatches(e, t, "mismatches")), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, count(*) FILTER (e.event_seq<>t.event_seq OR e.event_ts_ms<>t.event_ts_ms) AS mismatches FROM {q} e JOIN d22_transactions t USING (transaction_id)" for n, q in PAYMENT_EDGES.items()))
-add("val_frontier", _by_edge(graph.frontier), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, (SELECT count(*) FROM d22_transactions)-count(DISTINCT transaction_id) AS missing, count(*)-count(DISTINCT transaction_id) AS extra FROM {q}" for n, q in PAYMENT_EDGES.items()))
-add("val_degree_above", lambda p: graph.degree_above(p.datasets["23_transaction_used_device"], "device_id", 60, "busy_devices"), "SELECT count(*) AS busy_devices FROM (SELECT device_id FROM d23_transaction_used_device GROUP BY 1 HAVING count(*)>60)")
-add("val_ownerless_accounts", lambda p: gates.orphans(p.datasets["02_accounts"], "account_id", p.datasets["12_party_owns_account"], "account_id", "ownerless"), "SELECT " + lacks("d02_accounts", "account_id", "d12_party_owns_account", "account_id") + " AS ownerless")
+def _edge_counts(lost: Callable[[str], str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{d}' AS edge_type, count(*) AS forward, count(*) AS backward FROM {t} e WHERE e.{x} IN (SELECT {x} FROM {HOMES_X[x]}{lost(HOMES_X[x][1:])}) AND e.{y} IN (SELECT {y} FROM {HOMES_X[y]}{lost(HOMES_X[y][1:])})" for d, (t, (x, y)) in ALL_EDGES.items())
+
+
+add_written("val_edge_counts", lambda p: graph.edge_counts(_edges(p)), _edge_counts(lambda d: ""), _edge_counts(LOST))
+add_written("val_density", lambda p: graph.density(p.datasets["22_transactions"]), "SELECT count(*) AS events, min(event_seq) AS lowest, max(event_seq) AS highest, (sum(event_seq)*2-count(*)*(count(*)+1))::BIGINT AS sum_difference, count(*) FILTER (event_seq=0) AS zero_rows FROM d22_transactions")
+add_written("val_edge_stamps", _by_edge(lambda e, t: graph.stamp_mismatches(e, t, "mismatches")), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, count(*) FILTER (e.event_seq<>t.event_seq OR e.event_ts_ms<>t.event_ts_ms) AS mismatches FROM {q} e JOIN d22_transactions t USING (transaction_id)" for n, q in PAYMENT_EDGES.items()))
+add_written("val_frontier", _by_edge(graph.frontier), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, (SELECT count(*) FROM d22_transactions)-count(DISTINCT transaction_id) AS missing, count(*)-count(DISTINCT transaction_id) AS extra FROM {q}" for n, q in PAYMENT_EDGES.items()))
+add_written("val_degree_above", lambda p: graph.degree_above(p.datasets["23_transaction_used_device"], "device_id", 60, "busy_devices"), "SELECT count(*) AS busy_devices FROM (SELECT device_id FROM d23_transaction_used_device GROUP BY 1 HAVING count(*)>60)")
+add_written("val_ownerless_accounts", lambda p: gates.orphans(p.datasets["02_accounts"], "account_id", p.datasets["12_party_owns_account"], "account_id", "ownerless"), "SELECT " + lacks("d02_accounts", "account_id", "d12_party_owns_account", "account_id") + " AS ownerless")
 add("val_ownerless_accounts_mutated", lambda p: gates.orphans(p.datasets["02_accounts"], "account_id", p.datasets["12_party_owns_account"], "account_id", "ownerless"), "SELECT " + lacks("d02_accounts", "account_id", "d12_party_owns_account", "account_id") + " AS ownerless", mutate_entities, ENTITIES_SQL)
-add("val_stamps", graph.stamp_report, "SELECT " + REPORTS["first_seen"][1]["vertices_with_zero_first_seen"] + f"::BIGINT AS zero_first_seen, {where(EVERY, 'valid_from_seq<=0')} AS zero_valid_from, {where(EVERY, 'valid_to_seq<>0 AND valid_to_seq<=valid_from_seq')} AS empty_intervals, {where(EVERY, 'valid_to_seq<>0')} AS closed_tenures")
-add("val_labels", lambda p: graph.label_violations(p.datasets["22_transactions"]), "SELECT count(*) FILTER (label_known AND label_available_seq=0) AS known_without_availability, count(*) FILTER (NOT label_known AND label_available_seq<>0) AS unknown_with_availability, count(*) FILTER (fraud_label=1 AND label_available_unix_time<=unix_time) AS fraud_available_too_early, count(*) FILTER (fraud_label NOT IN (0,1)) AS label_out_of_domain, count(*) FILTER (label_known) AS known_labels, count(*) FILTER (NOT label_known) AS unknown_labels, count(*) FILTER (fraud_label=1) AS fraud_labels FROM label_seq")
-add("val_measures", lambda p: graph.measures(p.datasets["22_transactions"], p.datasets["04_merchants"], p.datasets["05_merchant_locations"]), "SELECT round(sum(amount),2) AS amount_sum, count(*) FILTER (NOT amount_present) AS absent_amounts, count(*) FILTER (card_present) AS card_present, count(*) FILTER (channel='ecommerce') AS ecommerce, count(*) FILTER (channel='unknown') AS unknown_channel, count(*) FILTER (has_event_location) AS with_event_location, (SELECT count(*) FROM merchants WHERE is_online) AS online_merchants, (SELECT count(*) FROM locations WHERE has_coordinates) AS located_outlets, (SELECT count(*) FROM locations WHERE NOT has_coordinates) AS masked_outlets FROM manifest")
+add_written("val_stamps", graph.stamp_report, "SELECT " + REPORTS["first_seen"][1]["vertices_with_zero_first_seen"] + f"::BIGINT AS zero_first_seen, {where(EVERY, 'valid_from_seq<=0')} AS zero_valid_from, {where(EVERY, 'valid_to_seq<>0 AND valid_to_seq<=valid_from_seq')} AS empty_intervals, {where(EVERY, 'valid_to_seq<>0')} AS closed_tenures")
+add_written("val_labels", lambda p: graph.label_violations(p.datasets["22_transactions"]), "SELECT count(*) FILTER (label_known AND label_available_seq=0) AS known_without_availability, count(*) FILTER (NOT label_known AND label_available_seq<>0) AS unknown_with_availability, count(*) FILTER (fraud_label=1 AND label_available_unix_time<=unix_time) AS fraud_available_too_early, count(*) FILTER (fraud_label NOT IN (0,1)) AS label_out_of_domain, count(*) FILTER (label_known) AS known_labels, count(*) FILTER (NOT label_known) AS unknown_labels, count(*) FILTER (fraud_label=1) AS fraud_labels FROM label_seq")
+add_written("val_measures", lambda p: graph.measures(p.datasets["22_transactions"], p.datasets["04_merchants"], p.datasets["05_merchant_locations"]), "SELECT round(sum(amount),2) AS amount_sum, count(*) FILTER (NOT amount_present) AS absent_amounts, count(*) FILTER (card_present) AS card_present, count(*) FILTER (channel='ecommerce') AS ecommerce, count(*) FILTER (channel='unknown') AS unknown_channel, count(*) FILTER (has_event_location) AS with_event_location, (SELECT count(*) FROM merchants WHERE is_online) AS online_merchants, (SELECT count(*) FROM locations WHERE has_coordinates) AS located_outlets, (SELECT count(*) FROM locations WHERE NOT has_coordinates) AS masked_outlets FROM manifest")
 
 # the temporal contract
 from sequora.operators import temporal as mul  # noqa: E402
@@ -330,83 +379,107 @@ add_temporal("rel_tenures_at_seed", lambda raw: mul.typed_tables(raw)["Token_Bou
 
 
 # files: written under the shared folder, read back
-def _export(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, CardFraud]:
-    from sequora.operators import export
+def _per_dataset(rest: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{d}' AS dataset, {rest} FROM d{d}" for d in DATASETS)
+
 
-    p, folder = prepared(spark, sf_dir), staging.folder(spark, "export")
-    p.stage_datasets()
-    counts = {r["dataset"]: r["rows"] for r in gates.load_counts(p.datasets).collect()}
-    out = export.export(p.datasets, folder, gates.gates(p), gates.require, counts)
-    return folder, out, p
+QUERIES["out_export_manifest"] = lambda spark, sf_dir: exported(spark, sf_dir)[1].groupBy("dataset").agg(F.sum("rows").alias("rows"))
+ORACLE_SQL["out_export_manifest"] = compose(_per_dataset("count(*)::BIGINT AS rows"), PARTS)
+PSV_TEXT = " UNION ALL ".join(f"SELECT '{d}' AS dataset, concat_ws('|', *COLUMNS(*)) AS value FROM (SELECT coalesce(regexp_replace(COLUMNS(*)::VARCHAR, '\\.0$', ''), '') FROM d{d})" for d in DATASETS)
 
 
-QUERIES["out_export_manifest"] = lambda spark, sf_dir: _export(spark, sf_dir)[1].groupBy("dataset").agg(F.sum("rows").alias("rows"))
-ORACLE_SQL["out_export_manifest"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS rows FROM d{d}" for d in DATASETS), PARTS)
+def _psv(p: CardFraud) -> DataFrame:
+    return gates.union([export.psv_rows(df).select(F.lit(d).alias("dataset"), "value") for d, df in p.datasets.items()])
 
 
-def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sequora.operators import export
+add("out_psv_rows", _psv, PSV_TEXT)
+SHARD = 20_000
 
-    return export.verify(spark, _export(spark, sf_dir)[0], DATASETS)
 
+def _shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments in shards of 20 kB: rows and bytes of all, whether any passes the bound, and how many fall short of half of it."""
+    folder = staging.folder(spark, "shards")
+    export.write_psv(exported(spark, sf_dir)[2].datasets["22_transactions"], folder, SHARD)
+    size = F.col("bytes")
+    f = export.files(spark, folder).withColumn("range", F.regexp_extract("file", r"shard=(\d+)-", 1)).groupBy("range").agg(F.sum("rows").alias("rows"), F.sum(size).alias("bytes"), F.max(size).alias("largest"), F.count_if(size * 2 < SHARD).alias("small"), F.count("*").alias("n"))
+    return f.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), (F.max("largest") <= SHARD).alias("bounded"), (F.max(F.when(F.col("n") > 1, F.col("small")).otherwise(0)) <= 1).alias("filled"))
 
-QUERIES["out_export_verified"] = _verified
 
+QUERIES["out_shard_sizes"] = _shards
+ORACLE_SQL["out_shard_sizes"] = compose(f"SELECT count(*)::BIGINT AS rows, (sum(strlen(value)+1))::BIGINT AS bytes, max(strlen(value)+1)<={SHARD} AS bounded, true AS filled FROM ({PSV_TEXT}) WHERE dataset='22_transactions'", PARTS)
 
-def _verified_mutated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Faults by dataset after a file of parties came to the relation of cards, and one dataset is expected that nobody wrote."""
-    from sequora.operators import export
 
-    folder, _, p = _export(spark, sf_dir)
-    export.psv_rows(p.datasets["01_parties"]).coalesce(1).write.mode("append").text(f"{folder}/13_account_has_card")
-    return export.verify(spark, folder, [*DATASETS, "25_none"]).groupBy("dataset", "fault").agg(F.count("*").alias("faults"))
+def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each dataset with the rows its files state and the faults found in them."""
+    folder, stated, _ = exported(spark, sf_dir)
+    faults = export.verify(spark, folder, DATASETS).groupBy("dataset").agg(F.count("*").alias("faults"))
+    return stated.groupBy("dataset").agg(F.sum("rows").alias("rows")).join(faults, "dataset", "full").select("dataset", "rows", F.coalesce("faults", F.lit(0)).alias("faults"))
 
 
-QUERIES["out_export_verified_mutated"] = _verified_mutated
+QUERIES["out_export_verified"] = _verified
+ORACLE_SQL["out_export_verified"] = compose(_per_dataset("count(*)::BIGINT AS rows, 0::BIGINT AS faults"), PARTS)
+#: Faults by dataset after the damage; one dataset is expected that nobody wrote.
+QUERIES["out_export_verified_mutated"] = lambda spark, sf_dir: export.verify(spark, damaged(spark, sf_dir)[0], [*DATASETS, "25_none"]).groupBy("dataset", "fault").agg(F.count("*").alias("faults"))
 ORACLE_SQL["out_export_verified_mutated"] = compose(
-    "SELECT '13_account_has_card' AS dataset, 'not in the manifest' AS fault, (count(*)>0)::BIGINT AS faults FROM d01_parties "
+    "SELECT '07_ip_addresses' AS dataset, 'file is missing' AS fault, (count(*)>0)::BIGINT AS faults FROM d07_ip_addresses "
+    "UNION ALL SELECT '08_emails', 'not in the manifest', (count(*)>0)::BIGINT FROM d08_emails UNION ALL SELECT '09_phones', 'not in the manifest', (count(*)>0)::BIGINT FROM d09_phones "
     "UNION ALL SELECT '25_none', 'missing from the manifest', 1", PARTS
 )
+add_written("val_corrupt_lines", lambda w: gates.union([df.agg(F.count("*").alias("lines"), F.count(export.CORRUPT).alias("corrupt")).select(F.lit(n).alias("dataset"), "lines", "corrupt") for n, df in w.lines.items()]), _per_dataset("count(*) AS lines, 0::BIGINT AS corrupt"), " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)+{int(d in ('08_emails', '09_phones'))} AS lines, {int(d in ('08_emails', '09_phones'))}::BIGINT AS corrupt FROM d{d}{LOST(d)}" for d in DATASETS))
+QUERIES["val_corrupt_text_mutated"] = lambda spark, sf_dir: Written(spark, damaged(spark, sf_dir)[0]).corrupt
+ORACLE_SQL["val_corrupt_text_mutated"] = compose("SELECT '08_emails' AS dataset, min(email_id)||'|1' AS line FROM d08_emails UNION ALL SELECT '09_phones', min(phone_id)||'|one|2||unknown' FROM d09_phones", PARTS)
 
 
 def _agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, stated, p = _export(spark, sf_dir)
+    _, stated, p = exported(spark, sf_dir)
     return gates.agreement(gates.load_counts(p.datasets), stated.groupBy("dataset").agg(F.sum("rows").alias("rows")))
 
 
 QUERIES["aud_exported_set"] = _agreement
-ORACLE_SQL["aud_exported_set"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*)::BIGINT AS audited, count(*)::BIGINT AS exported, true AS fits FROM d{d}" for d in DATASETS), PARTS)
-QUERIES["out_export_manifest_whole"], ORACLE_SQL["out_export_manifest_whole"] = QUERIES["out_export_manifest"], ORACLE_SQL["out_export_manifest"]
-ORACLE_SQL["out_export_verified"] = "SELECT '' AS dataset, '' AS file, '' AS fault WHERE false"
+ORACLE_SQL["aud_exported_set"] = compose(_per_dataset("count(*)::BIGINT AS audited, count(*)::BIGINT AS exported, true AS fits"), PARTS)
 
 
-def _psv(p: CardFraud) -> DataFrame:
-    from sequora.operators.export import psv_rows
+def _against_manifest(made: Callable) -> Query:
+    """Rows that the manifest states against objects that are found in the files."""
 
-    return psv_rows(p.datasets["13_account_has_card"])
+    def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder, stated, _ = made(spark, sf_dir)
+        w = Written(spark, folder)
+        frames = {d: df for d, df in w.datasets.items() if d not in graph.OBJECTS} | w.fan_out
+        return graph.expected_and_found(stated, gates.union([gates.rows_of(df, "rows").select(F.lit(n).alias("object"), "rows") for n, df in frames.items()]))
 
+    return frame
 
-add("out_psv_rows", _psv, "SELECT account_id||'|'||card_id||'|'||valid_from_seq||'|'||valid_to_seq||'|1|synthetic' AS value FROM d13_account_has_card")
 
+def _objects_sql(lost: Callable[[str], str]) -> str:
+    found = lambda d, o: f"(SELECT count(*) FROM d{d}{lost(d)})" if o != "At_Location" else where("d22_transactions", "location_id<>''")
+    each = " UNION ALL ".join(f"SELECT '{o}' AS object, {n_of('d' + d)} AS expected, {found(d, o)} AS found" for d in DATASETS for o in graph.OBJECTS.get(d, (d,)))
+    return f"SELECT *, CASE WHEN object='At_Location' THEN found<=expected ELSE found=expected END AS fits FROM ({each})"
 
-def _against_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, stated, p = _export(spark, sf_dir)
-    found = gates.union([gates.rows_of(df, "rows").select(F.lit(n).alias("object"), "rows") for n, df in ({d: f for d, f in p.datasets.items() if d not in graph.OBJECTS} | p.fan_out).items()])
-    return graph.expected_and_found(stated, found)
 
+for end, made, lost in (("", exported, lambda d: ""), ("_mutated", damaged, LOST)):
+    QUERIES[f"val_against_manifest{end}"] = _against_manifest(made)
+    ORACLE_SQL[f"val_against_manifest{end}"] = compose(_objects_sql(lost), PARTS)
+OPTIONAL = ("23_transaction_used_device", "24_transaction_from_ip")
+EMPTY = lambda lost: "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*) AS rows FROM d{d}{lost(d)}" for d in DATASETS[:22]) + ") WHERE rows=0"
+add_written("val_empty_mandatory", lambda w: graph.empty_mandatory(gates.load_counts(w.datasets), OPTIONAL), EMPTY(lambda d: ""), EMPTY(LOST))
 
-QUERIES["val_against_manifest"] = QUERIES["val_against_manifest_whole"] = _against_manifest
-ORACLE_SQL["val_against_manifest"] = ORACLE_SQL["val_against_manifest_whole"] = compose(
-    " UNION ALL ".join(f"SELECT '{o}' AS object, {n_of('d' + d)} AS expected, {n_of('d' + d) if o != 'At_Location' else where('d22_transactions', 'location_id<>' + chr(39) * 2)} AS found, true AS fits" for d in DATASETS for o in graph.OBJECTS.get(d, (d,))), PARTS
-)
-add("val_empty_mandatory", lambda p: graph.empty_mandatory(gates.load_counts(p.datasets), ("23_transaction_used_device", "24_transaction_from_ip")), "SELECT * FROM (" + " UNION ALL ".join(f"SELECT '{d}' AS dataset, count(*) AS rows FROM d{d}" for d in DATASETS[:22]) + ") WHERE rows=0")
 
-add("val_empty_mandatory_mutated", lambda p: graph.empty_mandatory(gates.load_counts(p.datasets | {"05_merchant_locations": p.datasets["05_merchant_locations"].where("first_seen_seq < 1")}), ("23_transaction_used_device", "24_transaction_from_ip")), "SELECT '05_merchant_locations' AS dataset, count(*) AS rows FROM d05_merchant_locations WHERE first_seen_seq<1")
+def _distributions(end: str) -> Query:
+    """Mule flags and rings of the accounts as they are and as they stand in the files, one account with another flag and ring added there for `_mutated`."""
 
+    def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+        account = mul.typed_tables(temporal_raw(spark, sf_dir, False))["Account"]
+        folder = staging.folder(spark, "accounts")
+        export.export({"Account": account}, folder, mul.raw_checks(TABLES["Account"], temporal_raw(spark, sf_dir, False)["Account"]), gates.require)
+        if end:
+            one = account.orderBy("id").limit(1).withColumns({"is_mule": F.lit(1).cast(account.schema["is_mule"].dataType), "mule_ring_id": F.lit(77).cast(account.schema["mule_ring_id"].dataType)})
+            export.psv_rows(one).coalesce(1).write.mode("append").text(f"{folder}/Account")
+        return graph.same_distribution(mul.distributions(account), mul.distributions(export.read_export(spark, folder)["Account"]))
 
-def _same(spark: SparkSession, sf_dir: str) -> DataFrame:
-    one, two = (mul.distributions(mul.typed_tables(temporal_raw(spark, sf_dir, b))["Account"]) for b in (False, True))
-    return graph.same_distribution(one, two)
+    return frame
 
 
-QUERIES["val_same_distribution"] = _same
+for end, more in (("", ""), ("_mutated", " UNION ALL SELECT 'is_mule', 1, 0, 1 UNION ALL SELECT 'mule_ring_id', 77, 0, 1")):
+    QUERIES[f"val_same_distribution{end}"] = _distributions(end)
+    ORACLE_SQL[f"val_same_distribution{end}"] = compose(f"SELECT attribute, value, sum(a)::BIGINT AS before, sum(b)::BIGINT AS after, sum(a)=sum(b) AS fits FROM (SELECT 'is_mule' AS attribute, is_mule::INT AS value, 1 AS a, 1 AS b FROM Account UNION ALL SELECT 'mule_ring_id', mule_ring_id::INT, 1, 1 FROM Account{more}) GROUP BY 1, 2", T_CLEAN)

@@ -24,3 +24,19 @@ def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     path = folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what was staged at a path, if anything is there."""
+    fs, p = _path(spark, path)
+    fs.delete(p, True)

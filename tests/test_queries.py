@@ -69,7 +69,7 @@ def test_plans_have_no_python_and_no_global_sort(spark):
         assert "Python" not in plan and "ArrowEval" not in plan
 
 
-@pytest.mark.parametrize("name", ("rel_visible_tenures_every_seed", "rel_visible_events_every_seed"))
+@pytest.mark.parametrize("name", ("rel_visible_tenures", "rel_visible_events"))
 def test_every_payment_is_a_seed(spark, duck, name):
     from sequora.plans.queries import QUERIES
 
@@ -78,6 +78,6 @@ def test_every_payment_is_a_seed(spark, duck, name):
     assert rest == set(range(10))
 
 
-@pytest.mark.parametrize("name", ("out_export_manifest_whole", "out_export_verified_mutated", "val_against_manifest", "val_empty_mandatory_mutated", "aud_forbidden_columns"))
+@pytest.mark.parametrize("name", ("out_export_manifest", "out_export_verified", "out_export_verified_mutated", "out_psv_rows", "out_shard_sizes", "val_against_manifest", "val_against_manifest_mutated", "val_edge_counts_mutated", "val_corrupt_lines_mutated", "val_corrupt_text_mutated", "val_empty_mandatory_mutated", "val_same_distribution", "val_same_distribution_mutated", "aud_forbidden_columns"))
 def test_export_is_whole(spark, duck, name):
     test_query_equals_its_sql(spark, duck, name)
