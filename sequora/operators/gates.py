@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sequora.operators.entities import located
-from sequora.operators.sequence import dense_rank_by
+from sequora.operators.sequence import dense_rank_by, distinct_ranks
 from sequora.plans.card_fraud import CardFraud
 from sequora.sources.contracts import CORE_TABLES, FORBIDDEN, OPTIONAL_TABLES
 
@@ -41,6 +41,38 @@ def orphans(edges: DataFrame, key: str, registry: DataFrame, registry_key: str,
     return rows_of(edges.join(registry.select(F.col(registry_key).alias("_k")), F.col(key) == F.col("_k"), "left_anti"), name)
 
 
+def membership(asked: DataFrame, registry: DataFrame, checks: dict[str, str]) -> DataFrame:
+    """For each check, rows of `asked` (kind, id, check) whose id the registry (kind, id) of that kind lacks; a null id is in none.
+
+    checks: the kind of each check. One pass: both sides are summed up by (kind, id) before they are
+    dealt out, so an id that many rows name is one row of each task, and no join is made.
+    """
+    of = {c: F.when(F.col("check") == c, 1) for c in checks}
+    rows = asked.select("kind", "id", "check", F.lit(0).alias("held")).unionByName(registry.where("id IS NOT NULL").select("kind", "id", F.lit(None).cast("string").alias("check"), F.lit(1).alias("held")))
+    by_id = rows.groupBy("kind", "id").agg(F.max("held").alias("held"), F.sum("held").alias("times"), *[F.count(x).alias(f"n{k}") for k, x in enumerate(of.values())])
+    return by_id.agg(*[F.coalesce(F.sum(F.when((F.col("held") == 0), F.col(f"n{k}"))), F.lit(0)).alias(c) for k, c in enumerate(of)], *[F.count_if((F.col("kind") == k) & (F.col("times") > 1)).alias(f"{k} held by many") for k in dict.fromkeys(checks.values())])
+
+
+def ids(df: DataFrame, kind: str, key: str, check: str | None = None) -> DataFrame:
+    """Ids of a frame for `membership`: (kind, id) of a registry, or with a check (kind, id, check) of rows that ask."""
+    out = df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("id"))
+    return out.withColumn("check", F.lit(check)) if check else out
+
+
+def ends_met(edges: DataFrame, registry: DataFrame) -> DataFrame:
+    """Edges (kind_a, a, kind_b, b, ...) with what the registry (kind, id, ...) has of either end: its columns with _a and _b, `met_a`, `met_b`.
+
+    Edges of all types in one frame meet vertices of all types in two joins, whatever the number of types.
+    """
+    out = edges
+    for end in "ab":
+        more = [F.col(c).alias(f"{c}_{end}") for c in registry.columns if c not in ("kind", "id")]
+        r = registry.select(F.col("kind").alias("_k"), F.col("id").alias("_i"), *more, F.lit(True).alias(f"_met_{end}"))
+        out = out.join(r, (F.col(f"kind_{end}") == F.col("_k")) & (F.col(end) == F.col("_i")), "left").drop("_k", "_i")
+        out = out.withColumn(f"met_{end}", F.coalesce(f"_met_{end}", F.lit(False))).drop(f"_met_{end}")
+    return out
+
+
 def repeated(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Keys that more than one row has."""
     return rows_of(df.groupBy(*keys).count().where("count > 1"), name)
@@ -97,8 +129,8 @@ def source_counts(p: CardFraud) -> DataFrame:
 
 def event_sequence_report(p: CardFraud) -> DataFrame:
     ranked = dense_rank_by(p.sequence, "unix_time", "transaction_id", "_again")
-    seen = ranked.agg(F.countDistinct("event_seq").alias("distinct_event_seq"), count_if(F.col("event_seq") <= 0, "zero_event_seq_rows"), count_if(F.col("event_seq") != F.col("_again"), "out_of_order_rows"))
-    return beside(p.limits, seen)
+    seen = ranked.agg(count_if(F.col("event_seq") <= 0, "zero_event_seq_rows"), count_if(F.col("event_seq") != F.col("_again"), "out_of_order_rows"))
+    return beside(p.limits, distinct_ranks(p.sequence).select(F.col("ranks").alias("distinct_event_seq")), seen)
 
 
 def label_report(m: DataFrame) -> DataFrame:
@@ -111,19 +143,22 @@ def label_report(m: DataFrame) -> DataFrame:
     )
 
 
+#: The kind of id that each check of ends asks for.
+ENDPOINT_CHECKS = {
+    "transactions_without_account": "account", "transactions_without_card": "card", "transactions_without_merchant": "merchant", "transactions_without_location": "location",
+    "device_edges_without_device": "device", "ip_edges_without_ip": "ip", "accounts_without_owner": "owned", "merchants_without_operator": "operated",
+}
+
+
 def endpoint_report(p: CardFraud) -> DataFrame:
+    """Rows whose end is in no registry, for eight checks in one pass, and merchants of several operators."""
     m = p.manifest
-    return beside(
-        orphans(m, "account_id", p.accounts, "account_id", "transactions_without_account"),
-        orphans(m, "card_id", p.cards, "card_id", "transactions_without_card"),
-        orphans(m, "merchant_id", p.merchants, "merchant_id", "transactions_without_merchant"),
-        orphans(m.where("location_id IS NOT NULL"), "location_id", p.locations, "location_id", "transactions_without_location"),
-        orphans(p.used_device, "device_id", p.devices, "id", "device_edges_without_device"),
-        orphans(p.from_ip, "ip_id", p.ips, "id", "ip_edges_without_ip"),
-        orphans(p.accounts, "account_id", p.party_owns_account, "account_id", "accounts_without_owner"),
-        repeated(p.party_operates_merchant, ["merchant_id"], "merchants_with_multiple_operators"),
-        orphans(p.merchants, "merchant_id", p.party_operates_merchant, "merchant_id", "merchants_without_operator"),
-    )
+    ends = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_id").cast("string").alias("id"), F.lit(f"transactions_without_{k}").alias("check")) for k in ("account", "card", "merchant", "location")])
+    paid = m.select(F.explode(ends).alias("x")).select("x.*").where("kind <> 'location' OR id IS NOT NULL")
+    asked = union([paid, ids(p.used_device, "device", "device_id", "device_edges_without_device"), ids(p.from_ip, "ip", "ip_id", "ip_edges_without_ip"), ids(p.accounts, "owned", "account_id", "accounts_without_owner"), ids(p.merchants, "operated", "merchant_id", "merchants_without_operator")])
+    registry = union([ids(p.accounts, "account", "account_id"), ids(p.cards, "card", "card_id"), ids(p.merchants, "merchant", "merchant_id"), ids(p.locations, "location", "location_id"), ids(p.devices, "device", "id"), ids(p.ips, "ip", "id"), ids(p.party_owns_account, "owned", "account_id"), ids(p.party_operates_merchant, "operated", "merchant_id")])
+    found = membership(asked, registry, ENDPOINT_CHECKS)
+    return found.select(*list(ENDPOINT_CHECKS)[:7], F.col("operated held by many").alias("merchants_with_multiple_operators"), "merchants_without_operator")
 
 
 VERTICES = 11
@@ -226,16 +261,17 @@ def verification_report(p: CardFraud, policies: dict[str, int]) -> DataFrame:
 def relation_endpoints(p: CardFraud) -> DataFrame:
     """Relations whose ends are no vertex, or whose start lies before an end was first seen: one row for each relation."""
     d = list(p.datasets)
-    homes = {HOME_KEYS[k]: p.datasets[n] for k, n in enumerate(d[:VERTICES])}
-    out = []
-    for name in d[RELATIONS]:
-        edge = p.datasets[name]
-        a, z = edge.columns[:2]
-        left, right = (homes[c].select(F.col(c).alias(f"_{k}"), F.col("first_seen_seq").alias(f"_{k}_seen")) for c, k in ((a, "a"), (z, "z")))
-        joined = edge.join(left, F.col(a) == F.col("_a"), "left").join(right, F.col(z) == F.col("_z"), "left")
-        bad = F.col("_a").isNull() | F.col("_z").isNull() | (F.col("_a_seen") > F.col("valid_from_seq")) | (F.col("_z_seen") > F.col("valid_from_seq"))
-        out.append(as_gates(joined.agg(count_if(bad, name))))
-    return union(out)
+    registry = union([p.datasets[n].select(F.lit(HOME_KEYS[k]).alias("kind"), F.col(HOME_KEYS[k]).alias("id"), F.col("first_seen_seq").alias("seen")) for k, n in enumerate(d[:VERTICES])])
+    relation = lambda n, e: e.select(F.lit(n).alias("check_name"), F.lit(e.columns[0]).alias("kind_a"), F.col(e.columns[0]).alias("a"), F.lit(e.columns[1]).alias("kind_b"), F.col(e.columns[1]).alias("b"), "valid_from_seq")
+    met = ends_met(union([relation(n, p.datasets[n]) for n in d[RELATIONS]]), registry)
+    bad = ~F.col("met_a") | ~F.col("met_b") | (F.col("seen_a") > F.col("valid_from_seq")) | (F.col("seen_b") > F.col("valid_from_seq"))
+    return each_of(met.groupBy("check_name").agg(F.count_if(bad).alias("failure_count")), "check_name", d[RELATIONS], "failure_count")
+
+
+def each_of(found: DataFrame, name: str, names: list[str], *counts: str) -> DataFrame:
+    """A row for each name, with 0 where nothing was found of it."""
+    zeros = found.sparkSession.createDataFrame([(n,) for n in names], f"{name} string")
+    return zeros.join(found, name, "left").select(name, *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
 
 
 def gates(p: CardFraud) -> DataFrame:

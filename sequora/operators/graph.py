@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sequora import functions as fn
-from sequora.operators.gates import as_gates, beside, count_if, orphans, rows_of, union
+from sequora.operators.gates import as_gates, beside, count_if, each_of, ends_met, orphans, rows_of, union
 from sequora.operators.relations import reverse
+from sequora.operators.sequence import distinct_ranks
 from sequora.operators.temporal import bad_interval, bad_label, event_value, known
 from sequora.sources.contracts import BY_NAME, DATASETS
 
@@ -16,21 +17,16 @@ def vertex_counts(vertices: dict[str, DataFrame]) -> DataFrame:
     return union([rows_of(df, "vertices").select(F.lit(n).alias("vertex_type"), "vertices") for n, df in vertices.items()])
 
 
-def reached(edge: DataFrame, ends: tuple[str, str], homes: tuple[tuple[DataFrame, str], tuple[DataFrame, str]]) -> DataFrame:
-    """Edges whose two ends exist; a traversal reaches these only."""
-    out = edge
-    for end, (df, key) in zip(ends, homes, strict=True):
-        out = out.join(df.select(F.col(key).alias("_k")), F.col(end) == F.col("_k"), "left_semi")
-    return out
+def edge_counts(edges: dict[str, tuple[DataFrame, tuple[str, str]]], homes: dict[str, DataFrame]) -> DataFrame:
+    """Edges of each type (frame, the two columns of its ends) that a walk from their sources reaches, and one from their targets.
 
-
-def edge_counts(edges: dict[str, tuple]) -> DataFrame:
-    """Edges of each type, walked forward and from their targets."""
-    out = []
-    for name, (df, ends, homes) in edges.items():
-        back = reached(reverse(df, *ends), ends, homes[::-1])
-        out.append(beside(rows_of(reached(df, ends, homes), "forward"), rows_of(back, "backward")).select(F.lit(name).alias("edge_type"), "forward", "backward"))
-    return union(out)
+    A walk starts at vertices that exist and takes edges that lead to such. homes: the vertices of each column of ids.
+    """
+    registry = union([df.select(F.lit(c).alias("kind"), F.col(c).alias("id")) for c, df in homes.items()]).distinct()
+    one = lambda n, df, x, y: df.select(F.lit(n).alias("edge_type"), F.lit(x).alias("kind_a"), F.col(x).alias("a"), F.lit(y).alias("kind_b"), F.col(y).alias("b"))
+    met = ends_met(union([one(n, df, x, y) for n, (df, (x, y)) in edges.items()]), registry)
+    forward, backward = F.col("met_a") & F.col("met_b"), F.col("met_b") & F.col("met_a")
+    return each_of(met.groupBy("edge_type").agg(count_if(forward, "forward"), count_if(backward, "backward")), "edge_type", list(edges), "forward", "backward")
 
 
 def density(transactions: DataFrame) -> DataFrame:
@@ -46,8 +42,8 @@ def stamp_mismatches(edge: DataFrame, events: DataFrame, name: str) -> DataFrame
 
 
 def frontier(edge: DataFrame, events: DataFrame) -> DataFrame:
-    """Events without an edge of the type, and edges beyond one an event."""
-    return beside(rows_of(events, "n"), edge.agg(F.countDistinct("transaction_id").alias("r"), F.count("*").alias("m"))).select((F.col("n") - F.col("r")).alias("missing"), (F.col("m") - F.col("r")).alias("extra"))
+    """Events without an edge of the type, and edges beyond one an event; events are told apart by their rank."""
+    return beside(rows_of(events, "n"), distinct_ranks(edge).select(F.col("ranks").alias("r")), rows_of(edge, "m")).select((F.col("n") - F.col("r")).alias("missing"), (F.col("m") - F.col("r")).alias("extra"))
 
 
 def degree_above(edge: DataFrame, target: str, bound: int, name: str) -> DataFrame:

@@ -9,13 +9,26 @@ from sequora.functions import visible
 
 
 def visible_tenures(tenures: DataFrame, seeds: DataFrame, key: str, seed: str = "seed_seq") -> DataFrame:
-    """Tenures in force at each seed of the same key: an equality and the half-open range in one join condition."""
-    return seeds.join(tenures, (seeds[key] == tenures[key]) & visible(tenures["valid_from_seq"], tenures["valid_to_seq"], seeds[seed])).drop(tenures[key])
+    """Tenures in force at each seed of the same key.
 
-
-def visible_events(events: DataFrame, seeds: DataFrame, key: str, seed: str = "seed_seq") -> DataFrame:
-    """Events strictly before each seed of the same key."""
-    return seeds.join(events, (seeds[key] == events[key]) & (events["event_seq"] < seeds[seed])).drop(events[key])
+    Tenures are laid in blocks of the clock that are as wide as the next power of two of their
+    length, so each lies in two of them at most; a seed looks into its block of each width that
+    occurs (64 at most). What meets is a tenure that covers a good part of the seed's block, so a
+    hub key with many tenures after each other isn't paired with all its seeds, and its rows are spread
+    over its blocks. Open tenures reach to just behind the last seed.
+    """
+    start, end = F.col("valid_from_seq"), F.col("valid_to_seq")
+    last = seeds.agg((F.max(seed) + 1).cast("long").alias("_last"))
+    closed = tenures.where(start.isNotNull() & end.isNotNull() & tenures[key].isNotNull()).crossJoin(F.broadcast(last))
+    closed = closed.withColumn("_end", F.when(end == 0, F.greatest("_last", start + 1)).otherwise(end).cast("long")).where(F.col("_end") > start)
+    width = F.ceil(F.log2((F.col("_end") - start).cast("double"))).cast("int")
+    block = lambda t, w: F.call_function("shiftright", t.cast("long"), w)
+    laid = closed.withColumn("_width", width).withColumn("_block", F.explode(F.sequence(block(start, F.col("_width")), block(F.col("_end") - 1, F.col("_width"))))).drop("_last", "_end")
+    laid = laid.withColumnRenamed(key, "_key")
+    widths = laid.select("_width").distinct().withColumnRenamed("_width", "_w")
+    asked = seeds.crossJoin(F.broadcast(widths)).withColumn("_at", block(F.col(seed), F.col("_w")))
+    met = asked.join(laid, (F.col(key) == F.col("_key")) & (F.col("_w") == F.col("_width")) & (F.col("_at") == F.col("_block")) & visible("valid_from_seq", "valid_to_seq", seed))
+    return met.drop("_w", "_at", "_key", "_width", "_block")
 
 
 def events_before(events: DataFrame, seeds: DataFrame, key: str, seed: str = "seed_seq", bucket: int = 1_000_000) -> DataFrame:
@@ -36,6 +49,22 @@ def events_before(events: DataFrame, seeds: DataFrame, key: str, seed: str = "se
     return run.join(carried, [key, "b"]).select(key, F.col("t").alias(seed), counted.alias("events"), F.coalesce("run_at", "carried_at").alias("latest")).where("events > 0")
 
 
+def covered(seeds: DataFrame, tenures: DataFrame, keys: list[str], seed: str, bucket: int = 1_000_000) -> DataFrame:
+    """Distinct (keys, seed) at which a tenure of the keys is in force: the latest end among those begun by then lies behind the seed.
+
+    No pair is formed: a running maximum within buckets of the clock, carried on from the buckets before.
+    """
+    top = F.lit(str(2**64)).cast("decimal(20,0)")
+    begun = tenures.select(*keys, F.col("valid_from_seq").cast("decimal(20,0)").alias("t"), F.when(F.col("valid_to_seq") == 0, top).otherwise(F.col("valid_to_seq")).cast("decimal(20,0)").alias("end"), F.lit(None).cast("boolean").alias("asked"))
+    asked = seeds.select(*keys, F.col(seed).cast("decimal(20,0)").alias("t"), F.lit(None).cast("decimal(20,0)").alias("end"), F.lit(True).alias("asked")).distinct()
+    rows = begun.unionByName(asked).where(F.col("t").isNotNull()).withColumn("b", F.floor(F.col("t") / bucket))
+    within = Window.partitionBy(*keys, "b").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = rows.groupBy(*keys, "b").agg(F.max("end").alias("m")).select(*keys, "b", F.max("m").over(before).alias("carried"))
+    run = rows.withColumn("run", F.max("end").over(within)).where("asked").join(carried, [*keys, "b"])
+    return run.where(F.greatest("run", "carried") > F.col("t")).select(*keys, F.col("t").alias(seed))
+
+
 def visible_entities(entities: DataFrame, seeds: DataFrame, key: str, seed: str = "seed_seq") -> DataFrame:
     """Entities first seen at or before each seed that asks for them."""
     return seeds.join(entities, (seeds[key] == entities[key]) & (entities["first_seen_event_seq"] <= seeds[seed])).drop(entities[key])

@@ -85,3 +85,33 @@ def with_floor(df: DataFrame, seen: DataFrame, on: str, key: str, limits: DataFr
     floor = F.broadcast(limits.select(F.col("minimum_epoch").alias("_t"), F.col("minimum_event_seq").alias("_s")))  # one row
     joined = df.join(seen.select(F.col(key).alias("_k"), *FIRST), F.col(on) == F.col("_k"), "left").crossJoin(floor)
     return joined.withColumns({flag: F.col("_k").isNull(), FIRST[0]: F.coalesce(FIRST[0], "_t"), FIRST[1]: F.coalesce(FIRST[1], "_s")}).drop("_k", "_t", "_s")
+
+
+_BLOCK = 32768  # ranks in one of Spark's bitmaps
+
+
+def rank_blocks(df: DataFrame, c: str = "event_seq") -> DataFrame:
+    """Which ranks occur, as bitmaps of 4 KB for each 32,768 of them: block (from 0), ranks (how many occur).
+
+    What is shuffled is a bitmap for each block and task, not a row for each rank. Ranks from 1 to 2^63-1.
+    """
+    rank = F.col(c).try_cast("long")
+    return df.where(rank > 0).groupBy((F.bitmap_bucket_number(rank) - 1).alias("block")).agg(F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(rank))).alias("ranks"))
+
+
+def distinct_ranks(df: DataFrame, c: str = "event_seq") -> DataFrame:
+    """One row: how many distinct values c has (ranks). Those that are no rank, which a sound sequence lacks, are counted one by one."""
+    other = df.where(F.coalesce(F.col(c).try_cast("long") <= 0, F.col(c).isNotNull())).agg(F.countDistinct(c).alias("ranks"))
+    return rank_blocks(df.where(F.col(c).try_cast("long") > 0), c).agg(F.coalesce(F.sum("ranks"), F.lit(0)).alias("ranks")).unionByName(other).agg(F.sum("ranks").alias("ranks"))
+
+
+def missing_ranks(df: DataFrame, c: str = "event_seq") -> DataFrame:
+    """Ranks from 1 to the highest that no row has. Only blocks whose bitmap isn't full are looked through."""
+    rank = F.col(c).try_cast("long")
+    top = df.agg(F.max(rank).alias("top"))
+    all_blocks = top.where("top > 0").select("top", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("top") - 1) / _BLOCK))).alias("block"))
+    due = all_blocks.withColumn("due", F.least(F.lit(_BLOCK).cast("long"), F.col("top") - F.col("block") * _BLOCK))
+    torn = due.join(rank_blocks(df, c), "block", "left").where(F.coalesce("ranks", F.lit(0)) < F.col("due"))
+    each = torn.select(F.explode(F.sequence(F.col("block") * _BLOCK + 1, F.col("block") * _BLOCK + F.col("due"))).alias(c))
+    held = df.select(rank.alias(c), F.floor((rank - 1) / _BLOCK).alias("block")).join(torn.select("block"), "block", "left_semi").select(c)
+    return each.join(held, c, "left_anti")

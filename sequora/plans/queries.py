@@ -89,7 +89,7 @@ def _protected(p: CardFraud) -> DataFrame:
     return p.src["party"].agg(F.count("*").alias("rows")).select(F.explode(F.array(*[F.struct(F.lit(t).alias("table_name"), F.lit(c).alias("column_name")) for t, c in found])).alias("x"), "rows").select("x.*", "rows")
 
 
-add("src_protected_columns", _protected)
+add("src_protected_columns", _protected, "SELECT 'party' AS table_name, 'name' AS column_name, count(*) AS rows FROM party")
 add("src_core_not_empty", lambda p: gates.union([p.src[t].agg(F.count("*").alias("rows")).select(F.lit(t).alias("table_name"), "rows") for t in CORE_TABLES]), " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS rows FROM {t}" for t in CORE_TABLES))
 
 # integrity gates of the sources
@@ -139,6 +139,17 @@ add("fn_label_policy", lambda p: p.sequence.select("transaction_id", (F.col("uni
 add("seq_event_sequence", lambda p: p.sequence, "SELECT * FROM sequence")
 add("seq_rank_by_second", lambda p: s.rank_by_second(p.sequence), "SELECT * FROM by_time")
 add("seq_label_rank", lambda p: tx.label_maturity(p.sequence.join(p.src["transaction"].select(F.col("id").alias("transaction_id"), F.col("is_fraud").cast("int").alias("fraud_label")), "transaction_id"), p.sequence, p.limits, p.labels).select("transaction_id", "label_available_unix_time", "label_available_seq"), "SELECT transaction_id, label_available_unix_time, label_available_seq FROM label_seq")
+GAPS = "SELECT * FROM sequence WHERE event_seq%97<>5"
+add("seq_missing_ranks_mutated", lambda p: s.missing_ranks(_torn(p)), f"SELECT event_seq FROM sequence WHERE event_seq%97=5 AND event_seq<(SELECT max(event_seq) FROM ({GAPS}))")
+add("seq_distinct_ranks_mutated", lambda p: s.distinct_ranks(_torn(p)).select("ranks"), f"SELECT count(DISTINCT event_seq) AS ranks FROM ({GAPS})")
+
+
+def _torn(p: CardFraud) -> DataFrame:
+    """The sequence without every 97th rank, and with every 101st twice."""
+    left = p.sequence.where("event_seq % 97 <> 5")
+    return left.unionByName(left.where("event_seq % 101 = 7"))
+
+
 add("seq_bounds", lambda p: p.limits, "SELECT * FROM limits")
 for n, k in (("card", "card_number"), ("merchant", "merchant_id"), ("account", "account_id"), ("party", "party_id"), ("device", "device_id"), ("ip", "ip_id")):
     add(f"seq_first_seen_{n}", lambda p, n=n: getattr(p, f"{n}_seen"), f"SELECT {k}, first_seen_unix_time, first_seen_event_seq FROM {n}_seen")
@@ -284,10 +295,10 @@ def _vertices(lost: Callable[[str], str]) -> str:
 add_written("val_vertex_counts", lambda p: graph.vertex_counts({v: p.datasets[d] for d, v in VERTEX_NAMES.items()}), _vertices(lambda d: ""), _vertices(LOST))
 
 
-def _edges(p: Written) -> dict:
-    home = {c: p.datasets[t[1:]] for c, t in HOMES.items()} | {"transaction_id": p.datasets["22_transactions"]}
-    frames = {d: (p.datasets[d], e) for d, e in EDGES.items()} | {n: (p.fan_out[n], ("transaction_id", c)) for n, c in OF_PAYMENTS.items()}
-    return {d: (df, e, tuple((home[c], c) for c in e)) for d, (df, e) in frames.items()}
+def _edge_counts_of(p: Written) -> DataFrame:
+    homes = {c: p.datasets[t[1:]] for c, t in HOMES.items()} | {"transaction_id": p.datasets["22_transactions"]}
+    edges = {d: (p.datasets[d], e) for d, e in EDGES.items()} | {n: (p.fan_out[n], ("transaction_id", c)) for n, c in OF_PAYMENTS.items()}
+    return graph.edge_counts(edges, homes)
 
 
 OF_PAYMENTS = {"By_Account": "account_id", "By_Card": "card_id", "To_Merchant": "merchant_id", "At_Location": "location_id"}
@@ -312,7 +323,7 @@ def _edge_counts(lost: Callable[[str], str]) -> str:
     return " UNION ALL ".join(f"SELECT '{d}' AS edge_type, count(*) AS forward, count(*) AS backward FROM {t} e WHERE e.{x} IN (SELECT {x} FROM {HOMES_X[x]}{lost(HOMES_X[x][1:])}) AND e.{y} IN (SELECT {y} FROM {HOMES_X[y]}{lost(HOMES_X[y][1:])})" for d, (t, (x, y)) in ALL_EDGES.items())
 
 
-add_written("val_edge_counts", lambda p: graph.edge_counts(_edges(p)), _edge_counts(lambda d: ""), _edge_counts(LOST))
+add_written("val_edge_counts", _edge_counts_of, _edge_counts(lambda d: ""), _edge_counts(LOST))
 add_written("val_density", lambda p: graph.density(p.datasets["22_transactions"]), "SELECT count(*) AS events, min(event_seq) AS lowest, max(event_seq) AS highest, (sum(event_seq)*2-count(*)*(count(*)+1))::BIGINT AS sum_difference, count(*) FILTER (event_seq=0) AS zero_rows FROM d22_transactions")
 add_written("val_edge_stamps", _by_edge(lambda e, t: graph.stamp_mismatches(e, t, "mismatches")), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, count(*) FILTER (e.event_seq<>t.event_seq OR e.event_ts_ms<>t.event_ts_ms) AS mismatches FROM {q} e JOIN d22_transactions t USING (transaction_id)" for n, q in PAYMENT_EDGES.items()))
 add_written("val_frontier", _by_edge(graph.frontier), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, (SELECT count(*) FROM d22_transactions)-count(DISTINCT transaction_id) AS missing, count(*)-count(DISTINCT transaction_id) AS extra FROM {q}" for n, q in PAYMENT_EDGES.items()))
