@@ -178,7 +178,7 @@ def export(datasets: dict[str, DataFrame], folder: str, checked: DataFrame, requ
             raise ExportError(f"{name}: {said['rows']} rows of {said['bytes']} bytes written, {(r['rows'], r['bytes']) if r else 'none'} in the files")
         if r and r["largest"] >= FILE_LIMIT:
             raise ExportError(f"{name} has a file of {r['largest']} bytes")
-    text = json.dumps({"format_version": FORMAT_VERSION, "chunk_bytes": CHUNK_BYTES, "datasets": head}, sort_keys=True)
+    text = json.dumps({"format_version": FORMAT_VERSION, "chunk_bytes": CHUNK_BYTES, "order": list(datasets), "datasets": head}, sort_keys=True)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("errorifexists").text(f"{folder}/{MARKER}")
     return stated
 

@@ -16,7 +16,7 @@ from sequora.operators import transactions as tx
 from sequora.plans.card_fraud import CardFraud, Written
 from sequora.plans.card_fraud_sql import boolean, clean, compose, ctes, ms, token
 from sequora.sources import projection, readers, staging
-from sequora.sources.contracts import CORE_TABLES, SOURCE_COLUMNS, check_tables, protected_columns
+from sequora.sources.contracts import CORE_TABLES, SOURCE_COLUMNS, check_tables, load_order, protected_columns, stored, stored_fields
 from sequora.sources.mutations import ENTITIES_SQL, SOURCES_SQL, mutate_entities, mutate_sources
 
 POLICY = fn.TokenPolicy(os.environ.get("SEQUORA_TOKEN_SALT", "synthetic-tables-only"))
@@ -386,6 +386,20 @@ for broken in (False, True):
     add_temporal(f"mul_distributions{end}", lambda raw: mul.distributions(mul.typed_tables(raw)["Account"]), "SELECT 'is_mule' AS attribute, is_mule::INT AS value, count(*) AS accounts FROM Account GROUP BY 2 UNION ALL SELECT 'mule_ring_id', mule_ring_id::INT, count(*) FROM Account GROUP BY 2", broken)
     add_temporal(f"val_temporal_invariants{end}", lambda raw: graph.temporal_invariants(mul.typed_tables(raw)), tsql.rows(INVARIANTS), broken)
 add_temporal("src_typed_view", lambda raw: mul.typed_tables(raw)["Zelle_Transfer"].select("transfer_id", F.col("event_seq").cast("long").alias("event_seq"), "amount", "amount_present", "label_known", "fraud_label"), "SELECT transfer_id, event_seq::BIGINT AS event_seq, amount, amount_present, label_known, fraud_label FROM Zelle_Transfer", False)
+
+
+def _stored(raw: dict[str, DataFrame]) -> DataFrame:
+    """Each attribute of each table at its place in the store, with the rows that have a value other than the default."""
+    t, out = mul.typed_tables(raw), []
+    for d in TEMPORAL:
+        df = stored(d, t[d.name])
+        other = lambda f: F.count_if(F.col(f.name).isNotNull() & (F.size(f.name) > 0)) if f.dataType.typeName() == "array" else F.count(f.name) if "kept_default" not in f.metadata else F.count_if(F.col(f.name).cast("string") != F.lit(str(f.metadata["kept_default"])))
+        cells = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(f.name).alias("attribute"), F.col(f.name).alias("filled")) for k, f in enumerate(df.schema)])
+        out.append(df.agg(*[other(f).alias(f.name) for f in stored_fields(d)]).select(F.lit(d.name).alias("table_name"), F.explode(cells).alias("c")).select("table_name", "c.*"))
+    return gates.union(out)
+
+
+add_temporal("out_stored_order", _stored, " UNION ALL ".join(f"SELECT '{d.name}' AS table_name, {k} AS position, '{f.name}' AS attribute, count(*){'*0' if 'kept_default' in f.metadata else ''} AS filled FROM {d.name}" for d in TEMPORAL for k, f in enumerate(stored_fields(d))), False)
 add_temporal("rel_tenures_at_seed", lambda raw: mul.typed_tables(raw)["Token_Bound_To_Account"].where(fn.visible("valid_from_seq", "valid_to_seq", 700)).select("from_id", "to_id", F.col("valid_from_seq").cast("long").alias("valid_from_seq")), "SELECT from_id, to_id, valid_from_seq::BIGINT AS valid_from_seq FROM Token_Bound_To_Account WHERE valid_from_seq<=700 AND (valid_to_seq=0 OR 700<valid_to_seq)", True)
 
 
@@ -399,11 +413,30 @@ ORACLE_SQL["out_export_manifest"] = compose(_per_dataset("count(*)::BIGINT AS ro
 PSV_TEXT = " UNION ALL ".join(f"SELECT '{d}' AS dataset, concat_ws('|', *COLUMNS(*)) AS value FROM (SELECT coalesce(regexp_replace(COLUMNS(*)::VARCHAR, '\\.0$', ''), '') FROM d{d})" for d in DATASETS)
 
 
-def _psv(p: CardFraud) -> DataFrame:
-    return gates.union([export.psv_rows(df).select(F.lit(d).alias("dataset"), "value") for d, df in p.datasets.items()])
+def _psv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.union([export.psv_rows(df).select(F.lit(d).alias("dataset"), "value") for d, df in exported(spark, sf_dir)[2].datasets.items()])
+
+
+QUERIES["out_psv_rows"] = _psv
+ORACLE_SQL["out_psv_rows"] = compose(PSV_TEXT, PARTS)
+#: What must be loaded before each dataset: the vertices its ids lead to; endpoints of payments after these.
+NEEDS = {d: [HOMES_X[c][1:] for c in ends] for d, ends in EDGES.items()} | {"22_transactions": [HOMES[c][1:] for c in OF_PAYMENTS.values()]}
+
+
+def _load_order(change: Callable[[list[str]], list[str]]) -> Query:
+    """Each dataset an export has, what it needs, and whether that comes before it in the order of the export."""
+
+    def frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder, stated, _ = exported(spark, sf_dir)
+        order = change(export.published(spark, folder)["order"])
+        return load_order(stated.groupBy("dataset").agg(F.sum("rows").alias("rows")), order, NEEDS)
+
+    return frame
 
 
-add("out_psv_rows", _psv, PSV_TEXT)
+for end, change in (("", list), ("_mutated", lambda order: ["22_transactions", *[d for d in order if d != "22_transactions"]])):
+    QUERIES[f"out_load_order{end}"] = _load_order(change)
+    ORACLE_SQL[f"out_load_order{end}"] = compose(" UNION ALL ".join(f"SELECT '{d}' AS dataset, '{n}' AS needs, count(*)::BIGINT AS rows, {str(not (end and d == '22_transactions')).lower()} AS fits FROM d{d} HAVING count(*)>0" for d in NEEDS for n in NEEDS[d]), PARTS)
 SHARD = 20_000
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Columns read of each source table; all are text.
@@ -50,7 +51,7 @@ FORBIDDEN = tuple("email email_raw phone_number phone_raw address address_raw de
 SUPERVISION = tuple("fraud_label label_known label_available_seq label_available_ts_ms label_source is_mule mule_label_known is_mule_masked pu_label mule_label_effective_seq mule_label_effective_ts_ms mule_label_available_seq mule_label_available_ts_ms mule_ring_id mule_label_source".split())
 
 #: Declared types, and what they are in Spark.
-SPARK_TYPES = {"STRING": T.StringType(), "UINT": T.DecimalType(20, 0), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(), "FLOAT": T.FloatType(), "BOOL": T.BooleanType(), "DATETIME": T.TimestampNTZType()}
+SPARK_TYPES = {"STRING": T.StringType(), "UINT": T.DecimalType(20, 0), "INT": T.IntegerType(), "DOUBLE": T.DoubleType(), "FLOAT": T.FloatType(), "BOOL": T.BooleanType(), "DATETIME": T.TimestampNTZType(), "LIST<DOUBLE>": T.ArrayType(T.DoubleType())}
 
 
 class Ends(NamedTuple):
@@ -86,10 +87,6 @@ def declared(field: T.StructField) -> str:
     return field.metadata["declared"]
 
 
-def stored_order(schema: T.StructType) -> list[str]:
-    return [f.name for f in sorted(schema, key=lambda f: f.metadata.get("added_later", False))]
-
-
 def _schema(empty_for_null: str = "", added_later: str = "", **types: str) -> T.StructType:
     marks = lambda n: {k: True for k, marked in (("empty_for_null", empty_for_null), ("added_later", added_later)) if n == marked}
     return T.StructType([T.StructField(n, SPARK_TYPES[t], True, {"declared": t, **marks(n)}) for n, t in types.items()])
@@ -137,7 +134,10 @@ PARTICIPATIONS = {
     "Transaction_Used_Device": Ends("Payment_Transaction", "Device", "Device_Used_By_Transaction"),
     "Transaction_Used_IP": Ends("Payment_Transaction", "IP", "IP_Observed_In_Transaction"),
 }
+#: Attributes of both event tables that the store has and no load fills.
+KEPT_DEFAULTS = _schema(pair_delta_t_ms="UINT", pair_delta_t_present="BOOL", pair_time_encoding="LIST<DOUBLE>", time_encoding_basis_id="STRING", pair_previous_event_id="STRING", pair_sender_id="STRING", pair_recipient_type="STRING", pair_recipient_id="STRING")
 # End of fixed values.
+DEFAULTS = {"UINT": 0, "BOOL": False, "LIST<DOUBLE>": [], "STRING": ""}
 BY_NAME = {t.name: t for t in [
     *[Table(n, "entity", s) for n, s in ENTITY_SCHEMAS.items()],
     *[Table(n, "event", s) for n, s in EVENT_SCHEMAS.items()],
@@ -151,6 +151,56 @@ class ContractError(ValueError):
     pass
 
 
+def stored_fields(d: Table) -> list[T.StructField]:
+    """Fields as a store keeps them: those that were added later behind the others, and last those that no load fills, with their default in the metadata."""
+    own = sorted(d.schema, key=lambda f: f.metadata.get("added_later", False))
+    more = [T.StructField(f.name, f.dataType, True, f.metadata | {"kept_default": str(DEFAULTS[declared(f)]).lower()}) for f in KEPT_DEFAULTS] if d.role == "event" else []
+    return [*own, *more]
+
+
+def stored(d: Table, df: DataFrame) -> DataFrame:
+    """A typed frame in the order of the store, with the defaults of what isn't loaded."""
+    filled = {f.name: F.lit(DEFAULTS[declared(f)]).cast(f.dataType) for f in KEPT_DEFAULTS} if d.role == "event" else {}
+    return df.withColumns(filled).select(*[f.name for f in stored_fields(d)]) if filled else df.select(*[f.name for f in stored_fields(d)])
+
+
+def load_order(found: DataFrame, order: list[str], needs: dict[str, list[str]]) -> DataFrame:
+    """For each found dataset (dataset, rows) and each one it needs: whether that one comes before it in `order`. Names beyond the order never do."""
+    at = {n: k for k, n in enumerate(order)}
+    pairs = [(d, n, n in at and d in at and at[n] < at[d]) for d, of in needs.items() for n in of]
+    return found.join(found.sparkSession.createDataFrame(pairs, "dataset string, needs string, fits boolean"), "dataset").select("dataset", "needs", "rows", "fits")
+
+
+class Description(NamedTuple):
+    """What a store says of one of its types: attributes in order, ends and reverse name of edges, whether the key is an attribute, what tells edges of a pair apart."""
+
+    attributes: list[tuple[str, str]]
+    ends: Ends | None = None
+    key_is_attribute: bool = False
+    told_apart_by: tuple[str, ...] = ()
+
+
+def described(d: Table) -> Description:
+    fields = [(f.name, declared(f)) for f in stored_fields(d)]
+    if d.ends:
+        return Description(fields[2:], d.ends, False, ("valid_from_seq",) if d.role == "association" else ())
+    return Description(fields, None, True)
+
+
+def schema_faults(found: dict[str, Description], permitted: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    """Where a store's types differ from the contract, as (type, fault); types that are neither declared, a reverse, nor permitted are faults."""
+    reverses = {d.ends.reverse for d in DATASETS if d.ends}
+    out = [(n, "not declared") for n in sorted(set(found) - set(BY_NAME) - reverses - set(permitted))]
+    for d in DATASETS:
+        have, want = found.get(d.name), described(d)
+        if have is None:
+            out.append((d.name, "missing"))
+            continue
+        names = (("attributes", "attributes, their types or order"), ("ends", "ends or reverse"), ("key_is_attribute", "key as attribute"), ("told_apart_by", "what tells edges apart"))
+        out += [(d.name, text) for field, text in names if getattr(have, field) != getattr(want, field)]
+    return out
+
+
 def check_tables(tables: dict[str, DataFrame], required: dict[str, list[str]] = SOURCE_COLUMNS) -> None:
     """Raise for the first table that is missing, then for the first that lacks columns."""
     for name in required:

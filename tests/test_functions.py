@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sequora import functions as fn
 from sequora.operators import sequence as s
 from sequora.operators.relations import reverse
-from sequora.sources.contracts import BY_NAME, ContractError, check_ordered, check_schema, check_tables, features_only, stored_order
+from sequora.sources.contracts import BY_NAME, ContractError, check_ordered, check_schema, check_tables, features_only, stored_fields
 
 
 def one(spark, value, make):
@@ -91,4 +91,4 @@ def test_contracts(spark):
         check_tables({})
     with pytest.raises(ContractError):
         features_only(spark.createDataFrame([], "transaction_id string, fraud_label int"))
-    assert stored_order(BY_NAME["Account"].schema)[-1] == "is_mule"
+    assert stored_fields(BY_NAME["Account"])[-1].name == "is_mule"
