@@ -99,7 +99,9 @@ def write_psv(df: DataFrame, path: str, target_bytes: int = TARGET_BYTES, may_be
         if found["longest"] > target_bytes:
             raise ExportError(f"{path} has a line of {found['longest']} bytes")
         held = spark.read.schema("value string, bytes long").parquet(pending)
-        sharded(held, target_bytes, found["bytes"]).write.mode("errorifexists").partitionBy("shard").text(path)
+        # what fits one shard needs no numbering
+        one = held.select("value", F.lit("0-0-0").alias("shard")).coalesce(1)
+        (one if found["bytes"] <= target_bytes else sharded(held, target_bytes, found["bytes"])).write.mode("errorifexists").partitionBy("shard").text(path)
     finally:
         staging.remove(spark, pending)
     return found
