@@ -18,6 +18,7 @@ CHUNK_BYTES = 8 << 20
 MAY_BE_EMPTY = ("23_transaction_used_device", "24_transaction_from_ip")
 MANIFEST = "dataset string, file string, bytes long, rows long, sha256 string, chunks array<string>"
 MARKER = "published"
+REPORT, REPORT_FOLDER = "section string, item string, value long", "report"
 
 
 def plain_number(text: Column) -> Column:
@@ -156,12 +157,13 @@ def manifest_of(spark: SparkSession, folder: str, datasets: list[str]) -> DataFr
     return out
 
 
-def export(datasets: dict[str, DataFrame], folder: str, checked: DataFrame, require: Callable[[DataFrame], None], counts: dict[str, int] | None = None, may_be_empty: tuple[str, ...] = MAY_BE_EMPTY, target_bytes: int = TARGET_BYTES) -> DataFrame:
-    """Write all datasets in their order, the manifest beside them, and last the marker that publishes them; return the manifest's rows.
+def export(datasets: dict[str, DataFrame], folder: str, checked: DataFrame, require: Callable[[DataFrame], None], counts: dict[str, int] | None = None, may_be_empty: tuple[str, ...] = MAY_BE_EMPTY, target_bytes: int = TARGET_BYTES, report: DataFrame | None = None) -> DataFrame:
+    """Write all datasets in their order, the manifest and the report beside them, and last the marker that publishes them; return the manifest's rows.
 
     Refuses if a gate of `checked` has failed, if a dataset is empty that may not be, or if the rows
     seen in a write differ from the audited `counts`; each is known before the next dataset is
-    begun. Whatever ends it before the marker leaves a folder that no reader takes.
+    begun. Whatever ends it before the marker leaves a folder that no reader takes. `report` (section,
+    item, value) is what decided on the export; the marker states its digest.
     """
     require(checked)
     spark = checked.sparkSession
@@ -180,7 +182,11 @@ def export(datasets: dict[str, DataFrame], folder: str, checked: DataFrame, requ
             raise ExportError(f"{name}: {said['rows']} rows of {said['bytes']} bytes written, {(r['rows'], r['bytes']) if r else 'none'} in the files")
         if r and r["largest"] >= FILE_LIMIT:
             raise ExportError(f"{name} has a file of {r['largest']} bytes")
-    text = json.dumps({"format_version": FORMAT_VERSION, "chunk_bytes": CHUNK_BYTES, "order": list(datasets), "datasets": head}, sort_keys=True)
+    said = {"format_version": FORMAT_VERSION, "chunk_bytes": CHUNK_BYTES, "order": list(datasets), "datasets": head}
+    if report is not None:
+        report.select("section", "item", "value").coalesce(1).write.mode("errorifexists").json(f"{folder}/{REPORT_FOLDER}")
+        said["report"] = digests_of(spark, f"{folder}/{REPORT_FOLDER}")
+    text = json.dumps(said, sort_keys=True)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("errorifexists").text(f"{folder}/{MARKER}")
     return stated
 
@@ -192,6 +198,21 @@ def published(spark: SparkSession, folder: str) -> dict:
     return json.loads(spark.read.text(f"{folder}/{MARKER}").first()["value"])
 
 
+def digests_of(spark: SparkSession, path: str) -> list[str]:
+    """The digests of the files under a path that holds few."""
+    return sorted(r["sha256"] for r in files(spark, path).select("sha256").collect())
+
+
+def read_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The report that a published export was decided on; one that isn't there, or isn't as it was stated, is an error."""
+    stated = published(spark, folder).get("report")
+    if stated is None:
+        raise ExportError(f"{folder} has no report")
+    if not staging.exists(spark, f"{folder}/{REPORT_FOLDER}") or digests_of(spark, f"{folder}/{REPORT_FOLDER}") != stated:
+        raise ExportError(f"the report of {folder} is not as it was stated")
+    return spark.read.schema(REPORT).json(f"{folder}/{REPORT_FOLDER}")
+
+
 def verify(spark: SparkSession, folder: str, datasets: list[str]) -> DataFrame:
     """Faults of an export, as rows (dataset, file, fault): a version, set, size, digest or total that is not as stated.
 
@@ -204,6 +225,8 @@ def verify(spark: SparkSession, folder: str, datasets: list[str]) -> DataFrame:
         faults.append(("", "", f"format version {head['format_version']}"))
     faults += [(d, "", "missing from the manifest") for d in datasets if d not in head["datasets"]]
     faults += [(d, "", "not expected") for d in head["datasets"] if d not in datasets]
+    if "report" in head and (not staging.exists(spark, f"{folder}/{REPORT_FOLDER}") or digests_of(spark, f"{folder}/{REPORT_FOLDER}") != head["report"]):
+        faults.append(("", REPORT_FOLDER, "other report"))
     now = manifest_of(spark, folder, [d for d in datasets if d in head["datasets"]])
     both = stated.join(now.select("dataset", "file", *[F.col(c).alias(f"now_{c}") for c in ("bytes", "rows", "sha256", "chunks")]), ["dataset", "file"], "full")
     chunk = F.array_position(F.zip_with("chunks", "now_chunks", lambda a, b: a.eqNullSafe(b)), F.lit(False)) - 1

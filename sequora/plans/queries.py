@@ -49,8 +49,10 @@ def exported(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, CardFrau
     if key not in _exports:
         p, folder = prepared(spark, sf_dir, keep=True), staging.folder(spark, "export")
         p.stage_datasets()
-        counts = {r["dataset"]: r["rows"] for r in gates.load_counts(p.datasets).collect()}
-        _exports[key] = folder, export.export(p.datasets, folder, gates.gates(p), gates.require, counts), p
+        report = gates.verification_report(p, POLICIES)
+        checked = report.where("section = 'audit'").select(F.col("item").alias("check_name"), F.col("value").alias("failure_count"))
+        counts = {r["item"]: r["value"] for r in report.where("section = 'count'").collect()}
+        _exports[key] = folder, export.export(p.datasets, folder, checked, gates.require, counts, report=report), p
     return _exports[key]
 
 
@@ -328,6 +330,9 @@ add_written("val_density", lambda p: graph.density(p.datasets["22_transactions"]
 add_written("val_edge_stamps", _by_edge(lambda e, t: graph.stamp_mismatches(e, t, "mismatches")), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, count(*) FILTER (e.event_seq<>t.event_seq OR e.event_ts_ms<>t.event_ts_ms) AS mismatches FROM {q} e JOIN d22_transactions t USING (transaction_id)" for n, q in PAYMENT_EDGES.items()))
 add_written("val_frontier", _by_edge(graph.frontier), " UNION ALL ".join(f"SELECT '{n}' AS edge_type, (SELECT count(*) FROM d22_transactions)-count(DISTINCT transaction_id) AS missing, count(*)-count(DISTINCT transaction_id) AS extra FROM {q}" for n, q in PAYMENT_EDGES.items()))
 add_written("val_degree_above", lambda p: graph.degree_above(p.datasets["23_transaction_used_device"], "device_id", 60, "busy_devices"), "SELECT count(*) AS busy_devices FROM (SELECT device_id FROM d23_transaction_used_device GROUP BY 1 HAVING count(*)>60)")
+OPERATORS_ABOVE = "SELECT count(*) AS merchants FROM (SELECT merchant_id FROM d20_party_operates_merchant GROUP BY 1 HAVING count(*)>1)"
+add_written("val_operators_above", lambda p: graph.degree_above(p.datasets["20_party_operates_merchant"], "merchant_id", 1, "merchants"), OPERATORS_ABOVE)
+add("val_operators_above_mutated", lambda p: graph.degree_above(p.datasets["20_party_operates_merchant"], "merchant_id", 1, "merchants"), OPERATORS_ABOVE, mutate_entities, ENTITIES_SQL)
 add_written("val_ownerless_accounts", lambda p: gates.orphans(p.datasets["02_accounts"], "account_id", p.datasets["12_party_owns_account"], "account_id", "ownerless"), "SELECT " + lacks("d02_accounts", "account_id", "d12_party_owns_account", "account_id") + " AS ownerless")
 add("val_ownerless_accounts_mutated", lambda p: gates.orphans(p.datasets["02_accounts"], "account_id", p.datasets["12_party_owns_account"], "account_id", "ownerless"), "SELECT " + lacks("d02_accounts", "account_id", "d12_party_owns_account", "account_id") + " AS ownerless", mutate_entities, ENTITIES_SQL)
 add_written("val_stamps", graph.stamp_report, "SELECT " + REPORTS["first_seen"][1]["vertices_with_zero_first_seen"] + f"::BIGINT AS zero_first_seen, {where(EVERY, 'valid_from_seq<=0')} AS zero_valid_from, {where(EVERY, 'valid_to_seq<>0 AND valid_to_seq<=valid_from_seq')} AS empty_intervals, {where(EVERY, 'valid_to_seq<>0')} AS closed_tenures")
@@ -460,6 +465,8 @@ def _verified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stated.groupBy("dataset").agg(F.sum("rows").alias("rows")).join(faults, "dataset", "full").select("dataset", "rows", F.coalesce("faults", F.lit(0)).alias("faults"))
 
 
+QUERIES["out_report"] = lambda spark, sf_dir: export.read_report(spark, exported(spark, sf_dir)[0])
+ORACLE_SQL["out_report"] = compose(REPORT, PARTS)
 QUERIES["out_export_verified"] = _verified
 ORACLE_SQL["out_export_verified"] = compose(_per_dataset("count(*)::BIGINT AS rows, 0::BIGINT AS faults"), PARTS)
 #: Faults by dataset after the damage; one dataset is expected that nobody wrote.

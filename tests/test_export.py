@@ -87,6 +87,23 @@ def test_what_was_not_finished_is_refused(spark, good, tmp_path):
             reader()
 
 
+def test_the_report_lies_beside_the_export(spark, good, tmp_path):
+    folder, rows = f"file://{tmp_path}/out", [("audit", "any", 0), ("result", "passed", 1)]
+    report = spark.createDataFrame(rows, "section string, item string, value long").selectExpr("value", "item", "section")
+    export.export({"one": frame(spark)}, folder, good, require, report=report)
+    assert sorted(tuple(r) for r in export.read_report(spark, folder).collect()) == rows
+    assert export.verify(spark, folder, ["one"]).count() == 0
+    flip(parts(f"{tmp_path}/out/report")[0], 30)
+    assert [tuple(r) for r in export.verify(spark, folder, ["one"]).collect()] == [("", "report", "other report")]
+    with pytest.raises(export.ExportError, match="not as it was stated"):
+        export.read_report(spark, folder)
+    os.rename(f"{tmp_path}/out/report", f"{tmp_path}/out/elsewhere")
+    assert [r["fault"] for r in export.verify(spark, folder, ["one"]).collect()] == ["other report"]
+    export.export({"one": frame(spark)}, f"{folder}2", good, require)
+    with pytest.raises(export.ExportError, match="has no report"):
+        export.read_report(spark, f"{folder}2")
+
+
 def test_unaudited_dataset_is_refused(spark, good, tmp_path):
     with pytest.raises(export.ExportError, match="none audited"):
         export.export({"one": frame(spark)}, f"file://{tmp_path}/out", good, require, {"two": 3})

@@ -78,6 +78,6 @@ def test_every_payment_is_a_seed(spark, duck, name):
     assert rest == set(range(10))
 
 
-@pytest.mark.parametrize("name", ("out_export_manifest", "out_export_verified", "out_export_verified_mutated", "out_psv_rows", "out_shard_sizes", "val_against_manifest", "val_against_manifest_mutated", "val_edge_counts_mutated", "val_corrupt_lines_mutated", "val_corrupt_text_mutated", "val_empty_mandatory_mutated", "val_same_distribution", "val_same_distribution_mutated", "out_load_order", "out_load_order_mutated", "out_stored_order", "seq_missing_ranks_mutated", "aud_forbidden_columns"))
+@pytest.mark.parametrize("name", ("out_export_manifest", "out_report", "val_operators_above", "val_operators_above_mutated", "out_export_verified", "out_export_verified_mutated", "out_psv_rows", "out_shard_sizes", "val_against_manifest", "val_against_manifest_mutated", "val_edge_counts_mutated", "val_corrupt_lines_mutated", "val_corrupt_text_mutated", "val_empty_mandatory_mutated", "val_same_distribution", "val_same_distribution_mutated", "out_load_order", "out_load_order_mutated", "out_stored_order", "seq_missing_ranks_mutated", "aud_forbidden_columns"))
 def test_export_is_whole(spark, duck, name):
     test_query_equals_its_sql(spark, duck, name)
