@@ -19,7 +19,7 @@ from sequora.llm.common import slices, table
 # Fixed values of HTML: element classes that decide nesting and layout.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
-UNSEEN = frozenset("head script style template noscript title meta link base datalist iframe noembed noframes object video audio canvas svg math".split())
+UNSEEN = frozenset("head script style template noscript title meta link base datalist iframe noembed noframes object video audio canvas annotation annotation-xml".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table ul".split())
 SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 ol p pre table ul menu dir".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul li dd dt".split())
@@ -50,11 +50,22 @@ AROUND_ROWS = ROW_GROUPS | {"table"}
 #: Each rule of ENDS, and that of p, has a bit that says whether one of its elements is open within its stops.
 RULES = [*dict.fromkeys(ENDS.values()), (frozenset(["p"]), P_STOPS)]
 P_RULE = len(RULES) - 1
+TABLE_PARTS = frozenset("caption col colgroup tbody td tfoot th thead tr".split())
 IN_HEAD = frozenset("base link meta title style script template noscript".split())
 
+#: Drawings and formulas: where HTML goes on inside them, what starts there end them, what shows text in a drawing, and what never does.
+FOREIGN = ("svg", "math")
+HTML_AGAIN = "foreignobject desc title mi mo mn ms mtext annotation-xml".split()
+ENDS_FOREIGN = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+DRAWN_TEXT = frozenset("text foreignobject".split())
+NOT_DRAWN = frozenset("desc metadata defs symbol clippath mask pattern marker filter lineargradient radialgradient".split())
+NAMED_IN_FOREIGN = UNSEEN | DRAWN_TEXT | NOT_DRAWN | frozenset([*FOREIGN, *HTML_AGAIN])
+
 MARKUP = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPACE = re.compile(r"[ \t\n\f\r]+")
+UNQUOTED_END = re.compile(r"=\s*[^\s\"'=]+\Z")
+CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
 NO_BOX = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.IGNORECASE)
 VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)\b", re.IGNORECASE)
 WHOLE_NUMBER = re.compile(r"\s*([+-]?[0-9]{1,9})(?![0-9])")
@@ -126,7 +137,32 @@ class TreeBuilder:
             self._back_to(self.root)
             self.body = self._open("body")
 
+    def _foreign(self) -> Node | None:
+        """The innermost drawing or formula around here, unless HTML goes on inside it."""
+        if not any(self.listed.get(t) for t in FOREIGN):
+            return None
+        innermost = lambda tags: max((n[-1] for t in tags if (n := self.listed.get(t))), key=lambda n: n.depth, default=None)
+        found, again = innermost(FOREIGN), innermost(HTML_AGAIN)
+        return found if found is not None and (again is None or again.depth < found.depth) else None
+
     def start(self, tag: str, attrs: str) -> None:
+        foreign = self._foreign()
+        while foreign is not None and tag in ENDS_FOREIGN:
+            self._back_to(foreign.parent)
+            foreign = self._foreign()
+        if foreign is not None or tag in FOREIGN:
+            if self.body is None:
+                self._into_body()
+            tag = tag if tag in NAMED_IN_FOREIGN else f"*{tag}"  # a cell in a formula is no cell of a table
+            if attrs.endswith("/") and not UNQUOTED_END.search(attrs):
+                self.here.children.append(Node(tag, attrs, self.here))
+            else:
+                self._open(tag, attrs)
+            return
+        if self.here.tag == "colgroup" and tag not in ("col", "template"):
+            self._back_to(self.here.parent)
+        if tag in TABLE_PARTS and not self.listed.get("table"):
+            return
         if tag == "html":
             self.root.attrs = self.root.attrs or attrs
             return
@@ -165,6 +201,10 @@ class TreeBuilder:
         if tag == "br":  # read as a start tag
             self.start("br", "")
             return
+        foreign, starred = self._foreign(), self.listed.get(f"*{tag}")
+        if foreign is not None and starred and starred[-1].depth > foreign.depth:
+            self._back_to(starred[-1].parent)
+            return
         stop = self.here.stops[0 if tag == "table" else 1 if tag in ENDED_BY_TABLE_PARTS else 2]
         found = self.listed.get(tag)
         if found and found[-1].depth >= stop:
@@ -178,6 +218,10 @@ class TreeBuilder:
             if not data.strip(" \t\n\f\r"):
                 return
             self._into_body()
+        if self.here.tag == "colgroup" and data.strip(" \t\n\f\r"):
+            self._back_to(self.here.parent)
+        if self.here.tag == "pre" and not self.here.children:
+            data = re.sub(r"\A\r?\n", "", data)
         self.here.children.append(data)
 
 
@@ -196,7 +240,7 @@ def parse(page: str) -> Node:
         elif m[2]:
             tag = m[2].lower()
             build.start(tag, m[3])
-            if tag in RAW:
+            if tag in RAW and build.here.tag in (tag, f"*{tag}"):  # one that closes itself in a drawing has no text
                 close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.IGNORECASE).search(page, at)
                 data = page[at : close.start() if close else len(page)]
                 build.text(html.unescape(data) if tag in ("title", "textarea") else data, raw=True)
@@ -214,7 +258,7 @@ def shown(node: Node, seen: bool) -> tuple[bool, bool]:
     if not node.attrs:
         return node.tag != "dialog", seen
     a = node.attributes()
-    style = a.get("style", "")
+    style = CSS_COMMENT.sub("", a.get("style", ""))
     if "hidden" in a or NO_BOX.search(style) or (node.tag == "dialog" and "open" not in a):
         return False, False
     said = VISIBILITY.findall(style)
@@ -323,18 +367,19 @@ def render(root: Node) -> list[str]:
     """Lines of the visible text. The walk keeps its own stack, so nesting may be of any depth."""
     flows, tables, lists = [Flow()], [], []
     pre = 0
+    drawn: list[bool] = []  # for each drawing, and each text in one: whether text shows
     stack: list[tuple[Node | str, bool, bool]] = [(root, False, True)]
     while stack:
         node, leaving, seen = stack.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            if seen and not (tables and tables[-1][1] is flow and node.strip() == ""):
+            if seen and (not drawn or drawn[-1]) and not (tables and tables[-1][1] is flow and node.strip() == ""):
                 flow.write(node.replace("\xa0", " ") if pre else node, pre > 0)
             continue
         tag = node.tag
         if not leaving:
             box, seen = shown(node, seen)
-            if not box:
+            if not box or (drawn and not drawn[-1] and tag in NOT_DRAWN):
                 continue
             if tag == "br":
                 if seen:
@@ -347,16 +392,22 @@ def render(root: Node) -> list[str]:
             if tag in BLOCK:
                 flow.end_line()
                 flow.gap |= tag in SPACED and not (tag in LISTS and lists and lists[-1][0] is flow)
+            if tag == "svg" or (drawn and tag in DRAWN_TEXT):
+                drawn.append(tag != "svg")
+                flow.space = True
             if tag == "pre":
                 pre += 1
             elif tag in LISTS:
-                start = node.attributes().get("start", "") if tag == "ol" else ""
-                lists.append([flow, tag, number(start, -(10**9), 10**9)])
+                a = node.attributes() if tag == "ol" else {}
+                down = "reversed" in a
+                first = sum(isinstance(c, Node) and c.tag == "li" for c in node.children) if down else 1
+                lists.append([flow, tag, number(a.get("start", ""), -(10**9), 10**9, first), -1 if down else 1])
             elif tag == "li":
                 mark = "- "
                 if lists and lists[-1][0] is flow and lists[-1][1] == "ol":
+                    lists[-1][2] = number(node.attributes().get("value", ""), -(10**9), 10**9, lists[-1][2])
                     mark = f"{lists[-1][2]}. "
-                    lists[-1][2] += 1
+                    lists[-1][2] += lists[-1][3]
                 flow.marks.append(" " * len(mark))
                 flow.bullet = mark if seen else ""
             elif tag in ("dd", "blockquote"):
@@ -388,6 +439,9 @@ def render(root: Node) -> list[str]:
                 flow.end_line(force=True)
             flow.end_line()
             flow.gap |= tag in SPACED and not (tag in LISTS and len(lists) > 1 and lists[-2][0] is flow)
+        if tag == "svg" or (drawn and tag in DRAWN_TEXT):
+            drawn.pop()
+            flow.space = True
         if tag == "pre":
             pre -= 1
         elif tag in LISTS:
@@ -407,7 +461,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
 
     Elements without a box (by tag, the hidden attribute, or display in a style attribute) are left
     out with all that they hold; of elements with visibility:hidden the text is left out, but not that of
-    elements in them that are visible again. Style sheets are not read. Time grows with the length
+    elements in them that are visible again. Style sheets are not read. Formulas are text, and of drawings
+    the texts in them, each a word apart. Table parts outside of a table are ignored, what they hold is not. Time grows with the length
     of a page, however long it is or deeply nested. Lines are joined by line feeds, blocks with margins parted by a
     blank line. Broken markup never fails: unclosed elements end with their parents, text outside
     of tags is text. Null pages give null, empty ones an empty text; null and repeated ids are kept.

@@ -209,13 +209,28 @@ def test_language_model_empty(spark):
         ("<div style='display:none'>no <b style='visibility: visible'>no</b></div>x", "x"),
         ("<p>a<table><tr><td>b<p>c<td>d</table>e", "a\n\nb  d\n\nc\n\ne"),
         ("<p>a<b>b<div>c</p>d</div></b>e", "ab\n\nc\n\nd\ne"),
+        ("a<math><mi>x</mi><annotation>no</annotation></math>b", "axb"),
+        ("a<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><g>no<text>one</text><text>two <tspan>three</tspan></text></g></svg>b", "a one two three b"),
+        ("<svg><path d='x'/><text/>no<foreignObject><p>yes</p></foreignObject></svg>", "yes"),
+        ("<svg><g><path><p>after an open drawing<svg/>on", "after an open drawing on"),
+        ("<svg><style/><text>t</text></svg><svg fill=a/><text>u</text></svg>", "t u"),
+        ("<colgroup hidden><p>kept", "kept"),
+        ("<table><tr><td>a<math><td>b</td><tr><mi>c</math>d<td>e</table>", "abcd  e"),
+        ("<table><colgroup hidden><col><tr><td>a</table>b", "a\n\nb"),
+        ("<td hidden>a</td><tr style='display:none'>b", "ab"),
+        ("<ol reversed><li>a<li>b<li>c</ol>", "3. a\n2. b\n1. c"),
+        ("<ol reversed start=9><li>a<li value=4>b<li value=x>c</ol>", "9. a\n4. b\n3. c"),
+        ("<ol><li>a<li value=7>b<li>c</ol>", "1. a\n7. b\n8. c"),
+        ("<pre>\n\n a\n</pre><pre>\r\nb</pre>", "\n a\n\nb"),
+        ("<pre><b>\nx</b></pre>", "\nx"),
+        ("a<b style='display:/**/none'>no</b><b style='/* display:none */'>yes</b>", "ayes"),
     ],
 )
 def test_html(page, text):
     assert html_text.page_text(page) == text
 
 
-@pytest.mark.parametrize("part", ["<div>", "<p><b>", "<div></b>", "<p></div>", "<li>", "<div><p>", "</p>", "<b><td>", "<table><tr><td>", "<span></p>"])
+@pytest.mark.parametrize("part", ["<div>", "<p><b>", "<div></b>", "<p></div>", "<li>", "<div><p>", "</p>", "<b><td>", "<table><tr><td>", "<span></p>", "<svg><g><text>", "<svg><p>", "<math><mi>", "<svg><foreignobject><svg><text>"])
 def test_html_takes_time_in_proportion(part):
     import time
 
@@ -226,7 +241,7 @@ def test_html_takes_time_in_proportion(part):
 
 def test_html_loses_no_visible_word_of_tag_soup():
     rng = random.Random(21)
-    tags = "div p b i ul ol li table tr td th tbody caption h1 h2 span dl dt dd blockquote pre section option select a".split()
+    tags = "div p b i ul ol li table tr td th tbody caption h1 h2 span dl dt dd blockquote pre section option select a math mi".split()
     for _ in range(400):
         words, page = [], []
         for k in range(rng.randrange(1, 40)):
