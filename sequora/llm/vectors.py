@@ -12,6 +12,8 @@ from sequora.llm import covertree
 from sequora.llm.common import partitions, stage, table
 from sequora.llm.components import connected_components
 
+WHOLE = 0.5  # whole scores that differ are further apart than this
+EXACT = 1e-7  # radii are this exact beside the lengths of the vectors
 SLACK = 1e-6  # distances of unit vectors are this exact in double precision, with much to spare
 NODES = "node int, parent int, point int, radius double, first int, last int, rep {id}, weight long, x array<double>"
 
@@ -28,19 +30,48 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _cells(points: DataFrame, block: int) -> DataFrame:
-    """Adds `block`: points by their nearest pivot, cells of more than `block` points cut by a hash.
+Pivots = dict[int, tuple[np.ndarray, np.ndarray]]  # by dimensions: numbers of cells, and their points
 
-    Pivots are the points with the least hashes, one for every block/2 points and 512 at most (a
-    bounded sample: it decides where points meet, not which are compared).
+
+def _pivots(points: DataFrame, block: int, far: bool = False) -> Pivots:
+    """The points with the least hashes: one for every block/2 points and 512 at most.
+
+    With `far`, half of them are, one after another, that of the 4,096 with the least hashes which is
+    furthest from all taken, so that a cluster without a pivot isn't strewn over the others' cells. A bounded sample: it decides where points meet, not which are compared.
     """
-    n = points.count()
-    pivots = max(1, min(512, 2 * n // block))
-    picked = points.orderBy(F.xxhash64("rep", "x"), "rep").limit(pivots).select("x").collect()
-    by_dims: dict[int, np.ndarray] = {}
+    pivots = max(1, min(512, 2 * points.count() // block))
+    picked = points.orderBy(F.xxhash64("rep", "x"), "rep").limit(4096 if far else pivots).select("x").collect()
+    by_dims: dict[int, list] = {}
     for r in picked:
         by_dims.setdefault(len(r["x"]), []).append(r["x"])
-    by_dims = {d: np.array(v) for d, v in by_dims.items()}
+    if not far:
+        return {d: (np.arange(len(v)), np.array(v)) for d, v in by_dims.items()}
+    out = {}
+    for d, v in by_dims.items():
+        x, n = np.array(v), max(1, pivots * len(v) // len(picked))
+        taken = list(range((n + 1) // 2))
+        apart = covertree.squared(x, x[taken]).min(1)
+        while len(taken) < n and apart.max() > 0:
+            taken.append(int(apart.argmax()))
+            apart = np.minimum(apart, covertree.squared(x, x[taken[-1:]])[:, 0])
+        out[d] = (np.arange(len(taken)), x[taken])
+    return out
+
+
+def _with_points(pivots: Pivots, grown: DataFrame, least: int) -> Pivots:
+    """Pivots without those whose cells hold fewer than `least` points, where others hold more."""
+    cell = F.split("block", "-")[1].cast("int")
+    # a row for each pivot
+    wide = {(r["dims"], r["cell"]) for r in grown.where("x IS NOT NULL").groupBy("dims", cell.alias("cell")).count().where(F.col("count") >= least).collect()}
+    out = {}
+    for d, (cells, points) in pivots.items():
+        some = np.array([(d, c) in wide for c in cells.tolist()])
+        out[d] = (cells[some], points[some]) if some.any() else (cells, points)
+    return out
+
+
+def _cells(points: DataFrame, block: int, by_dims: Pivots) -> DataFrame:
+    """Adds `block`: dimensions, nearest pivot and cut; cells of more than `block` points are cut by a hash."""
 
     def task(batches):
         for b in batches:
@@ -50,7 +81,8 @@ def _cells(points: DataFrame, block: int) -> DataFrame:
             for d in np.unique(dims).tolist():
                 at = np.flatnonzero(dims == d)
                 if d in by_dims:
-                    cell[at] = covertree.squared(matrix(x.take(pa.array(at))), by_dims[d]).argmin(1)
+                    cells, pivots = by_dims[d]
+                    cell[at] = cells[covertree.squared(matrix(x.take(pa.array(at))), pivots).argmin(1)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(dims, pa.int32()), pa.array(cell, pa.int32())], names=[*b.schema.names, "dims", "cell"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema)
@@ -60,8 +92,12 @@ def _cells(points: DataFrame, block: int) -> DataFrame:
     return celled.join(sizes, ["dims", "cell"]).withColumn("block", F.concat_ws("-", "dims", "cell", cut)).drop("cell", "cuts")
 
 
-def trees(points: DataFrame, block: int) -> DataFrame:
-    """Cover trees of (rep, weight, x): one row for each node, with `block`, `dims` and what NODES names."""
+def trees(points: DataFrame, block: int, pivots: Pivots | None = None) -> DataFrame:
+    """Cover trees of (rep, weight, x): one row for each node, with `block`, `dims` and what NODES names.
+
+    Blocks lie around `pivots`, or around some of the points.
+    """
+    pivots = _pivots(points, block) if pivots is None else pivots
     kind = points.schema["rep"].dataType.simpleString()
 
     def grow(t):
@@ -73,7 +109,7 @@ def trees(points: DataFrame, block: int) -> DataFrame:
         ends = [pa.array(v, pa.int32()) for v in (tree.begin, tree.end)]
         return pa.Table.from_arrays([pa.array([t["block"][0].as_py()] * m), pa.array([t["dims"][0].as_py()] * m, pa.int32()), *ints, pa.array(tree.radius), *ends, *[t[c].combine_chunks().take(take) for c in ("rep", "weight", "x")]], names=["block", "dims", "node", "parent", "point", "radius", "first", "last", "rep", "weight", "x"])
 
-    return _cells(points, block).groupBy("block").applyInArrow(grow, f"block string, dims int, {NODES.format(id=kind)}")
+    return _cells(points, block, pivots).groupBy("block").applyInArrow(grow, f"block string, dims int, {NODES.format(id=kind)}")
 
 
 def read_tree(t: pa.Table) -> tuple[covertree.Tree, list, np.ndarray]:
@@ -85,12 +121,27 @@ def read_tree(t: pa.Table) -> tuple[covertree.Tree, list, np.ndarray]:
     return tree, leaves["rep"].to_pylist(), leaves["weight"].to_numpy()
 
 
-def _pairs(heads: DataFrame, others: DataFrame, near: Column) -> DataFrame:
-    """Pairs of blocks of equal dimensions for which `near` holds; heads are dealt to salts, so no task gets all pairs."""
+def _dot(x: str, y: str) -> Column:
+    return F.aggregate(F.zip_with(x, y, lambda u, v: u * v), F.lit(0.0), lambda t, u: t + u)
+
+
+def _heads(grown: DataFrame) -> DataFrame:
+    """For each tree its block and dims, and its root's radius and point."""
+    roots = grown.where("parent < 0").select("block", "radius", "point")
+    return stage(roots.join(grown.where("x IS NOT NULL").select("block", F.col("node").alias("point"), "dims", "x"), ["block", "point"]).drop("point"), "tree-roots")
+
+
+def _heads_met(heads: DataFrame, others: DataFrame) -> DataFrame:
+    """Pairs of heads of equal dimensions, columns a_* and b_*; heads are dealt to salts, so no task gets all pairs."""
     salts = partitions(heads.sparkSession)
     left = heads.select([F.col(c).alias(f"a_{c}") for c in heads.columns]).withColumn("salt", F.pmod(F.xxhash64("a_block"), F.lit(salts)))
     right = others.select([F.col(c).alias(f"b_{c}") for c in others.columns]).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return left.join(right, (left["salt"] == right["salt"]) & (left["a_dims"] == right["b_dims"]) & near).select(F.col("a_block").alias("a"), F.col("b_block").alias("b"))
+    return left.join(right, (left["salt"] == right["salt"]) & (left["a_dims"] == right["b_dims"])).drop("salt")
+
+
+def _pairs(heads: DataFrame, others: DataFrame, near: Column) -> DataFrame:
+    """Pairs of blocks of equal dimensions for which `near` holds."""
+    return _heads_met(heads, others).where(near).select(F.col("a_block").alias("a"), F.col("b_block").alias("b"))
 
 
 def _meet(left: DataFrame, right: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -126,8 +177,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block: int = 81
     unit = stage(unit.select("rep", "weight", F.transform("s", lambda x: x / F.col("norm")).alias("x")), "vectors-unit")
     grown = stage(trees(unit, block), "trees")
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    roots = grown.where("parent < 0").select("block", "radius", "point")
-    heads = stage(roots.join(grown.where("x IS NOT NULL").select("block", F.col("node").alias("point"), "dims", "x"), ["block", "point"]).drop("point"), "tree-roots")
+    heads = _heads(grown)
     apart = F.sqrt(F.aggregate(F.zip_with("a_x", "b_x", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x))
     near = (F.col("a_block") <= F.col("b_block")) & (apart <= F.col("a_radius") + F.col("b_radius") + reach + SLACK)
 
@@ -241,10 +291,12 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 256, blo
 
     A component x counts as floor(scale * x). `queries` marks the query rows; every other row with a
     usable vector of the same length is a candidate; ties go to the smaller id. Data and queries lie
-    in blocks with a cover tree each; every block of queries meets every block of data of its
-    dimensions in a task of its own, where both trees are walked together. A pair of nodes is dropped
-    if its greatest possible product, by the covering radii, is below the worst k-th score of the
-    query node's points.
+    in blocks with a cover tree each. A pair of nodes is dropped if its greatest possible product, by
+    the covering radii, is below the worst k-th score of the query node's points. This holds between
+    blocks too: queries first meet the data around their own pivot, which gives each a k-th score, and
+    then a block of queries meets those blocks of data alone whose greatest possible product with one of
+    the nodes below its root reaches the worst of these below that node. Blocks that meet have a task of their own, where both trees are walked together,
+    from the scores known by then.
 
     Null vectors, empty ones and those with null or non-finite components take no part, nor do null
     ids. Rows that share an id are separate candidates, but none for a query of that id. Vectors too
@@ -254,23 +306,59 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, scale: int = 256, blo
     v = F.col(vector_col).cast("array<double>")
     usable = vectors.where(F.col(id_col).isNotNull() & finite(v))
     rows = stage(usable.select(F.col(id_col).alias("rep"), F.lit(1).cast("long").alias("weight"), F.transform(v, lambda x: _floor(x, scale)).alias("x"), F.coalesce(queries, F.lit(False)).alias("asks")), "whole-vectors")
-    data = stage(trees(rows.select("rep", "weight", "x"), block), "data-trees")
-    asked = stage(trees(rows.where("asks").select("rep", "weight", "x"), max(256, block // 4)), "query-trees")
-    heads = [t.where("parent < 0").select("block", "dims") for t in (asked, data)]
+    points, size = rows.select("rep", "weight", "x"), max(256, block // 4)
+    pivots = _pivots(points, block, far=True)
+    data = stage(trees(points, block, pivots), "data-trees").withColumn("floor", F.lit(None).cast("double"))
+    points = rows.where("asks").select("rep", "weight", "x")
 
     def search(key, t):
-        q, q_rep, _ = read_tree(t.filter(pa.compute.equal(t["side"], 0)))
+        side = t.filter(pa.compute.equal(t["side"], 0)).sort_by("node")
+        q, q_rep, _ = read_tree(side)
+        known = side["floor"].fill_null(-np.inf).to_numpy()[: len(q_rep)]
         d, d_rep, _ = read_tree(t.filter(pa.compute.equal(t["side"], 1)))
         id_type = t.schema.field("rep").type
-        best = best_scores(q, d, q_rep, d_rep, k)
+        best = best_scores(q, d, q_rep, d_rep, k, known)
         return pa.table({"query_id": pa.array([x[0] for x in best], id_type), "id": pa.array([x[1] for x in best], id_type), "score": pa.array([x[2] for x in best], pa.int64())})
 
-    met = _meet(asked, data, _pairs(heads[0], heads[1], F.lit(True)))
-    found = met.groupBy("a", "b").applyInArrow(search, f"query_id {kind}, id {kind}, score long")
+    def searched(asked: DataFrame, pairs: DataFrame) -> DataFrame:
+        return _meet(asked, data, pairs).groupBy("a", "b").applyInArrow(search, f"query_id {kind}, id {kind}, score long")
+
+    around = stage(trees(points, size, _with_points(pivots, data, 4 * k)), "query-trees-around").withColumn("floor", F.lit(None).cast("double"))
+    own = F.regexp_replace("block", "[0-9]+$", "0")  # the first cut of the cell of the same pivot
+    begun = searched(around, around.select(F.col("block").alias("a"), own.alias("b")).distinct())
+    nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
+    known = begun.withColumn("nth", nth).where(F.col("nth") == k).select(F.col("query_id").alias("rep"), F.col("score").cast("double").alias("floor"))
+    asked = stage(trees(points, size, _pivots(points, size, far=True)).join(stage(known, "scores-known"), "rep", "left"), "query-trees")
+    found = searched(asked, _open_pairs(_groups(asked), _heads(data)))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
+def _groups(asked: DataFrame) -> DataFrame:
+    """The nodes below the root of each tree of queries: block, dims, radius, x of the point, floor (the worst below the node)."""
+
+    def below(t):
+        t = t.sort_by("node")
+        tree, reps, _ = read_tree(t)
+        known = t["floor"].fill_null(-np.inf).to_numpy()[: len(reps)]
+        kids = tree.kids[tree.first[tree.root] : tree.first[tree.root] + tree.n_kids[tree.root]]
+        kids = kids[np.argsort(tree.begin[kids])] if len(kids) else np.array([tree.root])
+        floor = np.minimum.reduceat(known, tree.begin[kids])
+        same = lambda c: t[c].combine_chunks().take(pa.array(np.zeros(len(kids), np.int64)))
+        return pa.Table.from_arrays([same("block"), same("dims"), pa.array(tree.radius[kids]), pa.array(tree.x[tree.point[kids]].tolist(), pa.list_(pa.float64())), pa.array(floor)], names=["block", "dims", "radius", "x", "floor"])
+
+    return stage(asked.groupBy("block").applyInArrow(below, "block string, dims int, radius double, x array<double>, floor double"), "query-groups")
+
+
+def _open_pairs(groups: DataFrame, data: DataFrame) -> DataFrame:
+    """Pairs of blocks for which the greatest possible product of a group of queries reaches the group's floor."""
+    norm = lambda x: F.sqrt(_dot(x, x))
+    size, reach = norm("a_x") * norm("b_x"), norm("a_x") * F.col("b_radius") + norm("b_x") * F.col("a_radius") + F.col("a_radius") * F.col("b_radius")
+    # products beyond doubles can't be told and stay open; scores end where longs do
+    most = F.greatest(_dot("a_x", "b_x") + reach + WHOLE + EXACT * (size + reach), F.lit(-(2.0**63)))
+    return _pairs(groups, data, F.isnan(most) | (most >= F.col("a_floor"))).distinct()
+
+
 def _floor(x: Column, scale: int) -> Column:
     """floor(scale * x) as a double; beyond 2^52 a double is whole already."""
     y = x * scale
@@ -288,8 +376,8 @@ def _levels(tree) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     return out[::-1]
 
 
-def best_scores(q, d, q_ids: list, d_ids: list, k: int) -> list[tuple]:
-    """(query id, id, score) of each query's k best in this block, or more where scores tie at the end."""
+def best_scores(q, d, q_ids: list, d_ids: list, k: int, known: np.ndarray | None = None) -> list[tuple]:
+    """(query id, id, score) of each query's k best in this block; what is below its score in `known` may lack."""
     largest = max(np.abs(q.x).max(), np.abs(d.x).max(), 1.0)
     if largest * largest * q.x.shape[1] >= 2.0**52:
         return _best_of_large(q, d, q_ids, d_ids, k)
@@ -298,10 +386,17 @@ def best_scores(q, d, q_ids: list, d_ids: list, k: int) -> list[tuple]:
     q_no, d_no = np.array([number[v] for v in q_ids]), np.array([number[v] for v in d_ids])
     score = np.full((nq, k), -np.inf)  # each query's best so far, in descending order
     place = np.full((nq, k), -1)
+    known = np.full(nq, -np.inf) if known is None else known
     floor = np.full(len(q.parent), -np.inf)  # the worst k-th score below a query node
     q_norm, d_norm = np.sqrt(q.norm), np.sqrt(d.norm)
+    slack = WHOLE + EXACT * q_norm.max() * d_norm.max()
     levels = _levels(q)
 
+    def raise_floors():
+        floor[:nq] = np.maximum(known, score[:, k - 1])
+        for nodes, kids, starts in levels:
+            floor[nodes] = np.minimum.reduceat(floor[kids], starts)
+
     def offer(i, j, s):
         """Put candidates j with scores s to queries i; then raise the floors."""
         rows = np.unique(i)
@@ -317,9 +412,7 @@ def best_scores(q, d, q_ids: list, d_ids: list, k: int) -> list[tuple]:
         top = nth < k
         score[rows], place[rows] = -np.inf, -1
         score[rows[i2[top]], nth[top]], place[rows[i2[top]], nth[top]] = s2[top], j2[top]
-        floor[:nq] = score[:, k - 1]
-        for nodes, kids, starts in levels:
-            floor[nodes] = np.minimum.reduceat(floor[kids], starts)
+        raise_floors()
 
     def bound(i, j, dots):
         rq, rd = q.radius[i], d.radius[j]
@@ -331,10 +424,10 @@ def best_scores(q, d, q_ids: list, d_ids: list, k: int) -> list[tuple]:
         norm_a, norm_b = (d_norm, q_norm) if flip else (q_norm, d_norm)
         r = two.radius[b].max()
         room = norm_a[one.point[a]] * r + norm_b[two.point[b]].max() * one.radius[a] + one.radius[a] * r
-        return (floor[b].min() if flip else floor[a]) - room - 0.5
+        return (floor[b].min() if flip else floor[a]) - room - slack
 
     def decide(i, j, dots):
-        open_ = bound(i, j, dots) >= floor[i] - 0.5
+        open_ = bound(i, j, dots) >= floor[i] - slack
         points = (q.n_kids[i] == 0) & (d.n_kids[j] == 0)
         hit = np.flatnonzero(points & open_ & (q_no[np.minimum(i, nq - 1)] != d_no[np.minimum(j, nd - 1)]))
         if len(hit):
@@ -348,8 +441,9 @@ def best_scores(q, d, q_ids: list, d_ids: list, k: int) -> list[tuple]:
     some = np.unique(np.linspace(0, nd - 1, min(nd, 64)).astype(int))
     first = q.x @ d.x[some].T
     i, j = np.nonzero(q_no[:, None] != d_no[some][None, :])
-    if len(i):
+    if len(i) and not np.isfinite(known).all():
         offer(i, some[j], first[i, j])
+    raise_floors()
     covertree.dual(q, d, decide, least)
     r, c = np.nonzero(place >= 0)
     return [(q_ids[a], d_ids[place[a, b]], int(score[a, b])) for a, b in zip(r.tolist(), c.tolist(), strict=True)]

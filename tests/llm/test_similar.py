@@ -208,6 +208,42 @@ def test_top_k_equals_brute_force(spark, points):
     assert got == sorted(want)
 
 
+def test_blocks_that_cannot_hold_a_top_score_do_not_meet(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    centre = np.repeat(np.eye(20) * 4, 200, 0)
+    x = centre + rng.normal(size=centre.shape) * 0.02
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    seen = {}
+
+    def counted(groups, data, of=vectors._open_pairs):
+        pairs = of(groups, data)
+        seen.update(met=pairs.count(), all=groups.select("block").distinct().count() * data.count())
+        return pairs
+
+    monkeypatch.setattr(vectors, "_open_pairs", counted)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vectors.top_k(df, F.col("vec_id") % 2 == 0, block=128).collect())
+    whole = np.floor(256 * x).astype(np.int64)
+    product = whole @ whole.T
+    want = [(q, n + 1, v, int(product[q, v])) for q in range(0, len(x), 2) for n, v in enumerate([v for v in np.lexsort((np.arange(len(x)), -product[q])).tolist() if v != q][:5])]
+    assert got == sorted(want)
+    assert seen["all"] > 50 and seen["met"] * 2 < seen["all"], seen
+
+
+def test_known_scores_leave_the_best_and_ties():
+    from sequora.llm import covertree
+
+    rng = np.random.default_rng(9)
+    q, d = (np.floor(256 * rng.normal(size=(n, 4))) for n in (40, 300))
+    d[200:] = d[:100]  # repeated rows tie
+    (q_order, q_tree), (d_order, d_tree) = covertree.build(q), covertree.build(d)
+    whole = np.sort(q_tree.x @ d_tree.x.T, 1)[:, ::-1]
+    q_ids, d_ids = [10_000 + int(k) for k in q_order], [int(k) for k in d_order]
+    want = sorted(vectors.best_scores(q_tree, d_tree, q_ids, d_ids, 5))
+    got = vectors.best_scores(q_tree, d_tree, q_ids, d_ids, 5, whole[:, 4])
+    assert sorted(got) == want and len(want) == 200
+    assert not vectors.best_scores(q_tree, d_tree, q_ids, d_ids, 5, whole[:, 0] + 1)
+
+
 def test_top_k_of_vectors_beyond_doubles(spark):
     df = spark.createDataFrame([(0, [1e18, 1.0]), (1, [1.0, 3.0]), (2, [2.0, 0.0])], "vec_id long, embedding array<double>")
     got = [(r["vec_id"], r["score"]) for r in vectors.top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()]
