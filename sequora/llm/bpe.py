@@ -51,14 +51,31 @@ class Merges:
         return np.where(self.keys[at] == key, self.values[at], NONE)
 
     def one_word(self, word: bytes) -> list[int]:
-        """Merge the leftmost pair of the lowest rank until none is left."""
-        parts = [bytes([b]) for b in word]
-        while len(parts) > 1:
-            rank, k = min((self.ranks.get(parts[i] + parts[i + 1], NONE), i) for i in range(len(parts) - 1))
-            if rank == NONE:
-                break
-            parts[k : k + 2] = [parts[k] + parts[k + 1]]
-        return [self.ranks[p] for p in parts]
+        """Merge the leftmost pair of the lowest rank until none is left, by a heap of (rank, place)."""
+        n = len(word)
+        end, left = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that begins at a place
+        rank_at = lambda i: self.ranks.get(word[i : end[end[i]]], NONE) if end[i] < n else NONE
+        ranks = [rank_at(i) for i in range(n)]
+        heap = [(r, i) for i, r in enumerate(ranks) if r != NONE]
+        heapq.heapify(heap)
+        while heap:
+            rank, i = heapq.heappop(heap)
+            if ranks[i] != rank:  # the pair has changed, or its left part is gone
+                continue
+            gone = end[i]
+            end[i], ranks[gone] = end[gone], NONE
+            if end[i] < n:
+                left[end[i]] = i
+            for k in (left[i], i):
+                if k >= 0:
+                    ranks[k] = rank_at(k)
+                    if ranks[k] != NONE:
+                        heapq.heappush(heap, (ranks[k], k))
+        out, i = [], 0
+        while i < n:
+            out.append(self.ranks[word[i : end[i]]])
+            i = end[i]
+        return out
 
     def replay(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word as little-endian unsigned 32-bit integers."""
@@ -183,24 +200,29 @@ def encode(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", te
 
 
 def decode(encoded: DataFrame, ranks: str) -> DataFrame:
-    """Adds `decoded`, the bytes that the ids of column `ids` stand for (null ids: no bytes)."""
+    """Adds `decoded`, the bytes that the ids of column `ids` stand for.
+
+    Null ids give no bytes; an id that the file lacks is an error, as are ids cut within four bytes
+    and a column `decoded` that is there already. Other columns and all rows are kept.
+    """
+    if "decoded" in encoded.columns:
+        raise ValueError("there is a column decoded already")
     others = [c for c in encoded.columns if c != "ids"]
     schema = encoded.select(*others, "ids").withColumn("decoded", F.lit(b"")).schema
 
     def task(batches):
         tokens = _tokens(ranks)
         for b in slices(batches, len(others), 1 << 20):
-            out = [b"".join([tokens[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in b.column(len(others)).to_pylist()]
+            out = [b"".join([tokens[i] for i in np.frombuffer(x or b"", "<u4").tolist()]) for x in b.column(len(others)).to_pylist()]  # a KeyError names an id that there isn't
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=[*b.schema.names, "decoded"])
 
     return encoded.select(*others, "ids").mapInArrow(task, schema)
 
 
 @lru_cache(maxsize=2)
-def _tokens(path: str) -> list[bytes]:
+def _tokens(path: str) -> dict[int, bytes]:
     with open(path, "rb") as f:
-        found = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
-    return [found.get(k, b"") for k in range(max(found) + 1)]
+        return {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,30 @@ def test_merges_that_come_out_of_order(tmp_path):
     some = sorted({"".join(rng.choices("abc", k=rng.randint(1, 12))) for _ in range(500)})
     for w, got in zip(some, m.replay([w.encode() for w in some])):
         assert np.frombuffer(got, "<u4").tolist() == t.encode_ordinary(w)
+
+
+def test_one_word_merges_in_order_of_rank_and_place(tmp_path):
+    words = [bytes([b]) for b in range(256)] + [b"abc", b"ab", b"cab", b"aa", b"aaa", b"bc", b"abab", b"bca"]
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(w) + b" %d\n" % k for k, w in enumerate(words)))
+    t = tiktoken.Encoding("own", pat_str=r"[a-z]+", mergeable_ranks={w: k for k, w in enumerate(words)}, special_tokens={})
+    m, rng = bpe.Merges(str(path)), random.Random(2)
+    for n in [0, 1, 2, *rng.choices(range(3, 40), k=400)]:
+        w = "".join(rng.choices("abc", k=n))
+        if w.encode() not in m.ranks or n < 2:
+            assert m.one_word(w.encode()) == t.encode_ordinary(w), w
+    long = "".join(rng.choices("abc", k=60_000))
+    assert m.one_word(long.encode()) == t.encode_ordinary(long)
+
+
+def test_bpe_of_odd_rows_and_ids_that_there_are_not(spark):
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    rows = [(None, "one two"), (7, None), (7, "one two"), (7, "one two")]
+    coded = bpe.decode(bpe.encode(spark.createDataFrame(rows, "doc_id long, text string"), path, P.PATTERN), path)
+    assert sorted((r["doc_id"] or 0, bytes(r["decoded"])) for r in coded.collect()) == [(0, b"one two"), (7, b""), (7, b"one two"), (7, b"one two")]
+    assert bpe.decode(bpe.encode(spark.createDataFrame([], "doc_id long, text string"), path, P.PATTERN), path).count() == 0
+    with pytest.raises(ValueError):
+        bpe.decode(coded, path)
+    with pytest.raises(Exception, match="KeyError"):
+        bpe.decode(spark.createDataFrame([(1, b"\xff\xff\xff\x7f")], "doc_id long, ids binary"), path).collect()
+    assert bytes(bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids binary"), path).first()["decoded"]) == b""
