@@ -42,3 +42,19 @@ def test_a_failed_dataset_leaves_no_lines(spark, tmp_path):
         export.write_all({"1": one, "2": bad, "3": one}, f"file://{tmp_path}/out", 1000, (), None)
     assert (tmp_path / "out" / "1").is_dir() and not (tmp_path / "out" / "3").exists()
     assert set(glob.glob(f"{base}/lines-*")) == before
+
+
+def test_audits_stage_endpoints_once(spark):
+    """Devices and IPs stand in several datasets and audits: an audit reads them, and doesn't join the events for each."""
+    import os
+
+    import pytest
+
+    from sequora.plans.queries import prepared
+
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(sf):
+        pytest.skip("no tables here")
+    p = prepared(spark, sf, keep=True)
+    for df in (p.devices, p.ips):
+        assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count()
