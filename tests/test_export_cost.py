@@ -58,3 +58,22 @@ def test_audits_stage_endpoints_once(spark):
     p = prepared(spark, sf, keep=True)
     for df in (p.devices, p.ips):
         assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count()
+
+
+def test_visibility_reads_payments_once(spark):
+    """Queries that look at the payments twice read them, and don't join the clock for each look; labels are not made for them."""
+    import os
+
+    import pytest
+
+    from sequora.plans.queries import prepared
+
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(sf):
+        pytest.skip("no tables here")
+    p = prepared(spark, sf, clock=True)
+    columns = ["transaction_id", "account_id", "card_id", "event_seq"]
+    for df in (p.paid, p.sequence, p.limits):
+        assert not any(x in df._jdf.queryExecution().optimizedPlan().toString() for x in ("Join", "Window"))
+    q = prepared(spark, sf)
+    assert sorted(map(tuple, p.paid.collect())) == sorted(map(tuple, q.manifest.select(*columns).collect()))
