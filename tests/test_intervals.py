@@ -4,6 +4,7 @@ import random
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from sequora.operators import relations, sequence, temporal
 from sequora.operators.gates import each_of, ends_met, ids, membership
@@ -103,3 +104,14 @@ def test_membership_and_ends(spark):
     got = sorted((r.kind_b, r.met_a, r.met_b, r.seen_a, r.seen_b) for r in ends_met(edges, homes).collect() if r.a)
     assert got == [("x", True, True, 7, 8), ("y", True, False, 7, None)]
     assert sorted(map(tuple, each_of(spark.createDataFrame([("a", 3)], "n string, c long"), "n", ["a", "b"], "c").collect())) == [("a", 3), ("b", 0)]
+
+
+def test_seeds_are_repeated_for_widths_of_their_key_only(spark):
+    """One key has tenures of many lengths, another one of one: seeds of the latter are not repeated for the lengths of the former."""
+    long = [("many", f"t{k}", 1, 1 + 2**k) for k in range(1, 20)]
+    tenures = spark.createDataFrame([*long, ("one", "x", 1, 0)], "k string, card string, valid_from_seq long, valid_to_seq long")
+    seeds = spark.range(1, 301).select(F.lit("one").alias("k"), F.col("id").alias("seed_seq")).union(spark.createDataFrame([("many", 5)], "k string, seed_seq long"))
+    met = relations.visible_tenures(tenures, seeds, "k")
+    found = sorted((r.k, r.card, r.seed_seq) for r in met.collect())
+    assert found == sorted([("one", "x", n) for n in range(1, 301)] + [("many", c, 5) for _, c, a, z in long if a <= 5 < z])
+    assert "collect_set" in met._jdf.queryExecution().optimizedPlan().toString()
