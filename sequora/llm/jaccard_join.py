@@ -123,6 +123,8 @@ EDGE, ON = 0, 1  # what buckets give: an edge (a, b) of nodes, or a path a below
 BUCKET_ROW = "kind int, path long, salt int, node long, b0 long, b1 long, packed binary"
 PACKED = np.dtype([("node", "<i8"), ("bits", "<i8", (2,))])
 GATHER = 1 << 20
+FOREST = 1 << 20  # edges that a task holds
+HOT_ROWS = 1 << 14  # rows of hot parts that a task is dealt, about
 
 
 @dataclass(frozen=True)
@@ -254,6 +256,11 @@ class Leaders:
             self.label = least_labels(len(every), *np.nonzero(far(self.bits[:, None, :], self.bits[None, :, :]) <= rules.reach))
         self.group = self.node[self.label]  # the same in every part
 
+    def stand_in(self, node: np.ndarray) -> np.ndarray:
+        """Leaders replaced by the least that they are connected with from the start; other nodes as they are."""
+        at = np.minimum(np.searchsorted(self.node, node), len(self.node) - 1)
+        return np.where(self.node[at] == node, self.group[at], node)
+
     def connected(self) -> pa.RecordBatch:
         moved = np.flatnonzero(self.label != np.arange(len(self.label)))
         return found_rows(EDGE, self.node[moved], self.node[self.label[moved]])
@@ -288,24 +295,68 @@ def compare_with_leaders(path: int, node, bits, leaders: Leaders, rules: Rules):
             yield found_rows(ON, np.full(len(stay), path), n[stay], c)
 
 
+class Forest:
+    """Edges of a task of which only those are given on that connect what the task's others don't: one for each node but one of a component, at most."""
+
+    def __init__(self):
+        self.held, self.size = [], 0
+
+    def add(self, a, b):
+        """Take edges in; what is held is given on when it grows large."""
+        self.held.append(np.stack([a, b]))
+        self.size += len(a)
+        if self.size >= FOREST:
+            yield from self.end()
+
+    def end(self):
+        if self.size:
+            node, at = np.unique(np.concatenate(self.held, 1), return_inverse=True)
+            label = least_labels(len(node), *at.reshape(2, -1))
+            moved = np.flatnonzero(label != np.arange(len(label)))
+            yield found_rows(EDGE, node[moved], node[label[moved]])
+        self.held, self.size = [], 0
+
+
 def compare_hot(batches, rules: Rules, salts: int):
-    """Rows sorted by path, salt and falling kind: compare each hot part's sets with all leaders of the bucket."""
-    of, parts, leaders = None, [], None
+    """Rows sorted by path, salt and falling kind: compare each hot part's sets with all leaders of the bucket.
+
+    A set that is near the leaders of many buckets of the task has one edge and not one for each
+    bucket. Leaders that are connected from the start stand as the least of them; the part of
+    the bucket's own salt says that they are connected, whether or not it has sets to compare.
+    """
+    of, parts, leaders, forest = None, [], None, Forest()
+
+    def known():
+        return leaders.connected() if of[1] == of[0] % salts else None
+
     for b in gathered(batches, GATHER):
         kind, path, salt, node = columns_of(b, "kind", "path", "salt", "node")
         bits, packed = bits_of(b), b.column(b.schema.get_field_index("packed"))
         first = np.flatnonzero(np.r_[True, (path[1:] != path[:-1]) | (salt[1:] != salt[:-1])])
         for f, e in zip(first.tolist(), np.r_[first[1:], len(path)].tolist(), strict=True):
             if of != (path[f], salt[f]):
+                if parts and leaders is None:
+                    leaders = Leaders(parts, rules)
+                    if (rows := known()) is not None:
+                        yield rows
                 of, parts, leaders = (path[f], salt[f]), [], None
             h = f + int((kind[f:e] == LEADERS).sum())
             parts += [np.frombuffer(packed[k].as_py(), PACKED) for k in range(f, h)]
             if h < e:
                 if leaders is None:
                     leaders = Leaders(parts, rules)
-                    if salt[f] == path[f] % salts:
-                        yield leaders.connected()
-                yield from compare_with_leaders(int(path[f]), node[h:e], bits[h:e], leaders, rules)
+                    if (rows := known()) is not None:
+                        yield rows
+                for rows in compare_with_leaders(int(path[f]), node[h:e], bits[h:e], leaders, rules):
+                    if rows.num_rows and rows.column(0)[0].as_py() == EDGE:
+                        yield from forest.add(*(leaders.stand_in(x) for x in columns_of(rows, "a", "b")))
+                    else:
+                        yield rows
+    if parts and leaders is None:
+        leaders = Leaders(parts, rules)
+        if (rows := known()) is not None:
+            yield rows
+    yield from forest.end()
 
 
 def whole_buckets(batches):
@@ -361,7 +412,9 @@ def _buckets(rows: DataFrame, rules: Rules, salts: int) -> DataFrame:
     """What the buckets of rows (path, node, b0, b1) give, staged: kind, a, b.
 
     Buckets are dealt to tasks by path and salt first. What is left in parts of up to `limit` sets meets
-    by path; hot parts stay apart, and the leaders of the whole bucket come to each of them.
+    by path; hot parts stay apart, and the leaders of the whole bucket come to each of them. They are
+    dealt by salt and as few groups of paths as their rows ask for, so that a task sees a set in many of
+    its buckets.
     """
     spark, n = rows.sparkSession, partitions(rows.sparkSession)
 
@@ -388,7 +441,9 @@ def _buckets(rows: DataFrame, rules: Rules, salts: int) -> DataFrame:
     leaders = sifted.where(f"kind = {LEADERS}")
     everywhere = leaders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     results = "kind int, a long, b long, c long"
-    of_hot = sifted.where(f"kind = {HOT}").unionByName(everywhere).repartition(n, "path", "salt").sortWithinPartitions("path", "salt", F.desc("kind")).mapInArrow(hot, results)
+    groups = max(1, -(-sifted.where(f"kind = {HOT}").count() // (salts * HOT_ROWS)))
+    deal = F.pmod(F.xxhash64("path"), F.lit(groups))
+    of_hot = sifted.where(f"kind = {HOT}").unionByName(everywhere).repartition(n, "salt", deal).sortWithinPartitions("path", "salt", F.desc("kind")).mapInArrow(hot, results)
     if rules.last:
         return stage(of_hot, "candidates")
     of_cold = sifted.where(f"kind = {COLD}").unionByName(leaders).repartition(n, "path").sortWithinPartitions("path").mapInArrow(cold, results)

@@ -116,6 +116,24 @@ def test_leaders_stand_for_near_copies_and_lose_no_pair():
     assert not on and all(up[a] == up[b] for a, b in zip(*np.nonzero(distance <= 28)))
 
 
+def test_a_set_near_leaders_of_many_buckets_has_one_edge():
+    rng = np.random.default_rng(5)
+    bits = np.array([sketch(np.unique(np.concatenate([np.arange(300), rng.integers(1000, 10**9, 9)]).astype(np.uint64))) for _ in range(400)])
+    rules, buckets, salts = Rules(16, 4, 28, 12, False), 12, 8
+    _, _, sifted = bucket_rows(bits, rules, salts)
+    leaders, found = sifted.filter(pc.equal(sifted["kind"], 2)), []
+    for salt in range(salts):
+        own = pa.concat_tables([leaders, sifted.filter(pc.and_(pc.equal(sifted["salt"], salt), pc.equal(sifted["kind"], 1)))])
+        own = own.set_column(2, "salt", pa.array([salt] * len(own), pa.int32()))
+        parts = [own.set_column(1, "path", pa.array([path] * len(own), pa.int64())) for path in range(buckets)]
+        found += [x for b in compare_hot(pa.concat_tables(parts).combine_chunks().to_batches(), rules, salts) for x in b.to_pylist()]
+    edges = [(r["a"], r["b"]) for r in found if r["kind"] == EDGE]
+    on = {r["b"] for r in found if r["kind"] == ON}
+    up = components(range(400), edges)
+    assert len({up[k] for k in range(400) if k not in on}) == 1
+    assert len(edges) < 400 + buckets * 4 * salts  # an edge for each set and leader, and not for each set of each bucket
+
+
 def test_buckets_are_not_cut():
     path = np.repeat(np.arange(50), np.arange(50))
     rows = pa.record_batch({"path": path, "x": np.arange(len(path))})
