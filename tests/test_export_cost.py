@@ -77,3 +77,44 @@ def test_visibility_reads_payments_once(spark):
         assert not any(x in df._jdf.queryExecution().optimizedPlan().toString() for x in ("Join", "Window"))
     q = prepared(spark, sf)
     assert sorted(map(tuple, p.paid.collect())) == sorted(map(tuple, q.manifest.select(*columns).collect()))
+
+
+def test_an_export_stages_each_frame_once(spark, monkeypatch):
+    """With `whole`, datasets and audits are cut from staged frames: no join is left in them, and none is written twice, though several threads ask."""
+    import os
+    from collections import Counter
+
+    import pytest
+
+    from sequora.plans import card_fraud
+    from sequora.plans.queries import prepared
+
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(sf):
+        pytest.skip("no tables here")
+    written, real = Counter(), card_fraud.staged
+    monkeypatch.setattr(card_fraud, "staged", lambda df, *a: written.update([df._jdf.queryExecution().analyzed().canonicalized().hashCode()]) or real(df, *a))
+    p = prepared(spark, sf, whole=True).stage()
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    for name, df in p.datasets.items():
+        assert not any(x in plan(df) for x in ("Join", "Aggregate", "Window")), name
+    for df in (p.accounts, p.merchants, p.emails, p.party_owns_account, p.party_values["ip"]):
+        assert "Join" not in plan(df)
+    assert max(written.values()) == 1
+
+
+def test_a_damaged_export_needs_no_sound_one(spark, monkeypatch):
+    """Queries over a damaged export, over lines or shards don't pay for an export that they don't read."""
+    from sequora.plans import queries
+
+    monkeypatch.setattr(queries, "exported", lambda *a: 1 / 0)
+    monkeypatch.setattr(queries, "_exports", {})
+    sf = "/root/testdata/sf0.001"
+    import os
+
+    import pytest
+
+    if not os.path.isdir(sf):
+        pytest.skip("no tables here")
+    assert queries.QUERIES["val_empty_mandatory_mutated"](spark, sf).collect()[0]["dataset"] == "07_ip_addresses"
+    assert queries.QUERIES["out_shard_sizes"](spark, sf).first()["bounded"]
