@@ -122,3 +122,16 @@ def test_require_names_every_failure(spark):
 def test_running_back_inside_and_between_buckets(spark):
     rows = spark.createDataFrame([(1, 10), (2, 9), (3, 12), (11, 11), (12, 13), (25, 12)], "event_seq long, event_ts_ms long")
     assert sorted(r["event_seq"] for r in temporal.running_back(rows, bucket=10).collect()) == [2, 11, 25]
+
+
+def test_participations_are_read_once(raw):
+    """Edges that repeat are found on the way to their source, also where sources and targets repeat: each is one, while ends count as the join gives them."""
+    d = next(x for x in DATASETS if x.name == "Transfer_Used_Device")
+    t = temporal.typed_tables(raw)
+    plan = temporal.edge_checks(d, t[d.name], t)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("InMemoryRelation") == 3
+    late = changed(raw, "Device", first_seen_seq="20")
+    many = {n: late[n].union(late[n]) for n in ("Zelle_Transfer", "Device")} | {d.name: raw[d.name].union(raw[d.name]).union(raw[d.name])}
+    t = temporal.typed_tables(raw | many)
+    found = {r["check_name"]: r["failure_count"] for r in temporal.edge_checks(d, t[d.name], t).collect()}
+    assert found == {f"{d.name}: endpoints": 12, f"{d.name}: repeated clocks": 0, f"{d.name}: unique identity": 1}
