@@ -125,6 +125,7 @@ PACKED = np.dtype([("node", "<i8"), ("bits", "<i8", (2,))])
 GATHER = 1 << 20
 FOREST = 1 << 20  # edges that a task holds
 HOT_ROWS = 1 << 14  # rows of hot parts that a task is dealt, about
+WHOLE, WHOLE_BUCKET = 1 << 10, 1 << 14  # buckets below the first level are compared in full if a set meets so many others on average, and none more than that
 
 
 @dataclass(frozen=True)
@@ -146,8 +147,8 @@ class Sift:
     """Tells hot parts of buckets from cold ones, in rows sorted by path, salt and node, a batch at a time.
 
     A part is what a bucket (path) has of one salt. It is hot if it has more than `limit` sets; some
-    of its sets, none within `absorb` of another, are then packed as leaders. On the last level every
-    part is hot and all of its sets are leaders. A hot part's rows are passed on as they come.
+    of its sets, none within `absorb` of another, are then packed as leaders. On the last level all
+    sets of a hot part are leaders. A hot part's rows are passed on as they come.
     """
 
     def __init__(self, rules: Rules):
@@ -164,7 +165,7 @@ class Sift:
             return None
         first = np.flatnonzero(np.r_[True, (path[1:] != path[:-1]) | (salt[1:] != salt[:-1])])
         size = np.diff(np.r_[first, len(path)])
-        hot = size > (-1 if self.rules.last else self.rules.limit)
+        hot = size > self.rules.limit
         goes_on = before[:2] == (path[0], salt[0])
         hot[0] |= goes_on
         new = np.flatnonzero(hot)
@@ -228,7 +229,7 @@ def compare_cold(b: pa.RecordBatch, rules: Rules):
         leaders = [np.frombuffer(packed[k].as_py(), PACKED) for k in leading[path[leading] == p].tolist()]
         own = np.flatnonzero((path == p) & (kind == COLD))
         if len(own):
-            yield from compare_with_leaders(p, node[own], bits[own], Leaders(leaders, rules), rules)
+            yield from compare_with_leaders(p, node[own], bits[own], Leaders(leaders, rules), rules, cold=True)
     cold = kind == COLD
     path, node, bits = path[cold], node[cold], bits[cold]
     left, right, d = [], [], 1
@@ -266,18 +267,19 @@ class Leaders:
         return found_rows(EDGE, self.node[moved], self.node[self.label[moved]])
 
 
-def compare_with_leaders(path: int, node, bits, leaders: Leaders, rules: Rules):
+def compare_with_leaders(path: int, node, bits, leaders: Leaders, rules: Rules, cold: bool = False):
     """Edges to the leaders within reach; sets that no leader stands for go on.
 
     If x is within `absorb` of a leader and y within `near` of x, the leader is within `reach` of y: so
     x needs no further comparison. Sets that go on are given with the least leader that they are
-    connected with, or else themselves.
+    connected with, or else themselves. On the last level two sets of hot parts meet once, where the
+    greater is compared; `cold` sets aren't leaders and meet all.
     """
     step = max(1, (1 << 20) // len(leaders.node))
     for at in range(0, len(node), step):
         n, b = node[at : at + step], bits[at : at + step]
         distance = far(b[:, None, :], leaders.bits[None, :, :])
-        apart = n[:, None] > leaders.node[None, :] if rules.last else n[:, None] != leaders.node[None, :]
+        apart = n[:, None] > leaders.node[None, :] if rules.last and not cold else n[:, None] != leaders.node[None, :]
         close = (distance <= rules.reach) & apart
         row, column = np.nonzero(close)
         if len(row):
@@ -444,21 +446,24 @@ def _buckets(rows: DataFrame, rules: Rules, salts: int) -> DataFrame:
     groups = max(1, -(-sifted.where(f"kind = {HOT}").count() // (salts * HOT_ROWS)))
     deal = F.pmod(F.xxhash64("path"), F.lit(groups))
     of_hot = sifted.where(f"kind = {HOT}").unionByName(everywhere).repartition(n, "salt", deal).sortWithinPartitions("path", "salt", F.desc("kind")).mapInArrow(hot, results)
-    if rules.last:
-        return stage(of_hot, "candidates")
     of_cold = sifted.where(f"kind = {COLD}").unionByName(leaders).repartition(n, "path").sortWithinPartitions("path").mapInArrow(cold, results)
     return stage(of_cold.union(of_hot), "candidates")
 
 
 def _candidates(described: DataFrame, threshold: float, near: int, depth: int, salts: int, limit: int, leaders: int, absorb: int, spread: float) -> DataFrame:
-    """Edges between nodes whose sets may reach the threshold, from all runs' buckets."""
+    """Edges between nodes whose sets may reach the threshold, from all runs' buckets.
+
+    A level whose buckets can be compared in full at a cost that is bounded for each set is the last.
+    """
     sets = described.where("size > 0").select("node", "b0", "b1", F.least("size", F.lit(SAMPLE)).alias("size"), "sample")
     rows = described.where("size > 0").select(F.explode("paths").alias("path"), "node", "b0", "b1")
-    edges = None
+    edges, last = None, depth == 1
     for level in range(depth):
-        found = _buckets(rows, Rules(limit, leaders, near, absorb, level == depth - 1), salts)
+        found = _buckets(rows, Rules(limit, leaders, near, absorb, last), salts)
         e = found.where(f"kind = {EDGE}").select("a", "b")
         edges = e if edges is None else edges.union(e)
+        if last:
+            break
         on = found.where(f"kind = {ON}").select(F.col("a").alias("path"), F.col("b").alias("node"), F.col("c").alias("group"), F.pmod("b", F.lit(salts)).alias("salt"))
         # where all that goes on is connected, no pair is left to be found
         live = stage(on.groupBy("path").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("path"), "paths-open")
@@ -475,7 +480,10 @@ def _candidates(described: DataFrame, threshold: float, near: int, depth: int, s
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*out, np.zeros(0, np.int64)])), *[c.take(pa.array(each)) for c in b.columns[:3]]], names=["path", "node", "b0", "b1"])
 
         own = stage(sets.join(on, "node").dropDuplicates(["node"]).select("node", "b0", "b1", "size", "sample", "nodes"), "sets-further")
-        rows, sets = own.mapInArrow(further, "path long, node long, b0 long, b1 long"), own.drop("nodes")
+        rows, sets = stage(own.mapInArrow(further, "path long, node long, b0 long, b1 long"), "paths-further"), own.drop("nodes")
+        size = F.col("count")
+        met = rows.groupBy("path").count().agg(F.sum(size).alias("rows"), F.sum(size * size).alias("pairs"), F.max(size).alias("most")).first()
+        last = level + 2 >= depth or not met["rows"] or (met["most"] <= WHOLE_BUCKET and met["pairs"] <= WHOLE * met["rows"])
     return edges
 
 
@@ -591,7 +599,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by sketches whose cut lies 4.5 standard deviations below the threshold. Otherwise every set is
     compared with up to `leaders` sets of each part; sets like a leader (at the threshold, as
     sketches tell) are done with, as all that is near them has an edge to that leader, and the rest
-    is split by further shingles. Buckets of the last level are compared in full, part by part.
+    is split by further shingles. Buckets of the last level are compared in full, part by part; that is
+    the level at which it costs a set about a thousand comparisons, or the last of `depth`.
     Connected candidates then meet in one task (or, if more than `block`, in tasks for each pair of
     blocks) and are compared exactly on their whole sets, so no link is reported below the threshold.
 

@@ -6,9 +6,10 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
+from sequora.llm import jaccard_join as jaccard
 from sequora.llm import vectors
 from sequora.llm.components import connected_components
-from sequora.llm.jaccard_join import EDGE, ON, Rules, Sift, compare_hot, jaccard_join, near_dedup_stage, runs_needed, sketch, whole_buckets
+from sequora.llm.jaccard_join import EDGE, ON, Rules, Sift, compare_cold, compare_hot, jaccard_join, near_dedup_stage, runs_needed, sketch, whole_buckets
 
 
 def components(ids, pairs):
@@ -134,6 +135,37 @@ def test_a_set_near_leaders_of_many_buckets_has_one_edge():
     assert len(edges) < 400 + buckets * 4 * salts  # an edge for each set and leader, and not for each set of each bucket
 
 
+def test_small_parts_of_a_last_level_stay_cold_and_lose_no_pair():
+    rng = np.random.default_rng(9)
+    bits = np.array([sketch(np.unique(np.concatenate([np.arange(k % 40 * 1000, k % 40 * 1000 + 300), rng.integers(10**6, 10**9, 20)]).astype(np.uint64))) for k in range(400)])
+    rules, node = Rules(16, 4, 28, 12, True), np.arange(400)
+    salt = np.where(node < 300, node % 4, 4 + node % 20).astype(np.int32)  # four hot parts, twenty small ones
+    order, own = np.lexsort((node, salt)), Sift(rules)
+    sifted = pa.Table.from_batches([own.batch(np.zeros(400, np.int64), salt[order], node[order], bits[order]), own.end()])
+    kind, leaders = sifted["kind"], sifted.filter(pc.equal(sifted["kind"], 2))
+    assert pc.sum(pc.equal(kind, 0)).as_py() == 100 and leaders.num_rows == 4
+    found = list(compare_cold(pa.concat_tables([sifted.filter(pc.equal(kind, 0)), leaders]).combine_chunks().to_batches()[0], rules))
+    for p in range(24):
+        part = pa.concat_tables([leaders, sifted.filter(pc.and_(pc.equal(sifted["salt"], p), pc.equal(kind, 1)))])
+        found += compare_hot(part.set_column(2, "salt", pa.array([p] * len(part), pa.int32())).combine_chunks().to_batches(), rules, 24)
+    edges = [(r["a"], r["b"]) for b in found for r in b.to_pylist()]
+    distance = np.bitwise_count((bits[:, None] ^ bits[None]).view(np.uint64)).sum(-1)
+    near = np.argwhere(np.triu(distance <= 28, 1)).tolist()
+    assert all(r["kind"] == EDGE for b in found for r in b.to_pylist())
+    assert components(range(400), edges) == components(range(400), near)
+
+
+def test_buckets_that_are_cheap_to_compare_end_the_levels(spark, rows, monkeypatch):
+    levels, buckets = [], jaccard._buckets
+    monkeypatch.setattr(jaccard, "_buckets", lambda rows, rules, salts: levels.append(rules.last) or buckets(rows, rules, salts))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    links = lambda: jaccard_join(docs, limit=3, salts=4, block=50).select("doc_id", "class_id", "n_links").collect()
+    got = sorted(links())
+    assert levels == [False, True]
+    monkeypatch.setattr(jaccard, "WHOLE", 0)  # as if buckets were too large
+    assert sorted(links()) == got and len(levels) > 4
+
+
 def test_buckets_are_not_cut():
     path = np.repeat(np.arange(50), np.arange(50))
     rows = pa.record_batch({"path": path, "x": np.arange(len(path))})
