@@ -118,3 +118,32 @@ def test_a_damaged_export_needs_no_sound_one(spark, monkeypatch):
         pytest.skip("no tables here")
     assert queries.QUERIES["val_empty_mandatory_mutated"](spark, sf).collect()[0]["dataset"] == "07_ip_addresses"
     assert queries.QUERIES["out_shard_sizes"](spark, sf).first()["bounded"]
+
+
+def test_a_validation_exports_what_it_reads(spark, monkeypatch):
+    """Files of some datasets need no export of all; they are held to the gates that look at no others."""
+    import os
+
+    import pytest
+
+    from sequora.operators import gates
+    from sequora.plans import queries as q
+
+    sf = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(sf):
+        pytest.skip("no tables here")
+    for name in ("_sets", "_exports", "_reports", "_partial"):
+        monkeypatch.setattr(q, name, {}, raising=False)
+    assert q.QUERIES["val_density"](spark, sf).first()["zero_rows"] == 0 and not q._exports
+    (folder,) = q._partial.values()
+    assert export.published(spark, folder)["order"] == ["22_transactions"]
+    p = q.stored_set(spark, sf)
+    named = lambda names=None: {r["check_name"] for r in gates.gates(p, names).select("check_name").collect()}
+    of_payments, sites = named(["22_transactions"]), named(["04_merchants", "05_merchant_locations"])
+    assert {"event_seq_not_dense", "label_fraud_rows_unknown", "transaction_card_edge_count_mismatch", "forbidden_columns_in_load_views"} <= of_payments
+    assert "merchants_with_many_zips" in sites and not (of_payments | sites) - named() and "vertices_with_zero_first_seen" not in of_payments | sites
+    bad = gates.gates(p, ["22_transactions"]).withColumn("failure_count", F.lit(1))
+    monkeypatch.setattr(q, "_partial", {})
+    monkeypatch.setattr(gates, "gates", lambda *_: bad)
+    with pytest.raises(gates.GateError):
+        q.QUERIES["val_density"](spark, sf)
