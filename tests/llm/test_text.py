@@ -165,6 +165,36 @@ def test_language_model_predicts_words_that_are_not_frequent(spark):
     assert got["model"] > got["base"] + 1.0
 
 
+def test_language_model_learns_from_all_blocks(spark):
+    rng = random.Random(3)
+    rows = []
+    for k in range(400):
+        at = rng.randrange(40)
+        rows.append((k, " ".join(f"w{(at + j) % 40}" for j in range(60))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def held_out(df, block_bytes):
+        scored = language_model.score(df, F.col("doc_id") % 7 == 2, words=50, dims=16, block_bytes=block_bytes)
+        return scored.where("held_out").agg(F.sum("score") / F.sum("n_tokens")).first()[0]
+
+    one, many = held_out(docs, 1 << 20), held_out(docs.repartition(8, "doc_id"), 1000)
+    assert one > -0.5 and abs(one - many) < 0.05, (one, many)
+
+
+def test_counts_teach_what_tokens_teach():
+    word = np.tile([3, 4, 5], 4000)
+    counts = language_model.Counts(0, 0, 0, {b"a": 3}, np.array([2, 4000, 0, 4000, 4000, 4000]), np.array([1, 0]), 1)
+    model = language_model._of_classes(counts, (6,), 8)
+    context = [np.roll(word, 1)]
+    model.train(context, word)
+    taught = language_model._of_classes(counts, (6,), 8)
+    table = np.zeros((6, 6))
+    np.add.at(table, (context[0], word), 1)
+    taught.train_counts(table)
+    assert taught.log10(context, word).mean() > model.log10(context, word).mean() - 0.02
+    assert (taught.r[0][:3] == 0).all() and math.isclose((10 ** taught.log10([np.full(6, 4)], np.arange(6))).sum(), 1, rel_tol=1e-5)
+
+
 def test_words_of_a_class_add_up():
     rng = np.random.default_rng(3)
     counts = rng.integers(1, 50, 37).astype(float)
