@@ -12,9 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 
-FEW = 8  # nodes of so few points have these as children at once
+FEW = 8  # nodes of so few points have these as children at once, or none of their own unless they are well within their level's radius
 PAIRS = 60_000  # pairs of nodes whose distances are taken at a time
 CELLS = 4_000_000  # cells of a distance matrix at a time
+TILE = 512, 1024  # rows and columns of a matrix of bounds at a time: what stays in a core's cache
+LOW = 23  # directions that bounds on inner products take
+LOW_SLACK = 1e-5  # bounds on inner products of unit vectors are this exact in single precision, with much to spare
 
 
 @dataclass
@@ -27,6 +30,8 @@ class Tree:
     radius: np.ndarray
     begin: np.ndarray
     end: np.ndarray
+    given: np.ndarray | None = None  # the points as given, where x has them in another form
+    low: np.ndarray | None = None  # short vectors whose inner products are at least those of the points
 
     def __post_init__(self):
         n = len(self.parent)
@@ -44,9 +49,40 @@ def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0)
 
 
+def shorten(a: Tree, b: Tree) -> None:
+    """Give both trees of unit vectors short vectors: parts along the LOW directions that hold most of them, and the length of the rest.
+
+    By Cauchy and Schwarz no inner product of points is above that of their short vectors.
+    """
+    if a.x.shape[1] <= 2 * LOW:
+        return
+    _, axes = np.linalg.eigh(a.x.T @ a.x + (0 if a is b else b.x.T @ b.x))
+    for tree in (a, b):
+        low = tree.x @ axes[:, -LOW:]
+        rest = np.sqrt(np.maximum(tree.norm - np.einsum("ij,ij->i", low, low), 0))
+        tree.low = np.ascontiguousarray(np.c_[low, rest].astype(np.float32))
+
+
+def _open_cells(x: np.ndarray, y: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Cells of x @ y.T that reach the cut of their row; none at all if these aren't few."""
+    rows, columns, left, found = *TILE, len(x) * len(y) // 16, []
+    cut = cut.astype(np.float32)[:, None]
+    for at in range(0, len(x), rows):
+        for to in range(0, len(y), columns):
+            cells = np.flatnonzero(x[at : at + rows] @ y[to : to + columns].T >= cut[at : at + rows])
+            if len(cells):
+                left -= len(cells)
+                if left < 0:
+                    return None
+                p, q = np.divmod(cells, min(columns, len(y) - to))
+                found.append((p + at, q + to))
+    return tuple(map(np.concatenate, zip(*found, strict=True))) if found else (np.zeros(0, np.int64),) * 2
+
+
 def _net(x: np.ndarray, members: np.ndarray, r: float) -> list[np.ndarray]:
-    """Groups of members, each led by a point whose distance to the rest of its group is at most r."""
+    """Groups of members, each led by a point whose distance to the rest of its group is at most r, as exact as x."""
     centers, groups = [], []
+    norm = np.einsum("ij,ij->i", x[members], x[members])
     while len(members):
         some = members[:256]
         close = squared(x[some], x[some]) <= r * r
@@ -55,22 +91,25 @@ def _net(x: np.ndarray, members: np.ndarray, r: float) -> list[np.ndarray]:
             if not covered[k]:
                 picked.append(k)
                 covered |= close[k]
-        leaders = some[picked]
-        nearest, least = np.zeros(len(members), np.int64), np.full(len(members), np.inf)
-        step = max(1, CELLS // len(leaders))
+        leaders, half = x[some[picked]], norm[picked] - r * r
+        inside, nearest = np.zeros(len(members), bool), np.zeros(len(members), np.int64)
+        step = max(1, CELLS // len(picked) // 4)
         for at in range(0, len(members), step):
-            d = squared(x[members[at : at + step]], x[leaders])
-            nearest[at : at + step] = d.argmin(1)
-            least[at : at + step] = d.min(1)
-        inside = least <= r * r
-        inside[:len(some)] |= covered
+            d = x[members[at : at + step]] @ (-2 * leaders.T)
+            d += half
+            d += norm[at : at + step, None]  # squared distances less the square of r
+            near = np.flatnonzero((d <= 0).any(1))
+            inside[at + near], nearest[at + near] = True, d[near].argmin(1)
+            if at < len(some):  # rounding must not part the first from their leaders
+                rest = np.flatnonzero(~inside[at : min(at + step, len(some))])
+                inside[at + rest], nearest[at + rest] = True, d[rest].argmin(1)
         own = members[inside]
         order = np.argsort(nearest[inside], kind="stable")
-        cut = np.flatnonzero(np.diff(nearest[inside][order])) + 1
-        for g in np.split(own[order], cut):
+        cut = np.searchsorted(nearest[inside][order], np.arange(1, len(picked)))
+        for c, g in zip(some[picked].tolist(), np.split(own[order], cut), strict=True):
+            centers.append(c)
             groups.append(g)
-        centers += leaders.tolist()
-        members = members[~inside]
+        members, norm = members[~inside], norm[~inside]
     return [np.r_[c, g[g != c]] for c, g in zip(centers, groups, strict=True)]
 
 
@@ -78,6 +117,8 @@ def build(x: np.ndarray) -> tuple[np.ndarray, Tree]:
     """The order in which the points become leaves, and the tree over them."""
     n = len(x)
     far = np.sqrt(squared(x[:1], x).max()) if n else 0.0
+    longest = np.abs(x).max() if n else 0.0
+    single = x.astype(np.float32) if longest < 1e15 else x
     top = 2.0 ** np.ceil(np.log2(far)) if far > 0 else 0.0
     order, inner = [], []  # inner: parent, begin, end, radius
     stack = [(np.arange(n), top, -1)]
@@ -94,6 +135,9 @@ def build(x: np.ndarray) -> tuple[np.ndarray, Tree]:
             continue
         d = np.sqrt(squared(x[members[:1]], x[members])[0])
         reach, me = float(d.max()), len(inner)
+        if parent >= 0 and len(members) <= FEW and reach > r / 2:  # a node would say little of so few: they are children of the node above
+            stack += [(members[k : k + 1], 0.0, parent) for k in range(len(members) - 1, -1, -1)]
+            continue
         inner.append([parent, len(order), 0, reach])
         stack.append((me,))
         if len(members) <= FEW or reach == 0:
@@ -104,7 +148,8 @@ def build(x: np.ndarray) -> tuple[np.ndarray, Tree]:
         r /= 2
         near = d <= r
         near[0] = True
-        groups = [members[near], *_net(x, members[~near], r)]
+        # which points a group has is free, radii are exact: products in single precision will do unless r is short beside the vectors
+        groups = [members[near], *_net(single if r > 0.01 * longest * x.shape[1] ** 0.5 else x, members[~near], r)]
         stack += [(g, r, me) for g in reversed(groups)]
     order = np.array(order, np.int64)
     parent = np.r_[leaf_parent, [i[0] for i in inner]].astype(np.int64)
@@ -139,6 +184,31 @@ def dual(a: Tree, b: Tree, decide, least) -> None:
                     stack.append((q, p) if swapped else (p, q))
 
 
+def _grid(one: Tree, two: Tree, kids, v, decide, least, swapped: bool):
+    """Pairs to descend into among all of kids (nodes of one) with all of v (nodes of two)."""
+    x, short = one.x[one.point[kids]], one.low is not None and two.low is not None
+    step = max(TILE[1] if short else 1, CELLS // len(kids))
+    for at in range(0, len(v), step):
+        rows = v[at : at + step]
+        y = two.x[two.point[rows]]
+        cut = least(rows, kids, False) if swapped else least(kids, rows, True)
+        few = _open_cells(one.low[one.point[kids]], two.low[two.point[rows]], cut - LOW_SLACK) if short else None
+        if few is None:
+            dots = x @ y.T
+            p, q = np.nonzero(dots >= cut[:, None])
+            dots = dots[p, q]
+        else:
+            p, q = few
+            dots = np.concatenate([np.zeros(0), *[np.einsum("ij,ij->i", x[p[k : k + PAIRS]], y[q[k : k + PAIRS]]) for k in range(0, len(p), PAIRS)]])
+            keep = dots >= cut[p]
+            dots, p, q = dots[keep], p[keep], q[keep]
+        for k in range(0, len(p), 8 * PAIRS):
+            pk, qk, some = kids[p[k : k + 8 * PAIRS]], rows[q[k : k + 8 * PAIRS]], dots[k : k + 8 * PAIRS]
+            keep = decide(qk, pk, some) if swapped else decide(pk, qk, some)
+            if keep.any():
+                yield pk[keep], qk[keep]
+
+
 def _children(one: Tree, two: Tree, u, v, decide, least, swapped: bool):
     """Pairs to descend into among the children of u (nodes of one) with v (nodes of two)."""
     order = np.argsort(u, kind="stable")
@@ -147,18 +217,12 @@ def _children(one: Tree, two: Tree, u, v, decide, least, swapped: bool):
     starts, stops = np.r_[0, cut], np.r_[cut, len(u)]
     wide = (one.n_kids[u[starts]] >= 32) & (stops - starts >= 32)
     for s, e in zip(starts[wide].tolist(), stops[wide].tolist(), strict=True):
-        kids = one.kids[one.first[u[s]] : one.first[u[s]] + one.n_kids[u[s]]]
-        x = one.x[one.point[kids]]
-        step = max(1, CELLS // len(kids))
-        for at in range(s, e, step):
-            rows = v[at : min(e, at + step)]
-            dots = x @ two.x[two.point[rows]].T
-            cut = least(rows, kids, False) if swapped else least(kids, rows, True)
-            p, q = np.nonzero(dots >= cut[:, None])
-            dots, p, q = dots[p, q], kids[p], rows[q]
-            keep = decide(q, p, dots) if swapped else decide(p, q, dots)
-            if keep.any():
-                yield p[keep], q[keep]
+        # points apart from nodes with a radius, which would widen the bounds of all
+        below = one.kids[one.first[u[s]] : one.first[u[s]] + one.n_kids[u[s]]]
+        for kids in (below[one.n_kids[below] == 0], below[one.n_kids[below] > 0]):
+            for rows in (v[s:e][two.n_kids[v[s:e]] == 0], v[s:e][two.n_kids[v[s:e]] > 0]):
+                if len(kids) and len(rows):
+                    yield from _grid(one, two, kids, rows, decide, least, swapped)
     rest = np.repeat(~wide, stops - starts)
     u, v = u[rest], v[rest]
     at = 0

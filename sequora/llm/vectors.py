@@ -15,7 +15,7 @@ from sequora.llm.components import connected_components
 WHOLE = 0.5  # whole scores that differ are further apart than this
 EXACT = 1e-7  # radii are this exact beside the lengths of the vectors
 SLACK = 1e-6  # distances of unit vectors are this exact in double precision, with much to spare
-NODES = "node int, parent int, point int, radius double, first int, last int, rep {id}, weight long, x array<double>"
+NODES = "node int, parent int, point int, radius double, first int, last int, rep {id}, weight long, x {x}"
 
 
 def finite(vector: Column) -> Column:
@@ -30,10 +30,71 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1."""
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+
+
+def cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Cosines of rows, their sums taken component by component, as SQL takes them."""
+    xy, xx, yy = np.zeros((3, len(x)))
+    for k in range(x.shape[1]):
+        u, v = x[:, k], y[:, k]
+        xy += u * v
+        xx += u * u
+        yy += v * v
+    return xy / (np.sqrt(xx) * np.sqrt(yy))
+
+
+def _packed_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, str]:
+    """id and v, the bytes of a vector or null where it can't be compared, and the type of its components.
+
+    Floats stay what they are, all else are doubles; these are scaled by a power of two, so that no
+    product leaves the range of doubles and no digit is lost.
+    """
+    kind, column = vectors.schema[id_col].dataType.simpleString(), vectors.schema[vector_col].dataType.simpleString()
+    real = "float" if column == "array<float>" else "double"
+
+    def task(batches):
+        for b in batches:
+            x = b.column(1)
+            length = pa.compute.fill_null(pa.compute.list_value_length(x), 0).to_numpy()
+            flat, some = x.flatten().to_numpy(zero_copy_only=False).astype(np.float64), length > 0
+            start = (np.cumsum(length) - length)[some]
+            good, most = np.zeros(len(x), bool), np.zeros(len(x))
+            if len(start):
+                most[some] = np.maximum.reduceat(np.abs(flat), start)  # not a number if one component isn't
+            good = (most > 0) & np.isfinite(most) & b.column(0).is_valid().to_numpy(zero_copy_only=False)
+            flat, size = flat[np.repeat(good, length)] + 0.0, np.where(good, length, 0)  # no zero below zero
+            if real == "double":
+                flat = np.ldexp(flat, np.repeat(1 - np.frexp(most)[1][good], size[good]))
+            data = flat.astype(np.float32 if real == "float" else np.float64)
+            ends = np.r_[0, np.cumsum(size * data.itemsize)].astype(np.int32)
+            buffers = [pa.array(good.tolist(), pa.bool_()).buffers()[1], pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.Array.from_buffers(pa.binary(), len(x), buffers)], names=["id", "v"])
+
+    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast(f"array<{real}>").alias("v"))
+    return rows.mapInArrow(task, f"id {kind}, v binary"), real
+
+
+def _unpacked_vectors(points: DataFrame, real: str) -> DataFrame:
+    """rep, weight and x, the components of v."""
+    kind = points.schema["rep"].dataType.simpleString()
+
+    def task(batches):
+        dtype = np.dtype(np.float32 if real == "float" else np.float64)
+        for b in batches:
+            ends = np.r_[0, np.cumsum(pa.compute.binary_length(b.column(2)).to_numpy())] // dtype.itemsize
+            flat = pa.array(np.frombuffer(b"".join(b.column(2).to_pylist()), dtype))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], names=["rep", "weight", "x"])
+
+    return points.select("rep", "weight", "v").mapInArrow(task, f"rep {kind}, weight long, x array<{real}>")
+
+
 Pivots = dict[int, tuple[np.ndarray, np.ndarray]]  # by dimensions: numbers of cells, and their points
 
 
-def _pivots(points: DataFrame, block: int, far: bool = False) -> Pivots:
+def _pivots(points: DataFrame, block: int, far: bool = False, view=np.asarray) -> Pivots:
     """The points with the least hashes: one for every block/2 points and 512 at most.
 
     With `far`, half of them are, one after another, that of the 4,096 with the least hashes which is
@@ -45,7 +106,7 @@ def _pivots(points: DataFrame, block: int, far: bool = False) -> Pivots:
     for r in picked:
         by_dims.setdefault(len(r["x"]), []).append(r["x"])
     if not far:
-        return {d: (np.arange(len(v)), np.array(v)) for d, v in by_dims.items()}
+        return {d: (np.arange(len(v)), view(np.array(v))) for d, v in by_dims.items()}
     out = {}
     for d, v in by_dims.items():
         x, n = np.array(v), max(1, pivots * len(v) // len(picked))
@@ -70,7 +131,7 @@ def _with_points(pivots: Pivots, grown: DataFrame, least: int) -> Pivots:
     return out
 
 
-def _cells(points: DataFrame, block: int, by_dims: Pivots) -> DataFrame:
+def _cells(points: DataFrame, block: int, by_dims: Pivots, view=np.asarray) -> DataFrame:
     """Adds `block`: dimensions, nearest pivot and cut; cells of more than `block` points are cut by a hash."""
 
     def task(batches):
@@ -82,7 +143,7 @@ def _cells(points: DataFrame, block: int, by_dims: Pivots) -> DataFrame:
                 at = np.flatnonzero(dims == d)
                 if d in by_dims:
                     cells, pivots = by_dims[d]
-                    cell[at] = cells[covertree.squared(matrix(x.take(pa.array(at))), pivots).argmin(1)]
+                    cell[at] = cells[covertree.squared(view(matrix(x.take(pa.array(at)))), pivots).argmin(1)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(dims, pa.int32()), pa.array(cell, pa.int32())], names=[*b.schema.names, "dims", "cell"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema)
@@ -92,32 +153,34 @@ def _cells(points: DataFrame, block: int, by_dims: Pivots) -> DataFrame:
     return celled.join(sizes, ["dims", "cell"]).withColumn("block", F.concat_ws("-", "dims", "cell", cut)).drop("cell", "cuts")
 
 
-def trees(points: DataFrame, block: int, pivots: Pivots | None = None) -> DataFrame:
+def trees(points: DataFrame, block: int, pivots: Pivots | None = None, view=np.asarray) -> DataFrame:
     """Cover trees of (rep, weight, x): one row for each node, with `block`, `dims` and what NODES names.
 
-    Blocks lie around `pivots`, or around some of the points.
+    Blocks lie around `pivots`, or around some of the points. Trees are those of what `view` makes of
+    the points; rows keep the points as given.
     """
-    pivots = _pivots(points, block) if pivots is None else pivots
-    kind = points.schema["rep"].dataType.simpleString()
+    pivots = _pivots(points, block, view=view) if pivots is None else pivots
+    kind, column = (points.schema[c].dataType.simpleString() for c in ("rep", "x"))
 
     def grow(t):
         t = t.sort_by("rep")
-        order, tree = covertree.build(matrix(t["x"]))
+        order, tree = covertree.build(view(matrix(t["x"])))
         n, m = len(order), len(tree.parent)
         take = pa.array(np.r_[order, np.zeros(m - n, np.int64)], mask=np.arange(m) >= n)
         ints = [pa.array(v, pa.int32()) for v in (np.arange(m), tree.parent, tree.point)]
         ends = [pa.array(v, pa.int32()) for v in (tree.begin, tree.end)]
         return pa.Table.from_arrays([pa.array([t["block"][0].as_py()] * m), pa.array([t["dims"][0].as_py()] * m, pa.int32()), *ints, pa.array(tree.radius), *ends, *[t[c].combine_chunks().take(take) for c in ("rep", "weight", "x")]], names=["block", "dims", "node", "parent", "point", "radius", "first", "last", "rep", "weight", "x"])
 
-    return _cells(points, block, pivots).groupBy("block").applyInArrow(grow, f"block string, dims int, {NODES.format(id=kind)}")
+    return _cells(points, block, pivots, view).groupBy("block").applyInArrow(grow, f"block string, dims int, {NODES.format(id=kind, x=column)}")
 
 
-def read_tree(t: pa.Table) -> tuple[covertree.Tree, list, np.ndarray]:
+def read_tree(t: pa.Table, view=np.asarray) -> tuple[covertree.Tree, list, np.ndarray]:
     t = t.sort_by("node")
     get = lambda c: t[c].to_numpy()
     n = len(t) - t["x"].null_count
     leaves = t.slice(0, n)
-    tree = covertree.Tree(matrix(leaves["x"]), get("parent"), get("point"), get("radius"), get("first"), get("last"))
+    x = matrix(leaves["x"])
+    tree = covertree.Tree(view(x), get("parent"), get("point"), get("radius"), get("first"), get("last"), x)
     return tree, leaves["rep"].to_pylist(), leaves["weight"].to_numpy()
 
 
@@ -125,10 +188,17 @@ def _dot(x: str, y: str) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda u, v: u * v), F.lit(0.0), lambda t, u: t + u)
 
 
-def _heads(grown: DataFrame) -> DataFrame:
+def _heads(grown: DataFrame, view=np.asarray) -> DataFrame:
     """For each tree its block and dims, and its root's radius and point."""
+
+    def seen(batches):
+        for b in batches:
+            x = [view(np.array([v], np.float64))[0].tolist() for v in b.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(x, pa.list_(pa.float64()))], names=b.schema.names)
+
     roots = grown.where("parent < 0").select("block", "radius", "point")
-    return stage(roots.join(grown.where("x IS NOT NULL").select("block", F.col("node").alias("point"), "dims", "x"), ["block", "point"]).drop("point"), "tree-roots")
+    heads = roots.join(grown.where("x IS NOT NULL").select("block", F.col("node").alias("point"), "dims", "x"), ["block", "point"])
+    return stage(heads.select("block", "radius", "dims", "x").mapInArrow(seen, "block string, radius double, dims int, x array<double>"), "tree-roots")
 
 
 def _heads_met(heads: DataFrame, others: DataFrame) -> DataFrame:
@@ -152,14 +222,15 @@ def _meet(left: DataFrame, right: DataFrame, pairs: DataFrame) -> DataFrame:
     return one.unionByName(two).drop("block", "dims")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block: int = 8192, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """id_col, n_links, component_id and kept for every row: pairs whose cosine reaches the threshold are linked.
 
     Equal vectors are one point with a weight. Points, scaled to length 1, lie in blocks around
-    pivots; each block has a cover tree. Blocks whose root balls come near enough meet in a task of
+    pivots (of `block` points at most: an eighth of all, from 8,192 to 65,536, unless given); each block has a cover tree. Blocks whose root balls come near enough meet in a task of
     their own, where both trees are walked together: a pair of nodes is dropped if its balls are too
-    far apart, counted whole if they lie near enough, and points left over are compared by their cosine
-    in double precision. Links are counted, not listed; each task passes on
+    far apart, counted whole if they lie near enough, and points left over are compared by their product; what is
+    within rounding of the threshold, by the cosine of the vectors as given. Before points are multiplied, a bound on their product is
+    taken from the directions that hold most of both blocks. Links are counted, not listed; each task passes on
     a forest that connects what it linked, and components come from these.
 
     Null vectors, empty, all-zero ones and those with null or non-finite components link with
@@ -167,24 +238,21 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block: int = 81
     ids link with nothing and are kept. Extra columns are ignored; no row is dropped.
     """
     kind = vectors.schema[id_col].dataType.simpleString()
-    rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    good = F.col("id").isNotNull() & finite(F.col("v")) & F.exists("v", lambda x: x != 0)
-    rows = stage(rows.withColumn("v", F.when(good, F.col("v"))), "vectors")
+    rows, real = _packed_vectors(vectors, id_col, vector_col)
+    rows = stage(rows, "vectors")
     points = stage(rows.where("v IS NOT NULL").groupBy("v").agg(F.min("id").alias("rep"), F.count("*").alias("weight")), "vectors-distinct")
-    scale = F.array_max(F.transform("v", lambda x: F.abs(x)))
-    scaled = F.transform("v", lambda x: x / scale)
-    unit = points.select("rep", "weight", scaled.alias("s")).select("rep", "weight", F.col("s"), F.sqrt(F.aggregate("s", F.lit(0.0), lambda t, x: t + x * x)).alias("norm"))
-    unit = stage(unit.select("rep", "weight", F.transform("s", lambda x: x / F.col("norm")).alias("x")), "vectors-unit")
-    grown = stage(trees(unit, block), "trees")
+    block = block or min(65536, max(8192, points.count() // 8))
+    grown = stage(trees(_unpacked_vectors(points, real), block, view=unit), "trees")
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    heads = _heads(grown)
+    heads = _heads(grown, unit)
     apart = F.sqrt(F.aggregate(F.zip_with("a_x", "b_x", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x))
     near = (F.col("a_block") <= F.col("b_block")) & (apart <= F.col("a_radius") + F.col("b_radius") + reach + SLACK)
 
     def link(key, t):
         same = key[0].as_py() == key[1].as_py()
-        a, a_rep, a_weight = read_tree(t.filter(pa.compute.equal(t["side"], 0)))
-        b, b_rep, b_weight = (a, a_rep, a_weight) if same else read_tree(t.filter(pa.compute.equal(t["side"], 1)))
+        a, a_rep, a_weight = read_tree(t.filter(pa.compute.equal(t["side"], 0)), unit)
+        b, b_rep, b_weight = (a, a_rep, a_weight) if same else read_tree(t.filter(pa.compute.equal(t["side"], 1)), unit)
+        covertree.shorten(a, b)
         links, edges = cosine_links(a, b, a_weight, b_weight, threshold, reach, same)
         reps = a_rep if same else a_rep + b_rep
         some = np.flatnonzero(links)
@@ -220,9 +288,9 @@ def cosine_links(a, b, a_weight, b_weight, threshold: float, reach: float, same:
         whole = ~points & (apart + both <= reach - SLACK)
         k = np.flatnonzero(points & (dots >= threshold - SLACK))
         if len(k):
-            x, y = a.x[i[k]], b.x[j[k]]
-            cosine = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
-            linked = cosine >= threshold
+            linked = np.ones(len(k), bool)
+            near = dots[k] <= threshold + SLACK
+            linked[near] = cosine((a.x if a.given is None else a.given)[i[k[near]]], (b.x if b.given is None else b.given)[j[k[near]]]) >= threshold
             if same:
                 linked &= i[k] != j[k]
             whole[k] = linked

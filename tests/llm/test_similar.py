@@ -317,3 +317,20 @@ def test_a_dense_group_needs_little_memory():
     assert (links == close.sum(1) - 1).all() and peak < 400e6
     assert len({v for v in components(range(3000), edges).values()}) == len({v for v in components(range(3000), np.argwhere(np.triu(close, 1)).tolist()).values()})
     assert len(order) == 3000
+
+
+def test_short_vectors_bound_products_and_leave_few():
+    from sequora.llm import covertree
+
+    rng = np.random.default_rng(6)
+    x, y = (rng.normal(size=(3000, 64)) for _ in range(2))
+    x[:20] = y[:20] + rng.normal(size=(20, 64)) * 0.2
+    (_, a), (_, b) = (covertree.build(v / np.sqrt((v * v).sum(1))[:, None]) for v in (x, y))
+    covertree.shorten(a, b)
+    product = a.x @ b.x.T
+    assert (a.low @ b.low.T >= product - covertree.LOW_SLACK).all()
+    p, q = covertree._open_cells(a.low, b.low, np.full(3000, 0.95 - covertree.LOW_SLACK))
+    assert {*zip(*np.nonzero(product >= 0.95))} <= {*zip(p, q)} and len(p) < 3000 * 3000 / 1000
+    assert covertree._open_cells(a.low, b.low, np.full(3000, -1.0)) is None
+    links, _ = vectors.cosine_links(a, b, np.ones(3000, np.int64), np.ones(3000, np.int64), 0.95, float(np.sqrt(0.1)), False)
+    assert (links == np.r_[(product >= 0.95).sum(1), (product >= 0.95).sum(0)]).all() and links.sum() >= 20
